@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from textmine.operators.verbs import _as_list, group_total, null_safe_join, row_number_by
@@ -43,17 +43,38 @@ def bind_tf_idf(counts: DataFrame, term: str, document: str, n: str = "n") -> Da
 
 
 def zipf(counts: DataFrame, by: str | Sequence[str] | None, term: str = "word",
-         n: str = "n") -> DataFrame:
-    """Zipf table: ``rank`` (1 = most frequent, ties by term), ``total`` and
-    ``term_frequency = n / total``, per group or over the whole table.
+         n: str = "n", total_by: str | Sequence[str] | None = None) -> DataFrame:
+    """Zipf table: ``rank`` (1 = most frequent), ``total`` and
+    ``term_frequency = n / total``.
 
-    Ranks come from ``row_number_by`` (a range sort), so one large group is
-    spread over many tasks.
+    Ranks are numbered within ``by`` (the whole table when empty), ties in
+    ``n`` broken by the ``total_by`` columns then the term; totals are per
+    ``total_by`` (default: ``by``).  Ranks come from ``row_number_by`` (a
+    range sort), so one large group is spread over many tasks.
     """
     by = _as_list(by)
-    if by:
-        with_total = group_total(counts, n, by, "total")
+    total_by = by if total_by is None else _as_list(total_by)
+    if total_by:
+        with_total = group_total(counts, n, total_by, "total")
     else:
         with_total = counts.withColumn("total", counts.select(F.sum(n)).scalar())
-    ranked = row_number_by(with_total, by, [F.col(n).desc(), F.col(term).asc()], "rank")
+    order = [F.col(n).desc(), *[F.col(c).asc() for c in total_by if c not in by], F.col(term).asc()]
+    ranked = row_number_by(with_total, by, order, "rank")
     return ranked.withColumn("term_frequency", F.col(n) / F.col("total"))
+
+
+def top_by_first_appearance(scored: DataFrame, k: int, term: str, document: str,
+                            weight: str = "tf_idf") -> DataFrame:
+    """Top ``k`` terms per document where terms are ordered by their first
+    appearance in the table sorted by ``weight`` descending (a factor level
+    used as the weight): the term's best weight over all documents, then the
+    first document holding that best weight, then the term."""
+    best = scored.groupBy(term).agg(F.max(weight).alias("_best"))
+    with_best = null_safe_join(scored, best, [term])
+    first_doc = (with_best.filter(F.col(weight) == F.col("_best"))
+                          .groupBy(term).agg(F.min(document).alias("_first_doc")))
+    keyed = null_safe_join(with_best, first_doc, [term])
+    window = Window.partitionBy(document).orderBy(F.desc("_best"), F.col("_first_doc"), F.col(term))
+    return (keyed.withColumn("_rk", F.row_number().over(window))
+                 .filter(F.col("_rk") <= k)
+                 .select(*scored.columns))

@@ -66,8 +66,11 @@ def unnest_tokens(df: DataFrame, output: str, input: str = "text", token: str =
     if token == "words":
         arr = word_array(input, to_lower=to_lower, keep_underscore=keep_underscore, pattern=pattern)
     elif token == "ngrams":
-        words = word_array(input, to_lower=to_lower, keep_underscore=keep_underscore, pattern=pattern)
-        arr = _ngram_array(words, n, into, keep_short)
+        # The word array becomes a column first: the n-gram lambda then reads
+        # it instead of re-running the regex for every element.
+        df = df.withColumn("_tok_words", word_array(input, to_lower=to_lower,
+                                                    keep_underscore=keep_underscore, pattern=pattern))
+        arr = _ngram_array(F.col("_tok_words"), n, into, keep_short)
     elif token == "sentences":
         arr = sentence_pieces(input, to_lower=to_lower)
     elif token == "regex":

@@ -39,7 +39,9 @@ BUCKET_LINES = 10
 SECTION_LINES = 10
 
 # Words followed in the head-noun and associate queries.
-HEAD_WORD = "best"
-ASSOCIATE_WORDS = ["thing", "people", "time", "way"]
+HEAD_WORD = "thing"
+ASSOCIATE_WORDS = ["thing", "th", "nd", "re"]
+# Item followed in the co-occurrence query.
+PAIR_WORD = "thing"
 TREND_TERMS = ["the", "and", "of", "best", "idiot", "trash"]
 DOMAIN_STOP = ["the", "and", "of", "de", "la", "le", "und", "der", "die", "el", "en", "y"]

@@ -122,3 +122,366 @@ SELECT lang, nullif(regexp_extract(word, '[a-z'']+', 0), '') AS word, count(*) A
 FROM doc_tokens GROUP BY 1, 2""")
 
 sql("grep_lines", with_(LINES) + "SELECT doc_id, line_no, text FROM lines WHERE regexp_matches(text, 'stupid')")
+
+# --------------------------------------------------------------------------- step 3
+
+LANG_COUNTS = """lang_counts AS (SELECT lang, word, count(*) AS n FROM doc_tokens GROUP BY lang, word)"""
+CLEAN_LANG_COUNTS = """clean_lang_counts AS (
+  SELECT lang, word, count(*) AS n FROM clean_doc_tokens GROUP BY lang, word)"""
+
+FREQUENCY = """norm_counts AS (
+  SELECT lang, nullif(regexp_extract(word, '[a-z'']+', 0), '') AS word, count(*) AS n
+  FROM clean_doc_tokens GROUP BY 1, 2),
+props AS (SELECT lang, word, n / sum(n) OVER (PARTITION BY lang) AS proportion FROM norm_counts),
+wide AS (
+  SELECT word,
+         max(proportion) FILTER (WHERE lang = 'de') AS de, max(proportion) FILTER (WHERE lang = 'en') AS en,
+         max(proportion) FILTER (WHERE lang = 'es') AS es, max(proportion) FILTER (WHERE lang = 'fr') AS fr
+  FROM props GROUP BY word),
+frequency AS (
+  SELECT word, en, 'de' AS lang, de AS proportion FROM wide
+  UNION ALL SELECT word, en, 'es', es FROM wide
+  UNION ALL SELECT word, en, 'fr', fr FROM wide)"""
+
+FREQ_BASE = with_(DOC_TOKENS, STOP_CTE, CLEAN_DOC_TOKENS, FREQUENCY)
+
+sql("compare_freq", FREQ_BASE + """
+SELECT word, round(en, 6) AS en, lang, round(proportion, 6) AS proportion FROM frequency""")
+
+sql("cor_test", FREQ_BASE + """, ct AS (
+  SELECT lang, corr(proportion, en) AS r, count(*) AS n FROM frequency
+  WHERE proportion IS NOT NULL AND en IS NOT NULL GROUP BY lang)
+SELECT lang, round(r, 6) AS estimate, n,
+       round(r * sqrt((n - 2) / (1.0 - r * r)), 6) AS statistic, n - 2 AS parameter,
+       round(tanh(atanh(r) - 1.959963984540054 / sqrt(n - 3)), 6) AS conf_low,
+       round(tanh(atanh(r) + 1.959963984540054 / sqrt(n - 3)), 6) AS conf_high
+FROM ct""")
+
+ZIPF = """zipf AS (
+  SELECT lang, word, n, sum(n) OVER (PARTITION BY lang)::BIGINT AS total,
+         row_number() OVER (PARTITION BY lang ORDER BY n DESC, word) AS rank,
+         n / sum(n) OVER (PARTITION BY lang) AS term_frequency
+  FROM lang_counts)"""
+
+ZIPF_GLOBAL = """zipf_global AS (
+  SELECT lang, word, n, sum(n) OVER (PARTITION BY lang)::BIGINT AS total,
+         row_number() OVER (ORDER BY n DESC, lang, word) AS rank,
+         n / sum(n) OVER (PARTITION BY lang) AS term_frequency
+  FROM lang_counts)"""
+
+sql("zipf", with_(DOC_TOKENS, LANG_COUNTS, ZIPF) + """
+SELECT lang, word, n, total, rank, round(term_frequency, 6) AS term_frequency FROM zipf""")
+
+sql("zipf_global", with_(DOC_TOKENS, LANG_COUNTS, ZIPF_GLOBAL) + """
+SELECT lang, word, n, total, rank, round(term_frequency, 6) AS term_frequency FROM zipf_global""")
+
+sql("loglog_fit", with_(DOC_TOKENS, LANG_COUNTS, ZIPF) + """
+SELECT lang,
+       round(regr_intercept(log10(term_frequency), log10(rank)), 6) AS intercept,
+       round(regr_slope(log10(term_frequency), log10(rank)), 6) AS slope,
+       round(regr_r2(log10(term_frequency), log10(rank)), 6) AS r2,
+       regr_count(log10(term_frequency), log10(rank))::BIGINT AS n
+FROM zipf WHERE rank < 500 AND rank > 10 GROUP BY lang""")
+
+sql("loglog_fit_rev", with_(DOC_TOKENS, LANG_COUNTS, ZIPF_GLOBAL) + """, sub AS (
+  SELECT * FROM zipf_global WHERE rank < 500 AND rank > 10)
+SELECT NULL AS lang,
+       round(regr_intercept(log10(rank), log10(term_frequency)), 6) AS intercept,
+       round(regr_slope(log10(rank), log10(term_frequency)), 6) AS slope,
+       round(regr_r2(log10(rank), log10(term_frequency)), 6) AS r2,
+       regr_count(log10(rank), log10(term_frequency))::BIGINT AS n
+FROM sub
+UNION ALL
+SELECT lang,
+       round(regr_intercept(log10(rank), log10(term_frequency)), 6),
+       round(regr_slope(log10(rank), log10(term_frequency)), 6),
+       round(regr_r2(log10(rank), log10(term_frequency)), 6),
+       regr_count(log10(rank), log10(term_frequency))::BIGINT
+FROM sub GROUP BY lang""")
+
+HIST_WIDTH = repr(0.0009 / 30)
+sql("hist_share", with_(DOC_TOKENS, LANG_COUNTS) + f""", shares AS (
+  SELECT lang, n / sum(n) OVER (PARTITION BY lang) AS x FROM lang_counts)
+SELECT lang, least(floor(x / {HIST_WIDTH}), 29)::BIGINT AS bin, count(*) AS count
+FROM shares WHERE x <= 0.0009 GROUP BY 1, 2""")
+
+sql("complete_grid", with_(DOC_TOKENS, STOP_CTE, CLEAN_DOC_TOKENS, CLEAN_LANG_COUNTS) + """
+SELECT l.lang, w.word, coalesce(c.n, 0) AS n
+FROM (SELECT DISTINCT lang FROM clean_lang_counts) l
+CROSS JOIN (SELECT DISTINCT word FROM clean_lang_counts) w
+LEFT JOIN clean_lang_counts c ON c.lang = l.lang AND c.word = w.word""")
+
+# --------------------------------------------------------------------------- step 4
+
+
+def tf_idf_cte(name: str, counts: str, term: str, doc: str) -> str:
+    return f"""{name} AS (
+  SELECT *, n / sum(n) OVER (PARTITION BY {doc}) AS tf,
+         ln((SELECT count(DISTINCT {doc}) FROM {counts}) / count(*) OVER (PARTITION BY {term})) AS idf
+  FROM {counts})"""
+
+
+def tf_idf_out(name: str, cols: str) -> str:
+    return f"SELECT {cols}, round(tf, 6) AS tf, round(idf, 6) AS idf, round(tf * idf, 6) AS tf_idf FROM {name}"
+
+
+sql("tf_idf", with_(DOC_TOKENS, LANG_COUNTS, tf_idf_cte("t", "lang_counts", "word", "lang")) +
+    tf_idf_out("t", "lang, word, n"))
+
+sql("tf_idf_docs", with_(DOC_TOKENS, """doc_counts AS (
+  SELECT doc_id, word, count(*) AS n FROM doc_tokens GROUP BY doc_id, word)""",
+                         tf_idf_cte("t", "doc_counts", "word", "doc_id")) + tf_idf_out("t", "doc_id, word, n"))
+
+sql("top_tf_idf", with_(DOC_TOKENS, LANG_COUNTS, tf_idf_cte("t", "lang_counts", "word", "lang")) + """
+SELECT lang, word, n, round(tf, 6) AS tf, round(idf, 6) AS idf, round(tf * idf, 6) AS tf_idf FROM (
+  SELECT *, rank() OVER (PARTITION BY lang ORDER BY tf * idf DESC) AS rk FROM t) WHERE rk <= 15""")
+
+DOMAIN = values([(w,) for w in FX.DOMAIN_STOP], ["word"])
+sql("tf_idf_refiltered", with_(DOC_TOKENS, LANG_COUNTS, f"""kept AS (
+  SELECT * FROM lang_counts c WHERE NOT EXISTS (SELECT 1 FROM {DOMAIN} s WHERE s.word = c.word))""",
+                               tf_idf_cte("t", "kept", "word", "lang")) + """
+SELECT lang, replace(word, '_', '') AS word, n, round(tf, 6) AS tf, round(idf, 6) AS idf,
+       round(tf * idf, 6) AS tf_idf FROM (
+  SELECT *, rank() OVER (PARTITION BY lang ORDER BY tf * idf DESC) AS rk FROM t) WHERE rk <= 15""")
+
+DOC_WORDS = f"""doc_words AS (
+  SELECT doc_id, lang, source, regexp_extract_all(lower(text), {PAT}) AS w FROM documents)"""
+
+POS_TOKENS = """pos_tokens AS (
+  SELECT doc_id, lang, source, unnest(generate_series(1, len(w))) AS pos, unnest(w) AS word FROM doc_words)"""
+
+# Consecutive word pairs per document (across line breaks); a document with
+# fewer than two words gives one NULL bigram.
+BIGRAMS = """bigram_words AS (
+  SELECT * FROM (
+    SELECT doc_id, lang, source, pos, word AS word1,
+           lead(word) OVER (PARTITION BY doc_id ORDER BY pos) AS word2 FROM pos_tokens)
+  WHERE word2 IS NOT NULL
+  UNION ALL
+  SELECT doc_id, lang, source, 1, NULL, NULL FROM doc_words WHERE len(w) < 2)"""
+
+FILTERED_BIGRAMS = """filtered_bigrams AS (
+  SELECT * FROM bigram_words b
+  WHERE NOT EXISTS (SELECT 1 FROM stop s WHERE s.word = b.word1)
+    AND NOT EXISTS (SELECT 1 FROM stop s WHERE s.word = b.word2))"""
+
+BIGRAM_LANG_COUNTS = """bigram_counts AS (
+  SELECT lang, concat_ws(' ', word1, word2) AS bigram, count(*) AS n FROM filtered_bigrams GROUP BY 1, 2)"""
+
+BIGRAM_BASE = (DOC_WORDS, POS_TOKENS, BIGRAMS, STOP_CTE, FILTERED_BIGRAMS, BIGRAM_LANG_COUNTS,
+               tf_idf_cte("bt", "bigram_counts", "bigram", "lang"))
+
+sql("bigram_tf_idf", with_(*BIGRAM_BASE) + tf_idf_out("bt", "lang, bigram, n"))
+
+sql("top_bigram_tf_idf", with_(*BIGRAM_BASE, """best AS (
+  SELECT bigram, max(tf * idf) AS best FROM bt GROUP BY bigram)""", """first_lang AS (
+  SELECT b.bigram, min(b.lang) AS first_lang FROM bt b JOIN best USING (bigram)
+  WHERE b.tf * b.idf = best.best GROUP BY b.bigram)""") + """
+SELECT lang, bigram, n, round(tf, 6) AS tf, round(idf, 6) AS idf, round(tf * idf, 6) AS tf_idf FROM (
+  SELECT bt.*, row_number() OVER (PARTITION BY lang ORDER BY best.best DESC, first_lang, bigram) AS rk
+  FROM bt JOIN best USING (bigram) JOIN first_lang USING (bigram)) WHERE rk <= 15""")
+
+# --------------------------------------------------------------------------- step 5
+
+sql("emotion_words", with_(DOC_TOKENS) + f"""
+SELECT word, count(*) AS n FROM doc_tokens JOIN {EMOTION} e USING (word)
+WHERE lang = 'en' AND e.sentiment = 'joy' GROUP BY word""")
+
+ARC = f"""arc AS (
+  SELECT doc_id, line_no // {FX.BUCKET_LINES} AS idx, p.sentiment
+  FROM line_tokens JOIN {POLARITY} p USING (word))"""
+
+sql("sentiment_arc", with_(LINES, LINE_TOKENS, ARC) + """
+SELECT doc_id, idx AS "index",
+       count(*) FILTER (WHERE sentiment = 'negative') AS negative,
+       count(*) FILTER (WHERE sentiment = 'positive') AS positive,
+       count(*) FILTER (WHERE sentiment = 'positive') - count(*) FILTER (WHERE sentiment = 'negative') AS sentiment
+FROM arc GROUP BY 1, 2""")
+
+sql("valence_arc", with_(LINES, LINE_TOKENS) + f"""
+SELECT doc_id, line_no // {FX.BUCKET_LINES} AS "index", sum(v.value)::BIGINT AS sentiment
+FROM line_tokens JOIN {VALENCE} v USING (word) GROUP BY 1, 2""")
+
+sql("compare_lexicons", with_(LINES, LINE_TOKENS, """en AS (SELECT * FROM line_tokens WHERE lang = 'en')""",
+                              f"""labelled AS (
+  SELECT 'Bing et al.' AS method, doc_id, line_no // {FX.BUCKET_LINES} AS idx, p.sentiment
+  FROM en JOIN {POLARITY} p USING (word)
+  UNION ALL
+  SELECT 'NRC', doc_id, line_no // {FX.BUCKET_LINES}, e.sentiment
+  FROM en JOIN {EMOTION} e USING (word) WHERE e.sentiment IN ('positive', 'negative'))""") + f"""
+SELECT doc_id, line_no // {FX.BUCKET_LINES} AS "index", sum(v.value)::BIGINT AS sentiment, 'AFINN' AS method,
+       NULL::BIGINT AS negative, NULL::BIGINT AS positive
+FROM en JOIN {VALENCE} v USING (word) GROUP BY 1, 2
+UNION ALL
+SELECT doc_id, idx,
+       count(*) FILTER (WHERE sentiment = 'positive') - count(*) FILTER (WHERE sentiment = 'negative'),
+       method, count(*) FILTER (WHERE sentiment = 'negative'), count(*) FILTER (WHERE sentiment = 'positive')
+FROM labelled GROUP BY doc_id, idx, method""")
+
+POL_COUNTS = f"""pol_counts AS (
+  SELECT lang, word, p.sentiment, count(*) AS n FROM doc_tokens JOIN {POLARITY} p USING (word) GROUP BY 1, 2, 3)"""
+
+sql("sentiment_contrib", with_(DOC_TOKENS, POL_COUNTS, """c AS (
+  SELECT word, sentiment, sum(n)::BIGINT AS n FROM pol_counts GROUP BY 1, 2)""") + """
+SELECT word, sentiment, n FROM (
+  SELECT *, rank() OVER (PARTITION BY sentiment ORDER BY n DESC) AS rk FROM c) WHERE rk <= 10""")
+
+sql("sentiment_contrib_by_lang", with_(DOC_TOKENS, POL_COUNTS) + """
+SELECT lang, word, sentiment, n FROM (
+  SELECT *, rank() OVER (PARTITION BY lang, sentiment ORDER BY n DESC) AS rk FROM pol_counts) WHERE rk <= 10""")
+
+SEG_LINES = f"""seg AS (
+  SELECT *, sum(CASE WHEN regexp_matches(text, {q('(?i)' + FX.MARKER)}) THEN 1 ELSE 0 END)
+         OVER (PARTITION BY doc_id ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)::BIGINT
+         AS chapter
+  FROM lines)"""
+
+SEG_TOKENS = f"""seg_tokens AS (
+  SELECT doc_id, chapter, unnest(regexp_extract_all(lower(text), {PAT})) AS word FROM seg)"""
+
+sql("negative_ratio", with_(LINES, SEG_LINES, SEG_TOKENS, """words AS (
+  SELECT doc_id, chapter, count(*) AS words FROM seg_tokens GROUP BY 1, 2)""", f"""neg AS (
+  SELECT doc_id, chapter, count(*) AS negativewords FROM seg_tokens
+  WHERE word IN (SELECT word FROM {POLARITY} WHERE sentiment = 'negative') GROUP BY 1, 2)""", """r AS (
+  SELECT n.doc_id, n.chapter, negativewords, words, negativewords / words AS ratio
+  FROM neg n LEFT JOIN words w USING (doc_id, chapter) WHERE n.chapter <> 0)""") + """
+SELECT doc_id, chapter, negativewords, words, round(ratio, 6) AS ratio FROM (
+  SELECT *, rank() OVER (PARTITION BY doc_id ORDER BY ratio DESC) AS rk FROM r) WHERE rk = 1""")
+
+POL_WIDE = """wide AS (
+  SELECT word,
+         coalesce(sum(n) FILTER (WHERE sentiment = 'negative'), 0)::BIGINT AS negative,
+         coalesce(sum(n) FILTER (WHERE sentiment = 'positive'), 0)::BIGINT AS positive
+  FROM pol_counts GROUP BY word)"""
+
+sql("comparison_terms", with_(DOC_TOKENS, POL_COUNTS, POL_WIDE, """sh AS (
+  SELECT *, negative / (SELECT sum(negative) FROM wide) AS sn, positive / (SELECT sum(positive) FROM wide) AS sp
+  FROM wide)""", """d AS (
+  SELECT *, sn - (sn + sp) / 2 AS dn, sp - (sn + sp) / 2 AS dp FROM sh)""") + """
+SELECT word, negative, positive, round(greatest(dn, dp), 6) AS freq,
+       CASE WHEN dn = greatest(dn, dp) THEN 'negative' ELSE 'positive' END AS "group"
+FROM d ORDER BY greatest(dn, dp) DESC, word LIMIT 100""")
+
+sql("sentiment_matrix", with_(DOC_TOKENS, POL_COUNTS, POL_WIDE) + "SELECT word, negative, positive FROM wide")
+
+# --------------------------------------------------------------------------- step 6
+
+sql("bigrams", with_(DOC_WORDS, POS_TOKENS, BIGRAMS) + """
+SELECT doc_id, pos, CASE WHEN word1 IS NULL THEN NULL ELSE word1 || ' ' || word2 END AS bigram FROM bigram_words""")
+
+sql("bigram_counts_raw", with_(DOC_WORDS, POS_TOKENS, BIGRAMS) + """
+SELECT CASE WHEN word1 IS NULL THEN NULL ELSE word1 || ' ' || word2 END AS bigram, count(*) AS n
+FROM bigram_words GROUP BY 1""")
+
+COUNT_BIGRAMS = """bigram_pairs AS (SELECT word1, word2, count(*) AS n FROM filtered_bigrams GROUP BY 1, 2)"""
+BIGRAM_PAIRS = (DOC_WORDS, POS_TOKENS, BIGRAMS, STOP_CTE, FILTERED_BIGRAMS, COUNT_BIGRAMS)
+
+sql("count_bigrams", with_(*BIGRAM_PAIRS) + "SELECT word1, word2, n FROM bigram_pairs")
+
+sql("count_trigrams", with_(DOC_WORDS, POS_TOKENS, STOP_CTE, """tri AS (
+  SELECT * FROM (
+    SELECT doc_id, word AS word1, lead(word) OVER (PARTITION BY doc_id ORDER BY pos) AS word2,
+           lead(word, 2) OVER (PARTITION BY doc_id ORDER BY pos) AS word3 FROM pos_tokens)
+  WHERE word3 IS NOT NULL
+  UNION ALL SELECT doc_id, NULL, NULL, NULL FROM doc_words WHERE len(w) < 3)""") + """
+SELECT word1, word2, word3, count(*) AS n FROM tri t
+WHERE NOT EXISTS (SELECT 1 FROM stop s WHERE s.word = t.word1)
+  AND NOT EXISTS (SELECT 1 FROM stop s WHERE s.word = t.word2)
+  AND NOT EXISTS (SELECT 1 FROM stop s WHERE s.word = t.word3)
+GROUP BY 1, 2, 3""")
+
+sql("bigram_graph", with_(*BIGRAM_PAIRS) + "SELECT word1, word2, n FROM bigram_pairs WHERE n > 20")
+
+sql("bigram_graph_nodigits", with_(*BIGRAM_PAIRS) + """
+SELECT word1, word2, n FROM bigram_pairs
+WHERE n > 40 AND NOT regexp_matches(word1, '\\d') AND NOT regexp_matches(word2, '\\d')""")
+
+EDGES = """edges AS (SELECT word1, word2, n FROM bigram_pairs WHERE n > 20)"""
+sql("graph_vertices", with_(*BIGRAM_PAIRS, EDGES) + """
+SELECT coalesce(o.name, i.name) AS name, coalesce(o.out_degree, 0) AS out_degree, coalesce(i.in_degree, 0) AS in_degree
+FROM (SELECT word1 AS name, count(*) AS out_degree FROM edges GROUP BY 1) o
+FULL JOIN (SELECT word2 AS name, count(*) AS in_degree FROM edges GROUP BY 1) i ON o.name = i.name""")
+
+sql("graph_summary", with_(*BIGRAM_PAIRS, EDGES) + """
+SELECT (SELECT count(*) FROM (SELECT word1 FROM edges UNION SELECT word2 FROM edges)) AS vertices,
+       count(*) AS edges FROM edges""")
+
+sql("modifiers", with_(DOC_WORDS, POS_TOKENS, BIGRAMS, STOP_CTE, FILTERED_BIGRAMS) + f"""
+SELECT lang, word1, count(*) AS n FROM filtered_bigrams WHERE word2 = {q(FX.HEAD_WORD)} GROUP BY 1, 2""")
+
+sql("not_words", with_(DOC_WORDS, POS_TOKENS, BIGRAMS) + f"""
+SELECT word1, word2, count(*) AS n FROM bigram_words WHERE word1 = {q(FX.NEGATORS[0])} GROUP BY 1, 2""")
+
+NEGATORS = ", ".join(q(w) for w in FX.NEGATORS)
+NEGATION = f"""negation AS (
+  SELECT word1, word2, v.value, count(*) AS n, count(*) * v.value AS contribution
+  FROM bigram_words b JOIN {VALENCE} v ON v.word = b.word2
+  WHERE word1 IN ({NEGATORS}) GROUP BY word1, word2, v.value)"""
+NEG_BASE = (DOC_WORDS, POS_TOKENS, BIGRAMS, NEGATION)
+
+sql("negation_contrib", with_(*NEG_BASE) + "SELECT word1, word2, value, n, contribution FROM negation")
+
+sql("negation_top20", with_(*NEG_BASE) + """
+SELECT word1, word2, value, n, contribution FROM negation ORDER BY abs(contribution) DESC, word1, word2 LIMIT 20""")
+
+sql("negation_by_negator", with_(*NEG_BASE) + """
+SELECT word1, word2, value, n, contribution FROM (
+  SELECT *, rank() OVER (PARTITION BY word1 ORDER BY abs(contribution) DESC) AS rk FROM negation) WHERE rk <= 10""")
+
+sql("sentences", """WITH s AS (
+  SELECT doc_id, list_filter(list_transform(regexp_extract_all(lower(text), '[^.!?]+[.!?]*'),
+                                            x -> regexp_replace(x, '^\\s+|\\s+$', '', 'g')),
+                             x -> x <> '') AS pieces
+  FROM documents)
+SELECT doc_id, unnest(generate_series(1, len(pieces))) AS sentence_no, unnest(pieces) AS sentence FROM s""")
+
+REGEX_PIECES = f"""pieces AS (
+  SELECT doc_id, unnest(generate_series(1, len(regexp_split_to_array(text, {q(FX.SPLIT_PATTERN)})))) AS piece_no,
+         lower(unnest(regexp_split_to_array(text, {q(FX.SPLIT_PATTERN)}))) AS chapter
+  FROM documents)"""
+
+sql("regex_split", with_(REGEX_PIECES) + "SELECT doc_id, piece_no, chapter FROM pieces WHERE chapter <> ''")
+
+sql("chapters_per_doc", with_(REGEX_PIECES) + """
+SELECT doc_id, count(*) AS chapters FROM pieces WHERE chapter <> '' GROUP BY doc_id""")
+
+sql("collapse_tokens", with_(LINES, LINE_TOKENS, STOP_CTE, CLEAN_LINE_TOKENS) + """
+SELECT doc_id, string_agg(regexp_replace(word, '''', ''), ' ' ORDER BY line_no, pos) AS text
+FROM clean_line_tokens GROUP BY doc_id""")
+
+# --------------------------------------------------------------------------- step 7
+
+SECTION_WORDS = f"""section_words AS (
+  SELECT word, doc_id, line_no // {FX.SECTION_LINES} AS section FROM clean_line_tokens
+  WHERE lang = 'en' AND line_no // {FX.SECTION_LINES} > 0)"""
+SEC_BASE = (LINES, LINE_TOKENS, STOP_CTE, CLEAN_LINE_TOKENS, SECTION_WORDS)
+
+sql("pairwise_count", with_(*SEC_BASE, """pres AS (SELECT DISTINCT word, doc_id, section FROM section_words)""") + f"""
+SELECT a.word AS item1, b.word AS item2, count(*) AS n
+FROM pres a JOIN pres b ON a.doc_id = b.doc_id AND a.section = b.section AND a.word <> b.word
+WHERE a.word = {q(FX.PAIR_WORD)} GROUP BY 1, 2""")
+
+WORD_CORS = """frequent AS (
+  SELECT * FROM section_words WHERE word IN (SELECT word FROM section_words GROUP BY word HAVING count(*) >= 20)),
+pres AS (SELECT DISTINCT word, doc_id, section FROM frequent),
+nf AS (SELECT count(*)::DOUBLE AS nf FROM (SELECT DISTINCT doc_id, section FROM pres)),
+c AS (SELECT word, count(*)::DOUBLE AS c FROM pres GROUP BY word),
+co AS (
+  SELECT a.word AS w1, b.word AS w2, count(*)::DOUBLE AS n11
+  FROM pres a JOIN pres b ON a.doc_id = b.doc_id AND a.section = b.section AND a.word <> b.word GROUP BY 1, 2),
+word_cors AS (
+  SELECT c1.word AS item1, c2.word AS item2,
+         (nf * coalesce(n11, 0) - c1.c * c2.c) / sqrt(c1.c * (nf - c1.c) * c2.c * (nf - c2.c)) AS correlation
+  FROM c c1 JOIN c c2 ON c1.word <> c2.word CROSS JOIN nf
+  LEFT JOIN co ON co.w1 = c1.word AND co.w2 = c2.word)"""
+
+sql("pairwise_cor", with_(*SEC_BASE, WORD_CORS) + "SELECT item1, item2, round(correlation, 6) AS correlation FROM word_cors")
+
+ASSOC = ", ".join(q(w) for w in FX.ASSOCIATE_WORDS)
+sql("associates", with_(*SEC_BASE, WORD_CORS) + f"""
+SELECT item1, item2, round(correlation, 6) AS correlation FROM (
+  SELECT *, rank() OVER (PARTITION BY item1 ORDER BY correlation DESC) AS rk FROM word_cors
+  WHERE item1 IN ({ASSOC}) AND correlation IS NOT NULL) WHERE rk <= 6""")
+
+sql("cor_graph", with_(*SEC_BASE, WORD_CORS) + """
+SELECT item1, item2, round(correlation, 6) AS correlation FROM word_cors WHERE correlation > 0.15""")

@@ -144,3 +144,361 @@ def normalize_words(spark, d):
 @query
 def grep_lines(spark, d):
     return doc_lines(spark, d).filter(T.matches("text", "stupid")).select("doc_id", "line_no", "text")
+
+
+# --------------------------------------------------------------------------- step 3: reshape, Zipf, statistics
+
+from textmine.operators import stats as S  # noqa: E402
+from textmine.operators import tfidf as TF  # noqa: E402
+
+LANGS = ["de", "en", "es", "fr"]
+
+
+def lang_counts(spark, d, clean: bool = False) -> DataFrame:
+    tokens = doc_tokens(spark, d)
+    if clean:
+        tokens = V.remove_stop_words(tokens, stop(spark))
+    return V.count_by(tokens, "lang", "word")
+
+
+def frequency_table(spark, d) -> DataFrame:
+    """Word shares per language, wide for English, long for the others."""
+    tokens = V.remove_stop_words(doc_tokens(spark, d), stop(spark)) \
+        .withColumn("word", T.normalize_word("word"))
+    props = V.share(V.count_by(tokens, "lang", "word"), "n", by="lang").drop("n")
+    wide = V.spread(props, "lang", "proportion", LANGS)
+    return V.gather(wide, "lang", "proportion", ["de", "es", "fr"])
+
+
+@query
+def compare_freq(spark, d):
+    return rounded(frequency_table(spark, d))
+
+
+@query
+def cor_test(spark, d):
+    return rounded(S.cor_test(frequency_table(spark, d), "proportion", "en", by="lang"))
+
+
+@query
+def cor_test_p(spark, d):
+    return rounded(S.cor_test_p(frequency_table(spark, d), "proportion", "en", by="lang"))
+
+
+@query
+def zipf(spark, d):
+    return rounded(TF.zipf(lang_counts(spark, d), by="lang"))
+
+
+def zipf_all(spark, d) -> DataFrame:
+    """Ranks over all languages together, shares of each language's total."""
+    return TF.zipf(lang_counts(spark, d), by=None, total_by="lang")
+
+
+@query
+def zipf_global(spark, d):
+    return rounded(zipf_all(spark, d))
+
+
+@query
+def loglog_fit(spark, d):
+    z = TF.zipf(lang_counts(spark, d), by="lang").filter((F.col("rank") < 500) & (F.col("rank") > 10))
+    return rounded(S.loglog_fit(z, "term_frequency", "rank", by="lang"))
+
+
+@query
+def loglog_fit_rev(spark, d):
+    z = zipf_all(spark, d).filter((F.col("rank") < 500) & (F.col("rank") > 10))
+    pooled = S.loglog_fit(z, "rank", "term_frequency")
+    per_lang = S.loglog_fit(z, "rank", "term_frequency", by="lang")
+    return rounded(V.bind_rows(pooled, per_lang))
+
+
+@query
+def hist_share(spark, d):
+    counts = TF.term_share(lang_counts(spark, d), "lang")
+    return S.histogram(counts, F.col("n") / F.col("total"), bins=30, hi=0.0009, by="lang")
+
+
+@query
+def complete_grid(spark, d):
+    return V.complete(lang_counts(spark, d, clean=True), "lang", "word", fill={"n": 0})
+
+
+# --------------------------------------------------------------------------- step 4: tf-idf
+
+def lang_tf_idf(spark, d) -> DataFrame:
+    return TF.bind_tf_idf(lang_counts(spark, d), "word", "lang", "n")
+
+
+@query
+def tf_idf(spark, d):
+    return rounded(lang_tf_idf(spark, d))
+
+
+@query
+def tf_idf_docs(spark, d):
+    counts = V.count_by(doc_tokens(spark, d), "doc_id", "word")
+    return rounded(TF.bind_tf_idf(counts, "word", "doc_id", "n"))
+
+
+@query
+def top_tf_idf(spark, d):
+    return rounded(V.top_n(lang_tf_idf(spark, d), 15, "tf_idf", by="lang"))
+
+
+@query
+def tf_idf_refiltered(spark, d):
+    domain = lexicons.lexicon(spark, [(w,) for w in FX.DOMAIN_STOP], ["word"])
+    counts = V.remove_stop_words(lang_counts(spark, d), domain)
+    scored = TF.bind_tf_idf(counts, "word", "lang", "n").withColumn("word", T.clean_text("word"))
+    return rounded(V.top_n(scored, 15, "tf_idf", by="lang"))
+
+
+def bigram_counts_by_lang(spark, d) -> DataFrame:
+    from textmine.operators import ngrams as NG
+
+    grams = V.drop_stop_ngrams(NG.ngram_words(documents(spark, d), 2), ["word1", "word2"], stop(spark))
+    united = V.unite(grams, "bigram", ["word1", "word2"], sep=" ")
+    return V.count_by(united, "lang", "bigram")
+
+
+@query
+def bigram_tf_idf(spark, d):
+    return rounded(TF.bind_tf_idf(bigram_counts_by_lang(spark, d), "bigram", "lang", "n"))
+
+
+@query
+def top_bigram_tf_idf(spark, d):
+    scored = TF.bind_tf_idf(bigram_counts_by_lang(spark, d), "bigram", "lang", "n")
+    return rounded(TF.top_by_first_appearance(scored, 15, "bigram", "lang", "tf_idf"))
+
+
+# --------------------------------------------------------------------------- step 5: sentiment
+
+from textmine.operators import sentiment as SE  # noqa: E402
+
+
+def polarity(spark):
+    return lexicons.lexicon(spark, FX.POLARITY, ["word", "sentiment"])
+
+
+def emotion(spark):
+    return lexicons.lexicon(spark, FX.EMOTION, ["word", "sentiment"])
+
+
+def valence(spark):
+    return lexicons.lexicon(spark, FX.VALENCE, ["word", "value"], schema="word string, value long")
+
+
+@query
+def emotion_words(spark, d):
+    en = doc_tokens(spark, d).filter(F.col("lang") == "en")
+    return SE.emotion_words(en, emotion(spark), "joy")
+
+
+@query
+def sentiment_arc(spark, d):
+    return SE.sentiment_arc(line_tokens(spark, d), polarity(spark), "doc_id", size=FX.BUCKET_LINES)
+
+
+@query
+def valence_arc(spark, d):
+    return SE.valence_arc(line_tokens(spark, d), valence(spark), "doc_id", size=FX.BUCKET_LINES)
+
+
+@query
+def compare_lexicons(spark, d):
+    en = line_tokens(spark, d).filter(F.col("lang") == "en")
+    return SE.compare_lexicons(en, valence(spark), polarity(spark), emotion(spark), "doc_id",
+                               size=FX.BUCKET_LINES)
+
+
+@query
+def sentiment_contrib(spark, d):
+    return SE.sentiment_contrib(doc_tokens(spark, d), polarity(spark), k=10)
+
+
+@query
+def sentiment_contrib_by_lang(spark, d):
+    return SE.sentiment_contrib(doc_tokens(spark, d), polarity(spark), k=10, by="lang")
+
+
+def chapter_tokens(spark, d) -> DataFrame:
+    seg = tok.segment_by_marker(doc_lines(spark, d), FX.MARKER, by="doc_id")
+    return tok.unnest_tokens(seg, "word", "text", position="pos")
+
+
+@query
+def negative_ratio(spark, d):
+    negative = polarity(spark).filter(F.col("sentiment") == "negative")
+    return rounded(SE.negative_ratio(chapter_tokens(spark, d), negative, "doc_id", "chapter"))
+
+
+def polarity_counts(spark, d) -> DataFrame:
+    return V.count_by(V.join_lexicon(doc_tokens(spark, d), polarity(spark)), "word", "sentiment")
+
+
+@query
+def comparison_terms(spark, d):
+    return rounded(SE.comparison_terms(polarity_counts(spark, d), k=100))
+
+
+@query
+def sentiment_matrix(spark, d):
+    return V.spread(polarity_counts(spark, d), "sentiment", "n", list(SE.LABELS), fill=0)
+
+
+# --------------------------------------------------------------------------- step 6: n-grams
+
+from textmine.operators import ngrams as NG  # noqa: E402
+
+
+@query
+def bigrams(spark, d):
+    return tok.unnest_tokens(documents(spark, d), "bigram", "text", "ngrams", n=2, position="pos") \
+        .select("doc_id", "pos", "bigram")
+
+
+@query
+def bigram_counts_raw(spark, d):
+    grams = tok.unnest_tokens(documents(spark, d), "bigram", "text", "ngrams", n=2)
+    return V.count_by(grams, "bigram", sort=True)
+
+
+@query
+def count_bigrams(spark, d):
+    return NG.count_bigrams(documents(spark, d), stop(spark))
+
+
+@query
+def count_trigrams(spark, d):
+    return NG.count_ngrams(documents(spark, d), 3, stop(spark))
+
+
+def bigram_edges(spark, d, min_n: int = 20) -> DataFrame:
+    edges, _ = P.to_graph(NG.count_bigrams(documents(spark, d), stop(spark)), "n", min_n, "word1", "word2")
+    return edges
+
+
+@query
+def bigram_graph(spark, d):
+    return bigram_edges(spark, d, 20)
+
+
+@query
+def bigram_graph_nodigits(spark, d):
+    edges = bigram_edges(spark, d, 40)
+    return edges.filter(~T.has_digit("word1") & ~T.has_digit("word2"))
+
+
+@query
+def graph_vertices(spark, d):
+    return P.graph_degrees(bigram_edges(spark, d, 20), "word1", "word2")
+
+
+@query
+def graph_summary(spark, d):
+    return P.graph_summary(bigram_edges(spark, d, 20), "word1", "word2")
+
+
+def split_bigrams(spark, d) -> DataFrame:
+    return NG.ngram_words(documents(spark, d), 2)
+
+
+@query
+def modifiers(spark, d):
+    filtered = V.drop_stop_ngrams(split_bigrams(spark, d), ["word1", "word2"], stop(spark))
+    return NG.modifiers(filtered, FX.HEAD_WORD, by="lang")
+
+
+@query
+def not_words(spark, d):
+    return V.count_by(split_bigrams(spark, d).filter(F.col("word1") == FX.NEGATORS[0]),
+                      "word1", "word2", sort=True)
+
+
+def negation_table(spark, d) -> DataFrame:
+    return NG.negation_contrib(split_bigrams(spark, d), valence(spark), FX.NEGATORS)
+
+
+@query
+def negation_contrib(spark, d):
+    return negation_table(spark, d)
+
+
+@query
+def negation_top20(spark, d):
+    return NG.top_contrib(negation_table(spark, d), 20)
+
+
+@query
+def negation_by_negator(spark, d):
+    return NG.top_contrib_by(negation_table(spark, d), 10)
+
+
+@query
+def sentences(spark, d):
+    return tok.unnest_tokens(documents(spark, d), "sentence", "text", "sentences", position="sentence_no") \
+        .select("doc_id", "sentence_no", "sentence")
+
+
+def regex_pieces(spark, d) -> DataFrame:
+    return tok.unnest_tokens(documents(spark, d), "chapter", "text", "regex", pattern=FX.SPLIT_PATTERN,
+                             position="piece_no")
+
+
+@query
+def regex_split(spark, d):
+    return regex_pieces(spark, d).select("doc_id", "piece_no", "chapter")
+
+
+@query
+def chapters_per_doc(spark, d):
+    return regex_pieces(spark, d).groupBy("doc_id").agg(F.count(F.lit(1)).alias("chapters"))
+
+
+@query
+def collapse_tokens(spark, d):
+    words = clean_tokens(spark, d).withColumn("word", T.remove_first("word", "'"))
+    return tok.collapse_tokens(words, "doc_id", ["line_no", "pos"])
+
+
+# --------------------------------------------------------------------------- step 7: pairwise
+
+from textmine.operators import pairwise as P  # noqa: E402
+
+
+def section_words(spark, d) -> DataFrame:
+    """Stop-free words of English documents with their 10-line section
+    (section 0 dropped)."""
+    en_lines = doc_lines(spark, d).filter(F.col("lang") == "en")
+    sec = tok.section_by_lines(en_lines, FX.SECTION_LINES)
+    return V.remove_stop_words(tok.unnest_tokens(sec, "word", "text"), stop(spark))
+
+
+@query
+def pairwise_count(spark, d):
+    pairs = P.pairwise_count(section_words(spark, d), "word", ["doc_id", "section"], sort=True)
+    return pairs.filter(F.col("item1") == FX.PAIR_WORD)
+
+
+def word_cors(spark, d) -> DataFrame:
+    frequent = V.keep_frequent(section_words(spark, d), "word", 20)
+    return P.pairwise_cor(frequent, "word", ["doc_id", "section"])
+
+
+@query
+def pairwise_cor(spark, d):
+    return rounded(word_cors(spark, d))
+
+
+@query
+def associates(spark, d):
+    return rounded(P.associates(word_cors(spark, d), FX.ASSOCIATE_WORDS, 6))
+
+
+@query
+def cor_graph(spark, d):
+    edges, _ = P.to_graph(word_cors(spark, d), "correlation", 0.15)
+    return rounded(edges)
