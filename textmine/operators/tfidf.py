@@ -32,7 +32,8 @@ def bind_tf_idf(counts: DataFrame, term: str, document: str, n: str = "n") -> Da
     """
     totals = counts.groupBy(document).agg(F.sum(n).alias("_tfidf_total"))
     doc_freq = counts.groupBy(term).agg(F.count(F.lit(1)).alias("_tfidf_df"))
-    n_docs = counts.select(F.count_distinct(document)).scalar()
+    # distinct documents, a NULL document key counting as one
+    n_docs = counts.select(document).distinct().select(F.count(F.lit(1))).scalar()
     joined = null_safe_join(null_safe_join(counts, totals, [document]), doc_freq, [term])
     tf = F.col(n) / F.col("_tfidf_total")
     idf = F.log(n_docs / F.col("_tfidf_df"))
@@ -78,3 +79,22 @@ def top_by_first_appearance(scored: DataFrame, k: int, term: str, document: str,
     return (keyed.withColumn("_rk", F.row_number().over(window))
                  .filter(F.col("_rk") <= k)
                  .select(*scored.columns))
+
+
+def term_trend(triplets: DataFrame, terms: Sequence[str], year: str = "year", term: str = "term",
+               value: str = "count") -> DataFrame:
+    """Counts of chosen terms in every year (0 where absent) with the
+    year's total over all terms: ``year, term, count, year_total``.
+
+    Same rows as completing the whole (year x term) grid, filling 0,
+    totalling per year and then keeping ``terms``, but only the chosen terms
+    are completed: the grid is (all years) x (chosen terms present).
+    """
+    from textmine.operators.verbs import block_product
+
+    year_totals = triplets.groupBy(year).agg(F.sum(value).alias("year_total"))
+    chosen = triplets.filter(F.col(term).isin(*terms)).select(year, term, value)
+    grid = block_product(triplets.select(year).distinct(), chosen.select(term).distinct())
+    filled = null_safe_join(grid, chosen, [year, term], "left") \
+        .withColumn(value, F.coalesce(F.col(value), F.lit(0)))
+    return null_safe_join(filled, year_totals, [year]).select(year, term, value, "year_total")

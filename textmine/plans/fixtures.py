@@ -20,6 +20,8 @@ VALENCE = [
     ("best", 3), ("idiot", -3), ("trash", -2), ("worthless", -2), ("moron", -3),
     ("stupid", -2), ("and", 1), ("is", -1),
 ]
+# Emotion counted in English documents ("trash" carries it).
+EMOTION_NAME = "disgust"
 # Stand-ins for negation words ("not", "no", "never", "without" do not start
 # bigrams in the test corpus).
 NEGATORS = ["the", "of", "to"]

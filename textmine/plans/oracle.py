@@ -217,7 +217,7 @@ LEFT JOIN clean_lang_counts c ON c.lang = l.lang AND c.word = w.word""")
 def tf_idf_cte(name: str, counts: str, term: str, doc: str) -> str:
     return f"""{name} AS (
   SELECT *, n / sum(n) OVER (PARTITION BY {doc}) AS tf,
-         ln((SELECT count(DISTINCT {doc}) FROM {counts}) / count(*) OVER (PARTITION BY {term})) AS idf
+         ln((SELECT count(*) FROM (SELECT DISTINCT {doc} FROM {counts})) / count(*) OVER (PARTITION BY {term})) AS idf
   FROM {counts})"""
 
 
@@ -285,7 +285,7 @@ SELECT lang, bigram, n, round(tf, 6) AS tf, round(idf, 6) AS idf, round(tf * idf
 
 sql("emotion_words", with_(DOC_TOKENS) + f"""
 SELECT word, count(*) AS n FROM doc_tokens JOIN {EMOTION} e USING (word)
-WHERE lang = 'en' AND e.sentiment = 'joy' GROUP BY word""")
+WHERE lang = 'en' AND e.sentiment = {q(FX.EMOTION_NAME)} GROUP BY word""")
 
 ARC = f"""arc AS (
   SELECT doc_id, line_no // {FX.BUCKET_LINES} AS idx, p.sentiment
@@ -430,8 +430,8 @@ SELECT word1, word2, value, n, contribution FROM (
 
 sql("sentences", """WITH s AS (
   SELECT doc_id, list_filter(list_transform(regexp_extract_all(lower(text), '[^.!?]+[.!?]*'),
-                                            x -> regexp_replace(x, '^\\s+|\\s+$', '', 'g')),
-                             x -> x <> '') AS pieces
+                                            lambda x: regexp_replace(x, '^\\s+|\\s+$', '', 'g')),
+                             lambda x: x <> '') AS pieces
   FROM documents)
 SELECT doc_id, unnest(generate_series(1, len(pieces))) AS sentence_no, unnest(pieces) AS sentence FROM s""")
 
@@ -485,3 +485,159 @@ SELECT item1, item2, round(correlation, 6) AS correlation FROM (
 
 sql("cor_graph", with_(*SEC_BASE, WORD_CORS) + """
 SELECT item1, item2, round(correlation, 6) AS correlation FROM word_cors WHERE correlation > 0.15""")
+
+# --------------------------------------------------------------------------- step 8
+
+DOC_TRIPLETS = """doc_triplets AS (
+  SELECT doc_id AS document, word AS term, count(*) AS count FROM doc_tokens GROUP BY 1, 2)"""
+
+sql("tidy_dtm", with_(DOC_TOKENS, DOC_TRIPLETS) + "SELECT document, term, count::DOUBLE AS count FROM doc_triplets")
+
+sql("vocabulary", with_(DOC_TOKENS, DOC_TRIPLETS) + """
+SELECT term, (row_number() OVER (ORDER BY term) - 1)::INTEGER AS "index"
+FROM (SELECT DISTINCT term FROM doc_triplets) ORDER BY term LIMIT 6""")
+
+sql("flatten_corpus", f"""
+SELECT conv_id, turn, role, unnest(regexp_extract_all(lower(text), {PAT})) AS word FROM conversations""")
+
+PAGES = r"""pages_corpus AS (
+  SELECT page_id AS id,
+         nullif(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '') AS heading,
+         url,
+         regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html,
+           '(?is)<script[^>]*>.*?</script>', ' ', 'g'),
+           '(?is)<style[^>]*>.*?</style>', ' ', 'g'),
+           '<[^>]*>', ' ', 'g'),
+           '\s+', ' ', 'g'),
+           '^ | $', '', 'g') AS text
+  FROM pages)"""
+
+PAGE_TOKENS = f"""page_tokens AS (
+  SELECT id, unnest(regexp_extract_all(lower(text), {PAT})) AS word FROM pages_corpus),
+clean_page_tokens AS (
+  SELECT * FROM page_tokens t WHERE NOT EXISTS (SELECT 1 FROM stop s WHERE s.word = t.word))"""
+
+sql("tidy_pages", with_(PAGES) + "SELECT id, heading, url, text FROM pages_corpus")
+
+sql("corpus_word_freq", with_(PAGES, STOP_CTE, PAGE_TOKENS) +
+    "SELECT word, count(*) AS n FROM clean_page_tokens GROUP BY word")
+
+sql("corpus_tf_idf", with_(PAGES, STOP_CTE, PAGE_TOKENS, """page_counts AS (
+  SELECT id, word, count(*) AS n FROM clean_page_tokens GROUP BY id, word)""",
+                           tf_idf_cte("t", "page_counts", "word", "id")) + tf_idf_out("t", "id, word, n"))
+
+sql("signed_contrib", with_(DOC_TOKENS, DOC_TRIPLETS) + f"""
+SELECT p.sentiment, t.term,
+       (CASE WHEN p.sentiment = 'negative' THEN -sum(t.count) ELSE sum(t.count) END)::BIGINT AS n
+FROM doc_triplets t JOIN {POLARITY} p ON p.word = t.term
+GROUP BY 1, 2 HAVING sum(t.count) >= 200""")
+
+TERMS = ", ".join(q(w) for w in FX.TREND_TERMS)
+TERM_TREND = r"""tc AS (
+  SELECT CAST(nullif(regexp_extract(source, '(\d+)', 1), '') AS BIGINT) AS year, word AS term, count(*) AS count
+  FROM doc_tokens GROUP BY source, word),
+grid AS (
+  SELECT y.year, t.term FROM (SELECT DISTINCT year FROM tc) y CROSS JOIN (SELECT DISTINCT term FROM tc) t),
+completed AS (
+  SELECT g.year, g.term, coalesce(tc.count, 0) AS count FROM grid g LEFT JOIN tc USING (year, term)),
+year_term AS (
+  SELECT *, sum(count) OVER (PARTITION BY year)::BIGINT AS year_total FROM completed)"""
+
+sql("term_trend", with_(DOC_TOKENS, TERM_TREND) + f"""
+SELECT year, term, count, year_total FROM year_term WHERE term IN ({TERMS})""")
+
+sql("trend", with_(DOC_TOKENS, TERM_TREND) + f"""
+SELECT term, round(regr_slope(count / year_total, year), 6) AS slope,
+       round(regr_intercept(count / year_total, year), 6) AS intercept,
+       regr_count(count / year_total, year)::BIGINT AS n
+FROM year_term WHERE term IN ({TERMS}) GROUP BY term""")
+
+
+def five_numbers(x: str) -> str:
+    names = ["minimum", "lower", "middle", "upper", "maximum"]
+    return ", ".join(f"round(quantile_cont({x}, {p})::DOUBLE, 6) AS {n}"
+                     for p, n in zip(("0.0", "0.25", "0.5", "0.75", "1.0"), names))
+
+
+sql("five_number", with_(DOC_TOKENS) + f"""
+SELECT lang, {five_numbers('n')}
+FROM (SELECT lang, doc_id, count(*) AS n FROM doc_tokens GROUP BY 1, 2) GROUP BY lang""")
+
+sql("select_corpus", with_(DOC_TOKENS, STOP_CTE, CLEAN_DOC_TOKENS) + """
+SELECT word, count(*) AS n FROM clean_doc_tokens
+WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1) GROUP BY word""")
+
+sql("meta_tf_idf", with_(DOC_TOKENS, """meta_counts AS (
+  SELECT l.toxic, t.word, count(*) AS n FROM doc_tokens t LEFT JOIN labels l USING (doc_id) GROUP BY 1, 2)""",
+                         tf_idf_cte("t", "meta_counts", "word", "toxic")) + tf_idf_out("t", "toxic, word, n"))
+
+sql("saved_word_freq", with_(DOC_TOKENS) + "SELECT word, count(*) AS n FROM doc_tokens WHERE lang = 'en' GROUP BY word")
+
+# --------------------------------------------------------------------------- step 9
+
+TOPIC_OF = "CASE lang WHEN 'de' THEN 1 WHEN 'en' THEN 2 WHEN 'es' THEN 3 WHEN 'fr' THEN 4 END"
+LANG_MODEL = f"""trip AS (
+  SELECT lang || '_' || CAST(doc_id AS VARCHAR) AS document, lang, word AS term, count(*) AS count
+  FROM clean_doc_tokens GROUP BY lang, doc_id, word),
+beta AS (
+  SELECT topic, term, n / sum(n) OVER (PARTITION BY topic) AS beta
+  FROM (SELECT {TOPIC_OF} AS topic, term, sum(count) AS n FROM trip GROUP BY 1, 2)),
+gamma AS (
+  SELECT document, topic, s / sum(s) OVER (PARTITION BY document) AS gamma
+  FROM (SELECT t.document, b.topic, sum(t.count * b.beta) AS s FROM trip t JOIN beta b USING (term) GROUP BY 1, 2)),
+classes AS (
+  SELECT title, chapter, topic, gamma FROM (
+    SELECT split_part(document, '_', 1) AS title, TRY_CAST(split_part(document, '_', 2) AS BIGINT) AS chapter,
+           topic, gamma,
+           rank() OVER (PARTITION BY split_part(document, '_', 1), split_part(document, '_', 2)
+                        ORDER BY gamma DESC) AS rk
+    FROM gamma) WHERE rk = 1),
+book_topics AS (
+  SELECT title AS consensus, topic FROM (
+    SELECT title, topic, n, rank() OVER (PARTITION BY title ORDER BY n DESC) AS rk
+    FROM (SELECT title, topic, count(*) AS n FROM classes GROUP BY 1, 2)) WHERE rk = 1),
+assignments AS (
+  SELECT document, term, count, topic AS assigned_topic FROM (
+    SELECT t.document, t.term, t.count, g.topic,
+           row_number() OVER (PARTITION BY t.document, t.term ORDER BY g.gamma * b.beta DESC, g.topic) AS rk
+    FROM trip t JOIN gamma g USING (document) JOIN beta b ON b.topic = g.topic AND b.term = t.term)
+  WHERE rk = 1)"""
+TOPIC_BASE = (DOC_TOKENS, STOP_CTE, CLEAN_DOC_TOKENS, LANG_MODEL)
+
+sql("topic_top_terms", with_(*TOPIC_BASE) + """
+SELECT topic, term, round(beta, 6) AS beta FROM (
+  SELECT *, rank() OVER (PARTITION BY topic ORDER BY beta DESC) AS rk FROM beta) WHERE rk <= 5""")
+
+sql("topic_log_ratio", with_(*TOPIC_BASE) + """, wide AS (
+  SELECT term, max(beta) FILTER (WHERE topic = 1) AS topic1, max(beta) FILTER (WHERE topic = 2) AS topic2
+  FROM beta WHERE topic IN (1, 2) GROUP BY term)
+SELECT term, round(topic1, 6) AS topic1, round(topic2, 6) AS topic2, round(log2(topic2 / topic1), 6) AS log_ratio
+FROM wide WHERE topic1 > 0.001 OR topic2 > 0.001""")
+
+sql("topic_classify", with_(*TOPIC_BASE) + "SELECT title, chapter, topic, round(gamma, 6) AS gamma FROM classes")
+
+sql("topic_consensus", with_(*TOPIC_BASE) + "SELECT consensus, topic FROM book_topics")
+
+sql("topic_misclassified", with_(*TOPIC_BASE) + """
+SELECT c.topic, c.title, c.chapter, round(c.gamma, 6) AS gamma, b.consensus
+FROM classes c JOIN book_topics b USING (topic) WHERE c.title <> b.consensus""")
+
+sql("topic_augment", with_(*TOPIC_BASE) + 'SELECT document, term, count, assigned_topic FROM assignments')
+
+sql("topic_confusion", with_(*TOPIC_BASE) + """, cm AS (
+  SELECT split_part(a.document, '_', 1) AS title, b.consensus, sum(a.count)::BIGINT AS n
+  FROM assignments a JOIN book_topics b ON b.topic = a.assigned_topic GROUP BY 1, 2)
+SELECT title, consensus, n, round(n / sum(n) OVER (PARTITION BY title), 6) AS percent FROM cm""")
+
+sql("topic_wrong_words", with_(*TOPIC_BASE) + """
+SELECT split_part(a.document, '_', 1) AS title, b.consensus, a.term, sum(a.count)::BIGINT AS n
+FROM assignments a JOIN book_topics b ON b.topic = a.assigned_topic
+WHERE split_part(a.document, '_', 1) <> b.consensus GROUP BY 1, 2, 3""")
+
+sql("gamma_five_number", with_(*TOPIC_BASE) + f"""
+SELECT split_part(document, '_', 1) AS title, topic, {five_numbers('gamma')}
+FROM gamma GROUP BY 1, 2""")
+
+sql("topic_order", with_(*TOPIC_BASE) + """
+SELECT title, row_number() OVER (ORDER BY m, title) AS ord FROM (
+  SELECT split_part(document, '_', 1) AS title, avg(gamma * topic) AS m FROM gamma GROUP BY 1)""")

@@ -294,7 +294,7 @@ def valence(spark):
 @query
 def emotion_words(spark, d):
     en = doc_tokens(spark, d).filter(F.col("lang") == "en")
-    return SE.emotion_words(en, emotion(spark), "joy")
+    return SE.emotion_words(en, emotion(spark), FX.EMOTION_NAME)
 
 
 @query
@@ -502,3 +502,243 @@ def associates(spark, d):
 def cor_graph(spark, d):
     edges, _ = P.to_graph(word_cors(spark, d), "correlation", 0.15)
     return rounded(edges)
+
+
+# --------------------------------------------------------------------------- step 8: matrices, corpora, trends
+
+from textmine.sources import matrix as M  # noqa: E402
+
+
+def doc_triplets(spark, d) -> DataFrame:
+    counts = V.count_by(doc_tokens(spark, d), "doc_id", "word")
+    return counts.select(F.col("doc_id").alias("document"), F.col("word").alias("term"),
+                         F.col("n").alias("count"))
+
+
+@query
+def tidy_dtm(spark, d):
+    vectors, vocab, _ = M.cast_dtm(doc_triplets(spark, d))
+    return M.tidy_dtm(vectors, vocab)
+
+
+@query
+def vocabulary(spark, d):
+    return M.vocabulary(doc_triplets(spark, d)).orderBy("index").limit(6)
+
+
+@query
+def flatten_corpus(spark, d):
+    conv = corpus.load(spark, d, "conversations")
+    nested = corpus.nest(conv, ["conv_id"], ["turn", "role", "text"], order="turn", chunk=16)
+    flat = corpus.flatten_corpus(nested, "corpus")
+    return tok.unnest_tokens(flat, "word", "text").select("conv_id", "turn", "role", "word")
+
+
+def pages_corpus(spark, d) -> DataFrame:
+    return corpus.tidy_pages(corpus.load(spark, d, "pages"))
+
+
+@query
+def tidy_pages(spark, d):
+    return pages_corpus(spark, d)
+
+
+@query
+def corpus_word_freq(spark, d):
+    words = tok.unnest_tokens(pages_corpus(spark, d).drop("heading", "url"), "word", "text")
+    return V.count_by(V.remove_stop_words(words, stop(spark)), "word", sort=True)
+
+
+@query
+def corpus_tf_idf(spark, d):
+    words = tok.unnest_tokens(pages_corpus(spark, d).drop("heading", "url"), "word", "text")
+    counts = V.count_by(V.remove_stop_words(words, stop(spark)), "id", "word")
+    return rounded(TF.bind_tf_idf(counts, "word", "id", "n"))
+
+
+@query
+def signed_contrib(spark, d):
+    return SE.signed_contrib(doc_triplets(spark, d), polarity(spark), "term", "count", min_n=200)
+
+
+def year_trend(spark, d) -> DataFrame:
+    counts = V.count_by(doc_tokens(spark, d), "source", "word")
+    triplets = counts.select(T.extract_number("source").alias("year"), F.col("word").alias("term"),
+                             F.col("n").alias("count"))
+    return TF.term_trend(triplets, FX.TREND_TERMS)
+
+
+@query
+def term_trend(spark, d):
+    return year_trend(spark, d)
+
+
+@query
+def trend(spark, d):
+    tt = year_trend(spark, d)
+    return rounded(S.trend(tt, F.col("count") / F.col("year_total"), "year", by="term"))
+
+
+@query
+def five_number(spark, d):
+    lengths = V.count_by(doc_tokens(spark, d), "lang", "doc_id")
+    return rounded(S.five_number(lengths, "n", by="lang"))
+
+
+@query
+def select_corpus(spark, d):
+    labels = corpus.load(spark, d, "labels")
+    chosen = corpus.select_corpus(documents(spark, d), labels, F.col("quality") == 1, "doc_id")
+    words = V.remove_stop_words(tok.unnest_tokens(chosen, "word", "text"), stop(spark))
+    return V.count_by(words, "word", sort=True)
+
+
+@query
+def meta_tf_idf(spark, d):
+    labels = corpus.load(spark, d, "labels")
+    docs = corpus.with_meta(documents(spark, d), labels, "doc_id", ["toxic"])
+    counts = V.count_by(tok.unnest_tokens(docs, "word", "text"), "toxic", "word")
+    return rounded(TF.bind_tf_idf(counts, "word", "toxic", "n"))
+
+
+@query
+def saved_word_freq(spark, d):
+    """Tokens saved as a table partitioned by language in the session's
+    checkpoint folder, re-read, and counted for one language (the read
+    prunes the other partitions)."""
+    import uuid
+
+    from textmine.session import ensure_checkpoint_dir
+
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/tokens-{uuid.uuid4().hex}"
+    saved = corpus.save_table(doc_tokens(spark, d).select("doc_id", "lang", "word"), path,
+                              partition_by=["lang"])
+    return V.count_by(saved.filter(F.col("lang") == "en"), "word", sort=True)
+
+
+# --------------------------------------------------------------------------- step 9: topic models
+
+from textmine.operators import topics as TM  # noqa: E402
+
+
+def chapter_triplets(spark, d) -> DataFrame:
+    """Stop-free counts per "title_chapter" document (title = language,
+    chapter = document id)."""
+    counts = V.count_by(V.remove_stop_words(doc_tokens(spark, d), stop(spark)), "lang", "doc_id", "word")
+    return counts.select(F.concat_ws("_", "lang", F.col("doc_id").cast("string")).alias("document"),
+                         "lang", F.col("word").alias("term"), F.col("n").alias("count"))
+
+
+def lang_model(spark, d):
+    return TM.language_model(chapter_triplets(spark, d), "lang", LANGS)
+
+
+@query
+def topic_top_terms(spark, d):
+    beta, _ = lang_model(spark, d)
+    return rounded(TM.top_terms(beta, 5))
+
+
+@query
+def topic_log_ratio(spark, d):
+    beta, _ = lang_model(spark, d)
+    return rounded(TM.topic_log_ratio(beta, 1, 2))
+
+
+def classified(spark, d) -> DataFrame:
+    _, gamma = lang_model(spark, d)
+    return TM.classify(gamma)
+
+
+@query
+def topic_classify(spark, d):
+    return rounded(classified(spark, d))
+
+
+@query
+def topic_consensus(spark, d):
+    return TM.consensus(classified(spark, d))
+
+
+@query
+def topic_misclassified(spark, d):
+    classes = classified(spark, d)
+    return rounded(TM.misclassified(classes, TM.consensus(classes)))
+
+
+def assignments(spark, d) -> DataFrame:
+    beta, gamma = lang_model(spark, d)
+    return TM.augment(chapter_triplets(spark, d).drop("lang"), beta, gamma)
+
+
+@query
+def topic_augment(spark, d):
+    return assignments(spark, d)
+
+
+@query
+def topic_confusion(spark, d):
+    return rounded(TM.confusion(assignments(spark, d), TM.consensus(classified(spark, d))))
+
+
+@query
+def topic_wrong_words(spark, d):
+    return TM.wrong_words(assignments(spark, d), TM.consensus(classified(spark, d)))
+
+
+def gamma_split(spark, d) -> DataFrame:
+    _, gamma = lang_model(spark, d)
+    return V.separate(gamma, "document", ["title", "chapter"], sep="_", convert={"chapter": "long"})
+
+
+@query
+def gamma_five_number(spark, d):
+    return rounded(S.five_number(gamma_split(spark, d), "gamma", by=["title", "topic"]))
+
+
+@query
+def topic_order(spark, d):
+    return TM.topic_order(gamma_split(spark, d))
+
+
+_LDA_CACHE: dict = {}
+
+
+def fitted_lda(spark, d, optimizer: str = "online"):
+    """LDA (k=4, seed 1234) on the chapter documents, fitted once per
+    session, data folder and optimizer."""
+    key = (id(spark), d, optimizer)
+    if key not in _LDA_CACHE:
+        _LDA_CACHE[key] = TM.fit_lda(chapter_triplets(spark, d).drop("lang"), k=4, seed=1234,
+                                     optimizer=optimizer, max_iter=10 if optimizer == "online" else 20)
+    return _LDA_CACHE[key]
+
+
+@query
+def lda_beta(spark, d):
+    model, _, vocab = fitted_lda(spark, d)
+    return TM.tidy_beta(model, vocab)
+
+
+@query
+def lda_gamma(spark, d):
+    model, vectors, _ = fitted_lda(spark, d)
+    return TM.tidy_gamma(model, vectors)
+
+
+@query
+def lda_top_terms(spark, d):
+    model, _, vocab = fitted_lda(spark, d)
+    return TM.top_terms(TM.tidy_beta(model, vocab), 10)
+
+
+@query
+def lda_classify(spark, d):
+    model, vectors, _ = fitted_lda(spark, d)
+    return TM.classify(TM.tidy_gamma(model, vectors))
+
+
+@query
+def lda_em_beta(spark, d):
+    model, _, vocab = fitted_lda(spark, d, optimizer="em")
+    return TM.tidy_beta(model, vocab)
