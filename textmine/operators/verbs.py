@@ -210,16 +210,17 @@ def _distinct_key(table: DataFrame, key: str, as_name: str) -> DataFrame:
 def remove_stop_words(df: DataFrame, stop: DataFrame, on: str = "word",
                       stop_key: str = "word") -> DataFrame:
     """Anti join against a stop list (rows with a NULL word are kept)."""
-    return df.join(_distinct_key(stop, stop_key, on), on, "left_anti")
+    return df.join(_distinct_key(stop, stop_key, on), on, "left_anti").select(*df.columns)
 
 
 def drop_stop_ngrams(df: DataFrame, cols: Sequence[str], stop: DataFrame,
                      stop_key: str = "word") -> DataFrame:
     """Drop n-grams with a stop word in any of ``cols``; NULL words are kept
     (an anti join per column, unlike ``~isin`` which drops NULLs)."""
+    out = df
     for c in cols:
-        df = df.join(_distinct_key(stop, stop_key, c), c, "left_anti")
-    return df
+        out = out.join(_distinct_key(stop, stop_key, c), c, "left_anti")
+    return out.select(*df.columns)
 
 
 def join_lexicon(df: DataFrame, lex: DataFrame, on: str | tuple[str, str] = "word") -> DataFrame:
@@ -236,7 +237,7 @@ def join_lexicon(df: DataFrame, lex: DataFrame, on: str | tuple[str, str] = "wor
 def keep_in_lexicon(df: DataFrame, lex: DataFrame, on: str | tuple[str, str] = "word") -> DataFrame:
     """Semi join: rows whose key is in the lexicon, no fan-out."""
     left_key, right_key = (on, on) if isinstance(on, str) else on
-    return df.join(_distinct_key(lex, right_key, left_key), left_key, "left_semi")
+    return df.join(_distinct_key(lex, right_key, left_key), left_key, "left_semi").select(*df.columns)
 
 
 # --------------------------------------------------------------------------- order columns
