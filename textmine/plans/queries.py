@@ -36,7 +36,8 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 # --------------------------------------------------------------------------- shared inputs
 
 def documents(spark: SparkSession, d: str) -> DataFrame:
-    return corpus.load(spark, d, "documents").select("doc_id", "lang", "source", "text")
+    docs = corpus.load(spark, d, "documents").select("doc_id", "lang", "source", "text")
+    return corpus.spread(docs)
 
 
 def stop(spark: SparkSession) -> DataFrame:
@@ -155,17 +156,18 @@ LANGS = ["de", "en", "es", "fr"]
 
 
 def lang_counts(spark, d, clean: bool = False) -> DataFrame:
+    """Word counts per language, computed once (several branches read them)."""
     tokens = doc_tokens(spark, d)
     if clean:
         tokens = V.remove_stop_words(tokens, stop(spark))
-    return V.count_by(tokens, "lang", "word")
+    return corpus.materialize(V.count_by(tokens, "lang", "word"))
 
 
 def frequency_table(spark, d) -> DataFrame:
     """Word shares per language, wide for English, long for the others."""
     tokens = V.remove_stop_words(doc_tokens(spark, d), stop(spark)) \
         .withColumn("word", T.normalize_word("word"))
-    props = V.share(V.count_by(tokens, "lang", "word"), "n", by="lang").drop("n")
+    props = V.share(corpus.materialize(V.count_by(tokens, "lang", "word")), "n", by="lang").drop("n")
     wide = V.spread(props, "lang", "proportion", LANGS)
     return V.gather(wide, "lang", "proportion", ["de", "es", "fr"])
 
@@ -238,7 +240,7 @@ def tf_idf(spark, d):
 
 @query
 def tf_idf_docs(spark, d):
-    counts = V.count_by(doc_tokens(spark, d), "doc_id", "word")
+    counts = corpus.materialize(V.count_by(doc_tokens(spark, d), "doc_id", "word"))
     return rounded(TF.bind_tf_idf(counts, "word", "doc_id", "n"))
 
 
@@ -260,7 +262,7 @@ def bigram_counts_by_lang(spark, d) -> DataFrame:
 
     grams = V.drop_stop_ngrams(NG.ngram_words(documents(spark, d), 2), ["word1", "word2"], stop(spark))
     united = V.unite(grams, "bigram", ["word1", "word2"], sep=" ")
-    return V.count_by(united, "lang", "bigram")
+    return corpus.materialize(V.count_by(united, "lang", "bigram"))
 
 
 @query
@@ -474,7 +476,8 @@ def section_words(spark, d) -> DataFrame:
     (section 0 dropped)."""
     en_lines = doc_lines(spark, d).filter(F.col("lang") == "en")
     sec = tok.section_by_lines(en_lines, FX.SECTION_LINES)
-    return V.remove_stop_words(tok.unnest_tokens(sec, "word", "text"), stop(spark))
+    words = V.remove_stop_words(tok.unnest_tokens(sec, "word", "text"), stop(spark))
+    return corpus.materialize(words.select("word", "doc_id", "section"))
 
 
 @query
@@ -511,8 +514,8 @@ from textmine.sources import matrix as M  # noqa: E402
 
 def doc_triplets(spark, d) -> DataFrame:
     counts = V.count_by(doc_tokens(spark, d), "doc_id", "word")
-    return counts.select(F.col("doc_id").alias("document"), F.col("word").alias("term"),
-                         F.col("n").alias("count"))
+    return corpus.materialize(counts.select(F.col("doc_id").alias("document"), F.col("word").alias("term"),
+                                            F.col("n").alias("count")))
 
 
 @query
@@ -528,14 +531,14 @@ def vocabulary(spark, d):
 
 @query
 def flatten_corpus(spark, d):
-    conv = corpus.load(spark, d, "conversations")
+    conv = corpus.spread(corpus.load(spark, d, "conversations"))
     nested = corpus.nest(conv, ["conv_id"], ["turn", "role", "text"], order="turn", chunk=16)
     flat = corpus.flatten_corpus(nested, "corpus")
     return tok.unnest_tokens(flat, "word", "text").select("conv_id", "turn", "role", "word")
 
 
 def pages_corpus(spark, d) -> DataFrame:
-    return corpus.tidy_pages(corpus.load(spark, d, "pages"))
+    return corpus.tidy_pages(corpus.spread(corpus.load(spark, d, "pages")))
 
 
 @query
@@ -552,7 +555,7 @@ def corpus_word_freq(spark, d):
 @query
 def corpus_tf_idf(spark, d):
     words = tok.unnest_tokens(pages_corpus(spark, d).drop("heading", "url"), "word", "text")
-    counts = V.count_by(V.remove_stop_words(words, stop(spark)), "id", "word")
+    counts = corpus.materialize(V.count_by(V.remove_stop_words(words, stop(spark)), "id", "word"))
     return rounded(TF.bind_tf_idf(counts, "word", "id", "n"))
 
 
@@ -563,8 +566,8 @@ def signed_contrib(spark, d):
 
 def year_trend(spark, d) -> DataFrame:
     counts = V.count_by(doc_tokens(spark, d), "source", "word")
-    triplets = counts.select(T.extract_number("source").alias("year"), F.col("word").alias("term"),
-                             F.col("n").alias("count"))
+    triplets = corpus.materialize(counts.select(T.extract_number("source").alias("year"),
+                                                F.col("word").alias("term"), F.col("n").alias("count")))
     return TF.term_trend(triplets, FX.TREND_TERMS)
 
 
@@ -597,7 +600,7 @@ def select_corpus(spark, d):
 def meta_tf_idf(spark, d):
     labels = corpus.load(spark, d, "labels")
     docs = corpus.with_meta(documents(spark, d), labels, "doc_id", ["toxic"])
-    counts = V.count_by(tok.unnest_tokens(docs, "word", "text"), "toxic", "word")
+    counts = corpus.materialize(V.count_by(tok.unnest_tokens(docs, "word", "text"), "toxic", "word"))
     return rounded(TF.bind_tf_idf(counts, "word", "toxic", "n"))
 
 
@@ -625,8 +628,9 @@ def chapter_triplets(spark, d) -> DataFrame:
     """Stop-free counts per "title_chapter" document (title = language,
     chapter = document id)."""
     counts = V.count_by(V.remove_stop_words(doc_tokens(spark, d), stop(spark)), "lang", "doc_id", "word")
-    return counts.select(F.concat_ws("_", "lang", F.col("doc_id").cast("string")).alias("document"),
-                         "lang", F.col("word").alias("term"), F.col("n").alias("count"))
+    return corpus.materialize(
+        counts.select(F.concat_ws("_", "lang", F.col("doc_id").cast("string")).alias("document"),
+                      "lang", F.col("word").alias("term"), F.col("n").alias("count")))
 
 
 def lang_model(spark, d):

@@ -5,9 +5,11 @@ from textmine.sources.corpus import (
     flatten_corpus,
     lines,
     load,
+    materialize,
     nest,
     save_table,
     select_corpus,
+    spread,
     tidy_pages,
     with_meta,
 )
@@ -21,6 +23,6 @@ from textmine.sources.lexicons import (
 
 __all__ = [
     "default_stop_words", "extend_lexicon", "flatten_corpus", "lexicon", "lines", "load",
-    "nest", "read_lexicon", "save_table", "select_corpus", "stop_words", "tidy_pages",
+    "materialize", "nest", "read_lexicon", "save_table", "select_corpus", "spread", "stop_words", "tidy_pages",
     "with_meta",
 ]

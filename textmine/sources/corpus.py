@@ -16,6 +16,23 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Make sure the per-row text work can use every core.
+
+    A table read as fewer splits than the session's default parallelism
+    (one small file, one row group) is spread round-robin over that many
+    partitions; a table that already has enough splits (any large corpus)
+    is returned unchanged, so big inputs are never reshuffled.  Round-robin
+    (not a key) keeps the next aggregation's own shuffle, which Spark then
+    reuses for every branch that reads the same counts instead of
+    re-tokenising per branch.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
+
+
 def select_corpus(docs: DataFrame, meta: DataFrame, predicate: Column,
                   key: str | Sequence[str]) -> DataFrame:
     """Documents whose catalogue row satisfies ``predicate`` (semi join).
@@ -82,6 +99,21 @@ def tidy_pages(pages: DataFrame, key: str = "page_id") -> DataFrame:
     )
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute a shared sub-result once and cut its lineage.
+
+    The table is written to the session's checkpoint folder (a shared folder
+    on a cluster, so a lost executor does not lose it) and every later
+    branch reads it back instead of recomputing tokenisation and counting.
+    Use it for a table read by several branches of one query (counts under
+    tf-idf: totals, document frequencies, number of documents).
+    """
+    from textmine.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def save_table(df: DataFrame, path: str, mode: str = "overwrite",
                partition_by: Sequence[str] | None = None) -> DataFrame:
     """Persist an intermediate as parquet and return the re-read table.
