@@ -634,64 +634,66 @@ def chapter_triplets(spark, d) -> DataFrame:
 
 
 def lang_model(spark, d):
-    return TM.language_model(chapter_triplets(spark, d), "lang", LANGS)
+    """Triplets plus the deterministic model's beta and gamma, each computed
+    once per query (several branches read them)."""
+    trip = chapter_triplets(spark, d)
+    beta, gamma = TM.language_model(trip, "lang", LANGS)
+    return trip.drop("lang"), corpus.materialize(beta), corpus.materialize(gamma)
 
 
 @query
 def topic_top_terms(spark, d):
-    beta, _ = lang_model(spark, d)
+    _, beta, _ = lang_model(spark, d)
     return rounded(TM.top_terms(beta, 5))
 
 
 @query
 def topic_log_ratio(spark, d):
-    beta, _ = lang_model(spark, d)
+    _, beta, _ = lang_model(spark, d)
     return rounded(TM.topic_log_ratio(beta, 1, 2))
 
 
-def classified(spark, d) -> DataFrame:
-    _, gamma = lang_model(spark, d)
-    return TM.classify(gamma)
-
-
 @query
 def topic_classify(spark, d):
-    return rounded(classified(spark, d))
+    _, _, gamma = lang_model(spark, d)
+    return rounded(TM.classify(gamma))
 
 
 @query
 def topic_consensus(spark, d):
-    return TM.consensus(classified(spark, d))
+    _, _, gamma = lang_model(spark, d)
+    return TM.consensus(TM.classify(gamma))
 
 
 @query
 def topic_misclassified(spark, d):
-    classes = classified(spark, d)
+    _, _, gamma = lang_model(spark, d)
+    classes = TM.classify(gamma)
     return rounded(TM.misclassified(classes, TM.consensus(classes)))
 
 
-def assignments(spark, d) -> DataFrame:
-    beta, gamma = lang_model(spark, d)
-    return TM.augment(chapter_triplets(spark, d).drop("lang"), beta, gamma)
-
-
 @query
 def topic_augment(spark, d):
-    return assignments(spark, d)
+    trip, beta, gamma = lang_model(spark, d)
+    return TM.augment(trip, beta, gamma)
 
 
 @query
 def topic_confusion(spark, d):
-    return rounded(TM.confusion(assignments(spark, d), TM.consensus(classified(spark, d))))
+    trip, beta, gamma = lang_model(spark, d)
+    book_topics = TM.consensus(TM.classify(gamma))
+    return rounded(TM.confusion(TM.augment(trip, beta, gamma), book_topics))
 
 
 @query
 def topic_wrong_words(spark, d):
-    return TM.wrong_words(assignments(spark, d), TM.consensus(classified(spark, d)))
+    trip, beta, gamma = lang_model(spark, d)
+    book_topics = TM.consensus(TM.classify(gamma))
+    return TM.wrong_words(TM.augment(trip, beta, gamma), book_topics)
 
 
 def gamma_split(spark, d) -> DataFrame:
-    _, gamma = lang_model(spark, d)
+    _, _, gamma = lang_model(spark, d)
     return V.separate(gamma, "document", ["title", "chapter"], sep="_", convert={"chapter": "long"})
 
 
