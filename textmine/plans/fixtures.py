@@ -46,4 +46,6 @@ ASSOCIATE_WORDS = ["thing", "th", "nd", "re"]
 # Item followed in the co-occurrence query.
 PAIR_WORD = "thing"
 TREND_TERMS = ["the", "and", "of", "best", "idiot", "trash"]
+# Frequent corpus words added to the stop lists (like adding "miss").
+CUSTOM_STOP = ["thing", "th", "nd", "re"]
 DOMAIN_STOP = ["the", "and", "of", "de", "la", "le", "und", "der", "die", "el", "en", "y"]

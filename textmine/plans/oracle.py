@@ -641,3 +641,29 @@ FROM gamma GROUP BY 1, 2""")
 sql("topic_order", with_(*TOPIC_BASE) + """
 SELECT title, row_number() OVER (ORDER BY m, title) AS ord FROM (
   SELECT split_part(document, '_', 1) AS title, avg(gamma * topic) AS m FROM gamma GROUP BY 1)""")
+
+# --------------------------------------------------------------------------- orders, custom lists, clean-ups
+
+sql("ordered_top_words", with_(DOC_TOKENS, STOP_CTE, CLEAN_DOC_TOKENS) + """
+SELECT word, n, row_number() OVER (ORDER BY n, word) AS ord FROM (
+  SELECT word, count(*) AS n FROM clean_doc_tokens GROUP BY word) WHERE n > 600""")
+
+sql("ordered_within_lang", with_(DOC_TOKENS, LANG_COUNTS, tf_idf_cte("t", "lang_counts", "word", "lang")) + """
+SELECT lang, word, n, round(tf, 6) AS tf, round(idf, 6) AS idf, round(tf * idf, 6) AS tf_idf,
+       row_number() OVER (PARTITION BY lang ORDER BY tf * idf, word) AS ord FROM (
+  SELECT *, rank() OVER (PARTITION BY lang ORDER BY tf * idf DESC) AS rk FROM t) WHERE rk <= 15""")
+
+sql("custom_stop_freq", with_(DOC_TOKENS, STOP_CTE) + f"""
+SELECT word, count(*) AS n FROM doc_tokens t
+WHERE NOT EXISTS (SELECT 1 FROM stop s WHERE s.word = t.word)
+  AND NOT EXISTS (SELECT 1 FROM {values([(w,) for w in FX.CUSTOM_STOP], ["word"])} c WHERE c.word = t.word)
+GROUP BY word""")
+
+sql("whitelist_words", f"""
+SELECT lang, word, count(*) AS n FROM (
+  SELECT lang, unnest(regexp_extract_all(lower(regexp_replace(text, '[^\\p{{L}}\\p{{N}} \\t?&/\\-]', ' ', 'g')),
+                                         {PAT})) AS word
+  FROM documents) GROUP BY 1, 2""")
+
+sql("piped_bigram_counts", with_(DOC_WORDS, POS_TOKENS, BIGRAMS, STOP_CTE, FILTERED_BIGRAMS) + """
+SELECT word1, word2, count(*) AS n FROM filtered_bigrams WHERE lang = 'en' GROUP BY 1, 2""")

@@ -748,3 +748,42 @@ def lda_classify(spark, d):
 def lda_em_beta(spark, d):
     model, _, vocab = fitted_lda(spark, d, optimizer="em")
     return TM.tidy_beta(model, vocab)
+
+
+# --------------------------------------------------------------------------- display orders, custom lists, clean-ups
+
+@query
+def ordered_top_words(spark, d):
+    """Words above a count threshold with their display order (1 = least
+    frequent), as used to order a bar chart."""
+    counts = V.count_by(V.remove_stop_words(doc_tokens(spark, d), stop(spark)), "word")
+    return V.with_order(counts.filter(F.col("n") > 600), "n", "word")
+
+
+@query
+def ordered_within_lang(spark, d):
+    """Top 15 tf-idf words per language, ordered within each language."""
+    top = V.top_n(lang_tf_idf(spark, d), 15, "tf_idf", by="lang")
+    return rounded(V.with_order(top, "tf_idf", "word", by="lang"))
+
+
+@query
+def custom_stop_freq(spark, d):
+    """Word counts after removing the stop lists extended with custom words."""
+    custom = lexicons.lexicon(spark, [(w, "custom") for w in FX.CUSTOM_STOP], ["word", "lexicon"])
+    extended = lexicons.extend_lexicon(stop(spark), custom)
+    return V.count_by(V.remove_stop_words(doc_tokens(spark, d), extended), "word", sort=True)
+
+
+@query
+def whitelist_words(spark, d):
+    """Word counts after replacing every character outside letters, digits,
+    blanks and ``? & / -`` by a space."""
+    docs = documents(spark, d).withColumn("text", T.clean_text("text", "whitelist"))
+    return V.count_by(tok.unnest_tokens(docs, "word", "text"), "lang", "word")
+
+
+@query
+def piped_bigram_counts(spark, d):
+    """A user pipeline function applied with ``DataFrame.transform``."""
+    return documents(spark, d).filter(F.col("lang") == "en").transform(NG.count_bigrams, stop(spark))
