@@ -55,3 +55,12 @@ def test_post_fit_steps_on_fixed_model(spark):
     assert rows(conf) == [("A", "A", 3, 1.0), ("B", "B", 4, 1.0)]
     ratio = TM.topic_log_ratio(beta, 1, 2)
     assert rows(ratio, "term", "log_ratio")[0][1] < 0
+
+
+def test_shared_consensus_topic_multiplies_rows(spark):
+    gamma = spark.createDataFrame([("A_1", 1, 0.9), ("A_1", 2, 0.1), ("B_1", 1, 0.8), ("B_1", 2, 0.2)],
+                                  "document string, topic long, gamma double")
+    classes = TM.classify(gamma)
+    book = TM.consensus(classes)
+    assert rows(book) == [("A", 1), ("B", 1)]
+    assert rows(TM.misclassified(classes, book), "title", "consensus") == [("A", "B"), ("B", "A")]

@@ -95,3 +95,12 @@ def test_running_sum_many_groups(spark):
     exp = df.withColumn("cs", F.sum("v").over(Window.partitionBy("g").orderBy("i")
                                               .rowsBetween(Window.unboundedPreceding, 0)))
     assert rows(got) == rows(exp)
+
+
+def test_bucket_zero_has_79_lines(spark):
+    from textmine.functions.text import bucket
+
+    df = spark.range(1, 200).select(F.col("id").alias("line_no"))
+    counts = {r.b: r.n for r in df.groupBy(bucket("line_no", 80).alias("b")).count()
+              .withColumnRenamed("count", "n").collect()}
+    assert counts[0] == 79 and counts[1] == 80

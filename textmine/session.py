@@ -27,6 +27,7 @@ def get_spark(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.driver.memory", "16g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     if event_log_dir:
         builder = (builder.config("spark.eventLog.enabled", "true")
