@@ -114,3 +114,13 @@ def test_separate_unite_bind_rows(spark):
     a = spark.createDataFrame([(1, "x")], "index long, method string")
     b = spark.createDataFrame([(2, 5)], "index long, positive long")
     assert rows(V.bind_rows(a, b), "index", "method", "positive") == [(1, "x", None), (2, None, 5)]
+
+
+def test_global_row_number_on_sampled_range_partitioning(spark):
+    # large enough that range boundaries are sampled, not taken from all rows
+    df = spark.range(0, 200_000, numPartitions=8).select(
+        (F.col("id") * 7919 % 100_003).alias("k"), F.col("id").alias("id"))
+    got = V.global_row_number(df, [F.col("k"), F.col("id")], "rn")
+    exp = df.withColumn("rn", F.row_number().over(Window.orderBy("k", "id")))
+    assert got.join(exp, ["k", "id", "rn"], "left_anti").count() == 0
+    assert got.count() == 200_000

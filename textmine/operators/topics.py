@@ -116,18 +116,24 @@ def misclassified(classes: DataFrame, book_topics: DataFrame) -> DataFrame:
 
 
 def augment(triplets: DataFrame, beta: DataFrame, gamma: DataFrame,
-            document: str = "document", term: str = "term") -> DataFrame:
-    """Add ``assigned_topic`` to each (document, term) row: the topic maximising
-    gamma(document, topic) * beta(topic, term) (lowest topic on ties)."""
-    base = triplets.withColumnRenamed(document, "document").withColumnRenamed(term, "term")
-    scored = (base.select("document", "term").distinct()
-              .join(gamma, "document")
-              .join(beta, ["topic", "term"])
-              .withColumn("_score", F.col("gamma") * F.col("beta")))
-    window = Window.partitionBy("document", "term").orderBy(F.desc("_score"), F.col("topic"))
-    best = (scored.withColumn("_rk", F.row_number().over(window)).filter(F.col("_rk") == 1)
-                  .select("document", "term", F.col("topic").alias("assigned_topic")))
-    return null_safe_join(base, best, ["document", "term"], "inner")
+            document: str = "document", term: str = "term", value: str = "count") -> DataFrame:
+    """Add ``assigned_topic`` to each document-term cell: the topic
+    maximising gamma(document, topic) * beta(topic, term), the lowest topic
+    on ties.  Cells are those of the document-term matrix (repeated
+    (document, term) rows are summed into one cell, as casting would);
+    cells whose term is not in beta are dropped.
+
+    The arg-max is one hash aggregate over (document, term): the largest
+    (score, -topic) struct wins and the cell's count rides along, so there
+    is no window sort and no join back.
+    """
+    cells = triplets.groupBy(F.col(document).alias("document"), F.col(term).alias("term")) \
+        .agg(F.sum(value).alias(value))
+    scored = cells.join(gamma, "document").join(beta, ["topic", "term"])
+    best = scored.groupBy("document", "term").agg(
+        F.max(value).alias(value),
+        F.max(F.struct((F.col("gamma") * F.col("beta")).alias("s"), (-F.col("topic")).alias("t"))).alias("_b"))
+    return best.select("document", "term", value, (-F.col("_b.t")).alias("assigned_topic"))
 
 
 def confusion(assignments: DataFrame, book_topics: DataFrame, value: str = "count",

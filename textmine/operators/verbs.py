@@ -260,10 +260,17 @@ def global_row_number(df: DataFrame, order: Sequence[str | Column], out: str = "
     A range-partitioned sort spreads the rows over all tasks; each row's
     number is its partition's offset plus its place in the partition.  The
     offset table has one row per partition, so broadcasting it is bounded
-    by the partition count.
+    by the partition count.  Eager: the sorted table is checkpointed once.
     """
+    from textmine.session import ensure_checkpoint_dir
+
     sorted_df = df.orderBy(*order)
-    tagged = sorted_df.withColumn("_mid", F.monotonically_increasing_id())
+    # The sizes and the rows must come from one and the same sorted
+    # partitioning: recomputed separately, each branch would sample its own
+    # range boundaries.  So the tagged table is checkpointed (shared folder)
+    # once and both branches read it.
+    ensure_checkpoint_dir(df.sparkSession)
+    tagged = sorted_df.withColumn("_mid", F.monotonically_increasing_id()).checkpoint(eager=True)
     tagged = tagged.withColumn("_pid", F.shiftright(F.col("_mid"), _LOCAL_BITS)) \
                    .withColumn("_local", F.col("_mid").bitwiseAND((1 << _LOCAL_BITS) - 1))
     sizes = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
