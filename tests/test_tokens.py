@@ -104,3 +104,21 @@ def test_bucket_zero_has_79_lines(spark):
     counts = {r.b: r.n for r in df.groupBy(bucket("line_no", 80).alias("b")).count()
               .withColumnRenamed("count", "n").collect()}
     assert counts[0] == 79 and counts[1] == 80
+
+
+def test_collapse_lines_before_ngrams(spark):
+    lines = spark.createDataFrame([(1, 2, "c d"), (1, 1, "a b"), (2, 1, "x")],
+                                  "doc long, line_no long, text string")
+    per_line = tok.unnest_tokens(lines, "bigram", "text", "ngrams", n=2)
+    assert "b c" not in {r.bigram for r in per_line.collect()}
+    collapsed = tok.unnest_tokens(lines, "bigram", "text", "ngrams", n=2, collapse=["doc"], position="pos")
+    assert rows(collapsed) == [(1, 1, "a b"), (1, 2, "b c"), (1, 3, "c d"), (2, 1, None)]
+
+
+def test_spread_only_when_too_few_splits(spark):
+    from textmine.sources import corpus
+
+    one = spark.range(100).coalesce(1)
+    assert corpus.spread(one, 4).rdd.getNumPartitions() == 4
+    many = spark.range(100, numPartitions=6)
+    assert corpus.spread(many, 4).rdd.getNumPartitions() == 6

@@ -44,7 +44,8 @@ def unnest_tokens(df: DataFrame, output: str, input: str = "text", token: str =
                   to_lower: bool = True, drop: bool = True, n: int = 2,
                   pattern: str | None = None, keep_underscore: bool = True,
                   position: str | None = None, into: Sequence[str] | None = None,
-                  keep_short: bool = True) -> DataFrame:
+                  keep_short: bool = True, collapse: Sequence[str] | None = None,
+                  order: str = "line_no") -> DataFrame:
     """One row per token of ``input``; every other column is carried along.
 
     token:
@@ -57,11 +58,16 @@ def unnest_tokens(df: DataFrame, output: str, input: str = "text", token: str =
                     lower-cased; empty pieces dropped);
       ``lines``     lines of the text.
     ``position`` names an optional 1-based token-number column.
+    ``collapse`` (with ``order``) first joins a line table's lines per key
+    in line order, so n-grams, sentences and pieces run across line breaks;
+    only the key columns are kept then.
     Rows whose text yields no token produce no row (except the NULL n-gram
     of a too-short text).
     """
     if token not in TOKENS:
         raise ValueError(f"token must be one of {TOKENS}")
+    if collapse:
+        df = collapse_lines(df, list(collapse), order, text=input)
     others = [c for c in df.columns if not (drop and c == input) and c != output]
     if token == "words":
         arr = word_array(input, to_lower=to_lower, keep_underscore=keep_underscore, pattern=pattern)
