@@ -122,3 +122,10 @@ def test_spread_only_when_too_few_splits(spark):
     assert corpus.spread(one, 4).rdd.getNumPartitions() == 4
     many = spark.range(100, numPartitions=6)
     assert corpus.spread(many, 4).rdd.getNumPartitions() == 6
+
+
+def test_number_lines_within_documents(spark):
+    df = spark.createDataFrame([(1, 30, "c"), (1, 10, "a"), (2, 5, "z"), (1, 20, "b")],
+                               "doc long, offset long, text string")
+    out = tok.number_lines(df, "doc", [F.col("offset")])
+    assert rows(out, "doc", "text", "line_no") == [(1, "a", 1), (1, "b", 2), (1, "c", 3), (2, "z", 1)]

@@ -43,6 +43,14 @@ def bind_tf_idf(counts: DataFrame, term: str, document: str, n: str = "n") -> Da
                   .select(*counts.columns, "tf", "idf", "tf_idf"))
 
 
+def top_tf_idf(counts: DataFrame, term: str, document: str, n: str = "n", k: int = 15) -> DataFrame:
+    """tf-idf of every (document, term) and the ``k`` highest per document
+    (ties kept)."""
+    from textmine.operators.verbs import top_n
+
+    return top_n(bind_tf_idf(counts, term, document, n), k, "tf_idf", by=document)
+
+
 def zipf(counts: DataFrame, by: str | Sequence[str] | None, term: str = "word",
          n: str = "n", total_by: str | Sequence[str] | None = None) -> DataFrame:
     """Zipf table: ``rank`` (1 = most frequent), ``total`` and

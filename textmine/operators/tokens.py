@@ -129,6 +129,16 @@ def segment_by_marker(lines_df: DataFrame, pattern: str, by: str | Sequence[str]
     return running_sum(lines_df, flag, by, order, out, chunk=chunk)
 
 
+def number_lines(lines_df: DataFrame, by: str | Sequence[str], order: Sequence, out: str = "line_no") -> DataFrame:
+    """``row_number()`` of each line within its document for a line table
+    that has no position yet (``sources.lines`` numbers split text without
+    this).  Uses the distributed row numbering, so a very long document is
+    not numbered in one task."""
+    from textmine.operators.verbs import row_number_by
+
+    return row_number_by(lines_df, by, list(order), out)
+
+
 def section_by_lines(lines_df: DataFrame, size: int = 10, order: str = "line_no",
                      out: str = "section", drop_first: bool = True) -> DataFrame:
     """``section = line number %/% size``; section 0 (the first size-1

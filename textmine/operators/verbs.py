@@ -198,6 +198,27 @@ def keep_frequent(df: DataFrame, col: str, min_n: int) -> DataFrame:
     return null_safe_join(df, frequent, [col], "left_semi")
 
 
+def grep(df: DataFrame, col: str, pattern: str, ignore_case: bool = False,
+         keep: Sequence[str] | None = None) -> DataFrame:
+    """Rows whose ``col`` matches ``pattern`` anywhere (case-sensitive by
+    default), optionally projected to ``keep``."""
+    out = df.filter(F.col(col).rlike(("(?i)" if ignore_case else "") + pattern))
+    return out.select(*keep) if keep else out
+
+
+def extract(df: DataFrame, col: str, out: str, pattern: str = r"(\d+)", to: str | None = "long",
+            remove: bool = True) -> DataFrame:
+    """First capture of ``pattern`` in ``col`` as column ``out`` (converted
+    to ``to``; no match or a failed conversion gives NULL), replacing ``col``
+    by default."""
+    value = F.nullif(F.regexp_extract(F.col(col), pattern, 1), F.lit(""))
+    if to:
+        value = value.try_cast(to)
+    idx = df.columns.index(col)
+    before = df.columns[:idx] if remove else df.columns[:idx + 1]
+    return df.select(*before, value.alias(out), *df.columns[idx + 1:])
+
+
 def drop_non_ascii(df: DataFrame, col: str = "word") -> DataFrame:
     """Drop rows whose ``col`` has a character outside ASCII."""
     return df.filter(~F.col(col).rlike(r"[^\x00-\x7F]") | F.col(col).isNull())

@@ -79,20 +79,24 @@ def tok_words(spark, d):
 
 @query
 def word_freq(spark, d):
-    return V.count_by(V.remove_stop_words(doc_tokens(spark, d), stop(spark)), "word", sort=True)
+    from textmine.operators import frequency as FQ
+
+    return FQ.word_freq(doc_tokens(spark, d), stop(spark))
 
 
 @query
 def word_freq_by_lang(spark, d):
-    return V.count_by(V.remove_stop_words(doc_tokens(spark, d), stop(spark)), "lang", "word", sort=True)
+    from textmine.operators import frequency as FQ
+
+    return FQ.word_freq(doc_tokens(spark, d), stop(spark), by="lang")
 
 
 @query
 def top_words(spark, d):
-    """The 100 most frequent non-stop words (word-cloud input); ties at the
-    cut broken by word so the list is well defined."""
-    counts = V.count_by(V.remove_stop_words(doc_tokens(spark, d), stop(spark)), "word")
-    return counts.orderBy(F.desc("n"), "word").limit(100)
+    """The 100 most frequent non-stop words (word-cloud input)."""
+    from textmine.operators import frequency as FQ
+
+    return FQ.top_words(doc_tokens(spark, d), 100, stop(spark))
 
 
 # --------------------------------------------------------------------------- step 2: lines, windows, filters
@@ -144,11 +148,12 @@ def normalize_words(spark, d):
 
 @query
 def grep_lines(spark, d):
-    return doc_lines(spark, d).filter(T.matches("text", "stupid")).select("doc_id", "line_no", "text")
+    return V.grep(doc_lines(spark, d), "text", "stupid", keep=["doc_id", "line_no", "text"])
 
 
 # --------------------------------------------------------------------------- step 3: reshape, Zipf, statistics
 
+from textmine.operators import frequency as FQ  # noqa: E402
 from textmine.operators import stats as S  # noqa: E402
 from textmine.operators import tfidf as TF  # noqa: E402
 
@@ -165,11 +170,8 @@ def lang_counts(spark, d, clean: bool = False) -> DataFrame:
 
 def frequency_table(spark, d) -> DataFrame:
     """Word shares per language, wide for English, long for the others."""
-    tokens = V.remove_stop_words(doc_tokens(spark, d), stop(spark)) \
-        .withColumn("word", T.normalize_word("word"))
-    props = V.share(corpus.materialize(V.count_by(tokens, "lang", "word")), "n", by="lang").drop("n")
-    wide = V.spread(props, "lang", "proportion", LANGS)
-    return V.gather(wide, "lang", "proportion", ["de", "es", "fr"])
+    tokens = corpus.materialize(V.remove_stop_words(doc_tokens(spark, d), stop(spark)).select("lang", "word"))
+    return FQ.compare_freq(tokens, "lang", "en", LANGS)
 
 
 @query
@@ -246,7 +248,7 @@ def tf_idf_docs(spark, d):
 
 @query
 def top_tf_idf(spark, d):
-    return rounded(V.top_n(lang_tf_idf(spark, d), 15, "tf_idf", by="lang"))
+    return rounded(TF.top_tf_idf(lang_counts(spark, d), "word", "lang", "n", 15))
 
 
 @query
@@ -566,8 +568,8 @@ def signed_contrib(spark, d):
 
 def year_trend(spark, d) -> DataFrame:
     counts = V.count_by(doc_tokens(spark, d), "source", "word")
-    triplets = corpus.materialize(counts.select(T.extract_number("source").alias("year"),
-                                                F.col("word").alias("term"), F.col("n").alias("count")))
+    triplets = corpus.materialize(V.extract(counts, "source", "year")
+                                  .select("year", F.col("word").alias("term"), F.col("n").alias("count")))
     return TF.term_trend(triplets, FX.TREND_TERMS)
 
 
