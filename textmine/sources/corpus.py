@@ -111,7 +111,9 @@ def materialize(df: DataFrame) -> DataFrame:
     from textmine.session import ensure_checkpoint_dir
 
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    # A small result may have been coalesced into one partition by adaptive
+    # execution; spread it again so the work reading it uses every core.
+    return spread(df.checkpoint(eager=True))
 
 
 def save_table(df: DataFrame, path: str, mode: str = "overwrite",
