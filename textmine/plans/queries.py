@@ -632,7 +632,7 @@ def chapter_triplets(spark, d) -> DataFrame:
     counts = V.count_by(V.remove_stop_words(doc_tokens(spark, d), stop(spark)), "lang", "doc_id", "word")
     return corpus.materialize(
         counts.select(F.concat_ws("_", "lang", F.col("doc_id").cast("string")).alias("document"),
-                      "lang", F.col("word").alias("term"), F.col("n").alias("count")))
+                      "lang", F.col("word").alias("term"), F.col("n").alias("count")), spread_out=True)
 
 
 def lang_model(spark, d):
