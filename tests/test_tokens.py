@@ -129,3 +129,21 @@ def test_number_lines_within_documents(spark):
                                "doc long, offset long, text string")
     out = tok.number_lines(df, "doc", [F.col("offset")])
     assert rows(out, "doc", "text", "line_no") == [(1, "a", 1), (1, "b", 2), (1, "c", 3), (2, "z", 1)]
+
+
+def test_line_ngrams_match_document_ngrams(spark):
+    import random
+
+    random.seed(11)
+    vocab = ["a", "b", "c", "d", "e"]
+    data = []
+    for doc in range(6):
+        for ln in range(1, random.randint(1, 12)):
+            words = " ".join(random.choice(vocab) for _ in range(random.choice([0, 0, 1, 2, 5])))
+            data.append((doc, ln, words))
+    lines = spark.createDataFrame(data, "doc long, line_no long, text string")
+    for n in (2, 3):
+        for chunk in (3, 65536):
+            got = tok.line_ngrams(lines, "doc", n=n, position="pos", chunk=chunk)
+            exp = tok.unnest_tokens(lines, "ngram", "text", "ngrams", n=n, collapse=["doc"], position="pos")
+            assert rows(got, "doc", "pos", "ngram") == rows(exp, "doc", "pos", "ngram")

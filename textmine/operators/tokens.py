@@ -60,7 +60,8 @@ def unnest_tokens(df: DataFrame, output: str, input: str = "text", token: str =
     ``position`` names an optional 1-based token-number column.
     ``collapse`` (with ``order``) first joins a line table's lines per key
     in line order, so n-grams, sentences and pieces run across line breaks;
-    only the key columns are kept then.
+    only the key columns are kept then.  This gathers each document into one
+    row; for n-grams of large documents use ``line_ngrams`` instead.
     Rows whose text yields no token produce no row (except the NULL n-gram
     of a too-short text).
     """
@@ -145,3 +146,48 @@ def section_by_lines(lines_df: DataFrame, size: int = 10, order: str = "line_no"
     lines) is dropped when ``drop_first``."""
     out_df = lines_df.withColumn(out, F.floor(F.col(order) / size).cast("long"))
     return out_df.filter(F.col(out) > 0) if drop_first else out_df
+
+
+def line_ngrams(lines_df: DataFrame, by: str | Sequence[str], n: int = 2, order: str = "line_no",
+                text: str = "text", output: str = "ngram", position: str | None = None,
+                keep_short: bool = True, chunk: int = 65536) -> DataFrame:
+    """N-grams of a line table across line breaks, without gathering a
+    document into one row or one task.
+
+    Every token gets its position in the document from a two-level running
+    sum of words per line.  The words that continue a line's last n-grams
+    are always among the first n-1 words of the following lines, so they
+    are fetched by an equi-join on (document, position), which has no hot
+    key.  Each line then builds the n-grams that start in it from its own
+    words plus at most n-1 continuation words.  ``position`` is the
+    n-gram's start in the document; a document with fewer than ``n`` words
+    gives one NULL n-gram when ``keep_short``.
+    """
+    keys = [by] if isinstance(by, str) else list(by)
+    words = (lines_df.select(*keys, order, word_array(text).alias("_w"))
+             .withColumn("_s", F.size("_w").cast("long")))
+    ends = running_sum(words, "_s", keys, order, "_end", chunk=chunk) \
+        .withColumn("_start", F.col("_end") - F.col("_s")).filter(F.col("_s") > 0)
+    heads = ends.select(*keys, "_start", F.posexplode(F.slice("_w", 1, n - 1)).alias("_k", "_word")) \
+        .select(*keys, (F.col("_start") + F.col("_k") + 1).alias("_p"), "_word")
+    needs = ends.select(*keys, order, "_end", F.explode(F.sequence(F.lit(1), F.lit(n - 1))).alias("_k")) \
+        .select(*keys, order, "_k", (F.col("_end") + F.col("_k")).alias("_p"))
+    cont = (needs.join(heads, [*keys, "_p"])
+            .groupBy(*keys, order)
+            .agg(F.transform(F.array_sort(F.collect_list(F.struct("_k", "_word"))),
+                             lambda x: x["_word"]).alias("_cont")))
+    lines_cont = ends.join(cont, [*keys, order], "left") \
+        .withColumn("_all", F.concat("_w", F.coalesce("_cont", F.array().cast("array<string>"))))
+    starts = F.filter(F.sequence(F.lit(1), F.col("_s")), lambda i: i + (n - 1) <= F.size("_all"))
+    grams = F.transform(starts, lambda i: F.struct((F.col("_start") + i).alias("p"),
+                                                   F.array_join(F.slice("_all", i, n), " ").alias("g")))
+    out = lines_cont.select(*keys, F.inline(grams))
+    cols = [*keys, *([F.col("p").alias(position)] if position else []), F.col("g").alias(output)]
+    result = out.select(*cols)
+    if keep_short:
+        totals = words.groupBy(*keys).agg(F.sum("_s").alias("_total"))
+        short = totals.filter(F.col("_total") < n).select(
+            *keys, *([F.lit(1).cast("long").alias(position)] if position else []),
+            F.lit(None).cast("string").alias(output))
+        result = result.unionByName(short)
+    return result

@@ -667,3 +667,5 @@ SELECT lang, word, count(*) AS n FROM (
 
 sql("piped_bigram_counts", with_(DOC_WORDS, POS_TOKENS, BIGRAMS, STOP_CTE, FILTERED_BIGRAMS) + """
 SELECT word1, word2, count(*) AS n FROM filtered_bigrams WHERE lang = 'en' GROUP BY 1, 2""")
+
+sql("line_bigrams", ORACLE["bigrams"])

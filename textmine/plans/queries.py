@@ -789,3 +789,11 @@ def whitelist_words(spark, d):
 def piped_bigram_counts(spark, d):
     """A user pipeline function applied with ``DataFrame.transform``."""
     return documents(spark, d).filter(F.col("lang") == "en").transform(NG.count_bigrams, stop(spark))
+
+
+@query
+def line_bigrams(spark, d):
+    """Bigrams across line breaks computed from the line table (no document
+    gathered); same rows as ``bigrams`` from whole texts."""
+    return tok.line_ngrams(doc_lines(spark, d), "doc_id", n=2, output="bigram", position="pos") \
+        .select("doc_id", "pos", "bigram")
