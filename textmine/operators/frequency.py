@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textmine.functions.text import normalize_word
-from textmine.operators.verbs import _as_list, count_by, gather, remove_stop_words, share, spread
+from textmine.operators.verbs import as_list, count_by, gather, remove_stop_words, share, spread
 
 
 def word_freq(tokens: DataFrame, stop: DataFrame | None = None, by: str | Sequence[str] | None = None,
@@ -17,7 +17,7 @@ def word_freq(tokens: DataFrame, stop: DataFrame | None = None, by: str | Sequen
     """Counts of words (per group), stop words removed when a list is given."""
     if stop is not None:
         tokens = remove_stop_words(tokens, stop, word)
-    return count_by(tokens, *_as_list(by), word, sort=sort)
+    return count_by(tokens, *as_list(by), word, sort=sort)
 
 
 def top_words(tokens: DataFrame, k: int = 100, stop: DataFrame | None = None,

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textmine.operators.tokens import unnest_tokens
-from textmine.operators.verbs import _as_list, count_by, drop_stop_ngrams, join_lexicon, top_n
+from textmine.operators.verbs import as_list, count_by, drop_stop_ngrams, join_lexicon, top_n
 
 WORD_COLS = ("word1", "word2", "word3", "word4", "word5")
 
@@ -26,7 +26,7 @@ def count_ngrams(df: DataFrame, n: int, stop: DataFrame | None = None, text: str
     cols = list(WORD_COLS[:n])
     if stop is not None:
         grams = drop_stop_ngrams(grams, cols, stop)
-    return count_by(grams, *_as_list(by), *cols, sort=sort)
+    return count_by(grams, *as_list(by), *cols, sort=sort)
 
 
 def count_bigrams(df: DataFrame, stop: DataFrame, text: str = "text") -> DataFrame:
@@ -36,7 +36,7 @@ def count_bigrams(df: DataFrame, stop: DataFrame, text: str = "text") -> DataFra
 
 def modifiers(bigrams: DataFrame, head: str, by: str | Sequence[str] | None = None) -> DataFrame:
     """Words preceding ``head``, counted per group."""
-    return count_by(bigrams.filter(F.col("word2") == head), *_as_list(by), "word1", sort=True)
+    return count_by(bigrams.filter(F.col("word2") == head), *as_list(by), "word1", sort=True)
 
 
 def negation_contrib(bigrams: DataFrame, valence: DataFrame, negators: Sequence[str],

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from textmine.functions.text import bucket
 from textmine.operators.verbs import (
-    _as_list,
+    as_list,
     bind_rows,
     count_by,
     join_lexicon,
@@ -39,7 +39,7 @@ def sentiment_arc(tokens: DataFrame, lex: DataFrame, key: str | Sequence[str],
                   label: str = "sentiment") -> DataFrame:
     """Per (key, ``order %/% size``) bucket: label counts (0 when absent)
     and ``sentiment = positive - negative``."""
-    keys = _as_list(key)
+    keys = as_list(key)
     labelled = join_lexicon(tokens, lex)
     counts = count_by(labelled, *keys, bucket(order, size).alias("index"), label)
     wide = spread(counts, label, "n", list(labels), fill=0)
@@ -49,7 +49,7 @@ def sentiment_arc(tokens: DataFrame, lex: DataFrame, key: str | Sequence[str],
 def valence_arc(tokens: DataFrame, lex: DataFrame, key: str | Sequence[str],
                 order: str = "line_no", size: int = 80, value: str = "value") -> DataFrame:
     """Sum of word values per (key, bucket)."""
-    keys = _as_list(key)
+    keys = as_list(key)
     labelled = join_lexicon(tokens, lex)
     return labelled.groupBy(*keys, bucket(order, size).alias("index")).agg(
         F.sum(value).alias("sentiment"))
@@ -59,7 +59,7 @@ def compare_lexicons(tokens: DataFrame, valence: DataFrame, polarity: DataFrame,
                      emotion: DataFrame, key: str | Sequence[str], order: str = "line_no",
                      size: int = 80, names=("AFINN", "Bing et al.", "NRC")) -> DataFrame:
     """Trajectories of three lexicons stacked with a ``method`` column."""
-    keys = _as_list(key)
+    keys = as_list(key)
     valued = valence_arc(tokens, valence, keys, order, size).withColumn("method", F.lit(names[0]))
     bing = join_lexicon(tokens, polarity).withColumn("method", F.lit(names[1]))
     nrc = join_lexicon(tokens, emotion.filter(F.col("sentiment").isin(*LABELS))) \
@@ -78,7 +78,7 @@ def lexicon_balance(lex: DataFrame, labels: Sequence[str] = LABELS, label: str =
 def sentiment_contrib(tokens: DataFrame, lex: DataFrame, k: int = 10,
                       by: str | Sequence[str] | None = None) -> DataFrame:
     """Word counts per label, top ``k`` words per label (ties kept)."""
-    keys = _as_list(by)
+    keys = as_list(by)
     counts = count_by(join_lexicon(tokens, lex), *keys, "word", "sentiment")
     return top_n(counts, k, "n", by=[*keys, "sentiment"])
 

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from textmine.operators.verbs import _as_list, null_safe_join, row_number_by
+from textmine.operators.verbs import as_list, null_safe_join, row_number_by
 
 # 97.5% quantile of the standard normal distribution (95% two-sided CI).
 Z_975 = 1.959963984540054
@@ -27,7 +27,7 @@ def cor_test(df: DataFrame, x: str, y: str, by: str | Sequence[str] | None = Non
     """Pearson correlation test on complete pairs per group: ``estimate``,
     ``n``, ``statistic`` (t), ``parameter`` (df) and the 95% confidence
     interval (Fisher z)."""
-    keys = _as_list(by)
+    keys = as_list(by)
     pairs = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
     agg = pairs.groupBy(*keys).agg(F.corr(x, y).alias("estimate"), F.count(F.lit(1)).alias("n"))
     r, n = F.col("estimate"), F.col("n")
@@ -101,7 +101,7 @@ def cor_test_p(df: DataFrame, x: str, y: str, by: str | Sequence[str] | None = N
 
 def loglog_fit(df: DataFrame, y: str, x: str, by: str | Sequence[str] | None = None) -> DataFrame:
     """Least-squares line of ``log10(y)`` on ``log10(x)`` per group."""
-    keys = _as_list(by)
+    keys = as_list(by)
     ly, lx = F.log10(F.col(y)), F.log10(F.col(x))
     return df.groupBy(*keys).agg(
         F.regr_intercept(ly, lx).alias("intercept"),
@@ -115,7 +115,7 @@ def histogram(df: DataFrame, x: str | F.Column, bins: int = 30, hi: float = 0.00
               by: str | Sequence[str] | None = None) -> DataFrame:
     """Counts in ``bins`` equal bins over [0, hi]; values above ``hi`` are
     dropped (an axis limit)."""
-    keys = _as_list(by)
+    keys = as_list(by)
     val = F.col(x) if isinstance(x, str) else x
     width = hi / bins
     binned = df.withColumn("_x", val).filter(F.col("_x") <= hi)
@@ -129,7 +129,7 @@ def five_number(df: DataFrame, x: str, by: str | Sequence[str] | None = None) ->
     Rows are numbered within each group by a range sort, and only the rows
     at the quantile positions are kept, so no group is gathered in a task.
     """
-    keys = _as_list(by)
+    keys = as_list(by)
     vals = df.select(*keys, F.col(x).alias("_x")).filter(F.col("_x").isNotNull())
     ranked = row_number_by(vals, keys, [F.col("_x").asc()], "_rn") if keys else \
         row_number_by(vals, [], [F.col("_x").asc()], "_rn")
@@ -156,7 +156,7 @@ def five_number(df: DataFrame, x: str, by: str | Sequence[str] | None = None) ->
 
 def trend(df: DataFrame, y: str | F.Column, x: str, by: str | Sequence[str] | None = None) -> DataFrame:
     """Linear trend of ``y`` over ``x`` per group (slope, intercept)."""
-    keys = _as_list(by)
+    keys = as_list(by)
     yc = F.col(y) if isinstance(y, str) else y
     return df.groupBy(*keys).agg(
         F.regr_slope(yc, F.col(x)).alias("slope"),

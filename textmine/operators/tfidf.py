@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from textmine.operators.verbs import _as_list, group_total, null_safe_join, row_number_by
+from textmine.operators.verbs import as_list, group_total, null_safe_join, row_number_by
 
 
 def term_share(counts: DataFrame, document: str | Sequence[str], n: str = "n",
@@ -61,8 +61,8 @@ def zipf(counts: DataFrame, by: str | Sequence[str] | None, term: str = "word",
     ``total_by`` (default: ``by``).  Ranks come from ``row_number_by`` (a
     range sort), so one large group is spread over many tasks.
     """
-    by = _as_list(by)
-    total_by = by if total_by is None else _as_list(total_by)
+    by = as_list(by)
+    total_by = by if total_by is None else as_list(total_by)
     if total_by:
         with_total = group_total(counts, n, total_by, "total")
     else:

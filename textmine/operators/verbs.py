@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 _LOCAL_BITS = 33  # monotonically_increasing_id: partition id above bit 33
 
 
-def _as_list(x) -> list:
+def as_list(x) -> list:
     if x is None:
         return []
     if isinstance(x, (str, Column)):
@@ -78,7 +78,7 @@ def top_n(df: DataFrame, n: int, wt: str | Column | None = None,
     the cut are all kept (``rank() <= n``).  ``wt=None`` uses the last column.
     Rows with a NULL weight are never selected.
     """
-    by = _as_list(by)
+    by = as_list(by)
     tmp = None
     if wt is None:
         wt_col = F.col(df.columns[-1])
@@ -101,7 +101,7 @@ def share(df: DataFrame, value: str = "n", by: str | Sequence[str] | None = None
     """``value / sum(value)`` within each group (whole table when ``by`` is
     empty).  The totals are a partial aggregate joined back on the group key.
     """
-    by = _as_list(by)
+    by = as_list(by)
     if not by:
         total = df.select(F.sum(value)).scalar()
         return df.withColumn(out, F.col(value) / total)
@@ -113,7 +113,7 @@ def share(df: DataFrame, value: str = "n", by: str | Sequence[str] | None = None
 
 def group_total(df: DataFrame, value: str, by: str | Sequence[str], out: str) -> DataFrame:
     """Repeat the group sum of ``value`` on every row of the group."""
-    by = _as_list(by)
+    by = as_list(by)
     totals = df.groupBy(*by).agg(F.sum(value).alias(out))
     return null_safe_join(df, totals, by, "inner").select(*df.columns, out)
 
@@ -180,7 +180,7 @@ def complete(df: DataFrame, a: str | Sequence[str], b: str | Sequence[str],
     Existing rows (duplicates included) are kept; new combinations get NULL
     or the ``fill`` value.  The grid is built by ``block_product``.
     """
-    a, b = _as_list(a), _as_list(b)
+    a, b = as_list(a), as_list(b)
     grid = block_product(df.select(*a).distinct(), df.select(*b).distinct())
     out = null_safe_join(grid, df, a + b, "left")
     for c, v in (fill or {}).items():
@@ -267,7 +267,7 @@ def with_order(df: DataFrame, wt: str, key: str, by: str | Sequence[str] | None
                out: str = "ord") -> DataFrame:
     """Display order (1 = smallest ``wt``, ties by ``key``), optionally within
     facets.  Meant for already cut top-k tables, whose size is bounded."""
-    by = _as_list(by)
+    by = as_list(by)
     window = (Window.partitionBy(*by) if by else Window).orderBy(F.col(wt), F.col(key))
     return df.withColumn(out, F.row_number().over(window).cast("long"))
 
@@ -309,7 +309,7 @@ def row_number_by(df: DataFrame, by: str | Sequence[str], order: Sequence[str |
     """1-based row number within each ``by`` group in ``order`` (a total
     order within the group), without gathering a group into one task:
     global number minus the group's first global number."""
-    by = _as_list(by)
+    by = as_list(by)
     if not by:
         return global_row_number(df, order, out)
     numbered = global_row_number(df, [*[F.col(c).asc_nulls_first() for c in by], *order], "_g")
@@ -327,7 +327,7 @@ def running_sum(df: DataFrame, value: str | Column, by: str | Sequence[str], ord
     piece plus the sum of all earlier pieces, so no task holds more than
     ``chunk`` rows of one group.
     """
-    by = _as_list(by)
+    by = as_list(by)
     val = F.col(value) if isinstance(value, str) else value
     piece = F.floor(F.col(order) / chunk).cast("long")
     base = df.withColumn("_rs_v", val).withColumn("_rs_piece", piece)
