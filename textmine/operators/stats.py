@@ -131,8 +131,7 @@ def five_number(df: DataFrame, x: str, by: str | Sequence[str] | None = None) ->
     """
     keys = as_list(by)
     vals = df.select(*keys, F.col(x).alias("_x")).filter(F.col("_x").isNotNull())
-    ranked = row_number_by(vals, keys, [F.col("_x").asc()], "_rn") if keys else \
-        row_number_by(vals, [], [F.col("_x").asc()], "_rn")
+    ranked = row_number_by(vals, keys, [F.col("_x").asc()], "_rn")
     if keys:
         sizes = vals.groupBy(*keys).agg(F.count(F.lit(1)).alias("_cnt"))
         ranked = null_safe_join(ranked, sizes, keys)

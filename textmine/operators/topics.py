@@ -23,7 +23,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from textmine.operators.verbs import count_by, null_safe_join, separate, share, top_n
+from textmine.operators.verbs import count_by, separate, share, top_n
 from textmine.sources.matrix import cast_dtm
 
 
