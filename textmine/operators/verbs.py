@@ -352,7 +352,7 @@ def block_product(left: DataFrame, right: DataFrame, block_rows: int = 2048) ->
     pair, one pair per partition, so every task builds at most about
     ``block_rows``² rows.  Column names of the two sides must differ.
 
-    Runs one counting job to size the grid.
+    Eager: counts both sides (two small jobs) to size the grid.
     """
     n_left, n_right = left.count(), right.count()
     b_left = max(1, math.ceil(n_left / block_rows))
