@@ -32,7 +32,7 @@ PAT = q(WORD_PATTERN)
 STOP = values([(w,) for lang in FX.STOP_LANGS for w in default_stop_words(lang)], ["word"])
 POLARITY = values(FX.POLARITY, ["word", "sentiment"])
 EMOTION = values(FX.EMOTION, ["word", "sentiment"])
-VALENCE = values(FX.VALENCE, ["word", "value"])
+VALENCE = f"(SELECT word, CAST(value AS BIGINT) AS value FROM {values(FX.VALENCE, ['word', 'value'])})"
 
 DOC_TOKENS = f"""doc_tokens AS (
   SELECT doc_id, lang, source, unnest(regexp_extract_all(lower(text), {PAT})) AS word
@@ -575,7 +575,7 @@ sql("saved_word_freq", with_(DOC_TOKENS) + "SELECT word, count(*) AS n FROM doc_
 
 # --------------------------------------------------------------------------- step 9
 
-TOPIC_OF = "CASE lang WHEN 'de' THEN 1 WHEN 'en' THEN 2 WHEN 'es' THEN 3 WHEN 'fr' THEN 4 END"
+TOPIC_OF = "CAST(CASE lang WHEN 'de' THEN 1 WHEN 'en' THEN 2 WHEN 'es' THEN 3 WHEN 'fr' THEN 4 END AS BIGINT)"
 LANG_MODEL = f"""trip AS (
   SELECT lang || '_' || CAST(doc_id AS VARCHAR) AS document, lang, word AS term, count(*) AS count
   FROM clean_doc_tokens GROUP BY lang, doc_id, word),
