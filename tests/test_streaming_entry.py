@@ -65,3 +65,17 @@ def test_queries_match_sql(spark, duck, name):
     assert sorted(df.columns) == sorted(dcols)
     assert len(srows) == len(drows)
     assert digest(df.columns, srows) == digest(dcols, drows)
+
+
+def test_streaming_lexicon_labels_equal_batch(spark):
+    lex = lexicons.lexicon(spark, [("the", "positive"), ("of", "negative"), ("and", "positive")],
+                           ["word", "sentiment"])
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = document_stream(spark, SF, schema, glob="documents.parquet")
+    labelled = V.count_by(V.join_lexicon(tok.unnest_tokens(docs.select("lang", "text"), "word"), lex),
+                          "lang", "sentiment")
+    run_available(labelled, "stream_sentiment_test")
+    streamed = spark.sql("SELECT * FROM stream_sentiment_test")
+    batch_docs = spark.read.parquet(f"{SF}/documents.parquet").select("lang", "text")
+    batch = V.count_by(V.join_lexicon(tok.unnest_tokens(batch_docs, "word"), lex), "lang", "sentiment")
+    assert rows(streamed) == rows(batch)
