@@ -161,13 +161,19 @@ def line_ngrams(lines_df: DataFrame, by: str | Sequence[str], n: int = 2, order:
     key.  Each line then builds the n-grams that start in it from its own
     words plus at most n-1 continuation words.  ``position`` is the
     n-gram's start in the document; a document with fewer than ``n`` words
-    gives one NULL n-gram when ``keep_short``.
+    gives one NULL n-gram when ``keep_short``.  Eager: the lines' word
+    arrays and their positions are checkpointed once, so the regex runs
+    once however many branches read them.
     """
+    from textmine.session import ensure_checkpoint_dir
+
     keys = [by] if isinstance(by, str) else list(by)
+    ensure_checkpoint_dir(lines_df.sparkSession)
+    # every branch below reads the lines' word arrays: tokenise once
     words = (lines_df.select(*keys, order, word_array(text).alias("_w"))
-             .withColumn("_s", F.size("_w").cast("long")))
+             .withColumn("_s", F.size("_w").cast("long"))).checkpoint(eager=True)
     ends = running_sum(words, "_s", keys, order, "_end", chunk=chunk) \
-        .withColumn("_start", F.col("_end") - F.col("_s")).filter(F.col("_s") > 0)
+        .withColumn("_start", F.col("_end") - F.col("_s")).filter(F.col("_s") > 0).checkpoint(eager=True)
     heads = ends.select(*keys, "_start", F.posexplode(F.slice("_w", 1, n - 1)).alias("_k", "_word")) \
         .select(*keys, (F.col("_start") + F.col("_k") + 1).alias("_p"), "_word")
     needs = ends.select(*keys, order, "_end", F.explode(F.sequence(F.lit(1), F.lit(n - 1))).alias("_k")) \
