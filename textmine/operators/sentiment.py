@@ -99,15 +99,26 @@ def comparison_terms(counts: DataFrame, k: int = 100, classes: Sequence[str] = L
     Each class column becomes a share of its column total; a word's score
     per class is its share minus its mean share over classes; the word goes
     to its best class and the ``k`` highest scores are kept (ties by word).
+    Eager: the word x class table is checkpointed and its column totals
+    (one number per class) are read once.
     """
-    wide = spread(counts.select(word, label, n), label, n, list(classes), fill=0)
-    shares = {c: F.col(c) / wide.select(F.sum(c)).scalar() for c in classes}
-    mean = sum(shares.values()) / F.lit(len(classes))
-    diffs = {c: shares[c] - mean for c in classes}
-    best = F.greatest(*diffs.values())
-    group = F.coalesce(*[F.when(diffs[c] == best, F.lit(c)) for c in classes])
-    scored = wide.withColumn("freq", best).withColumn("group", group)
-    return scored.orderBy(F.desc("freq"), word).limit(k)
+    from textmine.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(counts.sparkSession)
+    # the word x class table is read by one total per class and by the
+    # scoring: compute it once
+    wide = spread(counts.select(word, label, n), label, n, list(classes), fill=0).checkpoint(eager=True)
+    totals = wide.agg(*[F.sum(c).alias(c) for c in classes]).first()
+    scored = wide
+    for c in classes:
+        scored = scored.withColumn(f"_share_{c}", F.try_divide(F.col(c), F.lit(float(totals[c] or 0))))
+    scored = scored.withColumn("_mean", sum(F.col(f"_share_{c}") for c in classes) / F.lit(len(classes)))
+    for c in classes:
+        scored = scored.withColumn(f"_diff_{c}", F.col(f"_share_{c}") - F.col("_mean"))
+    scored = scored.withColumn("freq", F.greatest(*[F.col(f"_diff_{c}") for c in classes]))
+    scored = scored.withColumn("group", F.coalesce(*[F.when(F.col(f"_diff_{c}") == F.col("freq"), F.lit(c))
+                                                     for c in classes]))
+    return scored.select(word, *classes, "freq", "group").orderBy(F.desc("freq"), word).limit(k)
 
 
 def negative_ratio(tokens: DataFrame, negative: DataFrame, doc: str, section: str) -> DataFrame:

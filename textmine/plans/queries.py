@@ -313,7 +313,8 @@ def valence_arc(spark, d):
 
 @query
 def compare_lexicons(spark, d):
-    en = line_tokens(spark, d).filter(F.col("lang") == "en")
+    en = corpus.materialize(line_tokens(spark, d).filter(F.col("lang") == "en")
+                            .select("doc_id", "line_no", "word"))
     return SE.compare_lexicons(en, valence(spark), polarity(spark), emotion(spark), "doc_id",
                                size=FX.BUCKET_LINES)
 
@@ -329,8 +330,10 @@ def sentiment_contrib_by_lang(spark, d):
 
 
 def chapter_tokens(spark, d) -> DataFrame:
+    """Tokens with their chapter, computed once (several branches read them)."""
     seg = tok.segment_by_marker(doc_lines(spark, d), FX.MARKER, by="doc_id")
-    return tok.unnest_tokens(seg, "word", "text", position="pos")
+    return corpus.materialize(tok.unnest_tokens(seg, "word", "text", position="pos")
+                              .select("doc_id", "chapter", "line_no", "pos", "word"))
 
 
 @query
