@@ -1,6 +1,6 @@
-"""Registered queries (``QUERIES``) and their SQL equivalents (``ORACLE``)."""
+"""Registered queries (``QUERIES``); their SQL equivalents live in
+``textmine.plans.oracle`` and are imported only when asked for."""
 
-from textmine.plans.oracle import ORACLE
 from textmine.plans.queries import QUERIES
 
-__all__ = ["ORACLE", "QUERIES"]
+__all__ = ["QUERIES"]
