@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -54,3 +55,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="textmine-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's modules to the executors, once per session, so
+    that Python functions run there without an installed copy.  Spark serves
+    the file from the driver; nothing else on the driver's disk is read.
+    """
+    sc = spark.sparkContext
+    root = os.path.dirname(os.path.abspath(__file__))
+    if getattr(sc, "_textmine_shipped", False) or not os.path.isdir(root):
+        return  # already sent, or itself loaded from a shipped archive
+    path = os.path.join(tempfile.mkdtemp(prefix="textmine-"), "textmine_package.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as out:
+        for folder, _, names in os.walk(root):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    out.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(path)
+    sc._textmine_shipped = True
