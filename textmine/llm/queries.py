@@ -135,8 +135,8 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     join = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(
         ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
     base = F.filter("spans", lambda s: s["kind"].isin(*secrets.KINDS[:3]))
-    counts = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}")
-              for k in secrets.KINDS[:3]]
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    counts = [count(kind).alias(f"n_{kind}") for kind in secrets.KINDS[:3]]
     return found.select("doc_id", *counts, sha256(join(base)).alias("base_sha256"), join(F.col("spans")).alias("spans"))
 
 
