@@ -138,11 +138,13 @@ def plan(df: DataFrame, key: str = "doc_id", source: str = "source", text: str =
                     F.filter(begin, lambda x: x.isNotNull()).alias("positions")))
 
 
-def range_sorted(planned: DataFrame) -> DataFrame:
+def range_sorted(planned: DataFrame, key: str = "doc_id") -> DataFrame:
     """Rows ordered by the training progress of their first copy, by a range
-    exchange; rows that are never taken come last."""
+    exchange; rows that are never taken come last, at 2.  A hash of the key
+    orders equal positions, so that they do not fall into one range."""
     first = F.coalesce(F.get("positions", F.lit(0)), F.lit(2.0))
-    return planned.withColumn("position", first).repartitionByRange(F.col("position")).sortWithinPartitions("position")
+    order = [F.col("position"), F.xxhash64(F.col(f"`{key}`"))]
+    return planned.withColumn("position", first).repartitionByRange(*order).sortWithinPartitions(*order)
 
 
 def mix(df: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text",
