@@ -4,6 +4,8 @@ vertex's neighbours are ever gathered in one place."""
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,22 +25,29 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.union(least.select("a", F.col("m").alias("b")))
 
 
+#: Edges of one partition while a step runs: small edge tables are not spread
+#: over many tasks.
+PART_EDGES = 20_000
+
+
 def components(edges: DataFrame, limit: int = 60) -> DataFrame:
     """``vertex, component``: for every vertex of ``edges`` (``a, b``, longs)
     that is not the smallest of its component, that smallest vertex."""
-    def clean(e: DataFrame) -> DataFrame:
-        return checkpointed(e.filter("a <> b").distinct())
+    def clean(e: DataFrame, parts: int) -> DataFrame:
+        return checkpointed(e.filter("a <> b").coalesce(parts).distinct().coalesce(parts))
 
     def mark(e: DataFrame) -> tuple:
         r = e.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
         return r["n"], r["h"]
 
-    edges = clean(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")))
+    edges = checkpointed(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+                         .filter("a <> b").distinct())
     seen = mark(edges)
     for _ in range(limit):
         if not seen[0]:
             break
-        edges = clean(_small_star(_large_star(edges)))
+        parts = max(1, math.ceil(seen[0] / PART_EDGES))
+        edges = clean(_small_star(_large_star(edges.coalesce(parts)).coalesce(parts)), parts)
         now = mark(edges)
         if now == seen:
             return edges.select(F.col("a").alias("vertex"), F.col("b").alias("component"))

@@ -20,7 +20,7 @@ that repeat a key are one vertex, linked with all that any of them links to.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -38,9 +38,12 @@ TREES = 10
 #: 0.8 keeps 1 branch in the mean (1.25 branches, each shared with chance 0.8).
 SECOND = 0.25
 #: Largest node compared exhaustively, and most levels of branching.
-NODE, LEVELS = 512, 40
+NODE, LEVELS = 4096, 40
 #: Coordinates that must agree to pass: 3.6 standard deviations under 0.8.
 AGREE = 40
+#: Documents of a large node that all its rows are held against, and the
+#: coordinates that must agree to put a row into a pivot's cluster.
+PIVOTS, STAR = 8, 32
 #: Set elements of one block of a cluster, and the least a document counts.
 BLOCK, LEAST = 1_500_000, 400
 #: Cluster members up to which their keys are broadcast to fetch texts.
@@ -112,54 +115,69 @@ def _signatures(column: pa.Array) -> np.ndarray:
 
 
 def _branch(rows: DataFrame, trees: int) -> DataFrame:
-    """``node, doc`` one level down; ``rows`` without a node are at the roots
-    of all trees."""
-    at_root = "node" not in rows.columns
-
+    """``node, doc``: the first nodes of every document (``doc, sig``) below
+    the roots of all trees."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             sig, doc = _signatures(batch.column("sig")), batch.column("doc").to_numpy()
-            if at_root:
-                node = np.repeat(mix(np.arange(1, trees + 1, dtype=np.uint64)), len(doc))
-                sig, doc = np.tile(sig, (trees, 1)), np.tile(doc, trees)
-            else:
-                node = batch.column("node").to_numpy().view(np.uint64)
-            row, child = _children(node, sig)
+            node = np.repeat(mix(np.arange(1, trees + 1, dtype=np.uint64)), len(doc))
+            row, child = _children(node, np.tile(sig, (trees, 1)))
+            doc = np.tile(doc, trees)
             yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), pa.array(doc[row])],
                                              names=["node", "doc"])
 
     return rows.mapInArrow(run, "node long, doc long")
 
 
+def spanning(n: int, first: int, near: Callable[[int], np.ndarray]) -> np.ndarray:
+    """Spanning links (pairs of positions) of ``n`` rows, where ``near(x)``
+    gives the rows linked with ``x``; with ``first`` < n only links that
+    touch one of the first rows count.
+
+    Rows of the largest part are expanded while that pays; then every row
+    outside it is expanded, so no link between two parts is missed, while the
+    rows of one large part are not all compared with each other."""
+    label, done, links = np.arange(n), np.zeros(n, bool), []
+
+    def expand(x: int) -> bool:
+        done[x] = True
+        found = near(x)
+        parts, at = np.unique(label[found], return_index=True)
+        new = parts != label[x]
+        if not new.any():
+            return False
+        links.extend((x, int(y)) for y in found[at[new]])
+        merged = np.append(parts, label[x])
+        label[np.isin(label, merged)] = merged.min()
+        return True
+
+    idle, anchor = 0, -1
+    while first == n and idle < 4:
+        inside = label == np.bincount(label).argmax()
+        open_ = np.flatnonzero(inside & ~done)
+        anchor = int(np.flatnonzero(inside)[0])
+        if not len(open_):
+            break
+        idle = 0 if expand(int(open_[len(open_) // 2])) else idle + 1
+    for x in range(first):
+        if not done[x] and (anchor < 0 or label[x] != label[anchor]):
+            expand(x)
+    return np.array(links, np.int64).reshape(-1, 2)
+
+
 def _passing(sig: np.ndarray) -> np.ndarray:
-    """Rows (of one node) joined to an earlier row that agrees enough: a
-    spanning forest as pairs of positions."""
-    n = len(sig)
-    agree = np.zeros((n, n), np.uint8)
-    for c in range(COORDINATES):
-        agree += sig[:, c][:, None] == sig[:, c][None, :]
-    linked = agree >= AGREE
-    found, todo = [], np.ones(n, bool)
-    for start in range(n):
-        if not todo[start]:
-            continue
-        todo[start] = False
-        front = [start]
-        while front:
-            at = front.pop()
-            new = np.flatnonzero(linked[at] & todo)
-            todo[new] = False
-            found += [(at, x) for x in new.tolist()]
-            front += new.tolist()
-    return np.array(found, np.int64).reshape(-1, 2)
+    """Spanning links of the rows of one node that agree enough."""
+    by_coordinate = np.ascontiguousarray(sig.T)
+    return spanning(len(sig), len(sig), lambda x: np.flatnonzero(
+        (by_coordinate == by_coordinate[:, x:x + 1]).sum(axis=0, dtype=np.uint8) >= AGREE))
 
 
 def _node_links(members: DataFrame) -> DataFrame:
     """``a, b``: spanning links of what passes inside each node.  Rows come
     hashed and sorted by node; nodes of up to 16 rows are compared together,
-    larger ones (at most ``NODE`` rows) each in a matrix."""
+    larger ones (at most ``NODE`` rows) each by itself."""
     def compare(node: np.ndarray, doc: np.ndarray, sig: np.ndarray) -> pa.RecordBatch:
         edge = np.flatnonzero(np.append(True, node[1:] != node[:-1]))
         size = np.diff(np.append(edge, len(node)))
@@ -199,85 +217,103 @@ def _node_links(members: DataFrame) -> DataFrame:
     return members.repartition("node").sortWithinPartitions("node").mapInArrow(run, "a long, b long")
 
 
+def _pivot_groups(pivots: np.ndarray) -> np.ndarray:
+    """The connected part of each pivot among the pivots of its node."""
+    near = (pivots[:, None, :] == pivots[None, :, :]).sum(axis=2) >= STAR
+    part = np.arange(len(pivots))
+    for _ in range(len(pivots)):
+        part = np.where(near, part[None, :], len(pivots)).min(axis=1)
+    return part
+
+
+def _open_up(large: DataFrame) -> DataFrame:
+    """For the rows (``node, doc, sig``) of large nodes: ``node, doc, pivot,
+    part, children``.  A row is held against a few documents of its node;
+    ``pivot`` is the first that agrees in ``STAR`` coordinates (null: none),
+    ``part`` the pivots' connected part that it belongs to (-1: none), and
+    ``children`` are its branches."""
+    slot = F.pmod(F.xxhash64("doc", "node"), F.lit(PIVOTS))
+    few = large.groupBy("node", slot.alias("slot")).agg(F.min(F.struct("doc", "sig")).alias("one"))
+    rows = large.join(few.groupBy("node").agg(F.collect_list("one").alias("pivots")), "node")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            node, doc = batch.column("node").to_numpy(), batch.column("doc").to_numpy()
+            sig, lists = _signatures(batch.column("sig")), batch.column("pivots")
+            pivot, part = np.zeros(len(doc), np.int64), np.full(len(doc), -1, np.int64)
+            edge = np.append(np.flatnonzero(np.append(True, node[1:] != node[:-1])), len(node))
+            for a, b in zip(edge[:-1].tolist(), edge[1:].tolist()):
+                ids = lists[a].values.field("doc").to_numpy()
+                theirs = _signatures(lists[a].values.field("sig"))
+                group = _pivot_groups(theirs)
+                near = np.stack([(sig[a:b] == t).sum(axis=1) >= STAR for t in theirs], axis=1)
+                # a pivot names one of its own part, so that parts hang together
+                lowest = np.where(near, group, len(ids)).min(axis=1)
+                pivot[a:b] = ids[np.minimum(lowest, len(ids) - 1)]
+                part[a:b] = np.where(lowest < len(ids), lowest, -1)
+            row, child = _children(node.view(np.uint64), sig)
+            order = np.argsort(row, kind="stable")
+            offsets = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(doc)))]).astype(np.int32)
+            children = pa.ListArray.from_arrays(offsets, pa.array(child[order].view(np.int64)))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(node), pa.array(doc), pa.array(pivot, mask=part < 0), pa.array(part), children],
+                names=["node", "doc", "pivot", "part", "children"])
+
+    return rows.sortWithinPartitions("node").mapInArrow(
+        run, "node long, doc long, pivot long, part long, children array<long>")
+
+
 def candidate_links(reps: DataFrame, trees: int = TREES, node_rows: int = NODE, levels: int = LEVELS) -> DataFrame:
     """``a, b``: spanning links of documents whose signatures agree, found in
-    nodes of the trees.  ``reps`` has ``doc, sig``, one row per signature."""
+    nodes of the trees.  ``reps`` has ``doc, sig``, one row per signature.
+
+    A node of up to ``node_rows`` rows is compared exhaustively.  The rows of
+    a larger one are first held against its pivots; a node whose rows all
+    belong to one part is done, any other branches again."""
     spark = reps.sparkSession
     keys, found = _branch(reps, trees), spark.createDataFrame([], "a long, b long")
     for level in range(levels):
         sizes = keys.groupBy("node").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
-        shared = checkpointed(keys.join(sizes, "node"))
+        shared = checkpointed(keys.join(sizes, "node").join(reps, "doc").select("node", "doc", "rows", "sig"))
         largest = shared.agg(F.max("rows")).first()[0] or 0
-        small = shared.filter(F.col("rows") <= node_rows).join(reps, "doc").select("node", "doc", "sig")
-        found = found.union(checkpointed(_node_links(small).distinct()))
+        small = shared.filter(F.col("rows") <= node_rows).select("node", "doc", "sig")
+        found = found.union(checkpointed(_node_links(small)))
         if largest <= node_rows:
             return found
-        large = shared.filter(F.col("rows") > node_rows).join(reps, "doc").select("node", "doc", "sig")
+        large = shared.filter(F.col("rows") > node_rows)
         if level == levels - 1:
             # what so many branchings left together: blocks of a bounded size
             parts = F.ceil(F.col("rows") / node_rows)
-            dealt = shared.filter(F.col("rows") > node_rows).withColumn(
-                "node", F.xxhash64("node", F.pmod(F.xxhash64("doc"), parts)))
-            star = shared.filter(F.col("rows") > node_rows).groupBy("node").agg(F.min("doc").alias("b"))
-            star = shared.join(star, "node").filter("doc <> b").select(F.col("doc").alias("a"), "b")
-            blocks = dealt.join(reps, "doc").select("node", "doc", "sig")
-            return found.union(checkpointed(_node_links(blocks).union(star).distinct()))
-        keys = _branch(large, trees)
+            dealt = large.withColumn("node", F.xxhash64("node", F.pmod(F.xxhash64("doc"), parts)))
+            star = large.groupBy("node").agg(F.min("doc").alias("b"))
+            star = large.join(star, "node").filter("doc <> b").select(F.col("doc").alias("a"), "b")
+            return found.union(checkpointed(_node_links(dealt.select("node", "doc", "sig")).union(star)))
+        opened = checkpointed(_open_up(large.select("node", "doc", "sig")))
+        found = found.union(opened.filter("pivot is not null and pivot <> doc").select(
+            F.col("doc").alias("a"), F.col("pivot").alias("b")))
+        mixed = opened.groupBy("node").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).filter(
+            "lo < hi or lo < 0").select("node")
+        keys = opened.join(mixed, "node", "left_semi").select(F.explode("children").alias("node"), "doc")
     return found
 
 
-def _exact(sets: list[np.ndarray], first: int, similarity: int) -> list[tuple[int, int]]:
-    """Spanning links at ``100 * intersection >= similarity * union``.  With
-    ``first`` < len(sets) only links that touch one of the first sets count.
-
-    Documents reached are expanded while that pays; then every document not
-    reached is expanded once, so no link between two parts is missed."""
-    n = len(sets)
+def _exact(sets: list[np.ndarray], first: int, similarity: int) -> np.ndarray:
+    """Spanning links at ``100 * intersection >= similarity * union``."""
     size = np.array([len(s) for s in sets])
     offsets = np.concatenate([[0], np.cumsum(size)])
     _, ids = np.unique(np.concatenate(sets), return_inverse=True)
     flag = np.zeros(ids.max() + 1, bool)
-    parent = np.arange(n)
-
-    def root(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
 
-    links = []
-
-    def expand(x: int) -> int:
-        flag[ids[offsets[x]:offsets[x + 1]]] = True
+    def near(x: int) -> np.ndarray:
+        mine = ids[offsets[x]:offsets[x + 1]]
+        flag[mine] = True
         common = np.add.reduceat(flag[ids], offsets[:-1], dtype=np.int64)
-        flag[ids[offsets[x]:offsets[x + 1]]] = False
-        near = np.flatnonzero(100 * common >= similarity * (size + size[x] - common))
-        new = 0
-        for y in near.tolist():
-            a, b = root(x), root(y)
-            if a != b:
-                parent[max(a, b)] = min(a, b)
-                links.append((x, y))
-                new += 1
-        return new
-
-    done = np.zeros(n, bool)
-    idle = 0
-    while first == n and idle < 4:
-        # expand a document of the largest part that is not expanded yet
-        tops = np.array([root(x) for x in range(n)])
-        open_ = np.flatnonzero((tops == np.bincount(tops).argmax()) & ~done)
-        if not len(open_):
-            break
-        x = int(open_[len(open_) // 2])
-        done[x] = True
-        idle = 0 if expand(x) else idle + 1
-    tops = np.array([root(x) for x in range(n)])
-    large = np.bincount(tops).argmax() if first == n else -1
-    for x in range(first):
-        if not done[x] and tops[x] != large:
-            expand(x)
-    return links
+        flag[mine] = False
+        return np.flatnonzero(100 * common >= similarity * (size + size[x] - common))
+
+    return spanning(len(sets), first, near)
 
 
 def cluster_links(docs: DataFrame, members: DataFrame, key: str, text: str, words: int, similarity: int,
@@ -311,7 +347,7 @@ def cluster_links(docs: DataFrame, members: DataFrame, key: str, text: str, word
             right[right] = ~pdf["cid"][right].duplicated().to_numpy()
             sets = [s for s, r in zip(sets, right) if r]
             ids, first = pdf["cid"].to_numpy()[right], int(pdf["out"].to_numpy()[right].sum())
-            got = np.array(_exact(sets, first, similarity) if first and len(sets) > 1 else [], np.int64).reshape(-1, 2)
+            got = _exact(sets, first, similarity) if first and len(sets) > 1 else np.zeros((0, 2), np.int64)
             return pd.DataFrame({"a": ids[got[:, 0]], "b": ids[got[:, 1]]})
 
         wanted = groups.select("cluster", "cid", "doc", "fp1", "block", "out")
