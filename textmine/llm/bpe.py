@@ -188,7 +188,7 @@ def pair_table(ranks: dict[bytes, int]) -> HashTable:
 class Vocabulary:
     """Merge ranks, the bytes of every id, and a bounded cache of pieces."""
 
-    def __init__(self, ranks: dict[bytes, int], cache_pieces: int = 400_000):
+    def __init__(self, ranks: dict[bytes, int], cache_pieces: int = 200_000):
         self.ranks, self.cache_pieces = ranks, cache_pieces
         self.cache: dict[str, bytes] = {}
         size = max(ranks.values()) + 1 if ranks else 0
@@ -350,7 +350,7 @@ def encode(df: DataFrame, ranks: Ranks, text: str = "text", keep: list[str] | No
         return [pa.ListArray.from_arrays(offsets, pa.array(values)) for values in
                 (out, (upto[1:] - base).astype(np.int32))]
 
-    return add_columns(df, text, f"`{ids}` array<int>, `{ends}` array<int>", make, keep)
+    return add_columns(df, text, f"`{ids}` array<int>, `{ends}` array<int>", make, keep, limit=1_000_000)
 
 
 def decode(df: DataFrame, ranks: Ranks, ids: str = "ids", keep: list[str] | None = None,
@@ -370,4 +370,4 @@ def decode(df: DataFrame, ranks: Ranks, ids: str = "ids", keep: list[str] | None
         return [pa.Array.from_buffers(pa.large_binary(), len(rows),
                                       [None, pa.py_buffer(upto.tobytes()), pa.py_buffer(data.tobytes())])]
 
-    return add_columns(df, ids, f"`{out}` binary", make, keep)
+    return add_columns(df, ids, f"`{out}` binary", make, keep, limit=1_000_000)
