@@ -84,9 +84,19 @@ class Vocabulary:
 
 
 def vocabulary(counts: DataFrame, size: int) -> Vocabulary:
-    """The ``size`` most frequent words (ties by hash) and sums by ending
-    over all words; ``counts`` as made by ``count_words``."""
-    known = counts.orderBy(F.desc("n"), "word").limit(size).collect()
+    """The most frequent words and sums by ending over all words; ``counts``
+    as made by ``count_words``.  Words go in by steps of their count (16 to
+    a doubling) as long as all of a step fit into ``size``, so that only
+    these words reach the driver."""
+    step = F.floor(F.log2("n") * 16).cast("int")
+    steps = counts.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("words")).collect()
+    least, room = 1 << 30, size
+    for r in sorted(steps, key=lambda r: -r["step"]):
+        room -= r["words"]
+        if room < 0:
+            break
+        least = r["step"]
+    known = sorted(counts.filter(step >= least).collect(), key=lambda r: (-r["n"], r["word"]))
     word = np.array([r["word"] for r in known], np.int64)
     ending = np.array([r["ending"] for r in known], np.int64)
     n = np.array([r["n"] for r in known], float)

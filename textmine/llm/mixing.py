@@ -27,7 +27,7 @@ from textmine.llm.common import checkpointed
 
 Knots = Sequence[tuple[float, float]]
 #: Rows that one window over a hash bucket sees (about).
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 1_000
 
 
 def count_words(text: Column) -> Column:
@@ -109,7 +109,7 @@ def plan(df: DataFrame, key: str = "doc_id", source: str = "source", text: str =
         [(r["source"], r["words"], t, _segments(k)) for r, t, k in zip(totals, want, knots)],
         "source string, source_size long, target double, "
         "segments array<struct<u0:double,u1:double,t:double,w:double,k:double>>")
-    buckets = max(1, math.ceil(max([r["rows"] for r in totals], default=0) / BUCKET_ROWS)) * 8
+    buckets = max(1, math.ceil(max([r["rows"] for r in totals], default=0) / BUCKET_ROWS))
     once = once.withColumn("_b", F.pmod("_h", F.lit(buckets)))
     mass = F.col("size") * F.col("copies")
     sums = once.groupBy("source", "_b").agg(F.sum(mass).alias("_sum"))

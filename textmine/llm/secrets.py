@@ -43,7 +43,7 @@ PLACEHOLDERS = frozenset({"none", "null", "true", "false", "undefined", "changem
 
 _OPERATOR = re.compile(r"[=:]+>?")
 _NAME_END = re.compile(r"[A-Za-z0-9_.$-]")
-_VALUE = re.compile(r"""[ \t]*(?:"((?:[^"\\\n]|\\.)*)"|'((?:[^'\\\n]|\\.)*)'|([^\s,;"'(){}\[\]<>]+|\$\{[^}\s]*\}))""")
+_VALUE = re.compile(r"""[ \t]*(?:"((?:[^"\\\n]|\\.)*)"|'((?:[^'\\\n]|\\.)*)'|(\$\{[^}\s]*\}|[^\s,;"'(){}\[\]<>]+))""")
 _REFERENCE = re.compile(r"\$\{([A-Za-z_][\w.]*)\}|\$?([A-Za-z_][\w.]*)", re.ASCII)
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
 
