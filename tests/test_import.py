@@ -20,3 +20,11 @@ def test_entry_imports_from_zipped_pyspark(tmp_path):
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True,
                           env=os.environ | {"PYTHONPATH": ":".join([*zips, REPO])}, timeout=120)
     assert done.returncode == 0, done.stderr[-2000:]
+
+
+def test_ngrams_of_any_length(spark):
+    from textmine.operators.ngrams import count_ngrams
+
+    df = spark.createDataFrame([("a b c d e f g",)], "text string")
+    out = count_ngrams(df, 6)
+    assert out.columns == [*(f"word{i}" for i in range(1, 7)), "n"] and out.count() == 2

@@ -10,12 +10,15 @@ from pyspark.sql import functions as F
 from textmine.operators.tokens import unnest_tokens
 from textmine.operators.verbs import as_list, count_by, drop_stop_ngrams, join_lexicon, top_n
 
-WORD_COLS = ("word1", "word2", "word3", "word4", "word5")
+
+def word_cols(n: int) -> list[str]:
+    """Column names of an n-gram's words."""
+    return [f"word{i}" for i in range(1, n + 1)]
 
 
 def ngram_words(df: DataFrame, n: int = 2, text: str = "text", position: str | None = None) -> DataFrame:
     """One row per n-gram with one column per word (``word1``...)."""
-    return unnest_tokens(df, "ngram", text, "ngrams", n=n, into=list(WORD_COLS[:n]), position=position)
+    return unnest_tokens(df, "ngram", text, "ngrams", n=n, into=word_cols(n), position=position)
 
 
 def count_ngrams(df: DataFrame, n: int, stop: DataFrame | None = None, text: str = "text",
@@ -23,7 +26,7 @@ def count_ngrams(df: DataFrame, n: int, stop: DataFrame | None = None, text: str
     """Counts of n-grams (one column per word), optionally without any stop
     word in any position (NULL words kept)."""
     grams = ngram_words(df, n, text)
-    cols = list(WORD_COLS[:n])
+    cols = word_cols(n)
     if stop is not None:
         grams = drop_stop_ngrams(grams, cols, stop)
     return count_by(grams, *as_list(by), *cols, sort=sort)

@@ -108,10 +108,9 @@ sql("share_by_lang", with_(DOC_TOKENS, STOP_CTE, CLEAN_DOC_TOKENS, """counts AS
   SELECT lang, word, count(*) AS n FROM clean_doc_tokens GROUP BY lang, word)""") + """
 SELECT lang, word, n, round(n / sum(n) OVER (PARTITION BY lang), 6) AS proportion FROM counts""")
 
-sql("keep_frequent", with_(LINES, LINE_TOKENS, STOP_CTE, CLEAN_LINE_TOKENS, """en AS (
-  SELECT * FROM clean_line_tokens WHERE lang = 'en')""") + """
-SELECT doc_id, line_no, pos, word FROM en
-WHERE word IN (SELECT word FROM en GROUP BY word HAVING count(*) >= 20)""")
+sql("keep_frequent", with_(LINES, LINE_TOKENS, STOP_CTE, CLEAN_LINE_TOKENS) + """
+SELECT doc_id, line_no, pos, word FROM clean_line_tokens
+WHERE word IN (SELECT word FROM clean_line_tokens GROUP BY word HAVING count(*) >= 20)""")
 
 sql("drop_non_ascii", with_(DOC_TOKENS) + """
 SELECT word, count(*) AS n FROM doc_tokens GROUP BY word
@@ -571,7 +570,7 @@ sql("meta_tf_idf", with_(DOC_TOKENS, """meta_counts AS (
   SELECT l.toxic, t.word, count(*) AS n FROM doc_tokens t LEFT JOIN labels l USING (doc_id) GROUP BY 1, 2)""",
                          tf_idf_cte("t", "meta_counts", "word", "toxic")) + tf_idf_out("t", "toxic, word, n"))
 
-sql("saved_word_freq", with_(DOC_TOKENS) + "SELECT word, count(*) AS n FROM doc_tokens WHERE lang = 'en' GROUP BY word")
+sql("saved_word_freq", with_(DOC_TOKENS) + "SELECT word, count(*) AS n FROM doc_tokens GROUP BY word")
 
 # --------------------------------------------------------------------------- step 9
 
@@ -666,6 +665,6 @@ SELECT lang, word, count(*) AS n FROM (
   FROM documents) GROUP BY 1, 2""")
 
 sql("piped_bigram_counts", with_(DOC_WORDS, POS_TOKENS, BIGRAMS, STOP_CTE, FILTERED_BIGRAMS) + """
-SELECT word1, word2, count(*) AS n FROM filtered_bigrams WHERE lang = 'en' GROUP BY 1, 2""")
+SELECT word1, word2, count(*) AS n FROM filtered_bigrams GROUP BY 1, 2""")
 
 sql("line_bigrams", ORACLE["bigrams"])

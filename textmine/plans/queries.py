@@ -130,8 +130,7 @@ def share_by_lang(spark, d):
 
 @query
 def keep_frequent(spark, d):
-    en = clean_tokens(spark, d).filter(F.col("lang") == "en")
-    return V.keep_frequent(en, "word", 20).select("doc_id", "line_no", "pos", "word")
+    return V.keep_frequent(clean_tokens(spark, d), "word", 20).select("doc_id", "line_no", "pos", "word")
 
 
 @query
@@ -612,8 +611,7 @@ def meta_tf_idf(spark, d):
 @query
 def saved_word_freq(spark, d):
     """Tokens saved as a table partitioned by language in the session's
-    checkpoint folder, re-read, and counted for one language (the read
-    prunes the other partitions)."""
+    checkpoint folder, re-read, and counted by word."""
     import uuid
 
     from textmine.session import ensure_checkpoint_dir
@@ -621,7 +619,7 @@ def saved_word_freq(spark, d):
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/tokens-{uuid.uuid4().hex}"
     saved = corpus.save_table(doc_tokens(spark, d).select("doc_id", "lang", "word"), path,
                               partition_by=["lang"])
-    return V.count_by(saved.filter(F.col("lang") == "en"), "word", sort=True)
+    return V.count_by(saved, "word", sort=True)
 
 
 # --------------------------------------------------------------------------- step 9: topic models
@@ -791,7 +789,7 @@ def whitelist_words(spark, d):
 @query
 def piped_bigram_counts(spark, d):
     """A user pipeline function applied with ``DataFrame.transform``."""
-    return documents(spark, d).filter(F.col("lang") == "en").transform(NG.count_bigrams, stop(spark))
+    return documents(spark, d).transform(NG.count_bigrams, stop(spark))
 
 
 @query
