@@ -5,14 +5,14 @@ from conftest import rows
 from textmine.operators import tokens as tok
 from textmine.operators import verbs as V
 
-LINES = ["A small boat left the Harbour -",
+BOAT = ["A small boat left the Harbour -",
          "rain fell on it all day -",
          "The Crew sang, but nobody on Shore heard",
          "and Evening came"]
 
 
 def lines_df(spark):
-    return spark.createDataFrame([(i + 1, t) for i, t in enumerate(LINES)], "line long, text string")
+    return spark.createDataFrame([(i + 1, t) for i, t in enumerate(BOAT)], "line long, text string")
 
 
 def test_words_of_lines(spark):
