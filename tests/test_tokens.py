@@ -6,17 +6,17 @@ from textmine.operators import tokens as tok
 from textmine.operators import verbs as V
 
 BOAT = ["A small boat left the Harbour -",
-         "rain fell on it all day -",
-         "The Crew sang, but nobody on Shore heard",
-         "and Evening came"]
+        "rain fell on it all day -",
+        "The Crew sang, but nobody on Shore heard",
+        "and Evening came"]
 
 
-def lines_df(spark):
+def boat_df(spark):
     return spark.createDataFrame([(i + 1, t) for i, t in enumerate(BOAT)], "line long, text string")
 
 
 def test_words_of_lines(spark):
-    out = tok.unnest_tokens(lines_df(spark), "word", "text", position="pos")
+    out = tok.unnest_tokens(boat_df(spark), "word", "text", position="pos")
     assert out.columns == ["line", "pos", "word"]
     got = [r.word for r in out.orderBy("line", "pos").collect()]
     assert got == ["a", "small", "boat", "left", "the", "harbour",
