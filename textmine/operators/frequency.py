@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from textmine.functions.text import normalize_word
 from textmine.operators.verbs import as_list, count_by, gather, remove_stop_words, share, spread
+from textmine.sources.corpus import materialize
 
 
 def word_freq(tokens: DataFrame, stop: DataFrame | None = None, by: str | Sequence[str] | None = None,
@@ -28,13 +29,18 @@ def top_words(tokens: DataFrame, k: int = 100, stop: DataFrame | None = None,
     return counts.orderBy(F.desc("n"), word).limit(k)
 
 
-def compare_freq(tokens: DataFrame, group: str, baseline: str, groups: Sequence[str],
-                 word: str = "word", normalize: bool = True) -> DataFrame:
+def compare_freq(tokens: DataFrame, group: str, baseline: str, word: str = "word",
+                 normalize: bool = True) -> DataFrame:
     """Word shares per group, the baseline group as a column and the other
-    groups stacked as ``(group, proportion)`` rows; a word missing from a
-    group has a NULL share there."""
+    groups (read from the data; rows without one take no part) stacked as
+    ``(group, proportion)`` rows; a word missing from a group has a NULL
+    share there.  Eager: the counts are computed once, then the groups read.
+    """
+    tokens = tokens.filter(F.col(group).isNotNull())
     if normalize:
         tokens = tokens.withColumn(word, normalize_word(word))
-    props = share(count_by(tokens, group, word), "n", by=group).drop("n")
-    wide = spread(props, group, "proportion", list(groups))
-    return gather(wide, group, "proportion", [g for g in groups if g != baseline])
+    props = share(materialize(count_by(tokens, group, word)), "n", by=group).drop("n")
+    wide = spread(props, group, "proportion")
+    if baseline not in wide.columns:
+        wide = wide.withColumn(baseline, F.lit(None).cast("double"))
+    return gather(wide, group, "proportion", [c for c in wide.columns if c not in (word, baseline)])

@@ -19,7 +19,6 @@ from textmine.operators.verbs import (
     bind_rows,
     count_by,
     join_lexicon,
-    keep_in_lexicon,
     spread,
     top_n,
 )
@@ -56,18 +55,22 @@ def valence_arc(tokens: DataFrame, lex: DataFrame, key: str | Sequence[str],
 
 
 def compare_lexicons(tokens: DataFrame, valence: DataFrame, polarity: DataFrame,
-                     emotion: DataFrame, key: str | Sequence[str], order: str = "line_no",
-                     size: int = 80, names=("AFINN", "Bing et al.", "NRC")) -> DataFrame:
-    """Trajectories of three lexicons stacked with a ``method`` column."""
+                     emotion: DataFrame, key: str | Sequence[str], names: Sequence[str],
+                     order: str = "line_no", size: int = 80) -> DataFrame:
+    """Trajectories of three lexicons stacked with a ``method`` column that
+    holds their ``names``.  The lexicons are stacked first, so the tokens
+    are read, joined and aggregated once."""
     keys = as_list(key)
-    valued = valence_arc(tokens, valence, keys, order, size).withColumn("method", F.lit(names[0]))
-    bing = join_lexicon(tokens, polarity).withColumn("method", F.lit(names[1]))
-    nrc = join_lexicon(tokens, emotion.filter(F.col("sentiment").isin(*LABELS))) \
-        .withColumn("method", F.lit(names[2]))
-    counts = count_by(bind_rows(bing, nrc), "method", *keys, bucket(order, size).alias("index"), "sentiment")
-    wide = spread(counts, "sentiment", "n", list(LABELS), fill=0) \
-        .withColumn("sentiment", F.col("positive") - F.col("negative"))
-    return bind_rows(valued, wide)
+    labels = [lex.filter(F.col("sentiment").isin(*LABELS)).select("word", "sentiment", F.lit(name).alias("method"))
+              for lex, name in zip((polarity, emotion), names[1:])]
+    entries = bind_rows(valence.select("word", "value", F.lit(names[0]).alias("method")), *labels)
+    found = join_lexicon(tokens.select(*keys, order, "word"), entries)
+    sums = found.groupBy("method", *keys, bucket(order, size).alias("index")).agg(
+        F.sum("value").alias("_value"),
+        *[F.when(F.col("method") != names[0], F.count_if(F.col("sentiment") == label)).alias(label)
+          for label in LABELS])
+    return sums.select(*keys, "index", F.coalesce("_value", F.col("positive") - F.col("negative")).alias("sentiment"),
+                       "method", *LABELS)
 
 
 def lexicon_balance(lex: DataFrame, labels: Sequence[str] = LABELS, label: str = "sentiment") -> DataFrame:
@@ -124,9 +127,9 @@ def comparison_terms(counts: DataFrame, k: int = 100, classes: Sequence[str] = L
 def negative_ratio(tokens: DataFrame, negative: DataFrame, doc: str, section: str) -> DataFrame:
     """Share of negative words per (document, section), section 0 excluded;
     the section(s) with the highest share per document (ties kept)."""
-    words = count_by(tokens, doc, section, name="words")
-    neg = count_by(keep_in_lexicon(tokens, negative), doc, section, name="negativewords")
-    ratio = (neg.join(words, [doc, section], "left")
-                .withColumn("ratio", F.col("negativewords") / F.col("words"))
-                .filter(F.col(section) != 0))
+    marked = tokens.join(negative.select("word", F.lit(1).alias("_neg")).distinct(), "word", "left")
+    ratio = (marked.filter(F.col(section) != 0).groupBy(doc, section)
+                   .agg(F.count("_neg").alias("negativewords"), F.count(F.lit(1)).alias("words"))
+                   .filter(F.col("negativewords") > 0)
+                   .withColumn("ratio", F.col("negativewords") / F.col("words")))
     return top_n(ratio, 1, "ratio", by=doc)

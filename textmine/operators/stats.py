@@ -12,12 +12,13 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from textmine.operators.verbs import as_list, null_safe_join, row_number_by
+from textmine.operators.verbs import as_list, measured, null_safe_join, row_number_by, running_sum
 
 # 97.5% quantile of the standard normal distribution (95% two-sided CI).
 Z_975 = 1.959963984540054
@@ -41,56 +42,33 @@ def cor_test(df: DataFrame, x: str, y: str, by: str | Sequence[str] | None = Non
     )
 
 
-def _betacf(a: float, b: float, x: float) -> float:
-    """Continued fraction of the incomplete beta function (modified Lentz)."""
-    tiny, eps = 1e-300, 3e-16
-    qab, qap, qam = a + b, a + 1.0, a - 1.0
-    c, d = 1.0, 1.0 - qab * x / qap
-    d = 1.0 / (d if abs(d) > tiny else tiny)
-    h = d
-    for m in range(1, 400):
-        m2 = 2 * m
-        aa = m * (b - m) * x / ((qam + m2) * (a + m2))
-        d = 1.0 + aa * d
-        d = 1.0 / (d if abs(d) > tiny else tiny)
-        c = 1.0 + aa / c
-        c = c if abs(c) > tiny else tiny
-        h *= d * c
-        aa = -(a + m) * (qab + m) * x / ((a + m2) * (qap + m2))
-        d = 1.0 + aa * d
-        d = 1.0 / (d if abs(d) > tiny else tiny)
-        c = 1.0 + aa / c
-        c = c if abs(c) > tiny else tiny
-        delta = d * c
-        h *= delta
-        if abs(delta - 1.0) < eps:
-            break
-    return h
-
-
-def _betainc(a: float, b: float, x: float) -> float:
-    """Regularised incomplete beta I_x(a, b)."""
-    if x <= 0.0:
-        return 0.0
-    if x >= 1.0:
-        return 1.0
-    ln_front = (math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b)
-                + a * math.log(x) + b * math.log1p(-x))
-    if x < (a + 1.0) / (a + b + 2.0):
-        return math.exp(ln_front) * _betacf(a, b, x) / a
-    return 1.0 - math.exp(ln_front) * _betacf(b, a, 1.0 - x) / b
-
-
-def t_two_sided_p(t: float, dof: float) -> float:
-    """Two-sided p-value of Student's t with ``dof`` degrees of freedom."""
-    if t is None or dof is None or not math.isfinite(t) or dof <= 0:
-        return float("nan") if t is None or dof is None or dof <= 0 else 0.0
-    return _betainc(dof / 2.0, 0.5, dof / (dof + t * t))
+def t_two_sided_p(t, dof) -> np.ndarray | float:
+    """Two-sided p-values of Student's t with ``dof`` degrees of freedom.
+
+    With ``t = sqrt(dof) * tan(angle)`` the density becomes a power of the
+    cosine, so the tail is a smooth integral over angles, taken by
+    Gauss-Legendre quadrature over the stretch that holds its mass.  NaN
+    where t is missing or there are no degrees of freedom; 0 at infinity.
+    """
+    scalar = np.ndim(t) == 0 and np.ndim(dof) == 0
+    t, dof = np.broadcast_arrays(np.atleast_1d(np.asarray(t, float)), np.atleast_1d(np.asarray(dof, float)))
+    valid = ~np.isnan(t) & (dof > 0)
+    n = np.where(valid, dof, 1.0)
+    start = np.arctan2(np.abs(np.where(valid, t, 0.0)), np.sqrt(n))
+    end = np.minimum(np.pi / 2, start + 16 / np.sqrt(n))
+    nodes, weights = np.polynomial.legendre.leggauss(200)
+    half = (end - start)[:, None] / 2
+    angles = start[:, None] + half * (nodes + 1)
+    tail = (half * weights * np.maximum(np.cos(angles), 0) ** (n[:, None] - 1)).sum(axis=1)
+    whole = np.array([math.sqrt(math.pi) / 2 * math.exp(math.lgamma(d / 2) - math.lgamma((d + 1) / 2)) for d in n])
+    p = np.where(valid, np.clip(tail / whole, 0.0, 1.0), np.nan)
+    return float(p[0]) if scalar else p
 
 
 @F.pandas_udf(DoubleType())
 def _p_value(t: pd.Series, dof: pd.Series) -> pd.Series:
-    return pd.Series([t_two_sided_p(a, b) for a, b in zip(t, dof)], dtype="float64")
+    return pd.Series(t_two_sided_p(t.to_numpy(dtype="float64", na_value=np.nan),
+                                   dof.to_numpy(dtype="float64", na_value=np.nan)))
 
 
 def cor_test_p(df: DataFrame, x: str, y: str, by: str | Sequence[str] | None = None) -> DataFrame:
@@ -111,7 +89,7 @@ def loglog_fit(df: DataFrame, y: str, x: str, by: str | Sequence[str] | None = N
     )
 
 
-def histogram(df: DataFrame, x: str | F.Column, bins: int = 30, hi: float = 0.0009,
+def histogram(df: DataFrame, x: str | F.Column, bins: int, hi: float,
               by: str | Sequence[str] | None = None) -> DataFrame:
     """Counts in ``bins`` equal bins over [0, hi]; values above ``hi`` are
     dropped (an axis limit)."""
@@ -123,20 +101,29 @@ def histogram(df: DataFrame, x: str | F.Column, bins: int = 30, hi: float = 0.00
     return binned.groupBy(*keys, b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
 
 
+def _holds(position) -> F.Column:
+    """Whether a counted value covers a 1-based position of the sorted rows."""
+    return (position <= F.col("_last")) & (position > F.col("_last") - F.col("_n"))
+
+
 def five_number(df: DataFrame, x: str, by: str | Sequence[str] | None = None) -> DataFrame:
     """Exact min, quartiles (linear interpolation) and max per group.
 
-    Rows are numbered within each group by a range sort, and only the rows
-    at the quantile positions are kept, so no group is gathered in a task.
+    Values are counted first, so a value that many rows share is one row; the
+    distinct values are numbered by a range sort and their counts summed up
+    in that order, which tells which value holds each quantile position.  No
+    group is gathered in a task.  Eager.
     """
     keys = as_list(by)
-    vals = df.select(*keys, F.col(x).alias("_x")).filter(F.col("_x").isNotNull())
-    ranked = row_number_by(vals, keys, [F.col("_x").asc()], "_rn")
+    counted = (df.select(*keys, F.col(x).alias("_x")).filter(F.col("_x").isNotNull())
+                 .groupBy(*keys, "_x").agg(F.count(F.lit(1)).alias("_n")))
+    ranked = row_number_by(counted, keys, [F.col("_x").asc()], "_i")
+    summed = running_sum(ranked, "_n", keys, "_i", "_last")
     if keys:
-        sizes = vals.groupBy(*keys).agg(F.count(F.lit(1)).alias("_cnt"))
-        ranked = null_safe_join(ranked, sizes, keys)
+        sizes = counted.groupBy(*keys).agg(F.sum("_n").alias("_cnt"))
+        summed = null_safe_join(summed, measured(sizes), keys)
     else:
-        ranked = ranked.withColumn("_cnt", vals.select(F.count(F.lit(1))).scalar())
+        summed = summed.withColumn("_cnt", counted.select(F.sum("_n")).scalar())
     names = ["minimum", "lower", "middle", "upper", "maximum"]
     aggs = []
     for q, name in zip((0.0, 0.25, 0.5, 0.75, 1.0), names):
@@ -144,10 +131,10 @@ def five_number(df: DataFrame, x: str, by: str | Sequence[str] | None = None) ->
         lo = F.floor(h) + 1
         hi = F.ceil(h) + 1
         frac = h - F.floor(h)
-        aggs.append(F.max(F.when(F.col("_rn") == lo, F.col("_x"))).alias(f"_{name}_lo"))
-        aggs.append(F.max(F.when(F.col("_rn") == hi, F.col("_x"))).alias(f"_{name}_hi"))
+        aggs.append(F.max(F.when(_holds(lo), F.col("_x"))).alias(f"_{name}_lo"))
+        aggs.append(F.max(F.when(_holds(hi), F.col("_x"))).alias(f"_{name}_hi"))
         aggs.append(F.max(frac).alias(f"_{name}_f"))
-    picked = ranked.groupBy(*keys).agg(*aggs)
+    picked = summed.groupBy(*keys).agg(*aggs)
     return picked.select(*keys, *[
         (F.col(f"_{n}_lo") + F.col(f"_{n}_f") * (F.col(f"_{n}_hi") - F.col(f"_{n}_lo"))).alias(n)
         for n in names])

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from textmine.operators.verbs import as_list, group_total, null_safe_join, row_number_by
+from textmine.operators.verbs import as_list, group_total, measured, null_safe_join, row_number_by
 
 
 def term_share(counts: DataFrame, document: str | Sequence[str], n: str = "n",
@@ -26,15 +26,15 @@ def bind_tf_idf(counts: DataFrame, term: str, document: str, n: str = "n") -> Da
 
     tf = n / sum(n) in the document; idf = ln(documents / documents with the
     term), natural log, no smoothing; tf_idf = tf * idf.  Document totals
-    and term document-counts are aggregates joined back (broadcast when
-    adaptive execution measures them small); the number of documents is a
-    scalar subquery.
+    and term document-counts are aggregates joined back, each computed and
+    counted first (``measured``: broadcast only when small); the number of
+    documents is a scalar subquery.  Eager.
     """
     totals = counts.groupBy(document).agg(F.sum(n).alias("_tfidf_total"))
     doc_freq = counts.groupBy(term).agg(F.count(F.lit(1)).alias("_tfidf_df"))
     # distinct documents, a NULL document key counting as one
     n_docs = counts.select(document).distinct().select(F.count(F.lit(1))).scalar()
-    joined = null_safe_join(null_safe_join(counts, totals, [document]), doc_freq, [term])
+    joined = null_safe_join(null_safe_join(counts, measured(totals), [document]), measured(doc_freq), [term])
     tf = F.col(n) / F.col("_tfidf_total")
     idf = F.log(n_docs / F.col("_tfidf_df"))
     return (joined.withColumn("tf", tf)
@@ -79,10 +79,10 @@ def top_by_first_appearance(scored: DataFrame, k: int, term: str, document: str,
     used as the weight): the term's best weight over all documents, then the
     first document holding that best weight, then the term."""
     best = scored.groupBy(term).agg(F.max(weight).alias("_best"))
-    with_best = null_safe_join(scored, best, [term])
+    with_best = null_safe_join(scored, measured(best), [term])
     first_doc = (with_best.filter(F.col(weight) == F.col("_best"))
                           .groupBy(term).agg(F.min(document).alias("_first_doc")))
-    keyed = null_safe_join(with_best, first_doc, [term])
+    keyed = null_safe_join(with_best, measured(first_doc), [term])
     window = Window.partitionBy(document).orderBy(F.desc("_best"), F.col("_first_doc"), F.col(term))
     return (keyed.withColumn("_rk", F.row_number().over(window))
                  .filter(F.col("_rk") <= k)
@@ -100,9 +100,10 @@ def term_trend(triplets: DataFrame, terms: Sequence[str], year: str = "year", te
     """
     from textmine.operators.verbs import block_product
 
+    # one row per year
     year_totals = triplets.groupBy(year).agg(F.sum(value).alias("year_total"))
     chosen = triplets.filter(F.col(term).isin(*terms)).select(year, term, value)
     grid = block_product(triplets.select(year).distinct(), chosen.select(term).distinct())
-    filled = null_safe_join(grid, chosen, [year, term], "left") \
+    filled = null_safe_join(grid, measured(chosen), [year, term], "left") \
         .withColumn(value, F.coalesce(F.col(value), F.lit(0)))
-    return null_safe_join(filled, year_totals, [year]).select(year, term, value, "year_total")
+    return null_safe_join(filled, measured(year_totals), [year]).select(year, term, value, "year_total")

@@ -17,6 +17,8 @@ from textmine.functions.text import NGRAM_SEP, sentence_pieces, word_array
 from textmine.operators.verbs import running_sum
 
 TOKENS = ("words", "ngrams", "sentences", "regex", "lines")
+# Trimmed from both ends of a regex piece.
+BLANKS = " \t\n\f\r"
 
 
 def _ngram_array(words: Column, n: int, into: Sequence[str] | None, keep_short: bool) -> Column:
@@ -55,7 +57,7 @@ def unnest_tokens(df: DataFrame, output: str, input: str = "text", token: str =
                     row's text;
       ``sentences`` sentences (lower-cased, trimmed);
       ``regex``     pieces between matches of ``pattern`` (split first, then
-                    lower-cased; empty pieces dropped);
+                    trimmed and lower-cased; blank pieces dropped);
       ``lines``     lines of the text.
     ``position`` names an optional 1-based token-number column.
     ``collapse`` (with ``order``) first joins a line table's lines per key
@@ -83,7 +85,7 @@ def unnest_tokens(df: DataFrame, output: str, input: str = "text", token: str =
     elif token == "regex":
         if not pattern:
             raise ValueError("token='regex' needs a pattern")
-        pieces = F.split(F.col(input), pattern)
+        pieces = F.transform(F.split(F.col(input), pattern), lambda s: F.btrim(s, F.lit(BLANKS)))
         arr = F.transform(pieces, lambda s: F.lower(s)) if to_lower else pieces
     else:
         arr = F.split(F.col(input), "\n")

@@ -10,47 +10,58 @@ optional).  Everything after the fit works on the three tidy tables:
 * assignments ``(document, term, count, assigned_topic)``.
 
 The steps after the fit (classification, consensus, augment, confusion)
-only need beta and gamma tables, so they run the same on any model's
-output, including the deterministic model of ``language_model``.
+only need beta and gamma tables, so they run the same on any model's output.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.ml.clustering import LDA
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textmine.operators.verbs import count_by, separate, share, top_n
+from textmine.operators.verbs import count_by, measured, separate, share, top_n, with_order
+from textmine.sources.corpus import materialize
 from textmine.sources.matrix import cast_dtm
 
 
 def fit_lda(triplets: DataFrame, k: int, seed: int = 1234, optimizer: str = "online",
-            max_iter: int = 20, document: str = "document", term: str = "term",
+            max_iter: int = 100, document: str = "document", term: str = "term",
             value: str = "count"):
     """Fit LDA on count triplets.  Eager (training runs jobs).
 
-    Returns ``(model, vectors, vocab)``; vectors are persisted while the
-    model trains.
+    Returns ``(model, vectors, vocab)``; the vectors are computed once
+    (checkpointed) and held in memory only while the model trains.
     """
     vectors, vocab, _ = cast_dtm(triplets, document, term, value)
-    vectors = vectors.persist()
+    vectors = materialize(vectors)
     lda = LDA(k=k, seed=seed, optimizer=optimizer, maxIter=max_iter, featuresCol="features")
-    model = lda.fit(vectors)
+    cached = vectors.persist()
+    try:
+        model = lda.fit(cached)
+    finally:
+        cached.unpersist()
     return model, vectors, vocab
 
 
+def fitted_top_terms(model, vocab: DataFrame, n: int = 10) -> DataFrame:
+    """The ``n`` terms of highest beta per topic, straight from the model:
+    only k x n cells are read from it."""
+    return _described(model, vocab, n).orderBy("topic", F.desc("beta"), "term")
+
+
+def _described(model, vocab: DataFrame, n: int) -> DataFrame:
+    cells = model.describeTopics(maxTermsPerTopic=n).select(
+        (F.col("topic") + 1).cast("long").alias("topic"),
+        F.inline(F.arrays_zip(F.col("termIndices").alias("index"), F.col("termWeights").alias("beta"))))
+    return cells.join(vocab, "index").select("topic", "term", "beta")
+
+
 def tidy_beta(model, vocab: DataFrame) -> DataFrame:
     """``(topic, term, beta)``, topics numbered from 1, beta summing to 1
-    within each topic."""
-    size = model.vocabSize()
-    topics = model.describeTopics(maxTermsPerTopic=size)
-    cells = topics.select((F.col("topic") + 1).alias("topic"),
-                          F.inline(F.arrays_zip(F.col("termIndices").alias("index"),
-                                                F.col("termWeights").alias("beta"))))
-    return cells.join(vocab, "index").select("topic", "term", "beta")
+    within each topic.  The model's whole k x V matrix, which MLlib holds on
+    the driver, is read."""
+    return _described(model, vocab, model.vocabSize())
 
 
 def tidy_gamma(model, vectors: DataFrame, document: str = "document") -> DataFrame:
@@ -61,30 +72,17 @@ def tidy_gamma(model, vectors: DataFrame, document: str = "document") -> DataFra
                .withColumn("topic", (F.col("topic") + 1).cast("long"))
 
 
-def language_model(triplets: DataFrame, topic_of: str, topics: Sequence[str],
-                   document: str = "document", term: str = "term",
-                   value: str = "count") -> tuple[DataFrame, DataFrame]:
-    """A deterministic topic model for checking the post-fit steps: topic i
-    is group ``topics[i-1]`` of column ``topic_of``; beta is the term share
-    within the group; gamma is each document's normalised sum of
-    ``count * beta`` per topic.  Returns ``(beta, gamma)``."""
-    ids = F.array_position(F.array(*[F.lit(t) for t in topics]), F.col(topic_of)).cast("long")
-    grouped = count_by(triplets.withColumn("topic", ids).filter(F.col("topic") > 0),
-                       "topic", term, wt=value)
-    beta = share(grouped, "n", by="topic", out="beta").select("topic", term, "beta")
-    beta = beta.withColumnRenamed(term, "term")
-    scored = (triplets.select(F.col(document).alias("document"), F.col(term).alias("term"), value)
-              .join(beta, "term")
-              .groupBy("document", "topic").agg(F.sum(F.col(value) * F.col("beta")).alias("_s")))
-    gamma = share(scored, "_s", by="document", out="gamma").select("document", "topic", "gamma")
-    return beta, gamma
-
-
 def top_terms(beta: DataFrame, n: int = 10) -> DataFrame:
     """Top ``n`` terms per topic by beta (ties kept), ordered by topic, -beta."""
     return top_n(beta, n, "beta", by="topic").orderBy("topic", F.desc("beta"), "term")
 
 
+def inspect_document(triplets: DataFrame, name: str, document: str = "document", term: str = "term",
+                     value: str = "count") -> DataFrame:
+    """The terms of one document, most frequent first."""
+    return triplets.filter(F.col(document) == name).select(document, term, value).orderBy(F.desc(value), term)
+
+
 def topic_log_ratio(beta: DataFrame, a: int = 1, b: int = 2, floor: float = 0.001) -> DataFrame:
     """Wide beta for topics a and b, terms with beta > floor in either,
     ``log_ratio = log2(beta_b / beta_a)``."""
@@ -123,17 +121,24 @@ def augment(triplets: DataFrame, beta: DataFrame, gamma: DataFrame,
     (document, term) rows are summed into one cell, as casting would);
     cells whose term is not in beta are dropped.
 
-    The arg-max is one hash aggregate over (document, term): the largest
-    (score, -topic) struct wins and the cell's count rides along, so there
-    is no window sort and no join back.
+    Beta becomes one array of k entries per term and gamma one map of k
+    entries per document, so a cell meets each with one join and the arg-max
+    is taken within the row: no k-fold rows and no second grouping.  Eager:
+    both sides are computed and counted (``measured``).
     """
     cells = triplets.groupBy(F.col(document).alias("document"), F.col(term).alias("term")) \
         .agg(F.sum(value).alias(value))
-    scored = cells.join(gamma, "document").join(beta, ["topic", "term"])
-    best = scored.groupBy("document", "term").agg(
-        F.max(value).alias(value),
-        F.max(F.struct((F.col("gamma") * F.col("beta")).alias("s"), (-F.col("topic")).alias("t"))).alias("_b"))
-    return best.select("document", "term", value, (-F.col("_b.t")).alias("assigned_topic"))
+    by_term = beta.filter(F.col("beta").isNotNull()).groupBy("term").agg(
+        F.collect_list(F.struct("topic", "beta")).alias("_beta"))
+    by_document = gamma.filter(F.col("gamma").isNotNull()).groupBy("document").agg(
+        F.map_from_entries(F.collect_list(F.struct("topic", "gamma"))).alias("_gamma"))
+    joined = cells.join(measured(by_term), "term").join(measured(by_document), "document")
+    known = F.filter("_beta", lambda e: F.map_contains_key("_gamma", e["topic"]))
+    scores = F.transform(known, lambda e: F.struct((F.col("_gamma")[e["topic"]] * e["beta"]).alias("s"),
+                                                   (-e["topic"]).alias("t")))
+    best = joined.select("document", "term", value, F.array_max(scores).alias("_b"))
+    return best.filter(F.col("_b").isNotNull()).select(
+        "document", "term", value, (-F.col("_b.t")).alias("assigned_topic"))
 
 
 def confusion(assignments: DataFrame, book_topics: DataFrame, value: str = "count",
@@ -156,7 +161,6 @@ def wrong_words(assignments: DataFrame, book_topics: DataFrame, value: str = "co
 
 
 def topic_order(gamma_split: DataFrame) -> DataFrame:
-    """Display order of titles by mean(gamma * topic)."""
+    """Display order of titles by mean(gamma * topic).  Eager."""
     means = gamma_split.groupBy("title").agg(F.avg(F.col("gamma") * F.col("topic")).alias("_m"))
-    return means.withColumn("ord", F.row_number().over(Window.orderBy("_m", "title")).cast("long")) \
-                .select("title", "ord")
+    return with_order(means, "_m", "title").select("title", "ord")

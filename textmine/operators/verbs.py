@@ -6,8 +6,10 @@ Scale rules followed throughout:
 * aggregations are ``groupBy`` (partial aggregate before the shuffle), never a
   ``collect_list`` of a whole group;
 * a group total is an aggregate joined back, not a window over the group,
-  so a hot group is never buffered in one task (the small aggregated side
-  is broadcast by adaptive execution when its measured size allows);
+  so a hot group is never buffered in one task;
+* an aggregated side that is joined back is computed and counted first
+  (``measured``): broadcast up to ``BROADCAST_ROWS`` rows, a sort-merge join
+  (with adaptive skew splitting) beyond, never by a planner's estimate;
 * top-n is ``rank() <= n`` (Spark adds a partial WindowGroupLimit before the
   shuffle);
 * row numbers over large inputs come from a range sort plus per-partition
@@ -27,6 +29,9 @@ from pyspark.sql import functions as F
 
 _LOCAL_BITS = 33  # monotonically_increasing_id: partition id above bit 33
 
+# A counted side of up to this many rows is broadcast; larger ones are merged.
+BROADCAST_ROWS = 100_000
+
 
 def as_list(x) -> list:
     if x is None:
@@ -55,6 +60,21 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
     return joined.drop(*[f"_r_{k}" for k in keys])
 
 
+def measured(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """A join side with a strategy chosen by its real number of rows.
+
+    The size estimate of a table below an ``explode`` or a checkpoint can be
+    far too low, so the side is computed once (checkpointed) and counted: up
+    to ``limit`` rows it is broadcast, beyond that the join is a sort-merge
+    join.  Eager.
+    """
+    from textmine.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
+    table = df.checkpoint(eager=True)
+    return F.broadcast(table) if table.limit(limit + 1).count() <= limit else table.hint("merge")
+
+
 # --------------------------------------------------------------------------- counts
 
 def count_by(df: DataFrame, *keys, wt: str | Column | None = None, sort: bool = False,
@@ -100,33 +120,39 @@ def share(df: DataFrame, value: str = "n", by: str | Sequence[str] | None = None
           out: str = "proportion") -> DataFrame:
     """``value / sum(value)`` within each group (whole table when ``by`` is
     empty).  The totals are a partial aggregate joined back on the group key.
+    Eager: the totals are computed and counted (``measured``).
     """
     by = as_list(by)
     if not by:
         total = df.select(F.sum(value)).scalar()
         return df.withColumn(out, F.col(value) / total)
     totals = df.groupBy(*by).agg(F.sum(value).alias("_share_total"))
-    joined = null_safe_join(df, totals, by, "inner")
+    joined = null_safe_join(df, measured(totals), by, "inner")
     return (joined.withColumn(out, F.col(value) / F.col("_share_total"))
                   .select(*df.columns, out))
 
 
 def group_total(df: DataFrame, value: str, by: str | Sequence[str], out: str) -> DataFrame:
-    """Repeat the group sum of ``value`` on every row of the group."""
+    """Repeat the group sum of ``value`` on every row of the group.
+    Eager: the totals are computed and counted (``measured``)."""
     by = as_list(by)
     totals = df.groupBy(*by).agg(F.sum(value).alias(out))
-    return null_safe_join(df, totals, by, "inner").select(*df.columns, out)
+    return null_safe_join(df, measured(totals), by, "inner").select(*df.columns, out)
 
 
 # --------------------------------------------------------------------------- reshape
 
-def spread(df: DataFrame, key: str, value: str, values: Sequence, fill=None) -> DataFrame:
-    """Long to wide: one column per entry of ``values`` (always given, so
-    the output schema does not depend on the data and no extra job runs)."""
+def spread(df: DataFrame, key: str, value: str, values: Sequence | None = None, fill=None) -> DataFrame:
+    """Long to wide: one column per value of ``key``, in sorted order (Spark
+    reads the distinct values in a job of its own).
+
+    ``values`` fixes the columns instead, so that the schema does not depend
+    on the data; a row of any other key then belongs to no column.
+    """
     rest = [c for c in df.columns if c not in (key, value)]
-    wide = df.groupBy(*rest).pivot(key, list(values)).agg(F.first(value))
+    wide = df.groupBy(*rest).pivot(key, list(values) if values is not None else None).agg(F.first(value))
     if fill is not None:
-        wide = wide.fillna(fill, subset=[str(v) for v in values])
+        wide = wide.fillna(fill, subset=[c for c in wide.columns if c not in rest])
     return wide
 
 
@@ -178,11 +204,13 @@ def complete(df: DataFrame, a: str | Sequence[str], b: str | Sequence[str],
     """Every combination of the observed ``a`` and ``b`` values.
 
     Existing rows (duplicates included) are kept; new combinations get NULL
-    or the ``fill`` value.  The grid is built by ``block_product``.
+    or the ``fill`` value.  The grid is built by ``block_product``.  Eager:
+    the table is read three times, so it is computed once and counted.
     """
     a, b = as_list(a), as_list(b)
-    grid = block_product(df.select(*a).distinct(), df.select(*b).distinct())
-    out = null_safe_join(grid, df, a + b, "left")
+    rows = measured(df)
+    grid = block_product(rows.select(*a).distinct(), rows.select(*b).distinct())
+    out = null_safe_join(grid, rows, a + b, "left")
     for c, v in (fill or {}).items():
         out = out.withColumn(c, F.coalesce(F.col(c), F.lit(v)))
     return out.select(*a, *b, *[c for c in df.columns if c not in a + b])
@@ -192,10 +220,11 @@ def complete(df: DataFrame, a: str | Sequence[str], b: str | Sequence[str],
 
 def keep_frequent(df: DataFrame, col: str, min_n: int) -> DataFrame:
     """Rows of values that occur at least ``min_n`` times (HAVING, rows
-    kept): counted keys semi-joined back, never a window over the group."""
+    kept): counted keys semi-joined back, never a window over the group.
+    Eager: the frequent values are computed and counted (``measured``)."""
     frequent = (df.groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
                   .filter(F.col("_n") >= min_n).select(col))
-    return null_safe_join(df, frequent, [col], "left_semi")
+    return null_safe_join(df, measured(frequent), [col], "left_semi")
 
 
 def grep(df: DataFrame, col: str, pattern: str, ignore_case: bool = False,
@@ -266,10 +295,10 @@ def keep_in_lexicon(df: DataFrame, lex: DataFrame, on: str | tuple[str, str] = "
 def with_order(df: DataFrame, wt: str, key: str, by: str | Sequence[str] | None = None,
                out: str = "ord") -> DataFrame:
     """Display order (1 = smallest ``wt``, ties by ``key``), optionally within
-    facets.  Meant for already cut top-k tables, whose size is bounded."""
+    facets.  The numbers come from a range sort (``row_number_by``), so a
+    table of any size is spread over all tasks.  Eager."""
     by = as_list(by)
-    window = (Window.partitionBy(*by) if by else Window).orderBy(F.col(wt), F.col(key))
-    return df.withColumn(out, F.row_number().over(window).cast("long"))
+    return row_number_by(df, by, [F.col(wt), F.col(key)], out).select(*df.columns, out)
 
 
 # --------------------------------------------------------------------------- skew-safe blocks
@@ -314,7 +343,7 @@ def row_number_by(df: DataFrame, by: str | Sequence[str], order: Sequence[str |
         return global_row_number(df, order, out)
     numbered = global_row_number(df, [*[F.col(c).asc_nulls_first() for c in by], *order], "_g")
     first = numbered.groupBy(*by).agg(F.min("_g").alias("_g0"))
-    joined = null_safe_join(numbered, first, by, "inner")
+    joined = null_safe_join(numbered, measured(first), by, "inner")
     return joined.withColumn(out, F.col("_g") - F.col("_g0") + 1).drop("_g", "_g0")
 
 
@@ -348,21 +377,27 @@ def block_product(left: DataFrame, right: DataFrame, block_rows: int = 2048) ->
 
     Instead of a cartesian join, each side is cut into hash blocks of about
     ``block_rows`` rows and replicated to every block of the other side;
-    the combinations are then an equi-join on the (left block, right block)
-    pair, one pair per partition, so every task builds at most about
-    ``block_rows``² rows.  Column names of the two sides must differ.
-
-    Eager: counts both sides (two small jobs) to size the grid.
+    the combinations are then a sort-merge equi-join on the (left block,
+    right block) pair.  A join group, and so what a task holds in memory, is
+    about ``block_rows`` rows a side; a partition may hold several groups,
+    which its task builds one after the other.  Column names of the two
+    sides must differ.
+
+    Eager: both sides are computed once (checkpointed) and counted to size
+    the grid.
     """
-    n_left, n_right = left.count(), right.count()
-    b_left = max(1, math.ceil(n_left / block_rows))
-    b_right = max(1, math.ceil(n_right / block_rows))
-    parts = max(1, min(b_left * b_right, 1 << 16))
+    from textmine.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(left.sparkSession)
+    left, right = left.checkpoint(eager=True), right.checkpoint(eager=True)
+    b_left = max(1, math.ceil(left.count() / block_rows))
+    b_right = max(1, math.ceil(right.count() / block_rows))
     lcols, rcols = left.columns, right.columns
-    lhs = (left.withColumn("_bl", F.pmod(F.xxhash64(*lcols), F.lit(b_left)))
-               .withColumn("_br", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(b_right - 1).cast("long"))))
-               .repartition(parts, "_bl", "_br"))
-    rhs = (right.withColumn("_br", F.pmod(F.xxhash64(*rcols), F.lit(b_right)))
-                .withColumn("_bl", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(b_left - 1).cast("long"))))
-                .repartition(parts, "_bl", "_br"))
-    return lhs.join(rhs, ["_bl", "_br"]).select(*lcols, *rcols)
+    lhs = left.withColumn("_bl", F.pmod(F.xxhash64(*lcols), F.lit(b_left))) \
+              .withColumn("_br", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(b_right - 1).cast("long"))))
+    rhs = right.withColumn("_br", F.pmod(F.xxhash64(*rcols), F.lit(b_right))) \
+               .withColumn("_bl", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(b_left - 1).cast("long"))))
+    # at least one task a block pair up to the tasks a job can usefully have
+    parts = min(b_left * b_right, 1 << 16)
+    lhs, rhs = lhs.repartition(parts, "_bl", "_br"), rhs.repartition(parts, "_bl", "_br")
+    return lhs.hint("merge").join(rhs, ["_bl", "_br"]).select(*lcols, *rcols)

@@ -20,11 +20,18 @@ VALENCE = [
     ("best", 3), ("idiot", -3), ("trash", -2), ("worthless", -2), ("moron", -3),
     ("stupid", -2), ("and", 1), ("is", -1),
 ]
+# Labels of the three lexicons where they are compared.
+LEXICON_NAMES = ("valence", "polarity", "emotion")
 # Emotion counted in English documents ("trash" carries it).
 EMOTION_NAME = "disgust"
 # Stand-ins for negation words ("not", "no", "never", "without" do not start
 # bigrams in the test corpus).
 NEGATORS = ["the", "of", "to"]
+# Thresholds of the reports the queries rebuild.
+SHARE_LIMIT, SHARE_BINS = 0.0009, 30
+FREQUENT_ITEM, EDGE_MIN, EDGE_MIN_NODIGITS = 20, 20, 40
+EDGE_MIN_COR = 0.15
+LDA_SEED, LDA_ITERATIONS = 1234, 100
 # --- end of fixed values --------------------------------------------------------
 
 # Stop-word lists removed in the multi-language queries.
@@ -33,8 +40,8 @@ STOP_LANGS = ("en", "de", "fr", "es")
 # Heading marker for chapter segmentation: no line of the corpus starts with
 # "chapter", while "the " starts several hundred lines.
 MARKER = r"^the "
-# Regex split pattern with the same two-branch shape as a chapter splitter.
-SPLIT_PATTERN = r"The |THE [\dIVXLC]"
+# The corpus has no headings: pieces end at an article before a noun in "of".
+SPLIT_PATTERN = r"(?:the|The) [a-z]+ of "
 
 # Only one document has 80+ lines, so buckets and sections use 10 lines.
 BUCKET_LINES = 10
@@ -45,6 +52,8 @@ HEAD_WORD = "thing"
 ASSOCIATE_WORDS = ["thing", "th", "nd", "re"]
 # Item followed in the co-occurrence query.
 PAIR_WORD = "thing"
+# Document whose terms are listed.
+INSPECTED = "106_1"
 TREND_TERMS = ["the", "and", "of", "best", "idiot", "trash"]
 # Frequent corpus words added to the stop lists (like adding "miss").
 CUSTOM_STOP = ["thing", "th", "nd", "re"]

@@ -130,17 +130,14 @@ CLEAN_LANG_COUNTS = """clean_lang_counts AS (
 
 FREQUENCY = """norm_counts AS (
   SELECT lang, nullif(regexp_extract(word, '[a-z'']+', 0), '') AS word, count(*) AS n
-  FROM clean_doc_tokens GROUP BY 1, 2),
+  FROM clean_doc_tokens WHERE lang IS NOT NULL GROUP BY 1, 2),
 props AS (SELECT lang, word, n / sum(n) OVER (PARTITION BY lang) AS proportion FROM norm_counts),
-wide AS (
-  SELECT word,
-         max(proportion) FILTER (WHERE lang = 'de') AS de, max(proportion) FILTER (WHERE lang = 'en') AS en,
-         max(proportion) FILTER (WHERE lang = 'es') AS es, max(proportion) FILTER (WHERE lang = 'fr') AS fr
-  FROM props GROUP BY word),
+others AS (SELECT DISTINCT lang FROM props WHERE lang <> 'en'),
 frequency AS (
-  SELECT word, en, 'de' AS lang, de AS proportion FROM wide
-  UNION ALL SELECT word, en, 'es', es FROM wide
-  UNION ALL SELECT word, en, 'fr', fr FROM wide)"""
+  SELECT w.word, e.proportion AS en, o.lang, p.proportion
+  FROM (SELECT DISTINCT word FROM props) w CROSS JOIN others o
+  LEFT JOIN props e ON e.lang = 'en' AND e.word IS NOT DISTINCT FROM w.word
+  LEFT JOIN props p ON p.lang = o.lang AND p.word IS NOT DISTINCT FROM w.word)"""
 
 FREQ_BASE = with_(DOC_TOKENS, STOP_CTE, CLEAN_DOC_TOKENS, FREQUENCY)
 
@@ -303,12 +300,12 @@ FROM line_tokens JOIN {VALENCE} v USING (word) GROUP BY 1, 2""")
 
 sql("compare_lexicons", with_(LINES, LINE_TOKENS, """en AS (SELECT * FROM line_tokens WHERE lang = 'en')""",
                               f"""labelled AS (
-  SELECT 'Bing et al.' AS method, doc_id, line_no // {FX.BUCKET_LINES} AS idx, p.sentiment
+  SELECT {q(FX.LEXICON_NAMES[1])} AS method, doc_id, line_no // {FX.BUCKET_LINES} AS idx, p.sentiment
   FROM en JOIN {POLARITY} p USING (word)
   UNION ALL
-  SELECT 'NRC', doc_id, line_no // {FX.BUCKET_LINES}, e.sentiment
+  SELECT {q(FX.LEXICON_NAMES[2])}, doc_id, line_no // {FX.BUCKET_LINES}, e.sentiment
   FROM en JOIN {EMOTION} e USING (word) WHERE e.sentiment IN ('positive', 'negative'))""") + f"""
-SELECT doc_id, line_no // {FX.BUCKET_LINES} AS "index", sum(v.value)::BIGINT AS sentiment, 'AFINN' AS method,
+SELECT doc_id, line_no // {FX.BUCKET_LINES} AS "index", sum(v.value)::BIGINT AS sentiment, {q(FX.LEXICON_NAMES[0])} AS method,
        NULL::BIGINT AS negative, NULL::BIGINT AS positive
 FROM en JOIN {VALENCE} v USING (word) GROUP BY 1, 2
 UNION ALL
@@ -434,9 +431,10 @@ sql("sentences", """WITH s AS (
   FROM documents)
 SELECT doc_id, unnest(generate_series(1, len(pieces))) AS sentence_no, unnest(pieces) AS sentence FROM s""")
 
+TRIMMED = "list_transform({}, lambda x: trim(x, ' ' || chr(9) || chr(10) || chr(12) || chr(13)))".format(
+    f"regexp_split_to_array(text, {q(FX.SPLIT_PATTERN)})")
 REGEX_PIECES = f"""pieces AS (
-  SELECT doc_id, unnest(generate_series(1, len(regexp_split_to_array(text, {q(FX.SPLIT_PATTERN)})))) AS piece_no,
-         lower(unnest(regexp_split_to_array(text, {q(FX.SPLIT_PATTERN)}))) AS chapter
+  SELECT doc_id, unnest(generate_series(1, len({TRIMMED}))) AS piece_no, lower(unnest({TRIMMED})) AS chapter
   FROM documents)"""
 
 sql("regex_split", with_(REGEX_PIECES) + "SELECT doc_id, piece_no, chapter FROM pieces WHERE chapter <> ''")
@@ -460,6 +458,12 @@ SELECT a.word AS item1, b.word AS item2, count(*) AS n
 FROM pres a JOIN pres b ON a.doc_id = b.doc_id AND a.section = b.section AND a.word <> b.word
 WHERE a.word = {q(FX.PAIR_WORD)} GROUP BY 1, 2""")
 
+sql("pairwise_partners", with_(*SEC_BASE, """pres AS (SELECT DISTINCT word, doc_id, section FROM section_words)""") + """
+SELECT item1, count(*) AS partners, sum(n)::BIGINT AS together, max(n) AS strongest FROM (
+  SELECT a.word AS item1, b.word AS item2, count(*) AS n
+  FROM pres a JOIN pres b ON a.doc_id = b.doc_id AND a.section = b.section AND a.word <> b.word GROUP BY 1, 2)
+GROUP BY item1""")
+
 WORD_CORS = """frequent AS (
   SELECT * FROM section_words WHERE word IN (SELECT word FROM section_words GROUP BY word HAVING count(*) >= 20)),
 pres AS (SELECT DISTINCT word, doc_id, section FROM frequent),
@@ -574,13 +578,13 @@ sql("saved_word_freq", with_(DOC_TOKENS) + "SELECT word, count(*) AS n FROM doc_
 
 # --------------------------------------------------------------------------- step 9
 
-TOPIC_OF = "CAST(CASE lang WHEN 'de' THEN 1 WHEN 'en' THEN 2 WHEN 'es' THEN 3 WHEN 'fr' THEN 4 END AS BIGINT)"
-LANG_MODEL = f"""trip AS (
+LANG_MODEL = """trip AS (
   SELECT lang || '_' || CAST(doc_id AS VARCHAR) AS document, lang, word AS term, count(*) AS count
-  FROM clean_doc_tokens GROUP BY lang, doc_id, word),
+  FROM clean_doc_tokens WHERE lang IS NOT NULL GROUP BY lang, doc_id, word),
 beta AS (
   SELECT topic, term, n / sum(n) OVER (PARTITION BY topic) AS beta
-  FROM (SELECT {TOPIC_OF} AS topic, term, sum(count) AS n FROM trip GROUP BY 1, 2)),
+  FROM (SELECT dense_rank() OVER (ORDER BY lang) AS topic, term, n
+        FROM (SELECT lang, term, sum(count) AS n FROM trip GROUP BY 1, 2))),
 gamma AS (
   SELECT document, topic, s / sum(s) OVER (PARTITION BY document) AS gamma
   FROM (SELECT t.document, b.topic, sum(t.count * b.beta) AS s FROM trip t JOIN beta b USING (term) GROUP BY 1, 2)),
@@ -641,6 +645,24 @@ sql("topic_order", with_(*TOPIC_BASE) + """
 SELECT title, row_number() OVER (ORDER BY m, title) AS ord FROM (
   SELECT split_part(document, '_', 1) AS title, avg(gamma * topic) AS m FROM gamma GROUP BY 1)""")
 
+CHAPTER_COUNTS = f"""chaptered AS (
+  SELECT doc_id, text, sum(CASE WHEN regexp_matches(text, {q('(?i)' + FX.MARKER)}) THEN 1 ELSE 0 END)
+         OVER (PARTITION BY doc_id ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)::BIGINT
+         AS chapter
+  FROM lines),
+chapter_words AS (
+  SELECT doc_id::VARCHAR || '_' || chapter::VARCHAR AS document,
+         unnest(regexp_extract_all(lower(text), {PAT})) AS word
+  FROM chaptered WHERE chapter > 0),
+chapter_counts AS (
+  SELECT document, word, count(*) AS n FROM chapter_words w
+  WHERE NOT EXISTS (SELECT 1 FROM stop s WHERE s.word = w.word) GROUP BY document, word)"""
+
+sql("chapter_counts", with_(LINES, STOP_CTE, CHAPTER_COUNTS) + "SELECT document, word, n FROM chapter_counts")
+
+sql("inspect_document", with_(LINES, STOP_CTE, CHAPTER_COUNTS) +
+    f"SELECT document, word, n FROM chapter_counts WHERE document = {q(FX.INSPECTED)}")
+
 # --------------------------------------------------------------------------- orders, custom lists, clean-ups
 
 sql("ordered_top_words", with_(DOC_TOKENS, STOP_CTE, CLEAN_DOC_TOKENS) + """

@@ -1,5 +1,6 @@
-"""Registered queries: each takes ``(spark, sf_dir)`` and returns a lazy
-DataFrame over the test tables.
+"""Registered queries: each takes ``(spark, sf_dir)`` and returns a
+DataFrame over the test tables.  Shared sub-results and join sides whose
+size must be known are computed while a query is built.
 
 Every computed column is aliased to the name used by the SQL equivalent in
 ``textmine.plans.oracle``; double columns are rounded to 6 decimals at the
@@ -130,7 +131,8 @@ def share_by_lang(spark, d):
 
 @query
 def keep_frequent(spark, d):
-    return V.keep_frequent(clean_tokens(spark, d), "word", 20).select("doc_id", "line_no", "pos", "word")
+    frequent = V.keep_frequent(clean_tokens(spark, d), "word", FX.FREQUENT_ITEM)
+    return frequent.select("doc_id", "line_no", "pos", "word")
 
 
 @query
@@ -156,9 +158,6 @@ from textmine.operators import frequency as FQ  # noqa: E402
 from textmine.operators import stats as S  # noqa: E402
 from textmine.operators import tfidf as TF  # noqa: E402
 
-LANGS = ["de", "en", "es", "fr"]
-
-
 def lang_counts(spark, d, clean: bool = False) -> DataFrame:
     """Word counts per language, computed once (several branches read them)."""
     tokens = doc_tokens(spark, d)
@@ -169,8 +168,8 @@ def lang_counts(spark, d, clean: bool = False) -> DataFrame:
 
 def frequency_table(spark, d) -> DataFrame:
     """Word shares per language, wide for English, long for the others."""
-    tokens = corpus.materialize(V.remove_stop_words(doc_tokens(spark, d), stop(spark)).select("lang", "word"))
-    return FQ.compare_freq(tokens, "lang", "en", LANGS)
+    tokens = V.remove_stop_words(doc_tokens(spark, d), stop(spark))
+    return FQ.compare_freq(tokens.select("lang", "word"), "lang", "en")
 
 
 @query
@@ -220,7 +219,7 @@ def loglog_fit_rev(spark, d):
 @query
 def hist_share(spark, d):
     counts = TF.term_share(lang_counts(spark, d), "lang")
-    return S.histogram(counts, F.col("n") / F.col("total"), bins=30, hi=0.0009, by="lang")
+    return S.histogram(counts, F.col("n") / F.col("total"), bins=FX.SHARE_BINS, hi=FX.SHARE_LIMIT, by="lang")
 
 
 @query
@@ -312,10 +311,9 @@ def valence_arc(spark, d):
 
 @query
 def compare_lexicons(spark, d):
-    en = corpus.materialize(line_tokens(spark, d).filter(F.col("lang") == "en")
-                            .select("doc_id", "line_no", "word"))
+    en = line_tokens(spark, d).filter(F.col("lang") == "en")
     return SE.compare_lexicons(en, valence(spark), polarity(spark), emotion(spark), "doc_id",
-                               size=FX.BUCKET_LINES)
+                               FX.LEXICON_NAMES, size=FX.BUCKET_LINES)
 
 
 @query
@@ -329,10 +327,9 @@ def sentiment_contrib_by_lang(spark, d):
 
 
 def chapter_tokens(spark, d) -> DataFrame:
-    """Tokens with their chapter, computed once (several branches read them)."""
+    """``doc_id, chapter, word`` for every word."""
     seg = tok.segment_by_marker(doc_lines(spark, d), FX.MARKER, by="doc_id")
-    return corpus.materialize(tok.unnest_tokens(seg, "word", "text", position="pos")
-                              .select("doc_id", "chapter", "line_no", "pos", "word"))
+    return tok.unnest_tokens(seg, "word", "text").select("doc_id", "chapter", "word")
 
 
 @query
@@ -382,30 +379,30 @@ def count_trigrams(spark, d):
     return NG.count_ngrams(documents(spark, d), 3, stop(spark))
 
 
-def bigram_edges(spark, d, min_n: int = 20) -> DataFrame:
+def bigram_edges(spark, d, min_n: int = FX.EDGE_MIN) -> DataFrame:
     edges, _ = P.to_graph(NG.count_bigrams(documents(spark, d), stop(spark)), "n", min_n, "word1", "word2")
     return edges
 
 
 @query
 def bigram_graph(spark, d):
-    return bigram_edges(spark, d, 20)
+    return bigram_edges(spark, d)
 
 
 @query
 def bigram_graph_nodigits(spark, d):
-    edges = bigram_edges(spark, d, 40)
+    edges = bigram_edges(spark, d, FX.EDGE_MIN_NODIGITS)
     return edges.filter(~T.has_digit("word1") & ~T.has_digit("word2"))
 
 
 @query
 def graph_vertices(spark, d):
-    return P.graph_degrees(bigram_edges(spark, d, 20), "word1", "word2")
+    return P.graph_degrees(bigram_edges(spark, d), "word1", "word2")
 
 
 @query
 def graph_summary(spark, d):
-    return P.graph_summary(bigram_edges(spark, d, 20), "word1", "word2")
+    return P.graph_summary(bigram_edges(spark, d), "word1", "word2")
 
 
 def split_bigrams(spark, d) -> DataFrame:
@@ -486,13 +483,23 @@ def section_words(spark, d) -> DataFrame:
 
 @query
 def pairwise_count(spark, d):
-    pairs = P.pairwise_count(section_words(spark, d), "word", ["doc_id", "section"], sort=True)
-    return pairs.filter(F.col("item1") == FX.PAIR_WORD)
+    """Partners of one word, most frequent first."""
+    return P.pairwise_count(section_words(spark, d), "word", ["doc_id", "section"], sort=True,
+                            items=[FX.PAIR_WORD])
 
 
-def word_cors(spark, d) -> DataFrame:
-    frequent = V.keep_frequent(section_words(spark, d), "word", 20)
-    return P.pairwise_cor(frequent, "word", ["doc_id", "section"])
+@query
+def pairwise_partners(spark, d):
+    """From the counts of all pairs: each word's number of partners, its
+    shared sections in all, and its largest count with one partner."""
+    pairs = P.pairwise_count(section_words(spark, d), "word", ["doc_id", "section"])
+    return pairs.groupBy("item1").agg(F.count(F.lit(1)).alias("partners"), F.sum("n").alias("together"),
+                                      F.max("n").alias("strongest"))
+
+
+def word_cors(spark, d, **chosen) -> DataFrame:
+    frequent = V.keep_frequent(section_words(spark, d), "word", FX.FREQUENT_ITEM)
+    return P.pairwise_cor(frequent, "word", ["doc_id", "section"], **chosen)
 
 
 @query
@@ -502,12 +509,14 @@ def pairwise_cor(spark, d):
 
 @query
 def associates(spark, d):
-    return rounded(P.associates(word_cors(spark, d), FX.ASSOCIATE_WORDS, 6))
+    cors = word_cors(spark, d, items=FX.ASSOCIATE_WORDS)
+    return rounded(P.associates(cors, FX.ASSOCIATE_WORDS, 6))
 
 
 @query
 def cor_graph(spark, d):
-    edges, _ = P.to_graph(word_cors(spark, d), "correlation", 0.15)
+    cors = word_cors(spark, d, min_cor=FX.EDGE_MIN_COR)
+    edges, _ = P.to_graph(cors, "correlation", FX.EDGE_MIN_COR)
     return rounded(edges)
 
 
@@ -612,12 +621,9 @@ def meta_tf_idf(spark, d):
 def saved_word_freq(spark, d):
     """Tokens saved as a table partitioned by language in the session's
     checkpoint folder, re-read, and counted by word."""
-    import uuid
-
-    from textmine.session import ensure_checkpoint_dir
+    from textmine.session import scratch_table
 
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/tokens-{uuid.uuid4().hex}"
-    saved = corpus.save_table(doc_tokens(spark, d).select("doc_id", "lang", "word"), path,
+    saved = corpus.save_table(doc_tokens(spark, d).select("doc_id", "lang", "word"), scratch_table(spark),
                               partition_by=["lang"])
     return V.count_by(saved, "word", sort=True)
 
@@ -637,11 +643,20 @@ def chapter_triplets(spark, d) -> DataFrame:
 
 
 def lang_model(spark, d):
-    """Triplets plus the deterministic model's beta and gamma, each computed
-    once per query (several branches read them)."""
-    trip = chapter_triplets(spark, d)
-    beta, gamma = TM.language_model(trip, "lang", LANGS)
-    return trip.drop("lang"), corpus.materialize(beta), corpus.materialize(gamma)
+    """Triplets with the beta and gamma of a deterministic stand-in for a
+    topic model, so that every step after a fit can be checked: topic i is
+    the i-th language of the data, beta the term's share in the language,
+    gamma a document's normalised sum of ``count * beta``.  Each table is
+    computed once (several branches read them)."""
+    trip = chapter_triplets(spark, d).filter(F.col("lang").isNotNull())
+    groups = V.global_row_number(trip.select("lang").distinct(), ["lang"], "topic")
+    counts = V.count_by(trip, "lang", "term", wt="count").join(V.measured(groups), "lang")
+    beta = corpus.materialize(V.share(corpus.materialize(counts), "n", by="topic", out="beta")
+                              .select("topic", "term", "beta"))
+    scored = (trip.select("document", "term", "count").join(V.measured(beta), "term")
+              .groupBy("document", "topic").agg(F.sum(F.col("count") * F.col("beta")).alias("_s")))
+    gamma = V.share(corpus.materialize(scored), "_s", by="document", out="gamma")
+    return trip.drop("lang"), beta, corpus.materialize(gamma.select("document", "topic", "gamma"))
 
 
 @query
@@ -710,17 +725,25 @@ def topic_order(spark, d):
     return TM.topic_order(gamma_split(spark, d))
 
 
-_LDA_CACHE: dict = {}
+@query
+def chapter_counts(spark, d):
+    """Word counts of "title_chapter" documents: each text is cut into
+    chapters at its headings, the part before the first one is dropped, and
+    stop words are removed."""
+    words = V.remove_stop_words(chapter_tokens(spark, d).filter(F.col("chapter") > 0), stop(spark))
+    named = V.unite(words, "document", ["doc_id", "chapter"])
+    return V.count_by(named, "document", "word", sort=True)
 
 
-def fitted_lda(spark, d, optimizer: str = "online"):
-    """LDA (k=4, seed 1234) on the chapter documents, fitted once per
-    session, data folder and optimizer."""
-    key = (id(spark), d, optimizer)
-    if key not in _LDA_CACHE:
-        _LDA_CACHE[key] = TM.fit_lda(chapter_triplets(spark, d).drop("lang"), k=4, seed=1234,
-                                     optimizer=optimizer, max_iter=10 if optimizer == "online" else 20)
-    return _LDA_CACHE[key]
+@query
+def inspect_document(spark, d):
+    """The words of one chapter document, most frequent first."""
+    return TM.inspect_document(chapter_counts(spark, d), FX.INSPECTED, term="word", value="n")
+
+
+def fitted_lda(spark, d, k: int = 4):
+    return TM.fit_lda(chapter_triplets(spark, d).drop("lang"), k=k, seed=FX.LDA_SEED,
+                      max_iter=FX.LDA_ITERATIONS)
 
 
 @query
@@ -738,7 +761,7 @@ def lda_gamma(spark, d):
 @query
 def lda_top_terms(spark, d):
     model, _, vocab = fitted_lda(spark, d)
-    return TM.top_terms(TM.tidy_beta(model, vocab), 10)
+    return TM.fitted_top_terms(model, vocab, 10)
 
 
 @query
@@ -747,9 +770,49 @@ def lda_classify(spark, d):
     return TM.classify(TM.tidy_gamma(model, vectors))
 
 
+@query
+def lda_log_ratio(spark, d):
+    """Terms that tell the two topics of a fitted model apart."""
+    model, _, vocab = fitted_lda(spark, d, k=2)
+    return TM.topic_log_ratio(TM.tidy_beta(model, vocab), 1, 2)
+
+
+def fitted_assignments(spark, d):
+    """Cells of the matrix with their topic under a fitted model, and the
+    topic of each title."""
+    triplets = chapter_triplets(spark, d).drop("lang")
+    model, vectors, vocab = TM.fit_lda(triplets, k=4, seed=FX.LDA_SEED, max_iter=FX.LDA_ITERATIONS)
+    gamma = corpus.materialize(TM.tidy_gamma(model, vectors))
+    return TM.augment(triplets, TM.tidy_beta(model, vocab), gamma), TM.classify(gamma)
+
+
+@query
+def lda_misclassified(spark, d):
+    model, vectors, _ = fitted_lda(spark, d)
+    classes = corpus.materialize(TM.classify(TM.tidy_gamma(model, vectors)))
+    return TM.misclassified(classes, TM.consensus(classes))
+
+
+@query
+def lda_confusion(spark, d):
+    assigned, classes = fitted_assignments(spark, d)
+    return TM.confusion(assigned, TM.consensus(classes))
+
+
+@query
+def lda_wrong_words(spark, d):
+    assigned, classes = fitted_assignments(spark, d)
+    return TM.wrong_words(assigned, TM.consensus(classes))
+
+
 @query
 def lda_em_beta(spark, d):
-    model, _, vocab = fitted_lda(spark, d, optimizer="em")
+    """The EM trainer on texts put together again from their clean words."""
+    words = V.remove_stop_words(line_tokens(spark, d), stop(spark))
+    texts = tok.collapse_tokens(words, "doc_id", ["line_no", "pos"])
+    counts = V.count_by(tok.unnest_tokens(texts, "term", "text"), "doc_id", "term", name="count")
+    triplets = corpus.materialize(counts.withColumnRenamed("doc_id", "document"), spread_out=True)
+    model, _, vocab = TM.fit_lda(triplets, k=4, seed=FX.LDA_SEED, optimizer="em", max_iter=FX.LDA_ITERATIONS)
     return TM.tidy_beta(model, vocab)
 
 

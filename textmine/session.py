@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
+import warnings
 import zipfile
 
 from pyspark.sql import SparkSession
@@ -25,7 +27,7 @@ def get_spark(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "8g"))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
@@ -44,7 +46,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     A cluster names a shared folder in ``spark.checkpoint.dir``; that value is
     always used as is.  Only a session without it (local tests) gets a fresh
-    scratch folder.
+    scratch folder; outside local mode that comes with a warning, because
+    executors elsewhere do not share it.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -52,11 +55,35 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            warnings.warn("spark.checkpoint.dir is not set: intermediate tables go to a folder of this machine, "
+                          "which other machines do not see; name a shared folder", stacklevel=2)
         configured = tempfile.mkdtemp(prefix="textmine-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
+def scratch_table(spark: SparkSession) -> str:
+    """A new path for an intermediate table under the checkpoint folder; it
+    is the caller's until ``release``."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
+    sc = spark.sparkContext
+    sc._textmine_tables = [*getattr(sc, "_textmine_tables", []), path]
+    return path
+
+
+def release(spark: SparkSession) -> int:
+    """Delete the intermediate tables of this session; returns how many.
+    Results that still read them must have been written or collected."""
+    sc = spark.sparkContext
+    paths = getattr(sc, "_textmine_tables", [])
+    for path in paths:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    sc._textmine_tables = []
+    return len(paths)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package's modules to the executors, once per session, so
     that Python functions run there without an installed copy.  Spark serves
