@@ -15,12 +15,11 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 import __spark_entry__ as E  # noqa: E402
 
 
-def test_streaming_counts_equal_batch_counts(spark):
+def test_streaming_counts_equal_batch_counts(spark, tmp_path):
     stop = lexicons.stop_words(spark, ["en"])
     docs = document_stream(spark, SF, "doc_id long, text string, lang string, source string, n_chars long",
                            glob="documents.parquet")
-    q = run_available(stream_word_counts(docs, stop), "stream_words_test")
-    streamed = spark.sql("SELECT * FROM stream_words_test")
+    q, streamed = run_available(stream_word_counts(docs, stop), str(tmp_path / "counts"))
     batch_docs = spark.read.parquet(f"{SF}/documents.parquet")
     batch = V.count_by(V.remove_stop_words(tok.unnest_tokens(batch_docs.select("lang", "text"), "word"),
                                            stop), "lang", "word")
@@ -67,15 +66,28 @@ def test_queries_match_sql(spark, duck, name):
     assert digest(df.columns, srows) == digest(dcols, drows)
 
 
-def test_streaming_lexicon_labels_equal_batch(spark):
+def test_streaming_appends_equal_batch_tokens(spark, tmp_path):
+    folder = tmp_path / "in"
+    for i, text in enumerate(["a b", "c", ""]):
+        spark.createDataFrame([(i, text)], "doc_id long, text string").coalesce(1).write.mode("append") \
+            .parquet(str(folder))
+    docs = document_stream(spark, str(folder), "doc_id long, text string", max_files_per_trigger=1)
+    tokens = tok.unnest_tokens(docs, "word")
+    for _ in range(2):  # run again from the same checkpoint: nothing new, nothing doubled
+        _, table = run_available(tokens, str(tmp_path / "out"), "append", str(tmp_path / "state"))
+        assert rows(table) == [(0, "a"), (0, "b"), (1, "c")]
+    with pytest.raises(ValueError):
+        run_available(tokens, str(tmp_path / "x"), "update")
+
+
+def test_streaming_lexicon_labels_equal_batch(spark, tmp_path):
     lex = lexicons.lexicon(spark, [("the", "positive"), ("of", "negative"), ("and", "positive")],
                            ["word", "sentiment"])
     schema = "doc_id long, text string, lang string, source string, n_chars long"
     docs = document_stream(spark, SF, schema, glob="documents.parquet")
     labelled = V.count_by(V.join_lexicon(tok.unnest_tokens(docs.select("lang", "text"), "word"), lex),
                           "lang", "sentiment")
-    run_available(labelled, "stream_sentiment_test")
-    streamed = spark.sql("SELECT * FROM stream_sentiment_test")
+    _, streamed = run_available(labelled, str(tmp_path / "labels"))
     batch_docs = spark.read.parquet(f"{SF}/documents.parquet").select("lang", "text")
     batch = V.count_by(V.join_lexicon(tok.unnest_tokens(batch_docs, "word"), lex), "lang", "sentiment")
     assert rows(streamed) == rows(batch)

@@ -354,7 +354,8 @@ def running_sum(df: DataFrame, value: str | Column, by: str | Sequence[str], ord
 
     Two-level prefix sum: a window inside each (group, ``order %/% chunk``)
     piece plus the sum of all earlier pieces, so no task holds more than
-    ``chunk`` rows of one group.
+    ``chunk`` rows of one group.  Eager: the sums of the pieces are computed
+    and counted (``measured``).
     """
     by = as_list(by)
     val = F.col(value) if isinstance(value, str) else value
@@ -367,7 +368,7 @@ def running_sum(df: DataFrame, value: str | Column, by: str | Sequence[str], ord
     earlier = F.sum("_rs_tot").over(Window.partitionBy(*by).orderBy("_rs_piece")
                                     .rowsBetween(Window.unboundedPreceding, -1))
     prefix = pieces.select(*by, "_rs_piece", F.coalesce(earlier, F.lit(0)).alias("_rs_prefix"))
-    joined = null_safe_join(with_local, prefix, [*by, "_rs_piece"], "inner")
+    joined = null_safe_join(with_local, measured(prefix), [*by, "_rs_piece"], "inner")
     return joined.withColumn(out, F.col("_rs_local") + F.col("_rs_prefix")) \
                  .select(*df.columns, out)
 
