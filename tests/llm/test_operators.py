@@ -13,6 +13,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import GroupedData
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -290,6 +291,37 @@ def test_near_duplicates_equal_brute_force(spark, small):
     assert got == partition(docs, 4)
 
 
+def test_near_duplicates_compare_a_loose_family_in_bounded_groups(spark, monkeypatch):
+    # texts of one template, most at 0.55 to 0.75, with some links among them
+    rng, docs = random.Random(8), []
+    base = [f"w{i}" for i in range(200)]
+    for i in range(240):
+        mine = list(base) if i % 12 else list(docs[-3] if docs else base)
+        for at in range(rng.randrange(5), 200, 30 if i % 12 else 90):
+            mine[at] = f"v{rng.randrange(10 ** 6)}"
+        docs.append(mine)
+    docs += [list(docs[17]) for _ in range(3)]
+    for j, d in enumerate(docs[-3:]):
+        d[100 + j] = "z"
+    docs = [(i, " ".join(d)) for i, d in enumerate(docs)]
+    sizes, run = [], GroupedData.applyInPandas
+
+    def watched(self, func, schema):
+        if "block" in self._df.columns:
+            sizes.append(self._df.groupBy("cluster", "block").count().agg(F.max("count")).first()[0])
+        return run(self, func, schema)
+
+    monkeypatch.setattr(GroupedData, "applyInPandas", watched)
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    want = partition(docs, 4)
+    assert 5 < sum(i != c for i, (_, c) in want.items()) < 100
+    for block, hot in ((12_000, 2_000), (12_000, 5)):
+        monkeypatch.setattr(neardup, "HOT_ROWS", hot, raising=False)
+        got = neardup.near_duplicates(df, words=4, block=block).collect()
+        assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == want
+    assert 0 < max(sizes) <= 80  # 30 in a block in the mean, 243 in the family
+
+
 def test_near_duplicates_match_sql(spark):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF}/documents.parquet')")

@@ -20,6 +20,7 @@ that repeat a key are one vertex, linked with all that any of them links to.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -48,6 +49,8 @@ PIVOTS, STAR = 8, 32
 BLOCK, LEAST = 1_500_000, 400
 #: Cluster members up to which their keys are broadcast to fetch texts.
 FETCH_ROWS = 200_000
+#: Rows of one key beyond which an exact join spreads them over tasks.
+HOT_ROWS = 2_000
 
 _RNG = np.random.default_rng(20)
 _KEYS = _RNG.integers(1, 1 << 63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -299,7 +302,7 @@ def candidate_links(reps: DataFrame, trees: int = TREES, node_rows: int = NODE,
     return found
 
 
-def _exact(sets: list[np.ndarray], first: int, similarity: int) -> np.ndarray:
+def _exact(sets: list[np.ndarray], similarity: int) -> np.ndarray:
     """Spanning links at ``100 * intersection >= similarity * union``."""
     size = np.array([len(s) for s in sets])
     offsets = np.concatenate([[0], np.cumsum(size)])
@@ -313,7 +316,98 @@ def _exact(sets: list[np.ndarray], first: int, similarity: int) -> np.ndarray:
         flag[mine] = False
         return np.flatnonzero(100 * common >= similarity * (size + size[x] - common))
 
-    return spanning(len(sets), first, near)
+    return spanning(len(sets), len(sets), near)
+
+
+def _join_uneven(left: DataFrame, right: DataFrame, key: list[str]) -> DataFrame:
+    """Inner join on ``key``, of which ``right`` repeats none.  Keys with more
+    than ``HOT_ROWS`` rows of ``left`` are joined by broadcast (their number is
+    at most that part of the rows), the others by exchange."""
+    hot = checkpointed(left.groupBy(*key).agg(F.count(F.lit(1)).alias("_rows")).filter(
+        F.col("_rows") > HOT_ROWS).select(*key, F.lit(True).alias("_hot")))
+    marked = left.join(F.broadcast(hot), key, "left")
+    few = right.join(F.broadcast(hot.drop("_hot")), key, "left_semi")
+    one = marked.filter("_hot").drop("_hot").join(F.broadcast(few), key)
+    return one.unionByName(marked.filter("_hot is null").drop("_hot").join(right, key))
+
+
+def _full_sets(rows: DataFrame, words: int) -> DataFrame:
+    """``cluster, cid, n, items``: the whole set of each class, from the texts
+    of ``rows`` (``cluster, cid, n, fp1, text``)."""
+    def make(column: pa.Array) -> list[pa.Array]:
+        sets = shingle_sets(column.to_pylist(), words)
+        prints = np.array([np.bitwise_xor.reduce(s) if len(s) else 0 for s in sets], np.uint64).view(np.int64)
+        return [pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())), pa.array(prints)]
+
+    # a repeated key may have brought other texts, or one text twice
+    made = add_columns(rows, "text", "items array<long>, print long", make, ["cluster", "cid", "n", "fp1"])
+    return made.filter("print = fp1").select("cluster", "cid", "n", "items").dropDuplicates(["cid"])
+
+
+def _prefixes(sets: DataFrame, similarity: int) -> DataFrame:
+    """``cluster, cid, n, prefix``: of each set the shingles, rarest in the
+    cluster first, of which one is the first common shingle with any set that
+    it links with (array of ``at, item``: the place and the shingle)."""
+    each = sets.select("cluster", "cid", "n", F.explode("items").alias("item"))
+    counts = checkpointed(each.groupBy("cluster", "item").agg(F.count(F.lit(1)).alias("df")).filter("df > 1"))
+    shared = _join_uneven(each, counts, ["cluster", "item"])
+    ranked = shared.groupBy("cluster", "cid", "n").agg(F.array_sort(F.collect_list(F.struct("df", "item"))).alias("x"))
+    # shingles of one set only come first; they join with nothing
+    alone = F.col("n") - F.size("x")
+    placed = F.transform("x", lambda e, i: F.struct((alone + i).alias("at"), e["item"].alias("item")))
+    long_enough = lambda e: 100 * (F.col("n") - e["at"]) >= similarity * F.col("n")
+    return ranked.select("cluster", "cid", "n", F.filter(placed, long_enough).alias("prefix"))
+
+
+def _pairs(ranked: DataFrame, similarity: int, pivots: bool) -> DataFrame:
+    """``a, b``: pairs of sets in different parts that can be linked, by an
+    equal-key join on prefix shingle and bucket of sizes; with ``pivots`` only
+    those with one set of every key, which is linear in the rows.
+
+    A link of sizes m <= n has at least s (m + n) / (100 + s) common shingles,
+    all at or behind its first common one; so the place of a shingle bounds
+    the sizes of the partners, and a shingle that all sets hold is met late
+    and joins nothing unless the sets are that similar."""
+    s = similarity
+    bucket = lambda size: F.floor(F.log(size.cast("double")) / math.log(1.06)).cast("int")
+    key = ["cluster", "item", "bucket"]
+    each = ranked.select("cluster", "cid", "n", "part", F.inline("prefix")).withColumn("left", F.col("n") - F.col("at"))
+    small = each.filter((100 + s) * F.col("left") >= 2 * s * F.col("n")).withColumn("bucket", bucket(F.col("n")))
+    most = F.least("n", F.expr(f"left * {100 + s} div {s}") - F.col("n"))
+    large = each.withColumn("lo", F.expr(f"({s} * n + 99) div 100")).withColumn("hi", most).filter("lo <= hi")
+    large = large.withColumn("bucket", F.explode(F.sequence(bucket(F.col("lo")), bucket(F.col("hi")))))
+    small = small.select(*key, *[F.col(c).alias(f"{c}_s") for c in ("cid", "n", "part", "left")])
+    large = large.select(*key, "cid", "n", "part", "left")
+    if pivots:
+        one = F.min(F.struct(F.xxhash64("cid_s", F.lit(6)), "cid_s", "n_s", "part_s", "left_s")).alias("one")
+        small = small.groupBy(*key).agg(one).select(*key, "one.cid_s", "one.n_s", "one.part_s", "one.left_s")
+        both = _join_uneven(large, small, key)
+    else:
+        # keys with many rows on both sides are dealt to squares of a bounded size
+        sizes = small.groupBy(*key).agg(F.count(F.lit(1)).alias("ks")).join(
+            large.groupBy(*key).agg(F.count(F.lit(1)).alias("kl")), key)
+        hot = checkpointed(sizes.filter((F.col("ks") > HOT_ROWS) | (F.col("kl") > HOT_ROWS)).select(
+            *key, *[F.ceil(F.col(c) / HOT_ROWS).cast("int").alias(c) for c in ("ks", "kl")]))
+
+        def deal(rows: DataFrame, cid: str, own: str, other: str) -> DataFrame:
+            rows = rows.join(F.broadcast(hot), key, "left").fillna(1, ["ks", "kl"])
+            return rows.withColumn(f"_{own}", F.pmod(F.xxhash64(cid, F.lit(5)), F.col(own)).cast("int")).withColumn(
+                f"_{other}", F.explode(F.sequence(F.lit(0), F.col(other) - 1))).drop("ks", "kl")
+
+        both = deal(large, "cid", "kl", "ks").join(deal(small, "cid_s", "ks", "kl"), [*key, "_ks", "_kl"])
+    able = F.least("left", "left_s") * (100 + s) >= s * (F.col("n") + F.col("n_s"))
+    both = both.filter((F.col("part") != F.col("part_s")) & (F.col("n_s") <= F.col("n")) & able)
+    return both.select(F.greatest("cid", "cid_s").alias("a"), F.least("cid", "cid_s").alias("b")).distinct()
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+    """The ``pairs`` (``a, b``) whose whole sets are similar."""
+    of = lambda end: sets.select(F.col("cid").alias(end), F.col("n").alias(f"n_{end}"),
+                                 F.col("items").alias(f"items_{end}"))
+    both = _join_uneven(_join_uneven(pairs, of("a"), ["a"]), of("b"), ["b"])
+    common = F.size(F.array_intersect("items_a", "items_b")).cast("long")
+    return both.withColumn("common", common).filter(
+        100 * F.col("common") >= similarity * (F.col("n_a") + F.col("n_b") - F.col("common"))).select("a", "b")
 
 
 def cluster_links(docs: DataFrame, members: DataFrame, key: str, text: str, words: int, similarity: int,
@@ -324,10 +418,13 @@ def cluster_links(docs: DataFrame, members: DataFrame, key: str, text: str, word
     ``members`` has ``cluster, cid, doc, n, fp1``; the set is read again from
     the texts of ``doc``.  A cluster of up to ``block`` elements is one
     group.  A larger one is dealt to blocks, each compared in itself; then a
-    few documents of every block's largest part meet; then whatever is still
-    outside the cluster's largest part meets every block.  So every link
+    few documents of every block's largest part meet; then what can be linked
+    between two parts is found by an exact join on rare shingles (see
+    ``_pairs``), first with one document of every key, so that most of a large
+    part is together before all remaining pairs are taken.  So every link
     between two parts is found, while documents of one part are not compared
-    with all others.
+    with all others and no group holds more than ``block`` elements or
+    ``HOT_ROWS`` rows a side.
     """
     weight = F.greatest(F.col("n"), F.lit(LEAST))
     blocks = members.groupBy("cluster").agg(F.ceil(F.sum(weight) / block).alias("blocks"))
@@ -337,25 +434,25 @@ def cluster_links(docs: DataFrame, members: DataFrame, key: str, text: str, word
     body = docs.select(F.col(f"`{key}`").cast("long").alias("doc"), F.col(f"`{text}`").alias("text"))
 
     def links_of(groups: DataFrame) -> DataFrame:
-        """Links of the rows marked ``out`` with all rows of their group."""
+        """Links between the rows of each group (``cluster, block``)."""
         def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-            pdf = pdf.sort_values(["out", "cid"], ascending=[False, True], kind="stable")
+            pdf = pdf.sort_values("cid", kind="stable")
             sets = shingle_sets(pdf["text"].tolist(), words)
             prints = np.array([np.bitwise_xor.reduce(s) if len(s) else 0 for s in sets], np.uint64).view(np.int64)
             # a repeated key may have brought other texts, or one text twice
             right = pdf["fp1"].to_numpy() == prints
             right[right] = ~pdf["cid"][right].duplicated().to_numpy()
             sets = [s for s, r in zip(sets, right) if r]
-            ids, first = pdf["cid"].to_numpy()[right], int(pdf["out"].to_numpy()[right].sum())
-            got = _exact(sets, first, similarity) if first and len(sets) > 1 else np.zeros((0, 2), np.int64)
+            ids = pdf["cid"].to_numpy()[right]
+            got = _exact(sets, similarity) if len(sets) > 1 else np.zeros((0, 2), np.int64)
             return pd.DataFrame({"a": ids[got[:, 0]], "b": ids[got[:, 1]]})
 
-        wanted = groups.select("cluster", "cid", "doc", "fp1", "block", "out")
+        wanted = groups.select("cluster", "cid", "doc", "fp1", "block")
         wanted = F.broadcast(wanted) if rows["n"] <= FETCH_ROWS and rows["most"] == 1 else wanted
         return checkpointed(body.join(wanted, "doc").groupBy("cluster", "block").applyInPandas(
             compare, "a long, b long"))
 
-    links = links_of(dealt.withColumn("out", F.lit(1)))
+    links = links_of(dealt)
     if (rows["most"] or 0) <= 1:
         return links
 
@@ -373,13 +470,23 @@ def cluster_links(docs: DataFrame, members: DataFrame, key: str, text: str, word
     mine = table.join(largest(table, "cluster", "block"), ["cluster", "block"]).filter("part = main")
     few = mine.withColumn("slot", F.pmod(F.xxhash64("cid", F.lit(4)), F.lit(8))).groupBy(
         "cluster", "block", "slot").agg(F.min("cid").alias("cid")).select("cluster", "cid")
-    hubs = table.join(few, ["cluster", "cid"], "left_semi").withColumn("block", F.lit(0).cast("long"))
-    links = links.union(links_of(hubs.withColumn("out", F.lit(1))))
+    hubs = checkpointed(table.join(few, ["cluster", "cid"], "left_semi"))
+    groups = hubs.groupBy("cluster").agg(F.ceil(F.sum(weight) / block).alias("groups"))
+    links = links.union(links_of(hubs.join(groups, "cluster").withColumn(
+        "block", F.pmod(F.xxhash64("cid", F.lit(7)), F.col("groups")))))
+    # parts that stay apart are compared by their shingles, no set with all others
     table = placed(links)
-    table = table.join(largest(table, "cluster"), "cluster")
-    rest = table.filter("part <> main").withColumn(
-        "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).withColumn("out", F.lit(1))
-    return links.union(links_of(rest.unionByName(table.filter("part = main").withColumn("out", F.lit(0)))))
+    open_ = table.groupBy("cluster").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).filter(
+        "lo < hi").select("cluster")
+    table = checkpointed(table.join(open_, "cluster", "left_semi"))
+    sets = checkpointed(_full_sets(body.join(table.select("cluster", "cid", "doc", "n", "fp1"), "doc"), words))
+    ranked = checkpointed(_prefixes(sets, similarity))
+    for pivots in (True, False):
+        parted = ranked.join(table.select("cid", "part"), "cid")
+        pairs = checkpointed(_pairs(parted, similarity, pivots))
+        links = links.union(checkpointed(_confirmed(pairs, sets, similarity)))
+        table = placed(links) if pivots else table
+    return links
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, similarity: int = 80,
