@@ -468,6 +468,24 @@ def test_masked_lm_awkward_rows(spark):
     assert masked_lm.score(awkward(spark), masked_lm.fit(empty(spark))).count() == 10
 
 
+def test_masked_lm_trains_on_every_row(spark, monkeypatch):
+    # every third row holds one text; each row counts in exactly one round
+    rows = [(i, "one text again" if i % 3 == 0 else f"text number {i} of some") for i in range(60)]
+    df = spark.createDataFrame([*rows, (None, None), (60, "")], "doc_id long, text string")
+    seen, run = [], type(df).mapInArrow
+
+    def watched(self, func, schema, *rest, **more):
+        if "weight binary" in str(schema):
+            seen.append([r["text"] for r in self.collect()])
+        return run(self, func, schema, *rest, **more)
+
+    monkeypatch.setattr(type(df), "mapInArrow", watched)
+    model = masked_lm.fit(df)
+    assert sorted(t for part in seen for t in part if t) == sorted(t for _, t in rows)
+    assert all(5 < part.count("one text again") for part in seen)  # not all in one round
+    assert np.abs(model.net.outer - masked_lm.Network.start().outer).max() > 0
+
+
 # ------------------------------------------------------------------ pipeline
 
 

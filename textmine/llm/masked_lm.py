@@ -6,10 +6,11 @@ A word's probability is that of its class given the window (the network) times
 that of the word in its class (corpus counts).  The most frequent words are
 classes of their own; all others fall into classes by their ending.
 
-Counts cover all words of all documents.  The network is trained in numpy
-inside Spark tasks, on a fixed fraction of the documents (so the training
-grows with the corpus): each task trains on its documents from the same
-start, and updates are averaged in a tree of sums, round by round.
+Counts cover all words of all documents, and the network is trained on all
+of them, in numpy inside Spark tasks: each task trains on its documents from
+the same start, and updates are averaged in a tree of sums, round by round.
+The rounds share the rows out, so every row (repeated texts as often as they
+occur) is trained on once.
 
 Null and empty texts have 0 words and score 0; their mean is 0.  Repeated rows
 are scored each by itself; texts of any length are read whole.
@@ -26,6 +27,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from textmine.llm.common import add_columns, checkpointed, slices
 from textmine.llm.words import HashTable, Words, alnum_table
@@ -35,8 +37,9 @@ OWN, ENDINGS = 96, 32
 CLASSES = OWN + ENDINGS
 BUCKETS, DIM, HIDDEN = 8192, 16, 32
 SIDES = (-2, -1, 1, 2)
-CHUNK = 16_384  # words scored at once
+CHUNK = 1_024  # words scored at once
 PAD = BUCKETS + CLASSES  # the input row beside a text's ends
+PLAIN = (T.StringType, T.NumericType, T.DateType, T.TimestampType, T.BooleanType)  # columns that deal rows to rounds
 
 
 def tokens(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -193,16 +196,18 @@ class Trainer:
         p /= n
         d_hidden = (p @ net.outer.T) * (1 - hidden * hidden)
         d_rows = (d_hidden @ net.inner.reshape(-1, HIDDEN).T).reshape(-1, DIM)
-        each, back = np.unique(rows.ravel(), return_inverse=True)
-        summed = np.zeros((len(each), DIM), np.float32)
-        np.add.at(summed, back, d_rows)
+        ids = rows.ravel().astype(np.uint16)  # sorts by radix
+        order = np.argsort(ids, kind="stable")
+        ids = ids[order]
+        first = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
+        each, summed = ids[first], np.add.reduceat(d_rows[order], first)
         for k, g in (("outer", hidden.T @ p), ("outer_b", p.sum(axis=0)),
                      ("inner", (flat.T @ d_hidden).reshape(net.inner.shape)), ("inner_b", d_hidden.sum(axis=0))):
             self.memory[k] += g * g
             getattr(net, k)[...] -= self.rate * g / np.sqrt(self.memory[k])
         self.memory["embed"][each] += summed * summed
         net.embed[each] -= self.rate * summed / np.sqrt(self.memory["embed"][each])
-        self.used[each] += np.bincount(back, minlength=len(each)).astype(np.float32)
+        self.used[each] += np.diff(np.append(first, len(ids)))
         self.seen += n
 
 
@@ -219,9 +224,11 @@ def _unflat(values: np.ndarray) -> Network:
     return Network(*made)
 
 
-def train(sample: DataFrame, vocab: Vocabulary, rounds: int = 2, rate: float = 0.08, pieces: int = 16) -> Network:
+def train(sample: DataFrame, vocab: Vocabulary, rounds: int = 2, rate: float = 0.08, pieces: int = 16,
+          share: str | None = None) -> Network:
     """Rounds of local training and averaging over the rows of ``sample``
-    (``text``).  Each task's parameters count by the words it trained on (an
+    (``text``); where ``share`` names a column, round i takes the rows that
+    hold i there.  Each task's parameters count by the words it trained on (an
     input row by how often it was used); sums go through a tree of groups, so
     no task meets more than about the root of the number of tasks."""
     spark = sample.sparkSession
@@ -230,7 +237,8 @@ def train(sample: DataFrame, vocab: Vocabulary, rounds: int = 2, rate: float = 0
     known = spark.sparkContext.broadcast(vocab)  # of the vocabulary's size
     schema = "piece int, fan int, total binary, weight binary"
 
-    for _ in range(rounds):
+    for turn in range(rounds):
+        mine_now = (sample.filter(F.col(share) == turn) if share else sample).select("text")
         sent = spark.sparkContext.broadcast(net)
 
         def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -258,10 +266,10 @@ def train(sample: DataFrame, vocab: Vocabulary, rounds: int = 2, rate: float = 0
             return pd.DataFrame({"piece": [pdf["piece"].iloc[0]], "fan": [0], "total": [total.tobytes()],
                                  "weight": [weight.tobytes()]})
 
-        summed = sample.mapInArrow(local, schema).groupBy("piece", "fan").applyInPandas(add, schema)
+        summed = mine_now.mapInArrow(local, schema).groupBy("piece", "fan").applyInPandas(add, schema)
         rows = sorted(summed.groupBy("piece").applyInPandas(add, schema).collect(), key=lambda r: r["piece"])
         if not rows:
-            return net
+            continue
         total = np.concatenate([np.frombuffer(bytes(r["total"])) for r in rows])
         weight = np.concatenate([np.frombuffer(bytes(r["weight"])) for r in rows])
         old = _flat(net)
@@ -283,14 +291,19 @@ class Model:
         return np.diff(at), upto[at[1:]] - upto[at[:-1]]
 
 
-def fit(df: DataFrame, text: str = "text", words: int = 20_000, fraction: float = 0.05, rounds: int = 2) -> Model:
-    """Count the words of all rows and train the network on the rows whose
-    text hash falls into ``fraction`` (whole texts)."""
+def fit(df: DataFrame, text: str = "text", words: int = 20_000, fraction: float = 1.0, rounds: int = 2) -> Model:
+    """Count the words of all rows and train the network on all rows, each in
+    one of ``rounds`` by a hash of its columns.  A ``fraction`` below 1 leaves
+    out the rows whose text hash falls beyond it (whole texts)."""
     ship_package(df.sparkSession)
     vocab = vocabulary(checkpointed(count_words(df, text)), words)
-    draw = F.pmod(F.xxhash64(F.col(f"`{text}`"), F.lit(5)), F.lit(1 << 30)) / float(1 << 30)
-    sample = df.filter(draw < fraction).select(F.col(f"`{text}`").alias("text")).filter("text is not null")
-    return Model(vocab, train(checkpointed(sample), vocab, rounds))
+    plain = [F.col(f"`{f.name}`") for f in df.schema.fields if isinstance(f.dataType, PLAIN)]
+    rows = df.filter(F.col(f"`{text}`").isNotNull()).select(
+        F.col(f"`{text}`").alias("text"), F.pmod(F.xxhash64(*plain, F.lit(7)), F.lit(rounds)).alias("share"))
+    if fraction < 1:
+        draw = F.pmod(F.xxhash64("text", F.lit(5)), F.lit(1 << 30)) / float(1 << 30)
+        rows = rows.filter(draw < fraction)
+    return Model(vocab, train(rows, vocab, rounds, share="share"))
 
 
 def score(df: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None) -> DataFrame:
