@@ -468,6 +468,27 @@ def test_masked_lm_awkward_rows(spark):
     assert masked_lm.score(awkward(spark), masked_lm.fit(empty(spark))).count() == 10
 
 
+def test_masked_lm_scores_every_word_by_its_own_count(spark):
+    # "abzz" is counted more often than "cdzz" of the same ending; neither is in the list
+    rows = [(i, " ".join(["the of and"] * 9 + ["abzz abzz abzz" if i < 8 else "cdzz"])) for i in range(9)]
+    df = spark.createDataFrame([*rows, (9, None), (10, "abzz"), (11, "cdzz"), (12, "newzz")],
+                               "doc_id long, text string")
+    model = masked_lm.fit(df.filter("doc_id < 12"), words=3)
+    assert len(model.vocab.words) == 3
+    got = {r["doc_id"]: r for r in masked_lm.score(df, model).collect()}
+    assert len(got) == 13 and (got[9]["n_tokens"], got[9]["log_likelihood"]) == (0, 0.0)
+    assert got[0]["n_tokens"] == 30
+    # alone in a text, both have one window and one class: counts of 25 and 2
+    assert abs(got[10]["log_likelihood"] - got[11]["log_likelihood"] - math.log(25 / 2)) < 1e-6
+    text = rows[0][1]
+    h, ending, at = masked_lm.tokens([text])
+    kind, log = model.vocab.classify(h, ending)
+    n = np.array([25.0 if w == "abzz" else np.nan for w in text.split()])
+    log = np.where(np.isnan(n), log, np.log(n / 27))
+    want = masked_lm.class_logs(model.net, masked_lm.windows(h, kind, at), kind) + log
+    assert abs(got[0]["log_likelihood"] - want.sum()) < 1e-3
+
+
 def test_masked_lm_trains_on_every_row(spark, monkeypatch):
     # every third row holds one text; each row counts in exactly one round
     rows = [(i, "one text again" if i % 3 == 0 else f"text number {i} of some") for i in range(60)]

@@ -12,6 +12,9 @@ the same start, and updates are averaged in a tree of sums, round by round.
 The rounds share the rows out, so every row (repeated texts as often as they
 occur) is trained on once.
 
+The counts of frequent words go to the tasks as a list; those of all other
+words are joined to the tokens by a shuffle, so no word is without its own.
+
 Null and empty texts have 0 words and score 0; their mean is 0.  Repeated rows
 are scored each by itself; texts of any length are read whole.
 """
@@ -67,13 +70,15 @@ def count_words(df: DataFrame, text: str) -> DataFrame:
 
 @dataclass
 class Vocabulary:
-    """Class and log probability in its class of the known words, and the
-    log probability of any other word by ending."""
+    """Class and log probability in its class of the frequent words, the mean
+    log probability of any other word by ending, and the log of what is
+    counted in each ending's class."""
 
     words: np.ndarray
     classes: np.ndarray
     logs: np.ndarray
     other: np.ndarray
+    totals: np.ndarray
 
     def __post_init__(self) -> None:
         self.table = HashTable(self.words.view(np.uint64), np.arange(len(self.words), dtype=np.int32), -1)
@@ -85,6 +90,9 @@ class Vocabulary:
         kind[known], log[known] = self.classes[at[known]], self.logs[at[known]]
         return kind, log
 
+    def listed(self, h: np.ndarray) -> np.ndarray:
+        return self.table.find(h) >= 0
+
 
 def vocabulary(counts: DataFrame, size: int) -> Vocabulary:
     """The most frequent words and sums by ending over all words; ``counts``
@@ -114,7 +122,8 @@ def vocabulary(counts: DataFrame, size: int) -> Vocabulary:
     rate = np.where(rest_kinds > 0, rest / np.maximum(1, rest_kinds), 1.0)
     other = np.log(np.maximum(rate, 1e-9) / np.maximum(total, 1.0))
     logs = np.where(own, 0.0, np.log(n / np.maximum(1.0, total[ending] if len(known) else 1.0)))
-    return Vocabulary(word, np.where(own, np.arange(len(known)), OWN + ending), logs, other)
+    return Vocabulary(word, np.where(own, np.arange(len(known)), OWN + ending), logs, other,
+                      np.log(np.maximum(total, 1.0)))
 
 
 @dataclass
@@ -281,14 +290,32 @@ def train(sample: DataFrame, vocab: Vocabulary, rounds: int = 2, rate: float = 0
 class Model:
     vocab: Vocabulary
     net: Network
+    counts: DataFrame | None = None  # of all words, as made by ``count_words``
 
     def scores(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Number of words and pseudo log-likelihood of each text."""
+        """Number of words and pseudo log-likelihood of each text, words
+        outside the list at their ending's mean."""
+        h, ending, at = tokens(texts)
+        kind, log = self.vocab.classify(h, ending)
+        return np.diff(at), _sums(class_logs(self.net, windows(h, kind, at), kind) + log, at)
+
+    def parts(self, texts: list[str | None]) -> list[pa.Array]:
+        """Number of words and pseudo log-likelihood of each text, without the
+        log counts of the words outside the list, and these words."""
         h, ending, at = tokens(texts)
         kind, log = self.vocab.classify(h, ending)
-        each = class_logs(self.net, windows(h, kind, at), kind) + log
-        upto = np.concatenate([[0.0], np.cumsum(each)])
-        return np.diff(at), upto[at[1:]] - upto[at[:-1]]
+        rare = ~self.vocab.listed(h)
+        log[rare] = -self.vocab.totals[ending[rare]]
+        total = _sums(class_logs(self.net, windows(h, kind, at), kind) + log, at)
+        words = pa.StructArray.from_arrays([pa.array(h[rare].view(np.int64)), pa.array(ending[rare])],
+                                           ["word", "ending"])
+        upto = np.concatenate([[0], np.cumsum(rare)])[at].astype(np.int32)
+        return [pa.array(np.diff(at)), pa.array(total), pa.ListArray.from_arrays(pa.array(upto), words)]
+
+
+def _sums(each: np.ndarray, at: np.ndarray) -> np.ndarray:
+    upto = np.concatenate([[0.0], np.cumsum(each)])
+    return upto[at[1:]] - upto[at[:-1]]
 
 
 def fit(df: DataFrame, text: str = "text", words: int = 20_000, fraction: float = 1.0, rounds: int = 2) -> Model:
@@ -296,23 +323,37 @@ def fit(df: DataFrame, text: str = "text", words: int = 20_000, fraction: float
     one of ``rounds`` by a hash of its columns.  A ``fraction`` below 1 leaves
     out the rows whose text hash falls beyond it (whole texts)."""
     ship_package(df.sparkSession)
-    vocab = vocabulary(checkpointed(count_words(df, text)), words)
+    counts = checkpointed(count_words(df, text))
+    vocab = vocabulary(counts, words)
     plain = [F.col(f"`{f.name}`") for f in df.schema.fields if isinstance(f.dataType, PLAIN)]
     rows = df.filter(F.col(f"`{text}`").isNotNull()).select(
         F.col(f"`{text}`").alias("text"), F.pmod(F.xxhash64(*plain, F.lit(7)), F.lit(rounds)).alias("share"))
     if fraction < 1:
         draw = F.pmod(F.xxhash64("text", F.lit(5)), F.lit(1 << 30)) / float(1 << 30)
         rows = rows.filter(draw < fraction)
-    return Model(vocab, train(rows, vocab, rounds, share="share"))
+    return Model(vocab, train(rows, vocab, rounds, share="share"), counts)
 
 
 def score(df: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """Append ``n_tokens``, ``log_likelihood`` (the sum) and
-    ``mean_log_likelihood`` (by word)."""
-    sent = df.sparkSession.sparkContext.broadcast(model)  # of the vocabulary's and network's size
+    ``mean_log_likelihood`` (by word).  ``model`` is one that ``fit`` made."""
+    # of the list's and network's size
+    sent = df.sparkSession.sparkContext.broadcast(Model(model.vocab, model.net))
+    other = F.array(*[F.lit(float(x)) for x in model.vocab.other + model.vocab.totals])
 
     def make(column: pa.Array) -> list[pa.Array]:
-        n, total = sent.value.scores(column.to_pylist())
-        return [pa.array(n), pa.array(total), pa.array(total / np.maximum(n, 1))]
-
-    return add_columns(df, text, "n_tokens long, log_likelihood double, mean_log_likelihood double", make, keep)
+        return sent.value.parts(column.to_pylist())
+
+    fields = "n_tokens long, _lm_sum double, _lm_rare array<struct<word:long,ending:short>>"
+    made = ("n_tokens", "log_likelihood", "mean_log_likelihood")
+    keep = [c for c in (df.columns if keep is None else keep) if c not in made]
+    base = checkpointed(add_columns(df, text, fields, make, keep).withColumn(
+        "_lm_row", F.monotonically_increasing_id()))
+    rare = base.select("_lm_row", F.inline("_lm_rare")).join(model.counts, ["word", "ending"], "left")
+    # a word that was never counted stands at its ending's mean
+    log = F.coalesce(F.log(F.col("n").cast("double")), F.get(other, F.col("ending").cast("int")))
+    logs = rare.groupBy("_lm_row").agg(F.sum(log).alias("_lm_logs"))
+    total = F.col("_lm_sum") + F.coalesce("_lm_logs", F.lit(0.0))
+    return base.drop("_lm_rare").join(logs, "_lm_row", "left").select(
+        *[F.col(f"`{c}`") for c in keep], "n_tokens", total.alias("log_likelihood"),
+        (total / F.greatest("n_tokens", F.lit(1))).alias("mean_log_likelihood"))
