@@ -380,6 +380,18 @@ def test_secret_lexing_propagates_constants():
     assert secrets.spans_of(long)[0] == (0, 0, 300_009)
 
 
+def test_secret_literals_with_slashes_blanks_and_letters():
+    def clean(text):
+        return secrets.redact(text, secrets.spans_of(text), "#")
+
+    assert clean("aws_secret_access_key = wJalr//XUtnFEMI/K7MDENG/bPxRfiCYEXAMPLE1") == "aws_secret_access_key = #"
+    assert clean('passphrase = "three plain words"; x') == 'passphrase = "#"; x'
+    assert clean('password = "correct horse battery"; x') == '#"; x'
+    assert clean("pwd=abcdefgh next") == "pwd=# next"
+    for text in ('auth_url = "https://host/path/Ab3"', 'title = "three plain words"', "pwd = readpassword()"):
+        assert clean(text) == text
+
+
 def test_secrets_awkward_rows(spark):
     out = secrets.scan(awkward(spark), redacted="clean").collect()
     assert len(out) == 10 and all(r["spans"] == [] and r["clean"] == r["text"] for r in out)

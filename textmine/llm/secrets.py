@@ -37,6 +37,9 @@ ASSIGN_NAMES = ("password", "passwd", "secret", "token", "apikey", "api_key")
 SENSITIVE = {"password": 1.0, "passwd": 1.0, "pwd": 1.0, "passphrase": 1.0, "secret": 1.0, "token": 1.0,
              "apikey": 1.0, "credential": 1.0, "credentials": 1.0, "pass": 0.8, "auth": 0.7, "bearer": 0.8,
              "private": 0.6, "access": 0.4, "key": 0.5, "signing": 0.4, "api": 0.4, "client": 0.1, "salt": 0.5}
+#: From this score on, a name's quoted literals count with white space in
+#: them, and its bare ones of letters only.
+STRONG = 0.8
 #: Literals that name nothing secret.
 PLACEHOLDERS = frozenset({"none", "null", "true", "false", "undefined", "changeme", "example", "required",
                           "optional", "string", "redacted", "placeholder"})
@@ -88,9 +91,12 @@ def name_score(name: str) -> float:
     return min(1.0, sum(SENSITIVE.get(part.lower(), 0.0) for part in _PARTS.findall(name)))
 
 
-def literal_score(value: str) -> float:
-    """0 to 1 by length, character variety and mixture of kinds."""
-    if len(value) < 6 or value.lower() in PLACEHOLDERS or "//" in value or any(c.isspace() for c in value):
+def literal_score(value: str, blanks: bool = False) -> float:
+    """0 to 1 by length, character variety and mixture of kinds; with white
+    space only where ``blanks`` allows it."""
+    if len(value) < 6 or value.lower() in PLACEHOLDERS or "://" in value:
+        return 0.0
+    if not blanks and any(c.isspace() for c in value):
         return 0.0
     n = len(value)
     bits = -sum(c / n * math.log2(c / n) for c in Counter(value).values())
@@ -108,10 +114,13 @@ def literal_spans(text: str, least: float = 0.5) -> list[tuple[int, int, int]]:
         if not quoted and (ref := _REFERENCE.fullmatch(text, start, end)):
             known = constants.get(ref.group(1) or ref.group(2))
             span = known or span
-        if quoted or known or not text[start:end].isalpha():
+        letters = not quoted and not known and text[start:end].isalpha()
+        if not letters:
             constants[name.rpartition(".")[2]] = constants[name] = span
+        # bare letters may name a variable or call; those of strong names count
+        if not letters or (name_score(name) >= STRONG and text[end:end + 1] not in ("(", "[")):
             best[span] = max(best.get(span, 0.0), name_score(name))
-    return [(a, 3, b) for (a, b), s in best.items() if s and s * literal_score(text[a:b]) >= least]
+    return [(a, 3, b) for (a, b), s in best.items() if s and s * literal_score(text[a:b], s >= STRONG) >= least]
 
 
 def spans_of(text: str | None) -> list[tuple[int, int, int]]:
