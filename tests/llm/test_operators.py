@@ -432,6 +432,26 @@ def test_mixing_positions_follow_the_schedule(spark):
     assert np.allclose(a, np.sqrt(np.arange(400) / 400), atol=1e-6)  # cumulative demand is t squared
 
 
+def test_mixing_emits_equal_rows_as_planned(spark, monkeypatch):
+    # null keys, repeated rows and large groups: as many copies of each group as plan() has positions
+    rows = [(None, f"{a} b c d", "a") for a in "pqrst" * 30] + [(1, "x y", "a")] * 40
+    rows += [(i + 10, "u v w", "b") for i in range(300)] + [(None, "k l m", None)] * 20 + [(None, "", "b")] * 3
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    for chunk in (1_000, 7):
+        monkeypatch.setattr(mixing, "CHUNK_ROWS", chunk, raising=False)
+        monkeypatch.setattr(mixing, "BUCKET_ROWS", chunk)
+        planned = mixing.plan(df).collect()
+        assert len(planned) == len(rows)
+        want, got = {}, {}
+        for r in planned:
+            at = (r["doc_id"], r["source"], r["size"])
+            want[at] = want.get(at, 0) + len(r["positions"])
+        for r in mixing.mix(df).collect():
+            at = (r["doc_id"], r["source"], len(r["text"].split()))
+            got[at] = got.get(at, 0) + 1
+        assert got == {k: n for k, n in want.items() if n}
+
+
 def test_mixing_reruns_and_awkward_rows(spark):
     first = sorted(map(str, mixing.plan(awkward(spark)).collect()))
     assert first == sorted(map(str, mixing.plan(awkward(spark)).collect())) and len(first) == 10

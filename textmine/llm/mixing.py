@@ -28,6 +28,8 @@ from textmine.llm.common import checkpointed
 Knots = Sequence[tuple[float, float]]
 #: Rows that one window over a hash bucket sees (about).
 BUCKET_ROWS = 1_000
+#: Rows that one count is expanded to at once.
+CHUNK_ROWS = 1_000
 
 
 def count_words(text: Column) -> Column:
@@ -94,6 +96,13 @@ def plan(df: DataFrame, key: str = "doc_id", source: str = "source", text: str =
     ``schedules`` gives knots by source; by default weights 1, 2, 3 repeat
     over the sources by code point (see ``default_schedule``).
     """
+    return _numbered_plan(df, key, source, text, schedules, max_repeat).drop("_i", "_copies")
+
+
+def _numbered_plan(df: DataFrame, key: str, source: str, text: str, schedules: dict[str | None, Knots] | None,
+                   max_repeat: int) -> DataFrame:
+    """``plan`` with the number ``_i`` of each row among the ``_copies`` rows
+    equal in key, source and size."""
     spark = df.sparkSession
     rows = df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{source}`").alias("source"),
                      count_words(F.col(f"`{text}`")).alias("size"))
@@ -123,7 +132,13 @@ def plan(df: DataFrame, key: str = "doc_id", source: str = "source", text: str =
     placed = placed.join(before, F.col("source").eqNullSafe(F.col("_s")) & (F.col("_b") == F.col("_sb")))
     placed = placed.select("key", "source", "size", "copies", (F.col("_before") + F.col("_in")).alias("_start"))
     placed = placed.join(table.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
-    each = placed.withColumn("_i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
+    # counts are expanded by chunks; those of large groups are spread over tasks
+    chunk = F.sequence(F.lit(0).cast("long"), F.expr(f"(copies - 1) div {CHUNK_ROWS}"))
+    many = placed.filter(F.col("copies") > CHUNK_ROWS).withColumn("_c", F.explode(chunk))
+    many = many.repartition("key", "source", "size", "_c")
+    chunks = placed.filter(F.col("copies") <= CHUNK_ROWS).withColumn("_c", F.lit(0).cast("long")).unionByName(many)
+    each = chunks.withColumn("_i", F.explode(F.sequence(F.col("_c") * CHUNK_ROWS, F.least(
+        F.col("copies"), (F.col("_c") + 1) * CHUNK_ROWS) - 1)))
     start = F.col("_start") + F.col("_i") * F.col("size")
     want_words = F.round("target").cast("long")
     passes = F.sequence(F.lit(0), F.lit(max_repeat - 1))
@@ -135,7 +150,7 @@ def plan(df: DataFrame, key: str = "doc_id", source: str = "source", text: str =
     return (each.withColumn("_at", start)
             .select(F.col("key").alias(key), F.col("source").alias(source), "size", "source_size", "target",
                     F.aggregate(part, F.lit(0).cast("long"), lambda a, b: a + b).alias("taken"),
-                    F.filter(begin, lambda x: x.isNotNull()).alias("positions")))
+                    F.filter(begin, lambda x: x.isNotNull()).alias("positions"), "_i", F.col("copies").alias("_copies")))
 
 
 def range_sorted(planned: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -152,14 +167,49 @@ def mix(df: DataFrame, key: str = "doc_id", source: str = "source", text: str =
     """The rows of ``df`` as the mix trains them: one row for each copy,
     whole texts, in order of training progress.  Rows that the targets leave
     no place for are not in it; a copy that the end of a target cuts is kept
-    whole.  Repeated rows all follow the first of them."""
-    planned = plan(df, key, source, text, schedules, max_repeat)
-    planned = planned.select(F.col(f"`{key}`").alias("_k"), F.col(f"`{source}`").alias("_s"),
-                             F.col("size").alias("_n"), F.col("positions").alias("_p"))
-    planned = planned.groupBy("_k", "_s", "_n").agg(F.max("_p").alias("_p"))
+    whole.  Rows equal in key, source and size (null keys, repeated rows) are
+    numbered, and each follows the positions of its own number."""
+    planned = _numbered_plan(df, key, source, text, schedules, max_repeat)
+    planned = checkpointed(planned.select(
+        F.col(f"`{key}`").alias("_k"), F.col(f"`{source}`").alias("_s"), F.col("size").alias("_n"), "_i", "_copies",
+        F.col("positions").alias("_p")))
     columns = [F.col(f"`{c}`") for c in df.columns]
-    joined = df.select(*columns, count_words(F.col(f"`{text}`")).alias("_size")).join(
-        planned, F.col(f"`{key}`").eqNullSafe(F.col("_k")) & F.col(f"`{source}`").eqNullSafe(F.col("_s"))
-        & (F.col("_size") == F.col("_n")))
+    rows = df.select(*columns, count_words(F.col(f"`{text}`")).alias("_size"))
+    same = (F.col(f"`{key}`").eqNullSafe(F.col("_k")) & F.col(f"`{source}`").eqNullSafe(F.col("_s"))
+            & (F.col("_size") == F.col("_n")))
+    most = planned.agg(F.max("_copies")).first()[0] or 0
+    numbered = planned.filter("_copies > 1").select(
+        *[F.col(c).alias(f"{c}2") for c in ("_k", "_s", "_n", "_i")], "_p")
+    number = (F.col("_k").eqNullSafe(F.col("_k2")) & F.col("_s").eqNullSafe(F.col("_s2"))
+              & (F.col("_n") == F.col("_n2")) & (F.col("_i") == F.col("_i2")))
+    large = None
+    if most > BUCKET_ROWS:  # at most one group in BUCKET_ROWS rows
+        hot = F.broadcast(planned.filter((F.col("_copies") > BUCKET_ROWS) & (F.col("_i") == 0)).select("_k", "_s", "_n"))
+        large = _numbered(rows.join(hot, same)).join(numbered, number).select(*columns, "_p")
+        rows = rows.join(hot, same, "left_anti")
+    joined = rows.join(planned.filter("_copies = 1").drop("_i", "_copies"), same).select(*columns, "_p")
+    if most > 1:
+        few = planned.filter((F.col("_copies") > 1) & (F.col("_copies") <= BUCKET_ROWS) & (F.col("_i") == 0))
+        order = Window.partitionBy("_k", "_s", "_n").orderBy(F.xxhash64(F.col(f"`{text}`")))
+        again = rows.join(few.select("_k", "_s", "_n"), same).withColumn("_i", F.row_number().over(order) - 1)
+        joined = joined.unionAll(again.join(numbered, number).select(*columns, "_p"))
+    joined = joined if large is None else joined.unionAll(large)
     copies = joined.select(*columns, F.explode("_p").alias("_position"))
     return copies.repartitionByRange(F.col("_position")).sortWithinPartitions("_position").select(*columns)
+
+
+def _numbered(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``_i``, their number from 0 within ``_k, _s, _n``.  Rows
+    are numbered by partition and run of ``BUCKET_ROWS`` in it, runs after
+    one another by their sums, so that no group meets in one task."""
+    group = ["_k", "_s", "_n"]
+    rows = checkpointed(rows.withColumn("_id", F.monotonically_increasing_id())).withColumn(
+        "_run", F.expr(f"_id div {BUCKET_ROWS}"))
+    sums = rows.groupBy(*group, "_run").agg(F.count(F.lit(1)).alias("_rows"))
+    before = sums.withColumn("_before", F.coalesce(F.sum("_rows").over(
+        Window.partitionBy(*group).orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    before = before.select(*[F.col(c).alias(f"{c}b") for c in [*group, "_run"]], "_before")
+    inside = F.row_number().over(Window.partitionBy(*group, "_run").orderBy("_id")) - 1
+    same = [F.col(c).eqNullSafe(F.col(f"{c}b")) for c in group] + [F.col("_run") == F.col("_runb")]
+    whole = same[0] & same[1] & same[2] & same[3]
+    return rows.withColumn("_in", inside).join(before, whole).withColumn("_i", F.col("_before") + F.col("_in"))
