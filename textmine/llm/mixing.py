@@ -30,6 +30,8 @@ Knots = Sequence[tuple[float, float]]
 BUCKET_ROWS = 1_000
 #: Rows that one count is expanded to at once.
 CHUNK_ROWS = 1_000
+#: Groups of equal rows up to which their keys are broadcast to find the rows.
+FEW_GROUPS = 50_000
 
 
 def count_words(text: Column) -> Column:
@@ -177,7 +179,8 @@ def mix(df: DataFrame, key: str = "doc_id", source: str = "source", text: str =
     rows = df.select(*columns, count_words(F.col(f"`{text}`")).alias("_size"))
     same = (F.col(f"`{key}`").eqNullSafe(F.col("_k")) & F.col(f"`{source}`").eqNullSafe(F.col("_s"))
             & (F.col("_size") == F.col("_n")))
-    most = planned.agg(F.max("_copies")).first()[0] or 0
+    groups = (F.col("_copies") > 1) & (F.col("_i") == 0)
+    most, several = planned.agg(F.coalesce(F.max("_copies"), F.lit(0)), F.count(F.when(groups, 1))).first()
     numbered = planned.filter("_copies > 1").select(
         *[F.col(c).alias(f"{c}2") for c in ("_k", "_s", "_n", "_i")], "_p")
     number = (F.col("_k").eqNullSafe(F.col("_k2")) & F.col("_s").eqNullSafe(F.col("_s2"))
@@ -189,9 +192,10 @@ def mix(df: DataFrame, key: str = "doc_id", source: str = "source", text: str =
         rows = rows.join(hot, same, "left_anti")
     joined = rows.join(planned.filter("_copies = 1").drop("_i", "_copies"), same).select(*columns, "_p")
     if most > 1:
-        few = planned.filter((F.col("_copies") > 1) & (F.col("_copies") <= BUCKET_ROWS) & (F.col("_i") == 0))
+        few = planned.filter(groups & (F.col("_copies") <= BUCKET_ROWS)).select("_k", "_s", "_n")
+        few = F.broadcast(few) if several <= FEW_GROUPS else few  # spares an exchange of all texts
         order = Window.partitionBy("_k", "_s", "_n").orderBy(F.xxhash64(F.col(f"`{text}`")))
-        again = rows.join(few.select("_k", "_s", "_n"), same).withColumn("_i", F.row_number().over(order) - 1)
+        again = rows.join(few, same).withColumn("_i", F.row_number().over(order) - 1)
         joined = joined.unionAll(again.join(numbered, number).select(*columns, "_p"))
     joined = joined if large is None else joined.unionAll(large)
     copies = joined.select(*columns, F.explode("_p").alias("_position"))
