@@ -29,12 +29,14 @@ empty result; further columns of any name are not read.
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -52,60 +54,74 @@ _PACK = pa.schema([("lang", pa.binary()), ("terms", pa.list_(pa.binary())), ("ce
                    ("sources", pa.list_(pa.binary())), ("counts", pa.list_(pa.int64()))])
 
 
-def term_counts(text: bytes, piece: int = 1 << 20) -> Counter:
-    """Occurrences of each term; a long text is worked on in pieces that end
-    between terms."""
-    if len(text) <= piece:
-        return Counter(TERM.findall(text.lower()))
-    out: Counter = Counter()
+def terms_of(text: bytes, piece: int = 1 << 20) -> Iterator[list[bytes]]:
+    """The terms of a text; a long text comes in pieces that end between
+    terms."""
     at = 0
     while at < len(text):
         gap = _GAP.search(text, at + piece) if at + piece < len(text) else None
         end = gap.end() if gap else len(text)
-        out.update(TERM.findall(text[at:end].lower()))
+        yield TERM.findall((text if not at and end == len(text) else text[at:end]).lower())
         at = end
-    return out
 
 
 # ---------------------------------------------------------------- stripes
 
 
 class Stripes:
-    """(language, term) -> {source: occurrences, None: documents}."""
+    """Stripes of each language, held by column: term -> documents, and for
+    every source term -> occurrences."""
 
     def __init__(self):
-        self.of: dict[bytes, dict[bytes, dict]] = {}
+        self.documents: dict[bytes, Counter] = {}
+        self.sources: dict[bytes, dict[bytes, Counter]] = {}
         self.cells = 0
 
     def add(self, lang: bytes, source: bytes, text: bytes) -> None:
-        stripes = self.of.setdefault(lang, {})
-        for term, n in term_counts(text).items():
-            stripe = stripes.get(term)
-            if stripe is None:
-                stripes[term] = {None: 1, source: n}
-                self.cells += 2
-            else:
-                stripe[None] += 1
-                if source in stripe:
-                    stripe[source] += n
-                else:
-                    stripe[source] = n
-                    self.cells += 1
+        documents = self.documents.setdefault(lang, Counter())
+        counts = self.sources.setdefault(lang, {}).setdefault(source, Counter())
+        before = len(documents) + len(counts)
+        seen: set[bytes] = set()
+        for terms in terms_of(text):
+            counts.update(terms)
+            seen.update(terms)
+        documents.update(seen)
+        self.cells += len(documents) + len(counts) - before
 
     def write_out(self, rows: int = 20_000) -> Iterator[pa.RecordBatch]:
-        for lang, stripes in self.of.items():
-            while stripes:
-                out: list[list] = [[], [], [], [], []]
-                while stripes and len(out[0]) < rows:
-                    term, stripe = stripes.popitem()
-                    for column, value in zip(out, (lang, term, stripe.pop(None), list(stripe), list(stripe.values()))):
-                        column.append(value)
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, _STRIPE)], schema=_STRIPE)
-        self.of, self.cells = {}, 0
+        """All stripes, sorted by nothing; the table is empty afterwards."""
+        for lang, documents in self.documents.items():
+            terms = list(documents)
+            place = dict(zip(terms, range(len(terms))))
+            names = list(self.sources[lang])
+            at, source, n = [], [], []
+            for i, name in enumerate(names):
+                counts = self.sources[lang].pop(name)
+                at.append(np.fromiter(map(place.__getitem__, counts), np.int64, len(counts)))
+                source.append(np.full(len(counts), i, np.int32))
+                n.append(np.fromiter(counts.values(), np.int64, len(counts)))
+            if not terms:
+                continue
+            at, source, n = np.concatenate(at), np.concatenate(source), np.concatenate(n)
+            order = np.argsort(at, kind="stable")
+            source, n = source[order], n[order]
+            begins = np.concatenate([[0], np.cumsum(np.bincount(at, minlength=len(terms)))]).astype(np.int32)
+            df = np.fromiter(documents.values(), np.int64, len(documents))
+            documents.clear()
+            named = pa.array(names, pa.binary())
+            for low in range(0, len(terms), rows):
+                high = min(len(terms), low + rows)
+                here = slice(begins[low], begins[high])
+                offsets = pa.array(begins[low:high + 1] - begins[low])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * (high - low), pa.binary()), pa.array(terms[low:high], pa.binary()),
+                     pa.array(df[low:high]), pa.ListArray.from_arrays(offsets, named.take(pa.array(source[here]))),
+                     pa.ListArray.from_arrays(offsets, pa.array(n[here]))], schema=_STRIPE)
+        self.__init__()
 
 
 def stripes(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source",
-            most: int = 400_000) -> DataFrame:
+            most: int = 1_500_000) -> DataFrame:
     """Stripes of every task: ``lang``, ``term`` (both as bytes), ``df``,
     ``sources``, ``counts``; a key may come several times."""
     ship_package(docs.sparkSession)
@@ -125,45 +141,72 @@ def stripes(docs: DataFrame, text: str = "text", lang: str = "lang", source: str
     return found.mapInArrow(run, "lang binary, term binary, df long, sources array<binary>, counts array<long>")
 
 
+class Merge:
+    """Sorted stripes in, packs of kept terms out.  Of a batch only the terms
+    of enough documents are looked into; the last term stays open, since its
+    stripes may go on in the next batch."""
+
+    def __init__(self, min_docs: int, pack: int):
+        self.min_docs, self.pack = min_docs, pack
+        self.key: tuple[bytes, bytes] | None = None
+        self.df, self.stripe = 0, Counter()
+        self.held: list[list] = [[], [], [], []]
+
+    def row(self, lang: bytes) -> pa.RecordBatch:
+        made = pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip([lang, *self.held], _PACK)],
+                                          schema=_PACK)
+        for column in self.held:
+            column.clear()
+        return made
+
+    def close(self, next_lang: bytes | None) -> Iterator[pa.RecordBatch]:
+        """Keep the open term if it is frequent enough; its language's pack
+        goes out where it is full or the language ends."""
+        if self.key is None:
+            return
+        if self.df >= self.min_docs:
+            self.held[0].append(self.key[1])
+            self.held[1].append(len(self.stripe))
+            self.held[2].extend(self.stripe)
+            self.held[3].extend(self.stripe.values())
+        if self.held[0] and (next_lang != self.key[0] or len(self.held[0]) >= self.pack
+                             or len(self.held[2]) >= 64 * self.pack):
+            yield self.row(self.key[0])
+
+    def add(self, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        if not batch.num_rows:
+            return
+        lang, term = batch.column(0), batch.column(1)
+        new = pc.or_(pc.not_equal(term.slice(1), term.slice(0, len(term) - 1)),
+                     pc.not_equal(lang.slice(1), lang.slice(0, len(lang) - 1))).to_numpy(zero_copy_only=False)
+        first = np.concatenate([[0], np.flatnonzero(new) + 1])
+        df = np.add.reduceat(batch.column(2).to_numpy(), first)
+        stop = np.append(first[1:], batch.num_rows)
+        sources, counts = batch.column(3), batch.column(4)
+        # the first and the last term may be parts of terms
+        looked = np.flatnonzero((df >= self.min_docs) | (np.arange(len(df)) % max(1, len(df) - 1) == 0))
+        for i in looked.tolist():
+            a, n = int(first[i]), int(stop[i] - first[i])
+            key = (lang[a].as_py(), term[a].as_py())
+            if key != self.key:
+                yield from self.close(key[0])
+                self.key, self.df, self.stripe = key, 0, Counter()
+            self.df += int(df[i])
+            names = sources.slice(a, n).flatten().to_pylist()
+            for name, c in zip(names, counts.slice(a, n).flatten().to_pylist()):
+                self.stripe[name] += c
+
+
 def merged(found: DataFrame, min_docs: int = 10, pack: int = 2048) -> DataFrame:
     """Equal keys added up, terms of fewer than ``min_docs`` documents left
     out, up to ``pack`` terms of a language to a row: ``lang``, ``terms``, the
     number of ``cells`` of each and all their ``sources`` and ``counts``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key: tuple | None = None
-        df, stripe = 0, {}
-        held: list[list] = [[], [], [], []]
-
-        def row() -> pa.RecordBatch:
-            made = pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip([key[0], *held], _PACK)],
-                                              schema=_PACK)
-            for column in held:
-                column.clear()
-            return made
-
-        def close() -> None:
-            if df >= min_docs:
-                held[0].append(key[1])
-                held[1].append(len(stripe))
-                held[2].extend(stripe)
-                held[3].extend(stripe.values())
-
+        merge = Merge(min_docs, pack)
         for batch in batches:
-            for lang, term, n, sources, counts in zip(*(c.to_pylist() for c in batch.columns)):
-                if key is None or key[1] != term or key[0] != lang:
-                    if key is not None:
-                        close()
-                        if held[0] and (key[0] != lang or len(held[0]) >= pack or len(held[2]) >= 64 * pack):
-                            yield row()
-                    key, df, stripe = (lang, term), 0, {}
-                df += n
-                for s, c in zip(sources, counts):
-                    stripe[s] = stripe.get(s, 0) + c
-        if key is not None:
-            close()
-            if held[0]:
-                yield row()
+            yield from merge.add(batch)
+        yield from merge.close(None)
 
     return (found.repartition("lang", "term").sortWithinPartitions("lang", "term")
             .mapInArrow(run, "lang binary, terms array<binary>, cells array<int>, sources array<binary>,"
@@ -200,47 +243,61 @@ def _leading(values: np.ndarray, terms: list[bytes], n: int) -> list[int]:
     return sorted(chosen.tolist(), key=lambda i: (-values[i], terms[i]))[:n]
 
 
+class Divergences:
+    """What a task adds up for one language: for every source the sums of
+    divergences to all later sources, and the leading terms."""
+
+    def __init__(self, groups: list[dict], total: int, n_terms: int, top: int):
+        self.names = [g["source"] for g in groups]
+        self.place = {s: i for i, s in enumerate(self.names)}
+        self.totals = np.array([g["total"] for g in groups], np.int64)[:, None]
+        self.total, self.n_terms, self.top = total, n_terms, top
+        self.sums = [np.zeros(len(self.names) - i - 1, np.int64) for i in range(len(self.names))]
+        self.best: list[list[tuple[int, bytes]]] = [[] for _ in self.names]
+
+    def add(self, terms: list[bytes], row: np.ndarray, col: np.ndarray, n: np.ndarray) -> None:
+        counts = np.zeros((len(self.names), len(terms)), np.int64)
+        counts[col, row] = n
+        whole = shares(counts.sum(0), self.total, self.n_terms)
+        p = shares(counts, self.totals, self.n_terms)
+        for i, sums in enumerate(self.sums):
+            sums += divergence(p[i], p[i + 1:]).sum(1)
+            seen = np.flatnonzero((counts[i] > 0) & (p[i] > whole))
+            value = divergence(p[i][seen], whole[seen])
+            found = [terms[j] for j in seen.tolist()]
+            lead = [(int(value[j]), found[j]) for j in _leading(value, found, self.top)]
+            self.best[i] = sorted([*self.best[i], *lead], key=lambda x: (-x[0], x[1]))[:self.top]
+
+    def rows(self, lang: bytes) -> Iterator[pa.RecordBatch]:
+        for i, name in enumerate(self.names):
+            yield _rows(lang, name, "pair", self.names[i + 1:], self.sums[i])
+            yield _rows(lang, name, "term", [t for _, t in self.best[i]],
+                        np.array([v for v, _ in self.best[i]], np.int64))
+
+
 def _emit(batches: Iterator[pa.RecordBatch], top: int, cells: int) -> Iterator[pa.RecordBatch]:
-    """For every pack and source of its language the sums of divergences to
-    all later sources, and the pack's leading terms."""
+    """Divergences of the packs of a task, added up by language while at most
+    ``cells`` sums are held."""
+    held: dict[bytes, Divergences] = {}
     for batch in batches:
-        for r in batch.to_pylist():
-            names = [g["source"] for g in r["groups"]]
-            totals = np.array([g["total"] for g in r["groups"]], np.int64)
-            place = {s: i for i, s in enumerate(names)}
+        for low in range(batch.num_rows):
+            r = batch.slice(low, 1).to_pylist()[0]
+            found = held.get(r["lang"])
+            if found is None:
+                found = held[r["lang"]] = Divergences(r["groups"], int(r["total"]), r["n_terms"], top)
             terms = r["terms"] or []
-            sums = np.zeros((len(names), len(names)), np.int64) if len(names) ** 2 <= cells else None
-            best: list[list[tuple[int, bytes, int]]] = [[] for _ in names]
             row = np.repeat(np.arange(len(terms)), r["cells"] or [])
-            col = np.array([place[s] for s in r["sources"] or []], np.int64)
+            col = np.array([found.place[s] for s in r["sources"] or []], np.int64)
             n = np.array(r["counts"] or [], np.int64)
-            step = max(1, cells // max(1, len(names)))
-            wide = []
-            for low in range(0, len(terms), step):
-                high = min(len(terms), low + step)
-                here = slice(*np.searchsorted(row, [low, high]))
-                counts = np.zeros((len(names), high - low), np.int64)
-                counts[col[here], row[here] - low] = n[here]
-                whole = shares(counts.sum(0), int(r["total"]), r["n_terms"])
-                p = shares(counts, totals[:, None], r["n_terms"])
-                part = terms[low:high]
-                for i in range(len(names)):
-                    if sums is not None:
-                        sums[i, i + 1:] += divergence(p[i], p[i + 1:]).sum(1)
-                    else:
-                        wide.append((i, divergence(p[i], p[i + 1:]).sum(1)))
-                    seen = np.flatnonzero((counts[i] > 0) & (p[i] > whole))
-                    value = divergence(p[i][seen], whole[seen])
-                    found = [part[j] for j in seen.tolist()]
-                    best[i] = sorted([*best[i], *((int(value[j]), found[j]) for j in _leading(value, found, top))],
-                                     key=lambda x: (-x[0], x[1]))[:top]
-            rows = wide if sums is None and wide else [
-                (i, sums[i, i + 1:] if sums is not None else np.zeros(len(names) - i - 1, np.int64))
-                for i in range(len(names))]
-            for i, later in rows:
-                yield _rows(r["lang"], names[i], "pair", names[i + 1:], later)
-            for i, lead in enumerate(best):
-                yield _rows(r["lang"], names[i], "term", [t for _, t in lead], np.array([v for v, _ in lead], np.int64))
+            step = max(1, cells // max(1, len(found.names)))
+            for at in range(0, len(terms), step):
+                here = slice(*np.searchsorted(row, [at, at + step]))
+                found.add(terms[at:at + step], row[here] - at, col[here], n[here])
+            if sum(len(d.names) ** 2 for d in held.values()) > cells:
+                for lang in list(held):
+                    yield from held.pop(lang).rows(lang)
+    for lang, found in held.items():
+        yield from found.rows(lang)
 
 
 _FOUND = pa.schema([("lang", pa.binary()), ("source", pa.binary()), ("part", pa.string()), ("item", pa.binary()),
@@ -255,7 +312,7 @@ def _rows(lang: bytes, source: bytes, part: str, items: list[bytes], values: np.
 
 
 def audit(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source",
-          min_docs: int = 10, top: int = 10, most: int = 400_000, pack: int = 2048, cells: int = 1 << 21) -> DataFrame:
+          min_docs: int = 10, top: int = 10, most: int = 1_500_000, pack: int = 2048, cells: int = 1 << 21) -> DataFrame:
     """``lang, source, part, item, value, rank``: part ``pair`` holds the
     divergence of a source from each other source of its language, summed
     over the kept terms; part ``term`` the ``top`` terms that it uses more
@@ -273,7 +330,9 @@ def audit(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
     langs = checkpointed(langs.join(kept, "lang", "left").fillna(0, ["n_terms"]))
     nothing = langs.select("lang", *[F.lit(None).cast(packs.schema[c].dataType).alias(c)
                                      for c in ("terms", "cells", "sources", "counts")])
-    met = packs.unionByName(nothing).join(langs, "lang")
+    # a task adds up many packs before it sends sums: as few tasks as terms need
+    tasks = math.ceil((langs.agg(F.sum("n_terms")).first()[0] or 0) / (8 * pack)) + 1
+    met = packs.unionByName(nothing).join(langs, "lang").coalesce(tasks)
     ship_package(docs.sparkSession)
     found = met.mapInArrow(lambda b: _emit(b, top, cells),
                            "lang binary, source binary, part string, item binary, value long")

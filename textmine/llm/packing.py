@@ -36,7 +36,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from textmine.llm.common import checkpointed, slices
-from textmine.llm.words import Words, ascii_lower, blank_table
+from textmine.llm.words import HashTable, Words, blank_table
 from textmine.operators.verbs import global_row_number
 from textmine.session import ship_package
 
@@ -47,26 +47,36 @@ END = 1
 
 
 class WordTokenizer:
-    """Token ids of whole texts by a ``tokenizers`` file whose tokens never
-    hold a blank and never join a letter to a following ASCII sign or digit
-    (a pre-tokenizer that takes letters in runs and removes blanks).
-
-    Such a text is cut at ASCII blanks and behind letters before an ASCII
-    sign or digit; each distinct part goes through the library once and its
-    ids are kept, up to ``most`` parts, then forgotten at once.
+    """Token ids of whole texts by a ``tokenizers`` file of lower-cased words
+    with word ends, whose pre-tokenizer removes blanks and takes letters in
+    runs, and whose tokens never join a letter to a following ASCII sign or
+    digit.
+
+    A text is cut at ASCII blanks and behind letters before an ASCII sign or
+    digit; each distinct part goes through the library once and its ids are
+    kept, up to ``most`` parts, then forgotten at once.  Parts of ASCII
+    letters alone are words as they are: the library's model takes many of
+    them in one call, and every word ends with the one token that has a word
+    end.
     """
 
     def __init__(self, path: str, end: int = END, most: int = 400_000):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.own = Tokenizer.from_file(path)
         self.own.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.words = Tokenizer(Tokenizer.from_file(path).model)
+        self.words.pre_tokenizer = WhitespaceSplit()
+        self.closes = np.zeros(self.own.get_vocab_size(), bool)
+        self.closes[[i for t, i in self.own.get_vocab().items() if t.endswith("</w>")]] = True
         self.end, self.most = end, most
         self._forget()
 
     def _forget(self) -> None:
-        self.place: dict[int, int] = {}
+        self.keys = np.zeros(0, np.uint64)  # of parts in the table; those met since then are in ``fresh``
+        self.table, self.fresh = HashTable(self.keys, np.zeros(0, np.int64), -1), {}
         self.first, self.size = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
         self.flat, self.used = np.zeros(1 << 18, np.uint32), 0
 
@@ -77,43 +87,55 @@ class WordTokenizer:
         return getattr(self, name)
 
     def _learn(self, keys: list[int], parts: list[str]) -> None:
-        made = [e.ids for e in self.own.encode_batch_fast(parts, add_special_tokens=False)]
-        sizes = np.fromiter(map(len, made), np.int64, len(made))
-        at, total = len(self.place), int(sizes.sum())
-        self._room("size", at + len(made))[at:at + len(made)] = sizes
-        self._room("first", at + len(made))[at:at + len(made)] = self.used + np.cumsum(sizes) - sizes
-        self._room("flat", self.used + total)[self.used:self.used + total] = [i for ids in made for i in ids]
+        plain = [i for i, p in enumerate(parts) if p.isascii() and p.isalpha()]
+        others = [i for i, p in enumerate(parts) if not (p.isascii() and p.isalpha())]
+        made = [e.ids for e in self.own.encode_batch_fast([parts[i] for i in others], add_special_tokens=False)]
+        joined = [" ".join([parts[i].lower() for i in plain[low:low + 100]]) for low in range(0, len(plain), 100)]
+        ids = [i for e in self.words.encode_batch_fast(joined, add_special_tokens=False) for i in e.ids]
+        stops = np.flatnonzero(self.closes[ids]) + 1 if ids else np.zeros(0, np.int64)
+        if len(stops) != len(plain):
+            raise ValueError("the tokenizer has no word ends")
+        sizes = np.concatenate([np.diff(stops, prepend=0), np.fromiter(map(len, made), np.int64, len(made))])
+        ids.extend(i for part in made for i in part)
+        at, total = len(self.keys) + len(self.fresh), len(ids)
+        self._room("size", at + len(keys))[at:at + len(keys)] = sizes
+        self._room("first", at + len(keys))[at:at + len(keys)] = self.used + np.cumsum(sizes) - sizes
+        self._room("flat", self.used + total)[self.used:self.used + total] = ids
         self.used += total
-        self.place.update(zip(keys, range(at, at + len(made))))
+        self.fresh.update(zip([keys[i] for i in plain + others], range(at, at + len(keys))))
+
+    def _find(self, hashes: np.ndarray, words: Words, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        found = self.table.find(hashes)
+        lost = np.flatnonzero(found < 0)
+        keys, first, back = np.unique(hashes[lost], return_index=True, return_inverse=True)
+        if len(self.keys) + len(self.fresh) + len(keys) > self.most and len(self.keys):
+            self._forget()
+            return self._find(hashes, words, starts, ends)
+        known = keys.tolist()
+        new = [i for i, k in enumerate(known) if k not in self.fresh]
+        if new:
+            at = lost[first[new]]
+            self._learn([known[i] for i in new], [words.points[s:e].tobytes().decode("utf-32-le")
+                                                  for s, e in zip(starts[at].tolist(), ends[at].tolist())])
+        found[lost] = np.array([self.fresh[k] for k in known], np.int64)[back]
+        if len(self.fresh) > max(4096, len(self.keys) // 3):
+            self.keys = np.concatenate([self.keys, np.fromiter(self.fresh, np.uint64, len(self.fresh))])
+            self.table, self.fresh = HashTable(self.keys, np.arange(len(self.keys)), -1), {}
+        return found
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, the end token behind each text, and where each text ends."""
         words = Words(texts, blank_table())
         starts, ends = parts(words)
-        hashes = words.span_hashes(starts, ends)
-        keys, first, back = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.place) + len(keys) > self.most:
-            self._forget()
-        known = [self.place.get(k) for k in keys.tolist()]
-        new = [i for i, k in enumerate(known) if k is None]
-        if new:
-            at = first[new]
-            points = words.points
-            self._learn(keys[new].tolist(), [points[s:e].tobytes().decode("utf-32-le")
-                                             for s, e in zip(starts[at].tolist(), ends[at].tolist())])
-            known = [self.place[k] for k in keys.tolist()]
-        part = np.array(known, np.int64)[back] if len(keys) else np.zeros(0, np.int64)
+        part = self._find(words.span_hashes(starts, ends), words, starts, ends)
         size = self.size[part]
-        # parts of each text, then the tokens before each part and text
         text = np.searchsorted(words.cuts, starts, side="right")
-        before = np.cumsum(size) - size
-        per_text = np.bincount(text, size, len(texts)).astype(np.int64) + 1
-        stops = np.cumsum(per_text)
+        stops = np.cumsum(np.bincount(text, size, len(texts)).astype(np.int64) + 1)
         out = np.full(int(stops[-1]) if len(texts) else 0, self.end, np.uint32)
         if len(part):
-            where = np.repeat(before + text - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
-            take = np.repeat(self.first[part] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
-            out[where] = self.flat[take]
+            before = np.cumsum(size) - size
+            nth = np.arange(int(size.sum()))
+            out[np.repeat(text, size) + nth] = self.flat[np.repeat(self.first[part] - before, size) + nth]
         return out, stops
 
 
@@ -122,13 +144,14 @@ def parts(words: Words) -> tuple[np.ndarray, np.ndarray]:
     ASCII sign or digit.  ``words.points`` is put in lower case where that
     cannot change how a letter joins a mark behind it."""
     points = words.points
-    letter = ((points | 32) >= 97) & ((points | 32) <= 122) & (points < 128)
+    lower = points | 32
+    letter = (lower >= 97) & (lower <= 122) & (points < 128)
     plain = np.append(points[1:] < 128, True)
-    words.points = np.where(letter & plain, ascii_lower()[np.minimum(points, 127)], points).astype(np.uint32)
+    words.points = np.where(letter & plain, lower, points)
     cut = np.flatnonzero(letter[:-1] & ~letter[1:] & plain[:-1]) + 1
-    inside = blank_table()[points[cut]] if len(cut) else np.zeros(0, bool)
-    cut = np.setdiff1d(cut[inside], words.cuts, assume_unique=True)
-    return np.sort(np.concatenate([words.starts, cut])), np.sort(np.concatenate([words.ends, cut]))
+    cut = cut[blank_table()[points[cut]]]  # a blank ends the word already
+    return (np.sort(np.concatenate([words.starts, cut]), kind="stable"),
+            np.sort(np.concatenate([words.ends, cut]), kind="stable"))
 
 
 _TOKENIZERS: dict[tuple, WordTokenizer] = {}
@@ -154,7 +177,7 @@ def pieces(df: DataFrame, path: str, text: str = "text", keep: Sequence[str] | N
         if tokenizer is None:
             tokenizer = _TOKENIZERS[path, end] = WordTokenizer(path, end)
         for batch in batches:
-            for part in slices(batch, len(kept), 1_000_000):
+            for part in slices(batch, len(kept)):
                 flat, stops = tokenizer.encode(part.column(len(kept)).to_pylist())
                 yield _cut(part, flat.astype("<u4", copy=False), stops, len(kept), capacity, ids, arrow)
 
