@@ -330,9 +330,13 @@ def audit(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
     langs = checkpointed(langs.join(kept, "lang", "left").fillna(0, ["n_terms"]))
     nothing = langs.select("lang", *[F.lit(None).cast(packs.schema[c].dataType).alias(c)
                                      for c in ("terms", "cells", "sources", "counts")])
-    # a task adds up many packs before it sends sums: as few tasks as terms need
-    tasks = math.ceil((langs.agg(F.sum("n_terms")).first()[0] or 0) / (8 * pack)) + 1
-    met = packs.unionByName(nothing).join(langs, "lang").coalesce(tasks)
+    # a task adds up many packs before it sends sums, so there are as few deals as terms need; the packs of a large
+    # language go to all of them, and its sources with them
+    deals = math.ceil((langs.agg(F.sum("n_terms")).first()[0] or 0) / (8 * pack)) + 1
+    dealt = langs.withColumn("_deal", F.explode(F.sequence(F.lit(0), F.lit(deals - 1))))
+    met = (packs.unionByName(nothing)
+           .withColumn("_deal", F.pmod(F.xxhash64("terms"), F.lit(deals)).cast("int"))
+           .join(dealt, ["lang", "_deal"]).drop("_deal"))
     ship_package(docs.sparkSession)
     found = met.mapInArrow(lambda b: _emit(b, top, cells),
                            "lang binary, source binary, part string, item binary, value long")

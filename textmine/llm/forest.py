@@ -8,8 +8,10 @@ until they hold enough candidates.  Candidates are ranked by exact cosine on
 the original vectors, and blocks are merged.
 
 Rows whose vector is null, zero or has null or non-finite components take no
-part; shorter vectors count as filled up with 0; of rows that repeat a key
-one counts (the least vector); ties go to the smaller key; an empty table
+part; shorter vectors count as filled up with 0; rows equal in key and
+vector count once, others that repeat a key are candidates and queries of
+their own (a query key's best are taken over all its rows; rows of the
+query's key are no candidates); ties go to the smaller key; an empty table
 gives no rows.  Every row is indexed.
 """
 
@@ -75,20 +77,25 @@ def unit_rows(rows: np.ndarray) -> np.ndarray:
     return scaled / np.sqrt((scaled * scaled).sum(axis=1, keepdims=True))
 
 
-def search_block(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, rows: np.ndarray, k: int) -> tuple:
-    """All queries of a block against one block of rows."""
-    unit, wanted = unit_rows(rows), unit_rows(queries)
+def index(ids: np.ndarray, rows: np.ndarray):
+    """A search of query blocks over the forest of one shard of rows."""
+    unit = unit_rows(rows)
     forest = Forest(unit)
-    found: tuple[list, list, list] = ([], [], [])
-    enough = max(8 * k * TREES, int(GATHER * len(rows)))
-    for own, q, at in zip(query_ids, wanted, forest.candidates(wanted, enough)):
-        at = at[ids[at] != own]
-        score = unit[at] @ q
-        best = top(ids[at], score, k)
-        found[0].append(np.full(len(best), own))
-        found[1].append(ids[at[best]])
-        found[2].append(score[best])
-    return tuple(np.concatenate(x) for x in found)
+
+    def find(query_ids: np.ndarray, queries: np.ndarray, k: int) -> tuple:
+        wanted = unit_rows(queries)
+        found: tuple[list, list, list] = ([], [], [])
+        enough = max(8 * k * TREES, int(GATHER * len(rows)))
+        for own, q, at in zip(query_ids, wanted, forest.candidates(wanted, enough)):
+            at = at[ids[at] != own]
+            score = unit[at] @ q
+            best = top(ids[at], score, k)
+            found[0].append(np.full(len(best), own))
+            found[1].append(ids[at[best]])
+            found[2].append(score[best])
+        return tuple(np.concatenate(x) for x in found)
+
+    return find
 
 
 def search(df: DataFrame, is_query: Column, key: str = "vec_id", vector: str = "embedding",
@@ -96,4 +103,4 @@ def search(df: DataFrame, is_query: Column, key: str = "vec_id", vector: str = "
     """``query_id, rank, vec_id, score`` of the ``k`` nearest rows found by
     cosine; ``is_query`` is a condition on the column ``key``."""
     whole = usable(df, key, vector).filter(F.exists("vector", lambda x: x != 0))
-    return search_blocks(whole, is_query, search_block, k, "double")
+    return search_blocks(whole, is_query, index, k, "double")

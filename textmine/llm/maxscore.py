@@ -11,9 +11,11 @@ time, and only while a candidate stays competitive.  Blocks are searched
 independently and merged.
 
 Rows whose vector is null or has null or non-finite components take no part;
-vectors shorter than the longest count as filled up with 0; of rows that
-repeat a key one counts (the least vector); ties go to the smaller key; an
-empty table gives no rows.  Components beyond 2**25 in size are outside what
+vectors shorter than the longest count as filled up with 0; rows equal in
+key and vector count once, others that repeat a key are candidates and
+queries of their own (a query key's best are taken over all its rows; rows
+of the query's key are no candidates); ties go to the smaller key; an empty
+table gives no rows.  Components beyond 2**25 in size are outside what
 the integer sums are made for.
 """
 
@@ -79,21 +81,27 @@ class Postings:
         return self.order[d] if least <= 0 else self.order[d, :0]
 
 
-def search_block(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, rows: np.ndarray, k: int) -> tuple:
-    """All queries of a block against one block of rows."""
+def index(ids: np.ndarray, rows: np.ndarray):
+    """A search of query blocks over the postings of one shard of rows."""
     postings = Postings(ids, rows)
-    # the k+1-th best of a few rows is reached by k rows besides the query's own
     few = rows[:: max(1, len(rows) // 256)]
-    floors = np.full(len(queries), -np.inf)
-    if len(few) > k:
-        floors = np.partition(queries @ few.T, len(few) - k - 1, axis=1)[:, len(few) - k - 1]
-    found: tuple[list, list, list] = ([], [], [])
-    for own, q, floor in zip(query_ids, queries, floors):
-        at, score = postings.search(own, q, k, floor)
-        found[0].append(np.full(len(at), own))
-        found[1].append(ids[at])
-        found[2].append(score)
-    return tuple(np.concatenate(x) for x in found)
+    of_few = ids[:: max(1, len(rows) // 256)]
+
+    def find(query_ids: np.ndarray, queries: np.ndarray, k: int) -> tuple:
+        # the k-th best of a few rows is reached by k rows besides the query's own
+        floors = np.full(len(queries), -np.inf)
+        if len(few) > k:
+            scores = np.where(of_few == query_ids[:, None], -np.inf, queries @ few.T)
+            floors = np.partition(scores, len(few) - k, axis=1)[:, len(few) - k]
+        found: tuple[list, list, list] = ([], [], [])
+        for own, q, floor in zip(query_ids, queries, floors):
+            at, score = postings.search(own, q, k, floor)
+            found[0].append(np.full(len(at), own))
+            found[1].append(ids[at])
+            found[2].append(score)
+        return tuple(np.concatenate(x) for x in found)
+
+    return find
 
 
 def search(df: DataFrame, is_query: Column, key: str = "vec_id", vector: str = "embedding", k: int = 5,
@@ -103,4 +111,4 @@ def search(df: DataFrame, is_query: Column, key: str = "vec_id", vector: str = "
     on the column ``key``."""
     whole = usable(df, key, vector).withColumn(
         "vector", F.transform("vector", lambda x: F.floor(x * F.lit(scale)).cast("double")))
-    return search_blocks(whole, is_query, search_block, k, "long")
+    return search_blocks(whole, is_query, index, k, "long")

@@ -61,7 +61,8 @@ def op2_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLE["op2_maxscore"] = """
 WITH v AS (
-  SELECT vec_id, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS w FROM embeddings
+  SELECT vec_id, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS w
+  FROM (SELECT DISTINCT vec_id, embedding FROM embeddings)
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND len([x FOR x IN embedding IF x IS NULL OR isnan(x) OR isinf(x)]) = 0),
 scored AS (

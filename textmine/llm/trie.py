@@ -277,7 +277,7 @@ def trie(rows: DataFrame, convs: DataFrame, cells: int = CELLS) -> DataFrame:
     spark = rows.sparkSession
     convs = checkpointed(convs)
     keyed = checkpointed(_keyed(rows, convs))
-    width = min(cells, 1 << max(16, (8 * keyed.count()).bit_length()))
+    width = max(BLOCK, min(cells, 1 << (8 * keyed.count()).bit_length()))
     flagged = _screened(keyed, spark.sparkContext.broadcast(screen(keyed, width)), width)
     root = F.md5(F.concat_ws(":", *[F.lit(0)] * 5).cast("binary"))
     roots = convs.select("conv", F.lit(0).cast("long").alias("depth"), F.lit(0).cast("long").alias("length"),
