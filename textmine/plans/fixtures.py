@@ -34,6 +34,9 @@ EDGE_MIN_COR = 0.15
 LDA_SEED, LDA_ITERATIONS = 1234, 100
 # --- end of fixed values --------------------------------------------------------
 
+# Document prior of the checked variational rounds.
+LDA_PRIOR = 0.5
+
 # Stop-word lists removed in the multi-language queries.
 STOP_LANGS = ("en", "de", "fr", "es")
 

@@ -607,6 +607,35 @@ assignments AS (
   WHERE rk = 1)"""
 TOPIC_BASE = (DOC_TOKENS, STOP_CTE, CLEAN_DOC_TOKENS, LANG_MODEL)
 
+def digamma_sql(x: str) -> str:
+    """Derivative of log gamma: the recurrence to ``x + 8``, then five terms
+    of the asymptotic series."""
+    shifted = f"(({x}) + 8)"
+    below = " + ".join(f"1 / (({x}) + {i})" for i in range(8))
+    tail = " ".join(f"{sign} 1 / ({n} * pow({shifted}, {p}))" for sign, n, p in
+                    (("-", 12, 2), ("+", 120, 4), ("-", 252, 6), ("+", 240, 8), ("-", 132, 10)))
+    return f"(ln({shifted}) - 1 / (2 * {shifted}) {tail} - ({below}))"
+
+
+sql("lda_rounds", with_(*TOPIC_BASE) + f""", topic_names AS (
+  SELECT * FROM (VALUES {', '.join(f"({i + 1}, {q(lang)})" for i, lang in enumerate(FX.STOP_LANGS))}) AS t(topic, lang)),
+start AS (
+  SELECT CAST(n.topic AS BIGINT) AS topic, t.term, 1 + coalesce(sum(trip.count), 0) AS w
+  FROM topic_names n CROSS JOIN (SELECT DISTINCT term FROM trip) t
+  LEFT JOIN trip ON trip.lang = n.lang AND trip.term = t.term GROUP BY n.topic, t.term),
+share0 AS (SELECT topic, term, w / sum(w) OVER (PARTITION BY topic) AS b FROM start),
+part0 AS (
+  SELECT document, t.term, topic, count * b / sum(b) OVER (PARTITION BY document, t.term) AS m
+  FROM trip t JOIN share0 s ON s.term = t.term),
+gamma0 AS (SELECT document, topic, {FX.LDA_PRIOR} + sum(m) AS g FROM part0 GROUP BY document, topic),
+log0 AS (SELECT document, topic, exp({digamma_sql('g')} - {digamma_sql('sum(g) OVER (PARTITION BY document)')}) AS e
+         FROM gamma0),
+share1 AS (SELECT topic, term, sum(m) / sum(sum(m)) OVER (PARTITION BY topic) AS b FROM part0 GROUP BY topic, term),
+part1 AS (
+  SELECT t.term, s.topic, count * b * e / sum(b * e) OVER (PARTITION BY t.document, t.term) AS m
+  FROM trip t JOIN share1 s ON s.term = t.term JOIN log0 l ON l.document = t.document AND l.topic = s.topic)
+SELECT term, topic, round(sum(m), 4) AS weight FROM part1 GROUP BY term, topic""")
+
 sql("topic_top_terms", with_(*TOPIC_BASE) + """
 SELECT topic, term, round(beta, 6) AS beta FROM (
   SELECT *, rank() OVER (PARTITION BY topic ORDER BY beta DESC) AS rk FROM beta) WHERE rk <= 5""")

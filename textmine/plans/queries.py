@@ -630,6 +630,7 @@ def saved_word_freq(spark, d):
 
 # --------------------------------------------------------------------------- step 9: topic models
 
+from textmine.operators import topic_fit as TF  # noqa: E402
 from textmine.operators import topics as TM  # noqa: E402
 
 
@@ -741,55 +742,59 @@ def inspect_document(spark, d):
     return TM.inspect_document(chapter_counts(spark, d), FX.INSPECTED, term="word", value="n")
 
 
-def fitted_lda(spark, d, k: int = 4):
-    return TM.fit_lda(chapter_triplets(spark, d).drop("lang"), k=k, seed=FX.LDA_SEED,
-                      max_iter=FX.LDA_ITERATIONS)
+_FITTED: dict = {}
+
+
+def fitted(spark, d, kind: str, k: int = 4) -> TF.TopicModel:
+    """A topic model of the session, fitted when a query first asks for it
+    and kept as its checkpointed tables."""
+    key = (spark.sparkContext.applicationId, d, kind, k)
+    if key not in _FITTED:
+        if kind == "variational":
+            model = TF.fit_variational(chapter_triplets(spark, d), k, seed=FX.LDA_SEED, iterations=FX.LDA_ITERATIONS)
+        else:
+            model = TF.fit_gibbs(reassembled_triplets(spark, d), k, seed=FX.LDA_SEED, sweeps=FX.LDA_ITERATIONS)
+        _FITTED[key] = model
+    return _FITTED[key]
 
 
 @query
 def lda_beta(spark, d):
-    model, _, vocab = fitted_lda(spark, d)
-    return TM.tidy_beta(model, vocab)
+    return fitted(spark, d, "variational").beta()
 
 
 @query
 def lda_gamma(spark, d):
-    model, vectors, _ = fitted_lda(spark, d)
-    return TM.tidy_gamma(model, vectors)
+    return fitted(spark, d, "variational").gamma()
 
 
 @query
 def lda_top_terms(spark, d):
-    model, _, vocab = fitted_lda(spark, d)
-    return TM.fitted_top_terms(model, vocab, 10)
+    return TM.top_terms(fitted(spark, d, "variational").beta(), 10)
 
 
 @query
 def lda_classify(spark, d):
-    model, vectors, _ = fitted_lda(spark, d)
-    return TM.classify(TM.tidy_gamma(model, vectors))
+    return TM.classify(fitted(spark, d, "variational").gamma())
 
 
 @query
 def lda_log_ratio(spark, d):
     """Terms that tell the two topics of a fitted model apart."""
-    model, _, vocab = fitted_lda(spark, d, k=2)
-    return TM.topic_log_ratio(TM.tidy_beta(model, vocab), 1, 2)
+    return TM.topic_log_ratio(fitted(spark, d, "variational", k=2).beta(), 1, 2)
 
 
 def fitted_assignments(spark, d):
     """Cells of the matrix with their topic under a fitted model, and the
     topic of each title."""
-    triplets = chapter_triplets(spark, d).drop("lang")
-    model, vectors, vocab = TM.fit_lda(triplets, k=4, seed=FX.LDA_SEED, max_iter=FX.LDA_ITERATIONS)
-    gamma = corpus.materialize(TM.tidy_gamma(model, vectors))
-    return TM.augment(triplets, TM.tidy_beta(model, vocab), gamma), TM.classify(gamma)
+    model = fitted(spark, d, "variational")
+    gamma = corpus.materialize(model.gamma())
+    return TM.augment(chapter_triplets(spark, d).drop("lang"), model.beta(), gamma), TM.classify(gamma)
 
 
 @query
 def lda_misclassified(spark, d):
-    model, vectors, _ = fitted_lda(spark, d)
-    classes = corpus.materialize(TM.classify(TM.tidy_gamma(model, vectors)))
+    classes = corpus.materialize(TM.classify(fitted(spark, d, "variational").gamma()))
     return TM.misclassified(classes, TM.consensus(classes))
 
 
@@ -806,13 +811,51 @@ def lda_wrong_words(spark, d):
 
 
 @query
-def lda_em_beta(spark, d):
-    """The EM trainer on texts put together again from their clean words."""
+def lda_rounds(spark, d):
+    """Expected counts by topic after two variational rounds from a stated
+    start: a topic per language, a term's weight 1 more than its count in the
+    language."""
+    trip = chapter_triplets(spark, d).filter(F.col("lang").isNotNull())
+    start = (trip.groupBy("term").pivot("lang", list(FX.STOP_LANGS)).agg(F.sum("count")).fillna(0)
+             .select("term", *[(F.col(lang) + 1.0).alias(c) for lang, c in zip(FX.STOP_LANGS, TF.columns(4))]))
+    model = TF.fit_variational(trip, 4, iterations=2, inner=1, alpha=FX.LDA_PRIOR, estimate_alpha=False,
+                               tolerance=0, start=start)
+    each = F.array(*[F.struct(F.lit(j + 1).cast("long").alias("topic"), F.col(c).alias("weight"))
+                     for j, c in enumerate(TF.columns(4))])
+    return rounded(model.topic_terms.select("term", F.inline(each)), 4)
+
+
+def reassembled_triplets(spark, d) -> DataFrame:
+    """Word counts of texts put together again from their clean words."""
     words = V.remove_stop_words(line_tokens(spark, d), stop(spark))
     texts = tok.collapse_tokens(words, "doc_id", ["line_no", "pos"])
     counts = V.count_by(tok.unnest_tokens(texts, "term", "text"), "doc_id", "term", name="count")
-    triplets = corpus.materialize(counts.withColumnRenamed("doc_id", "document"), spread_out=True)
-    model, _, vocab = TM.fit_lda(triplets, k=4, seed=FX.LDA_SEED, optimizer="em", max_iter=FX.LDA_ITERATIONS)
+    return corpus.materialize(counts.withColumnRenamed("doc_id", "document"), spread_out=True)
+
+
+@query
+def lda_gibbs_beta(spark, d):
+    """Topics of the sampling trainer on re-assembled texts."""
+    return fitted(spark, d, "gibbs").beta()
+
+
+@query
+def lda_gibbs_gamma(spark, d):
+    return fitted(spark, d, "gibbs").gamma()
+
+
+@query
+def lda_gibbs_assignments(spark, d):
+    """Every (document, term) with its topic under the sampled model."""
+    model = fitted(spark, d, "gibbs")
+    trip = reassembled_triplets(spark, d).withColumn("document", F.col("document").cast("string"))
+    return TM.augment(trip, model.beta(), model.gamma())
+
+
+@query
+def lda_em_beta(spark, d):
+    """The EM trainer on texts put together again from their clean words."""
+    model, _, vocab = TM.fit_lda(reassembled_triplets(spark, d), k=4, seed=FX.LDA_SEED, optimizer="em", max_iter=FX.LDA_ITERATIONS)
     return TM.tidy_beta(model, vocab)
 
 
