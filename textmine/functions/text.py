@@ -25,6 +25,65 @@ NGRAM_SEP = " "
 SENTENCE_PATTERN = r"[^.!?]+[.!?]*"
 
 
+# --- fixed values: code points by their part in the public word and sentence
+# break rules (Unicode Standard Annex 29) ---------------------------------------
+# Signs between two letters, between two digits, and between either.  A colon
+# joins letters in the annex, but not in the common locale data.
+MID_LETTER = "··՟״‧︓"
+MID_NUMBER = ",;;։،؍٬߸⁄︐︔﹐﹔，；"
+MID_EITHER = ".'‘’․﹒＇．"
+KANA_SIGNS = "〱-〵゛゜゠ーｰ"
+# Scripts whose letters do not run together without a dictionary.
+APART = ("Han", "Hiragana", "Katakana", "Thai", "Lao", "Myanmar", "Khmer")
+# Ends of sentences: full stops, which may be part of a word or number, and
+# others; signs that may follow them, and signs that go on after them.
+STOPS = ".․﹒．"
+ENDS = "!?։؝؟۔‼‽⁇-⁉。﹖﹗！？｡"
+CLOSERS = "\"'«»"
+GOES_ON = (",:\\-՝،؍߸᠂᠈–—、︐︑︓︱︲﹐﹑"
+           "﹕﹘﹣，－：､")
+# --- end of fixed values --------------------------------------------------------
+
+
+def _unicode_words() -> str:
+    """Words by the public break rules without a dictionary, as one pattern.
+
+    Letters and digits run together; one sign of its kind may stand between
+    two letters or two digits; marks and joiners belong to what they follow;
+    Katakana runs together; connector signs join all of these; other letters
+    of scripts written without blanks stand alone.
+    """
+    on = r"[\p{M}\p{Cf}]*+"
+    apart = "".join(rf"\p{{Is{s}}}" for s in APART)
+    joined = r"[\p{Pc}\x{202F}]" + on
+    hebrew = r"[\p{L}&&\p{IsHebrew}]" + on
+    letter = rf"(?:{hebrew}(?:\"{on}{hebrew})*+'?+|[\p{{L}}\p{{Nl}}\x{{24B6}}-\x{{24E9}}&&[^{apart}{KANA_SIGNS}]]{on})"
+    digit = r"[\p{Nd}\x{66B}]" + on
+    letters = f"{letter}(?:(?:[{MID_LETTER}{MID_EITHER}]{on})?{letter})*+"
+    digits = f"{digit}(?:(?:[{MID_NUMBER}{MID_EITHER}]{on})?{digit})*+"
+    kana = rf"(?:[\p{{IsKatakana}}{KANA_SIGNS}]{on})++"
+    part = f"(?:(?:{letters}|{digits})++|{kana})"
+    alone = rf"[\p{{L}}\p{{Nl}}&&[{apart}]]{on}"
+    return f"(?:{joined})*+{part}(?:(?:{joined})++{part})*+(?:{joined})*+|{alone}"
+
+
+UNICODE_WORD_PATTERN = _unicode_words()
+
+
+def _sentence_end(abbreviations: tuple[str, ...]) -> str:
+    """A sentence's last signs and the blanks behind them, by the public break
+    rules (blanks are spaces).  A full stop ends no sentence before a digit,
+    between a letter and a capital, before a small letter (signs and digits
+    between) or behind one of ``abbreviations``; neither stop nor other end
+    does before another one or a sign that goes on."""
+    on = r"[\p{M}\p{Cf}]*+"
+    tail = rf"(?:[\p{{Ps}}\p{{Pe}}\p{{Pi}}\p{{Pf}}{CLOSERS}]{on})*+ *+"
+    not_behind = "".join(rf"(?<!(?<![\p{{L}}\p{{N}}])\Q{a.rstrip('.')}\E)" for a in abbreviations)
+    stop = (rf"{not_behind}[{STOPS}]{on}(?!\p{{Nd}})(?!(?<=[\p{{Lu}}\p{{Ll}}][{STOPS}])\p{{Lu}})"
+            rf"(?!{tail}[^\p{{L}}{STOPS}{ENDS}]*+\p{{Ll}})")
+    return rf"(?:{stop}|[{ENDS}]{on}){tail}(?![{GOES_ON}{STOPS}{ENDS}])(?!$)"
+
+
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -49,6 +108,18 @@ def sentence_pieces(text, to_lower: bool = True) -> Column:
     return F.filter(trimmed, lambda s: s != F.lit(""))
 
 
+def unicode_sentences(text, to_lower: bool = True, abbreviations: tuple[str, ...] = ()) -> Column:
+    """Array of trimmed, non-empty sentences of ``text`` by the public break
+    rules; white space counts as spaces.  ``abbreviations`` ("Dr.", matched
+    in this case) end no sentence.  Two passes over the text: the ends are
+    marked by a line break, which cannot occur any more, then the text is
+    split there."""
+    spaced = F.regexp_replace(_col(text), r"[\s\x{85}\p{Z}]", " ")
+    marked = F.split(F.regexp_replace(spaced, _sentence_end(tuple(abbreviations)), "$0\n"), "\n")
+    trimmed = F.transform(marked, lambda s: F.lower(F.trim(s)) if to_lower else F.trim(s))
+    return F.filter(trimmed, lambda s: s != F.lit(""))
+
+
 def bucket(col, size: int) -> Column:
     """``col %/% size`` (floor division) as BIGINT."""
     return F.floor(_col(col) / F.lit(size)).cast("long")

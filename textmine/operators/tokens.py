@@ -13,7 +13,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textmine.functions.text import NGRAM_SEP, sentence_pieces, word_array
+from textmine.functions.text import (
+    NGRAM_SEP,
+    UNICODE_WORD_PATTERN,
+    sentence_pieces,
+    unicode_sentences,
+    word_array,
+)
 from textmine.operators.verbs import running_sum
 
 TOKENS = ("words", "ngrams", "sentences", "regex", "lines")
@@ -47,7 +53,8 @@ def unnest_tokens(df: DataFrame, output: str, input: str = "text", token: str =
                   pattern: str | None = None, keep_underscore: bool = True,
                   position: str | None = None, into: Sequence[str] | None = None,
                   keep_short: bool = True, collapse: Sequence[str] | None = None,
-                  order: str = "line_no") -> DataFrame:
+                  order: str = "line_no", rules: str = "regex",
+                  abbreviations: Sequence[str] = ()) -> DataFrame:
     """One row per token of ``input``; every other column is carried along.
 
     token:
@@ -59,6 +66,10 @@ def unnest_tokens(df: DataFrame, output: str, input: str = "text", token: str =
       ``regex``     pieces between matches of ``pattern`` (split first, then
                     trimmed and lower-cased; blank pieces dropped);
       ``lines``     lines of the text.
+    ``rules``: ``regex`` (words of letters, digits and inner apostrophes;
+    every stop ends a sentence) or ``unicode``, the public word and sentence
+    break rules (``3.14`` is one word and ends no sentence, and neither does
+    ``Dr. X`` with ``abbreviations=["Dr."]``).
     ``position`` names an optional 1-based token-number column.
     ``collapse`` (with ``order``) first joins a line table's lines per key
     in line order, so n-grams, sentences and pieces run across line breaks;
@@ -71,6 +82,10 @@ def unnest_tokens(df: DataFrame, output: str, input: str = "text", token: str =
         raise ValueError(f"token must be one of {TOKENS}")
     if collapse:
         df = collapse_lines(df, list(collapse), order, text=input)
+    if rules not in ("regex", "unicode"):
+        raise ValueError("rules must be 'regex' or 'unicode'")
+    if rules == "unicode" and not pattern and token in ("words", "ngrams"):
+        pattern = UNICODE_WORD_PATTERN
     others = [c for c in df.columns if not (drop and c == input) and c != output]
     if token == "words":
         arr = word_array(input, to_lower=to_lower, keep_underscore=keep_underscore, pattern=pattern)
@@ -81,7 +96,8 @@ def unnest_tokens(df: DataFrame, output: str, input: str = "text", token: str =
                                                     keep_underscore=keep_underscore, pattern=pattern))
         arr = _ngram_array(F.col("_tok_words"), n, into, keep_short)
     elif token == "sentences":
-        arr = sentence_pieces(input, to_lower=to_lower)
+        arr = (unicode_sentences(input, to_lower, tuple(abbreviations)) if rules == "unicode"
+               else sentence_pieces(input, to_lower=to_lower))
     elif token == "regex":
         if not pattern:
             raise ValueError("token='regex' needs a pattern")

@@ -576,6 +576,75 @@ sql("meta_tf_idf", with_(DOC_TOKENS, """meta_counts AS (
 
 sql("saved_word_freq", with_(DOC_TOKENS) + "SELECT word, count(*) AS n FROM doc_tokens GROUP BY word")
 
+# --------------------------------------------------------------------------- public break rules
+# Written from the rules, not from the patterns of the Spark code: every code
+# point gets a class, and whether a word goes on is decided from the classes on
+# both sides.
+
+sql("unicode_words", r"""
+WITH points AS (
+  SELECT doc_id, lang, unnest(string_split(lower(text), '')) AS c, unnest(range(1, length(lower(text)) + 1)) AS i
+  FROM documents),
+classes AS (
+  SELECT *, CASE WHEN regexp_full_match(c, '[\p{M}\p{Cf}]') THEN 'extend'
+    WHEN regexp_full_match(c, '[\p{Katakana}]') THEN 'kana'
+    WHEN regexp_full_match(c, '[\p{Han}\p{Hiragana}\p{Thai}\p{Lao}\p{Myanmar}\p{Khmer}]') THEN 'alone'
+    WHEN regexp_full_match(c, '[\p{L}\p{Nl}]') THEN 'letter'
+    WHEN regexp_full_match(c, '\p{Nd}') THEN 'digit'
+    WHEN regexp_full_match(c, '\p{Pc}') THEN 'joint'
+    WHEN c IN (',', ';') THEN 'between digits'
+    WHEN c = chr(183) THEN 'between letters'
+    WHEN c IN ('.', chr(39), chr(8216), chr(8217)) THEN 'between' ELSE 'other' END AS k
+  FROM points),
+bases AS (SELECT * FROM classes WHERE k <> 'extend'),
+around AS (
+  SELECT doc_id, lang, i, k, lag(k, 2) OVER w AS k2, lag(k) OVER w AS k1, lead(k) OVER w AS n1
+  FROM bases WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+starts AS (
+  SELECT doc_id, lang, i, k, CASE
+    WHEN k IN ('letter', 'digit') AND k1 IN ('letter', 'digit', 'joint') THEN 0
+    WHEN k = 'kana' AND k1 IN ('kana', 'joint') THEN 0
+    WHEN k = 'joint' AND k1 IN ('letter', 'digit', 'kana', 'joint') THEN 0
+    WHEN k IN ('between', 'between letters') AND k1 = 'letter' AND n1 = 'letter' THEN 0
+    WHEN k IN ('between', 'between digits') AND k1 = 'digit' AND n1 = 'digit' THEN 0
+    WHEN k = 'letter' AND k1 IN ('between', 'between letters') AND k2 = 'letter' THEN 0
+    WHEN k = 'digit' AND k1 IN ('between', 'between digits') AND k2 = 'digit' THEN 0
+    ELSE 1 END AS s
+  FROM around),
+numbered AS (
+  SELECT c.doc_id, c.lang, c.i, c.c, coalesce(b.k, 'extend') AS k,
+         sum(coalesce(s, 0)) OVER (PARTITION BY c.doc_id ORDER BY c.i) AS word_no
+  FROM classes c LEFT JOIN starts b ON b.doc_id = c.doc_id AND b.i = c.i),
+words AS (
+  SELECT doc_id, lang, string_agg(c, '' ORDER BY i) AS word
+  FROM numbered GROUP BY doc_id, lang, word_no HAVING bool_or(k IN ('letter', 'digit', 'kana', 'alone')))
+SELECT lang, word, count(*) AS n FROM words GROUP BY lang, word""")
+
+sql("unicode_sentences", r"""
+WITH atoms AS (
+  SELECT doc_id, unnest(a) AS a, unnest(range(1, len(a) + 1)) AS i
+  FROM (SELECT doc_id, regexp_extract_all(regexp_replace(text, '[\s\p{Z}]', ' ', 'g'),
+          '[^.!?]+|[.!?][\p{M}\p{Cf}]*(?:[\p{Ps}\p{Pe}\p{Pi}\p{Pf}"''][\p{M}\p{Cf}]*)* *') AS a FROM documents)),
+around AS (
+  SELECT doc_id, i, a, lead(a) OVER w AS n, right(lag(a) OVER w, 1) AS p FROM atoms
+  WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+ends AS (
+  SELECT doc_id, i, a, CASE
+    WHEN n IS NULL OR NOT regexp_matches(a, '^[.!?]') THEN 0
+    WHEN regexp_matches(n, '^[.!?,:\-\x{2013}\x{2014}]') THEN 0
+    WHEN a = '.' AND regexp_matches(n, '^\p{Nd}') THEN 0
+    WHEN a = '.' AND regexp_matches(n, '^\p{Lu}') AND regexp_matches(p, '[\p{Lu}\p{Ll}]') THEN 0
+    WHEN a[1] = '.' AND regexp_matches(n, '^[^\p{L}]*\p{Ll}') THEN 0
+    ELSE 1 END AS e
+  FROM around),
+numbered AS (
+  SELECT doc_id, i, a,
+         coalesce(sum(e) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s
+  FROM ends),
+joined AS (SELECT doc_id, s, trim(string_agg(a, '' ORDER BY i)) AS sentence FROM numbered GROUP BY doc_id, s)
+SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY s) AS pos, lower(sentence) AS sentence
+FROM joined WHERE sentence <> ''""")
+
 # --------------------------------------------------------------------------- step 9
 
 LANG_MODEL = """trip AS (

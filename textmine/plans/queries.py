@@ -628,6 +628,21 @@ def saved_word_freq(spark, d):
     return V.count_by(saved, "word", sort=True)
 
 
+# --------------------------------------------------------------------------- public break rules
+
+@query
+def unicode_words(spark, d):
+    """Words by the public word-break rules, counted by language."""
+    return V.count_by(tok.unnest_tokens(documents(spark, d), "word", "text", rules="unicode"), "lang", "word")
+
+
+@query
+def unicode_sentences(spark, d):
+    """Sentences of every document by the public break rules."""
+    return tok.unnest_tokens(documents(spark, d), "sentence", "text", token="sentences", rules="unicode",
+                             position="pos").select("doc_id", "pos", "sentence")
+
+
 # --------------------------------------------------------------------------- step 9: topic models
 
 from textmine.operators import topic_fit as TF  # noqa: E402
