@@ -88,12 +88,17 @@ def test_five_numbers_with_one_value_in_most_rows(spark):
             assert np.allclose(tuple(r)[-5:], np.percentile(xs, [0, 25, 50, 75, 100]))
 
 
-def test_t_tail_against_closed_forms():
+def test_t_tail_against_closed_forms(spark):
     t = np.array([0.0, 0.5, 2.0, 30.0])
-    assert np.allclose(S.t_two_sided_p(t, 1.0), 1 - 2 / np.pi * np.arctan(t), rtol=1e-9)
-    assert np.allclose(S.t_two_sided_p(t, 2.0), 1 - t / np.sqrt(2 + t * t), rtol=1e-9)
-    assert np.isnan(S.t_two_sided_p(float("nan"), 3)) and np.isnan(S.t_two_sided_p(1.0, 0))
-    assert S.t_two_sided_p(float("inf"), 5) == 0.0
+    cases = [*((float(x), 1) for x in t), *((float(x), 2) for x in t), (float("nan"), 3), (1.0, 0), (float("inf"), 5),
+             (None, 4), (-2.228138851986, 10), (1.959963984540054, 10**7), (3.0, 10**9)]
+    df = spark.createDataFrame([(i, *c) for i, c in enumerate(cases)], "i int, t double, dof long")
+    p = [r["p"] for r in df.select("i", S.t_two_sided_p(F.col("t"), F.col("dof")).alias("p")).orderBy("i").collect()]
+    assert np.allclose(p[:4], 1 - 2 / np.pi * np.arctan(t), rtol=1e-9)
+    assert np.allclose(p[4:8], 1 - t / np.sqrt(2 + t * t), rtol=1e-9)
+    assert np.isnan(p[8]) and p[9] is None and p[10] == 0.0 and p[11] is None
+    assert np.isclose(p[12], 0.05, rtol=1e-6) and np.isclose(p[13], 0.05, rtol=1e-6)
+    assert np.isclose(p[14], 0.0026997960632601866, rtol=1e-6)  # the normal tail
 
 
 def test_assigned_topics_with_missing_cells(spark):

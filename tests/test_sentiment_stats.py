@@ -48,8 +48,6 @@ def test_cor_test_and_p_value(spark):
     assert math.isclose(r.estimate, np.corrcoef(*zip(*data))[0, 1], rel_tol=1e-9)
     assert r.n == 50 and r.parameter == 48
     assert r.conf_low < r.estimate < r.conf_high
-    assert math.isclose(S.t_two_sided_p(2.228138851986, 10), 0.05, rel_tol=1e-6)
-    assert math.isclose(S.t_two_sided_p(1.959963984540054, 1e7), 0.05, rel_tol=1e-4)
 
 
 def test_five_number_matches_numpy(spark):

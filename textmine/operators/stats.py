@@ -1,10 +1,8 @@
 """Statistics and plot-data tables: correlation test, log-log fits,
-histograms, five-number summaries and linear trends.
+histograms, five-number summaries, linear trends and local regression.
 
 All are grouped aggregates (``corr``, ``regr_*``, counts) or built on the
-distributed row numbering, so no group is collected into one task.  The
-only Python is the t-distribution tail for p-values, evaluated on the one
-row per group the aggregate produces.
+distributed row numbering, so no group is collected into one task.
 """
 
 from __future__ import annotations
@@ -13,12 +11,11 @@ import math
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
 
 from textmine.operators.verbs import as_list, measured, null_safe_join, row_number_by, running_sum
+from textmine.sources.corpus import materialize
 
 # 97.5% quantile of the standard normal distribution (95% two-sided CI).
 Z_975 = 1.959963984540054
@@ -42,39 +39,33 @@ def cor_test(df: DataFrame, x: str, y: str, by: str | Sequence[str] | None = Non
     )
 
 
-def t_two_sided_p(t, dof) -> np.ndarray | float:
-    """Two-sided p-values of Student's t with ``dof`` degrees of freedom.
+def t_two_sided_p(t: F.Column, dof: F.Column) -> F.Column:
+    """Two-sided p-value of Student's t with ``dof`` degrees of freedom.
 
     With ``t = sqrt(dof) * tan(angle)`` the density becomes a power of the
-    cosine, so the tail is a smooth integral over angles, taken by
-    Gauss-Legendre quadrature over the stretch that holds its mass.  NaN
-    where t is missing or there are no degrees of freedom; 0 at infinity.
+    cosine, so the tail is the share of a smooth integral over angles, taken
+    by Gauss-Legendre sums over the stretch that holds its mass, whatever the
+    degrees of freedom.  Built-in expressions only.  Null where ``t`` is null
+    or there are no degrees of freedom, NaN where it is NaN, 0 at infinity.
     """
-    scalar = np.ndim(t) == 0 and np.ndim(dof) == 0
-    t, dof = np.broadcast_arrays(np.atleast_1d(np.asarray(t, float)), np.atleast_1d(np.asarray(dof, float)))
-    valid = ~np.isnan(t) & (dof > 0)
-    n = np.where(valid, dof, 1.0)
-    start = np.arctan2(np.abs(np.where(valid, t, 0.0)), np.sqrt(n))
-    end = np.minimum(np.pi / 2, start + 16 / np.sqrt(n))
-    nodes, weights = np.polynomial.legendre.leggauss(200)
-    half = (end - start)[:, None] / 2
-    angles = start[:, None] + half * (nodes + 1)
-    tail = (half * weights * np.maximum(np.cos(angles), 0) ** (n[:, None] - 1)).sum(axis=1)
-    whole = np.array([math.sqrt(math.pi) / 2 * math.exp(math.lgamma(d / 2) - math.lgamma((d + 1) / 2)) for d in n])
-    p = np.where(valid, np.clip(tail / whole, 0.0, 1.0), np.nan)
-    return float(p[0]) if scalar else p
-
-
-@F.pandas_udf(DoubleType())
-def _p_value(t: pd.Series, dof: pd.Series) -> pd.Series:
-    return pd.Series(t_two_sided_p(t.to_numpy(dtype="float64", na_value=np.nan),
-                                   dof.to_numpy(dtype="float64", na_value=np.nan)))
+    n, half_pi = dof.cast("double"), F.lit(math.pi / 2)
+    nodes = F.array(*[F.struct(F.lit(float(a)).alias("a"), F.lit(float(w)).alias("w"))
+                      for a, w in zip(*np.polynomial.legendre.leggauss(100))])
+
+    def integral(start: F.Column) -> F.Column:
+        end = F.least(half_pi, start + 16 / F.sqrt(n))
+        half = (end - start) / 2
+        value = lambda e: F.exp((n - 1) * F.log(F.greatest(F.cos(start + half * (e["a"] + 1)), F.lit(1e-300))))
+        return half * F.aggregate(nodes, F.lit(0.0), lambda sum_, e: sum_ + e["w"] * value(e))
+
+    p = F.least(F.lit(1.0), integral(F.atan2(F.abs(t), F.sqrt(n))) / integral(F.lit(0.0)))
+    return F.when(F.isnan(t), F.lit(float("nan"))).when(t.isNotNull() & (dof > 0), p)
 
 
 def cor_test_p(df: DataFrame, x: str, y: str, by: str | Sequence[str] | None = None) -> DataFrame:
-    """``cor_test`` plus the two-sided ``p_value`` (one value per group)."""
+    """``cor_test`` plus the two-sided ``p_value``."""
     res = cor_test(df, x, y, by)
-    return res.withColumn("p_value", _p_value(F.col("statistic"), F.col("parameter").cast("double")))
+    return res.withColumn("p_value", t_two_sided_p(F.col("statistic"), F.col("parameter")))
 
 
 def loglog_fit(df: DataFrame, y: str, x: str, by: str | Sequence[str] | None = None) -> DataFrame:
@@ -149,3 +140,61 @@ def trend(df: DataFrame, y: str | F.Column, x: str, by: str | Sequence[str] | No
         F.regr_intercept(yc, F.col(x)).alias("intercept"),
         F.regr_count(yc, F.col(x)).alias("n"),
     )
+
+
+def smooth(df: DataFrame, y: str | F.Column, x: str, by: str | Sequence[str] | None = None, span: float = 0.75,
+           degree: int = 2, points: int = 80) -> DataFrame:
+    """Local regression of ``y`` over ``x`` per group, at ``points`` equally
+    spaced places from the least to the largest ``x``: columns ``by``, ``x``
+    and ``fitted``.
+
+    At each place the nearest ``span`` (0 to 1) of the rows count, with
+    tricube weights by distance over the distance of the farthest of them; a
+    polynomial of ``degree`` (0 to 2) is fitted by weighted least squares,
+    of a lower degree where fewer values of ``x`` have a weight.  Where all of
+    them are equally far, they weigh the same.
+
+    Rows are first added up by value of ``x``, so the work is values x
+    points; the reach of a place comes from a range sort by distance and a
+    two-level running count, the fit from sums: no group is gathered.  Rows
+    with a null ``x`` or ``y`` take no part.  Eager.
+    """
+    if not 0 < span <= 1 or degree not in (0, 1, 2):
+        raise ValueError("span must be in (0, 1] and degree 0, 1 or 2")
+    keys = as_list(by)
+    yc = F.col(y) if isinstance(y, str) else y
+    rows = df.select(*keys, F.col(x).cast("double").alias("_x"), yc.cast("double").alias("_y")) \
+        .filter(F.col("_x").isNotNull() & F.col("_y").isNotNull())
+    counted = materialize(rows.withColumn("_all", F.lit(0)).groupBy(*keys, "_all", "_x").agg(
+        F.count(F.lit(1)).alias("_n"), F.sum("_y").alias("_s")))
+    group = [*keys, "_all"]
+    step = F.lit(float(max(1, points - 1)))
+    grid = counted.groupBy(*group).agg(F.min("_x").alias("_lo"), F.max("_x").alias("_hi"), F.sum("_n").alias("_size")) \
+        .select(*group, F.greatest(F.lit(1), F.floor(F.col("_size") * span + 1e-5)).cast("long").alias("_q"),
+                "_lo", "_hi", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("_i")) \
+        .withColumn("_at", F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_i") / step).drop("_lo", "_hi")
+    near = null_safe_join(counted, measured(grid), group).withColumn("_d", F.abs(F.col("_x") - F.col("_at")))
+    place = [*group, "_i"]
+    ranked = row_number_by(near, place, [F.col("_d"), F.col("_x")], "_r")
+    summed = materialize(running_sum(ranked, "_n", place, "_r", "_upto"))
+    reach = summed.groupBy(*place).agg(F.min(F.when(F.col("_upto") >= F.col("_q"), F.col("_d"))).alias("_h"),
+                                       F.min("_d").alias("_least"))
+    z = F.when(F.col("_h") > 0, (F.col("_x") - F.col("_at")) / F.col("_h")).otherwise(0.0)
+    u = F.abs(z)
+    weight = F.when(F.col("_least") < F.col("_h"), F.when(u < 1, F.pow(1 - F.pow(u, 3), F.lit(3))).otherwise(0.0)) \
+        .otherwise(F.when(F.col("_d") == F.col("_h"), 1.0).otherwise(0.0))
+    weighted = null_safe_join(summed, measured(reach), place).withColumn("_z", z).withColumn("_w", weight) \
+        .filter(F.col("_w") > 0)
+    power = lambda k: F.pow("_z", F.lit(float(k))) if k else F.lit(1.0)
+    sums = weighted.groupBy(*place).agg(
+        F.first("_at").alias(x), F.count(F.lit(1)).alias("_values"),
+        *[F.sum(F.col("_w") * F.col("_n") * power(k)).alias(f"_s{k}") for k in range(5)],
+        *[F.sum(F.col("_w") * F.col("_s") * power(k)).alias(f"_t{k}") for k in range(3)])
+    s, t = [F.col(f"_s{k}") for k in range(5)], [F.col(f"_t{k}") for k in range(3)]
+    minor = s[2] * s[4] - s[3] * s[3]
+    square = (t[0] * minor - s[1] * (t[1] * s[4] - t[2] * s[3]) + s[2] * (t[1] * s[3] - t[2] * s[2])) / (
+        s[0] * minor - s[1] * (s[1] * s[4] - s[2] * s[3]) + s[2] * (s[1] * s[3] - s[2] * s[2]))
+    line = (t[0] * s[2] - t[1] * s[1]) / (s[0] * s[2] - s[1] * s[1])
+    fitted = F.when((F.col("_values") > 2) & F.lit(degree == 2), square) \
+        .when((F.col("_values") > 1) & F.lit(degree > 0), line).otherwise(t[0] / s[0])
+    return sums.select(*keys, x, fitted.alias("fitted"))

@@ -34,6 +34,8 @@ EDGE_MIN_COR = 0.15
 LDA_SEED, LDA_ITERATIONS = 1234, 100
 # --- end of fixed values --------------------------------------------------------
 
+# Share of points and places of the smoothed trend.
+SMOOTH_SPAN, SMOOTH_POINTS = 0.75, 80
 # Document prior of the checked variational rounds.
 LDA_PRIOR = 0.5
 

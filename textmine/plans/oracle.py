@@ -153,6 +153,27 @@ SELECT lang, round(r, 6) AS estimate, n,
        round(tanh(atanh(r) + 1.959963984540054 / sqrt(n - 3)), 6) AS conf_high
 FROM ct""")
 
+# The tail of the t-distribution for whole degrees of freedom n, a finite
+# series in the angle whose tangent is t / sqrt(n).
+sql("cor_test_p", FREQ_BASE + """, ct AS (
+  SELECT lang, corr(proportion, en) AS r, count(*) AS n FROM frequency
+  WHERE proportion IS NOT NULL AND en IS NOT NULL GROUP BY lang),
+tt AS (
+  SELECT *, n - 2 AS v, r * sqrt((n - 2) / (1.0 - r * r)) AS t, atan(abs(r * sqrt((n - 2) / (1.0 - r * r))) / sqrt(n - 2)) AS a
+  FROM ct),
+within AS (
+  SELECT *, CASE
+    WHEN v <= 0 THEN NULL
+    WHEN v % 2 = 0 THEN sin(a) * list_sum([exp(lgamma(j + 0.5) - lgamma(j + 1) - 0.5 * ln(pi()) + 2 * j * ln(cos(a)))
+                                           FOR j IN range(0, v // 2)])
+    ELSE 2 / pi() * (a + coalesce(sin(a) * list_sum([0.5 * sqrt(pi()) * exp(lgamma(j + 1) - lgamma(j + 1.5) + (2 * j + 1) * ln(cos(a)))
+                                                     FOR j IN range(0, (v - 1) // 2)]), 0)) END AS inside
+  FROM tt)
+SELECT lang, round(r, 6) AS estimate, n, round(t, 6) AS statistic, v AS parameter,
+       round(tanh(atanh(r) - 1.959963984540054 / sqrt(n - 3)), 6) AS conf_low,
+       round(tanh(atanh(r) + 1.959963984540054 / sqrt(n - 3)), 6) AS conf_high, round(1 - inside, 6) AS p_value
+FROM within""")
+
 ZIPF = """zipf AS (
   SELECT lang, word, n, sum(n) OVER (PARTITION BY lang)::BIGINT AS total,
          row_number() OVER (PARTITION BY lang ORDER BY n DESC, word) AS rank,
@@ -478,6 +499,14 @@ word_cors AS (
   FROM c c1 JOIN c c2 ON c1.word <> c2.word CROSS JOIN nf
   LEFT JOIN co ON co.w1 = c1.word AND co.w2 = c2.word)"""
 
+sql("pairwise_frequent", with_(*SEC_BASE, WORD_CORS) + "SELECT w1 AS item1, w2 AS item2, n11::BIGINT AS n FROM co")
+
+sql("cor_candidates", with_(*SEC_BASE, WORD_CORS) + f"""
+SELECT count(*) AS together,
+       count(*) FILTER (a.c < nf AND b.c < nf AND least(a.c / (nf - a.c), b.c / (nf - b.c))
+                        >= {FX.EDGE_MIN_COR ** 2} * (1 - 1e-9) * greatest(a.c / (nf - a.c), b.c / (nf - b.c))) AS built
+FROM co JOIN c a ON a.word = w1 JOIN c b ON b.word = w2 CROSS JOIN nf WHERE w1 < w2""")
+
 sql("pairwise_cor", with_(*SEC_BASE, WORD_CORS) + "SELECT item1, item2, round(correlation, 6) AS correlation FROM word_cors")
 
 ASSOC = ", ".join(q(w) for w in FX.ASSOCIATE_WORDS)
@@ -556,6 +585,35 @@ SELECT term, round(regr_slope(count / year_total, year), 6) AS slope,
 FROM year_term WHERE term IN ({TERMS}) GROUP BY term""")
 
 
+# Rows by place and year; the reach is the distance within which the nearest
+# share of rows lies; a square is fitted by weighted least squares.
+sql("smooth_trend", with_(DOC_TOKENS, TERM_TREND) + f""", pts AS (
+  SELECT term, CAST(year AS DOUBLE) AS x, count / year_total AS y FROM year_term
+  WHERE term IN ({TERMS}) AND year IS NOT NULL AND count / year_total IS NOT NULL),
+places AS (
+  SELECT term, greatest(1, CAST(floor(count(*) * {FX.SMOOTH_SPAN} + 1e-5) AS BIGINT)) AS q,
+         min(x) AS lo, max(x) AS hi FROM pts GROUP BY term),
+grid AS (SELECT term, q, i, lo + (hi - lo) * i / {FX.SMOOTH_POINTS - 1}.0 AS x0 FROM places, range({FX.SMOOTH_POINTS}) r(i)),
+near AS (
+  SELECT g.term, i, x0, q, x, y, abs(x - x0) AS d,
+         row_number() OVER (PARTITION BY g.term, i ORDER BY abs(x - x0), x, y) AS r
+  FROM grid g JOIN pts USING (term)),
+reach AS (SELECT term, i, max(d) FILTER (r <= q) AS h, min(d) AS m FROM near GROUP BY term, i),
+weighted AS (
+  SELECT n.term, i, x0, x, y, CASE WHEN h > 0 THEN (x - x0) / h ELSE 0 END AS z,
+         CASE WHEN m < h THEN pow(1 - pow(least(d / h, 1), 3), 3) WHEN d = h THEN 1 ELSE 0 END AS w
+  FROM near n JOIN reach USING (term, i)),
+sums AS (
+  SELECT term, i, any_value(x0) AS x, count(DISTINCT x) AS v, sum(w) AS s0, sum(w * z) AS s1, sum(w * z * z) AS s2,
+         sum(w * z * z * z) AS s3, sum(w * z * z * z * z) AS s4, sum(w * y) AS t0, sum(w * z * y) AS t1, sum(w * z * z * y) AS t2
+  FROM weighted WHERE w > 0 GROUP BY term, i)
+SELECT term, round(x, 6) AS year, round(CASE
+    WHEN v > 2 THEN (t0 * (s2 * s4 - s3 * s3) - s1 * (t1 * s4 - t2 * s3) + s2 * (t1 * s3 - t2 * s2))
+                    / (s0 * (s2 * s4 - s3 * s3) - s1 * (s1 * s4 - s2 * s3) + s2 * (s1 * s3 - s2 * s2))
+    WHEN v = 2 THEN (t0 * s2 - t1 * s1) / (s0 * s2 - s1 * s1) ELSE t0 / s0 END, 6) AS fitted
+FROM sums""")
+
+
 def five_numbers(x: str) -> str:
     names = ["minimum", "lower", "middle", "upper", "maximum"]
     return ", ".join(f"round(quantile_cont({x}, {p})::DOUBLE, 6) AS {n}"

@@ -497,6 +497,21 @@ def pairwise_partners(spark, d):
                                       F.max("n").alias("strongest"))
 
 
+@query
+def pairwise_frequent(spark, d):
+    """Every pair of frequent words that share a section, most frequent first."""
+    frequent = V.keep_frequent(section_words(spark, d), "word", FX.FREQUENT_ITEM)
+    return P.pairwise_count(frequent, "word", ["doc_id", "section"], sort=True)
+
+
+@query
+def cor_candidates(spark, d):
+    """How many pairs of frequent words meet, and how many of them the bound
+    on the correlation leaves to count."""
+    frequent = V.keep_frequent(section_words(spark, d), "word", FX.FREQUENT_ITEM)
+    return P.candidate_pairs(frequent, "word", ["doc_id", "section"], FX.EDGE_MIN_COR)
+
+
 def word_cors(spark, d, **chosen) -> DataFrame:
     frequent = V.keep_frequent(section_words(spark, d), "word", FX.FREQUENT_ITEM)
     return P.pairwise_cor(frequent, "word", ["doc_id", "section"], **chosen)
@@ -595,6 +610,14 @@ def trend(spark, d):
     return rounded(S.trend(tt, F.col("count") / F.col("year_total"), "year", by="term"))
 
 
+@query
+def smooth_trend(spark, d):
+    """Yearly share of the followed terms, smoothed by local regression."""
+    tt = year_trend(spark, d)
+    return rounded(S.smooth(tt, F.col("count") / F.col("year_total"), "year", by="term", span=FX.SMOOTH_SPAN,
+                            points=FX.SMOOTH_POINTS))
+
+
 @query
 def five_number(spark, d):
     lengths = V.count_by(doc_tokens(spark, d), "lang", "doc_id")
@@ -645,7 +668,7 @@ def unicode_sentences(spark, d):
 
 # --------------------------------------------------------------------------- step 9: topic models
 
-from textmine.operators import topic_fit as TF  # noqa: E402
+from textmine.operators import topic_fit as FIT  # noqa: E402
 from textmine.operators import topics as TM  # noqa: E402
 
 
@@ -760,15 +783,15 @@ def inspect_document(spark, d):
 _FITTED: dict = {}
 
 
-def fitted(spark, d, kind: str, k: int = 4) -> TF.TopicModel:
+def fitted(spark, d, kind: str, k: int = 4) -> FIT.TopicModel:
     """A topic model of the session, fitted when a query first asks for it
     and kept as its checkpointed tables."""
     key = (spark.sparkContext.applicationId, d, kind, k)
     if key not in _FITTED:
         if kind == "variational":
-            model = TF.fit_variational(chapter_triplets(spark, d), k, seed=FX.LDA_SEED, iterations=FX.LDA_ITERATIONS)
+            model = FIT.fit_variational(chapter_triplets(spark, d), k, seed=FX.LDA_SEED, iterations=FX.LDA_ITERATIONS)
         else:
-            model = TF.fit_gibbs(reassembled_triplets(spark, d), k, seed=FX.LDA_SEED, sweeps=FX.LDA_ITERATIONS)
+            model = FIT.fit_gibbs(reassembled_triplets(spark, d), k, seed=FX.LDA_SEED, sweeps=FX.LDA_ITERATIONS)
         _FITTED[key] = model
     return _FITTED[key]
 
@@ -832,11 +855,11 @@ def lda_rounds(spark, d):
     language."""
     trip = chapter_triplets(spark, d).filter(F.col("lang").isNotNull())
     start = (trip.groupBy("term").pivot("lang", list(FX.STOP_LANGS)).agg(F.sum("count")).fillna(0)
-             .select("term", *[(F.col(lang) + 1.0).alias(c) for lang, c in zip(FX.STOP_LANGS, TF.columns(4))]))
-    model = TF.fit_variational(trip, 4, iterations=2, inner=1, alpha=FX.LDA_PRIOR, estimate_alpha=False,
+             .select("term", *[(F.col(lang) + 1.0).alias(c) for lang, c in zip(FX.STOP_LANGS, FIT.columns(4))]))
+    model = FIT.fit_variational(trip, 4, iterations=2, inner=1, alpha=FX.LDA_PRIOR, estimate_alpha=False,
                                tolerance=0, start=start)
     each = F.array(*[F.struct(F.lit(j + 1).cast("long").alias("topic"), F.col(c).alias("weight"))
-                     for j, c in enumerate(TF.columns(4))])
+                     for j, c in enumerate(FIT.columns(4))])
     return rounded(model.topic_terms.select("term", F.inline(each)), 4)
 
 
