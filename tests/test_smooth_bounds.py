@@ -70,3 +70,24 @@ def test_the_bound_leaves_few_pairs_of_unlike_supports(spark):
     df = spark.createDataFrame(data, "item string, section int")
     counts = P.candidate_pairs(df, "item", "section", 0.6).first()
     assert counts["built"] < 0.25 * counts["together"]
+
+
+def test_sketches_merge_and_keep_their_rank_error(spark, tmp_path):
+    rng = np.random.default_rng(1)
+    values = {g: rng.lognormal(size=60_000) for g in "ab"}
+    data = [(g, i % 7, float(v)) for g, x in values.items() for i, v in enumerate(x)]
+    df = spark.createDataFrame(data + [("a", 0, None), ("none", 0, None)], "g string, part int, x double").repartition(6)
+    path = str(tmp_path / "sketches")
+    S.quantile_sketches(df, "x", ["g", "part"], k=1024).write.parquet(path)
+    merged = S.merge_sketches(spark.read.parquet(path), "g", k=1024)
+    assert sum(len(r["sketch"]) for r in merged.collect()) < 60_000  # not the values themselves
+    for by_group in (S.sketched_five_number(merged, "g"), S.sketched_five_number(S.quantile_sketches(df, "x", "g", 1024), "g")):
+        got = {r["g"]: r for r in by_group.collect()}
+        assert set(got) == {"a", "b"}
+        for g, x in values.items():
+            r = got[g]
+            assert (r["minimum"], r["maximum"]) == (x.min(), x.max())
+            for p, name in ((0.25, "lower"), (0.5, "middle"), (0.75, "upper")):
+                assert abs((x <= r[name]).mean() - p) < 0.01
+    few = S.sketched_five_number(S.quantile_sketches(spark.createDataFrame([(float(i),) for i in range(1, 9)], "x double"), "x"))
+    assert tuple(few.first()) == (1.0, 2.0, 4.0, 6.0, 8.0)

@@ -131,6 +131,30 @@ def five_number(df: DataFrame, x: str, by: str | Sequence[str] | None = None) ->
         for n in names])
 
 
+def quantile_sketches(df: DataFrame, x: str, by: str | Sequence[str] | None = None, k: int = 4096) -> DataFrame:
+    """``by, sketch``: the state of a KLL quantile sketch per group, a partial
+    aggregate of bounded size that can be saved and merged later.  Larger
+    ``k`` (8 to 65535) is more exact; up to ``k`` values a group nothing is
+    lost.  Null values take no part; a group without values has none."""
+    keys = as_list(by)
+    return df.filter(F.col(x).isNotNull()).groupBy(*keys).agg(
+        F.kll_sketch_agg_double(F.col(x).cast("double"), k).alias("sketch"))
+
+
+def merge_sketches(sketches: DataFrame, by: str | Sequence[str] | None = None, k: int = 4096) -> DataFrame:
+    """Saved sketches added up to coarser groups, without the values."""
+    return sketches.groupBy(*as_list(by)).agg(F.kll_merge_agg_double("sketch", k).alias("sketch"))
+
+
+def sketched_five_number(sketches: DataFrame, by: str | Sequence[str] | None = None) -> DataFrame:
+    """The five numbers from sketches: least, quartiles and largest, each a
+    value that occurs (the least value with at least that share of the values
+    up to it)."""
+    names = ["minimum", "lower", "middle", "upper", "maximum"]
+    return sketches.filter(F.col("sketch").isNotNull()).select(*as_list(by), *[
+        F.kll_sketch_get_quantile_double("sketch", F.lit(p)).alias(n) for p, n in zip((0.0, 0.25, 0.5, 0.75, 1.0), names)])
+
+
 def trend(df: DataFrame, y: str | F.Column, x: str, by: str | Sequence[str] | None = None) -> DataFrame:
     """Linear trend of ``y`` over ``x`` per group (slope, intercept)."""
     keys = as_list(by)

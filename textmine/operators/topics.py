@@ -21,7 +21,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textmine.operators.verbs import count_by, measured, separate, share, top_n, with_order
-from textmine.sources.corpus import materialize
 from textmine.sources.matrix import cast_dtm
 
 
@@ -31,10 +30,9 @@ def fit_lda(triplets: DataFrame, k: int, seed: int = 1234, optimizer: str = "onl
     """Fit LDA on count triplets.  Eager (training runs jobs).
 
     Returns ``(model, vectors, vocab)``; the vectors are computed once
-    (checkpointed) and held in memory only while the model trains.
+    (a stored table) and held in memory only while the model trains.
     """
     vectors, vocab, _ = cast_dtm(triplets, document, term, value)
-    vectors = materialize(vectors)
     lda = LDA(k=k, seed=seed, optimizer=optimizer, maxIter=max_iter, featuresCol="features")
     cached = vectors.persist()
     try:

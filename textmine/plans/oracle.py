@@ -593,11 +593,11 @@ sql("smooth_trend", with_(DOC_TOKENS, TERM_TREND) + f""", pts AS (
 places AS (
   SELECT term, greatest(1, CAST(floor(count(*) * {FX.SMOOTH_SPAN} + 1e-5) AS BIGINT)) AS q,
          min(x) AS lo, max(x) AS hi FROM pts GROUP BY term),
-grid AS (SELECT term, q, i, lo + (hi - lo) * i / {FX.SMOOTH_POINTS - 1}.0 AS x0 FROM places, range({FX.SMOOTH_POINTS}) r(i)),
+spots AS (SELECT term, q, i, lo + (hi - lo) * i / {FX.SMOOTH_POINTS - 1}.0 AS x0 FROM places, range({FX.SMOOTH_POINTS}) r(i)),
 near AS (
   SELECT g.term, i, x0, q, x, y, abs(x - x0) AS d,
          row_number() OVER (PARTITION BY g.term, i ORDER BY abs(x - x0), x, y) AS r
-  FROM grid g JOIN pts USING (term)),
+  FROM spots g JOIN pts USING (term)),
 reach AS (SELECT term, i, max(d) FILTER (r <= q) AS h, min(d) AS m FROM near GROUP BY term, i),
 weighted AS (
   SELECT n.term, i, x0, x, y, CASE WHEN h > 0 THEN (x - x0) / h ELSE 0 END AS z,
@@ -620,6 +620,11 @@ def five_numbers(x: str) -> str:
                      for p, n in zip(("0.0", "0.25", "0.5", "0.75", "1.0"), names))
 
 
+sql("sketched_five_number", with_(DOC_TOKENS) + f"""
+SELECT lang, {', '.join(f"quantile_disc(n::DOUBLE, {p}) AS {name}" for p, name in
+                        zip(("0.0", "0.25", "0.5", "0.75", "1.0"), ("minimum", "lower", "middle", "upper", "maximum")))}
+FROM (SELECT lang, doc_id, count(*) AS n FROM doc_tokens GROUP BY 1, 2) GROUP BY lang""")
+
 sql("five_number", with_(DOC_TOKENS) + f"""
 SELECT lang, {five_numbers('n')}
 FROM (SELECT lang, doc_id, count(*) AS n FROM doc_tokens GROUP BY 1, 2) GROUP BY lang""")

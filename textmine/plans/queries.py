@@ -624,6 +624,17 @@ def five_number(spark, d):
     return rounded(S.five_number(lengths, "n", by="lang"))
 
 
+@query
+def sketched_five_number(spark, d):
+    """Quartiles of document lengths by language from saved sketches by
+    language and source."""
+    from textmine.session import scratch_table
+
+    lengths = V.count_by(doc_tokens(spark, d), "lang", "source", "doc_id")
+    saved = corpus.save_table(S.quantile_sketches(lengths, "n", ["lang", "source"]), scratch_table(spark))
+    return S.sketched_five_number(S.merge_sketches(saved, "lang"), "lang")
+
+
 @query
 def select_corpus(spark, d):
     labels = corpus.load(spark, d, "labels")
