@@ -467,13 +467,15 @@ def test_masked_lm_scores_equal_the_definition(spark, documents):
     text = documents.filter("length(text) < 900").first()["text"]
     h, ending, at = masked_lm.tokens([text])
     kind, log = model.vocab.classify(h, ending)
-    rows = masked_lm.windows(h, kind, at)
-    total = 0.0
+    rows = masked_lm.windows(h, kind, at, model.vocab.own)
+    net, total = model.net, 0.0
     for i in range(len(h)):
-        flat = model.net.embed[rows[i]].reshape(-1)
-        logit = np.tanh(flat @ model.net.inner.reshape(-1, masked_lm.HIDDEN) + model.net.inner_b) @ model.net.outer
-        logit = logit + model.net.outer_b
-        total += logit[kind[i]] - np.log(np.exp(logit).sum()) + log[i]
+        group, place = divmod(int(kind[i]), model.vocab.side)
+        hidden = net.embed[rows[i]].reshape(-1) @ net.inner.reshape(-1, masked_lm.HIDDEN) + net.inner_b
+        for logit, mine in ((np.tanh(hidden) @ net.outer + net.outer_b, group),
+                            (np.tanh(hidden + net.group[group]) @ net.place + net.place_b, place)):
+            total += logit[mine] - np.log(np.exp(logit).sum())
+        total += log[i]
     n, score = model.scores([text, None, ""])
     assert n.tolist() == [len(h), 0, 0] and abs(score[0] - total) < 1e-2 and score[1:].tolist() == [0, 0]
 
@@ -486,12 +488,36 @@ def test_masked_lm_counts_and_learning(spark):
     assert counts.agg(F.sum("n")).first()[0] == len(h) and len(vocab.words) <= 2000
     kind, log = vocab.classify(h, ending)
     # words of a class share its probability out over the corpus
-    for c in range(masked_lm.OWN, masked_lm.CLASSES):
+    for c in np.unique(kind[kind >= vocab.own]):
         _, first = np.unique(h[kind == c], return_index=True)
         assert abs(np.exp(log[kind == c][first]).sum() - 1) < 1e-3
-    net = masked_lm.train(docs.limit(300).select("text"), vocab)
-    share = np.log(np.bincount(kind, minlength=masked_lm.CLASSES)[kind] / len(kind)).mean()
-    assert masked_lm.class_logs(net, masked_lm.windows(h, kind, at), kind).mean() > share
+    net = masked_lm.train(docs.select("text"), vocab)
+    share = np.log(np.bincount(kind, minlength=vocab.side ** 2)[kind] / len(kind)).mean()
+    assert masked_lm.class_logs(net, masked_lm.windows(h, kind, at, vocab.own), kind).mean() > share
+
+
+def test_masked_lm_classes_grow_and_gradients_match_differences():
+    sides = [masked_lm.class_numbers(10**p)[0] for p in (3, 6, 8, 10)]
+    assert sides == sorted(sides) and sides[-1] > 5 * sides[0]
+    rng = np.random.default_rng(0)
+    net = masked_lm.Network.start(4, 12)
+    rows, kind = rng.integers(0, 40, (50, 4)), rng.integers(0, 16, 50)
+    loss = lambda: -masked_lm.class_logs(net, rows, kind).mean()
+    before = net.copy()
+    trainer = masked_lm.Trainer(net.copy(), 0.01)
+    trainer.learn(rows, kind)
+    for name in masked_lm.Network.NAMES:
+        values, moved = getattr(net, name), getattr(trainer.net, name) - getattr(before, name)
+        slope = -np.sign(moved) * np.sqrt(np.maximum(trainer.memory[name] - 1e-6, 0))
+        for _ in range(6):
+            at = tuple(rng.integers(0, min(n, 40)) for n in values.shape)
+            old = values[at]
+            values[at] = old + 2e-2
+            up = loss()
+            values[at] = old - 2e-2
+            down = loss()
+            values[at] = old
+            assert abs((up - down) / 4e-2 - slope[at]) < 2e-3 + 0.02 * abs(slope[at]), name
 
 
 def test_masked_lm_awkward_rows(spark):
@@ -517,7 +543,7 @@ def test_masked_lm_scores_every_word_by_its_own_count(spark):
     kind, log = model.vocab.classify(h, ending)
     n = np.array([25.0 if w == "abzz" else np.nan for w in text.split()])
     log = np.where(np.isnan(n), log, np.log(n / 27))
-    want = masked_lm.class_logs(model.net, masked_lm.windows(h, kind, at), kind) + log
+    want = masked_lm.class_logs(model.net, masked_lm.windows(h, kind, at, model.vocab.own), kind) + log
     assert abs(got[0]["log_likelihood"] - want.sum()) < 1e-3
 
 
@@ -536,7 +562,7 @@ def test_masked_lm_trains_on_every_row(spark, monkeypatch):
     model = masked_lm.fit(df)
     assert sorted(t for part in seen for t in part if t) == sorted(t for _, t in rows)
     assert all(5 < part.count("one text again") for part in seen)  # not all in one round
-    assert np.abs(model.net.outer - masked_lm.Network.start().outer).max() > 0
+    assert np.abs(model.net.outer - masked_lm.Network.start(model.vocab.side, model.vocab.own).outer).max() > 0
 
 
 # ------------------------------------------------------------------ pipeline
