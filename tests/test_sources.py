@@ -61,3 +61,17 @@ def test_lines_are_numbered_from_one(spark):
     lines = corpus.lines(docs)
     firsts = lines.groupBy("doc_id").agg(F.min("line_no").alias("m")).collect()
     assert all(r.m == 1 for r in firsts)
+
+
+def test_map_nested_keeps_entries_and_adds_fields(spark):
+    from textmine.sources import corpus
+
+    df = spark.sql("""SELECT 1 AS k, array(named_struct('t', 'a b', 'n', 5), named_struct('t', NULL, 'n', 6)) AS corpus
+                      UNION ALL SELECT 2, array() UNION ALL SELECT 3, NULL""")
+    out = corpus.map_nested(df, size=lambda e: F.size(F.split(e["t"], " ")), n=lambda e: e["n"] * 2)
+    got = {r["k"]: r["corpus"] for r in out.collect()}
+    assert [tuple(e) for e in got[1]] == [("a b", 2, 10), (None, None, 12)] and got[2] == [] and got[3] is None
+    assert out.schema["corpus"].dataType.elementType.names == ["t", "size", "n"]
+    chunks = corpus.nest(spark.range(10).selectExpr("'x' AS k", "id AS o"), ["k"], ["o"], order="o", chunk=4)
+    again = corpus.flatten_corpus(corpus.map_nested(chunks, twice=lambda e: e["o"] * 2))
+    assert sorted((r["o"], r["twice"]) for r in again.collect()) == [(i, 2 * i) for i in range(10)]

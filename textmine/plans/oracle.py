@@ -529,6 +529,10 @@ sql("vocabulary", with_(DOC_TOKENS, DOC_TRIPLETS) + """
 SELECT term, (row_number() OVER (ORDER BY term) - 1)::INTEGER AS "index"
 FROM (SELECT DISTINCT term FROM doc_triplets) ORDER BY term LIMIT 6""")
 
+sql("nested_word_counts", f"""
+SELECT conv_id, count(*) AS turns, sum(coalesce(len(regexp_extract_all(lower(text), {PAT})), 0))::BIGINT AS words
+FROM conversations GROUP BY conv_id""")
+
 sql("flatten_corpus", f"""
 SELECT conv_id, turn, role, unnest(regexp_extract_all(lower(text), {PAT})) AS word FROM conversations""")
 

@@ -565,6 +565,17 @@ def flatten_corpus(spark, d):
     return tok.unnest_tokens(flat, "word", "text").select("conv_id", "turn", "role", "word")
 
 
+@query
+def nested_word_counts(spark, d):
+    """Turns and words of every conversation, counted inside the nested
+    column and added up over its chunks."""
+    conv = corpus.spread(corpus.load(spark, d, "conversations"))
+    nested = corpus.nest(conv, ["conv_id"], ["turn", "role", "text"], order="turn", chunk=4)
+    counted = corpus.map_nested(nested, words=lambda e: F.coalesce(F.size(T.word_array(e["text"])), F.lit(0)))
+    words = F.aggregate("corpus", F.lit(0).cast("long"), lambda n, e: n + e["words"])
+    return counted.groupBy("conv_id").agg(F.sum(F.size("corpus")).alias("turns"), F.sum(words).alias("words"))
+
+
 def pages_corpus(spark, d) -> DataFrame:
     return corpus.tidy_pages(corpus.spread(corpus.load(spark, d, "pages")))
 

@@ -3,7 +3,7 @@ lines, flatten nested corpora, and save/reload intermediates."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -82,6 +82,16 @@ def nest(df: DataFrame, keys: Sequence[str], fields: Sequence[str], out: str = "
     return packed.drop("_chunk") if chunk else packed
 
 
+def map_nested(df: DataFrame, col: str = "corpus", **fields: Callable[[Column], Column]) -> DataFrame:
+    """Add fields to every entry of an ``ARRAY<STRUCT>`` column without
+    un-nesting it: each value is a function of the entry.  A field of the same
+    name gives way; a null array stays null, an empty one empty.  The work
+    is done in the row, so a key's chunks (``nest``) stay spread over tasks."""
+    names = [n for n in df.schema[col].dataType.elementType.names if n not in fields]
+    return df.withColumn(col, F.transform(col, lambda e: F.struct(
+        *[e[n].alias(n) for n in names], *[make(e).alias(n) for n, make in fields.items()])))
+
+
 def flatten_corpus(df: DataFrame, col: str = "corpus") -> DataFrame:
     """One row per element of an ``ARRAY<STRUCT>`` column, struct fields
     becoming columns (``unnest`` of a list column)."""
