@@ -75,3 +75,17 @@ def test_map_nested_keeps_entries_and_adds_fields(spark):
     chunks = corpus.nest(spark.range(10).selectExpr("'x' AS k", "id AS o"), ["k"], ["o"], order="o", chunk=4)
     again = corpus.flatten_corpus(corpus.map_nested(chunks, twice=lambda e: e["o"] * 2))
     assert sorted((r["o"], r["twice"]) for r in again.collect()) == [(i, 2 * i) for i in range(10)]
+
+
+def test_stored_corpus_reads_only_the_shards_of_chosen_documents(spark, tmp_path):
+    from textmine.sources import corpus
+
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(400)] + [(None, "none")], "doc_id long, text string")
+    stored = corpus.save_corpus(docs, str(tmp_path / "corpus"), "doc_id", 32)
+    spark.createDataFrame([(i, int(i % 100 == 0)) for i in range(500)] + [(None, 1), (0, 1)], "doc_id long, wanted int") \
+        .write.parquet(str(tmp_path / "meta"))
+    meta = spark.read.parquet(str(tmp_path / "meta"))
+    chosen = corpus.select_stored(stored, meta, F.col("wanted") == 1, "doc_id", 32)
+    assert sorted(chosen.collect()) == [(i, f"text {i}") for i in (0, 100, 200, 300)]
+    assert "dynamicpruning" in chosen._jdf.queryExecution().executedPlan().toString().lower()
+    assert corpus.select_stored(stored, meta, F.lit(False), "doc_id", 32).count() == 0

@@ -36,6 +36,8 @@ LDA_SEED, LDA_ITERATIONS = 1234, 100
 
 # Share of points and places of the smoothed trend.
 SMOOTH_SPAN, SMOOTH_POINTS = 0.75, 80
+# Partitions of the corpus stored by key.
+CORPUS_SHARDS = 64
 # Document prior of the checked variational rounds.
 LDA_PRIOR = 0.5
 

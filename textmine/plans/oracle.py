@@ -637,6 +637,10 @@ sql("select_corpus", with_(DOC_TOKENS, STOP_CTE, CLEAN_DOC_TOKENS) + """
 SELECT word, count(*) AS n FROM clean_doc_tokens
 WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1) GROUP BY word""")
 
+sql("select_stored_corpus", with_(DOC_TOKENS, STOP_CTE, CLEAN_DOC_TOKENS) + """
+SELECT word, count(*) AS n FROM clean_doc_tokens
+WHERE doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1) GROUP BY word""")
+
 sql("meta_tf_idf", with_(DOC_TOKENS, """meta_counts AS (
   SELECT l.toxic, t.word, count(*) AS n FROM doc_tokens t LEFT JOIN labels l USING (doc_id) GROUP BY 1, 2)""",
                          tf_idf_cte("t", "meta_counts", "word", "toxic")) + tf_idf_out("t", "toxic, word, n"))

@@ -654,6 +654,18 @@ def select_corpus(spark, d):
     return V.count_by(words, "word", sort=True)
 
 
+@query
+def select_stored_corpus(spark, d):
+    """Words of the documents marked toxic, fetched from a corpus stored by
+    document key: only the shards of chosen documents are read."""
+    from textmine.session import scratch_table
+
+    stored = corpus.save_corpus(documents(spark, d), scratch_table(spark), "doc_id", FX.CORPUS_SHARDS)
+    chosen = corpus.select_stored(stored, corpus.load(spark, d, "labels"), F.col("toxic") == 1, "doc_id",
+                                  FX.CORPUS_SHARDS)
+    return V.count_by(V.remove_stop_words(tok.unnest_tokens(chosen, "word", "text"), stop(spark)), "word", sort=True)
+
+
 @query
 def meta_tf_idf(spark, d):
     labels = corpus.load(spark, d, "labels")

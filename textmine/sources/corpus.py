@@ -45,6 +45,27 @@ def select_corpus(docs: DataFrame, meta: DataFrame, predicate: Column,
     return docs.join(chosen, keys, "left_semi")
 
 
+def _shard(key: str, shards: int) -> Column:
+    return F.pmod(F.xxhash64(F.col(key)), F.lit(shards)).cast("int").alias("_shard")
+
+
+def save_corpus(docs: DataFrame, path: str, key: str, shards: int = 256) -> DataFrame:
+    """Store a corpus in ``shards`` partitions by a hash of ``key`` and return
+    the re-read table (with its ``_shard`` column), for ``select_stored``."""
+    dealt = docs.withColumn("_shard", _shard(key, shards))
+    return save_table(dealt.repartition(shards, "_shard"), path, partition_by=["_shard"])
+
+
+def select_stored(stored: DataFrame, meta: DataFrame, predicate: Column, key: str, shards: int = 256) -> DataFrame:
+    """Like ``select_corpus``, over a corpus stored by ``save_corpus`` with
+    the same ``key`` and ``shards``: the chosen keys also tell their shards, so
+    Spark prunes the scan to these at run time (dynamic partition pruning;
+    it takes a comparison as ``predicate``, not a bare boolean column)."""
+    chosen = meta.filter(predicate & F.col(key).isNotNull()).select(key).distinct()
+    chosen = chosen.withColumn("_shard", _shard(key, shards))
+    return stored.join(chosen, [key, "_shard"], "left_semi").drop("_shard")
+
+
 def with_meta(docs: DataFrame, meta: DataFrame, key: str | Sequence[str],
               fields: Sequence[str]) -> DataFrame:
     """Attach catalogue columns (``meta_fields``) to each document row."""
