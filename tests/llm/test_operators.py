@@ -7,6 +7,9 @@ import itertools
 import math
 import random
 import re
+import time
+import unicodedata
+from collections import Counter
 
 import duckdb
 import numpy as np
@@ -192,6 +195,48 @@ def test_forward_sums_all_segmentations():
     assert np.isfinite(langid.forward(lattice, ["▁" + "a" * 3000], prob)).all()
 
 
+def test_expected_counts_equal_enumeration():
+    pieces = langid.read_pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    lattice, index = langid.Lattice(pieces), {p: i for i, p in enumerate(pieces)}
+    prob = np.random.default_rng(3).random((len(pieces), 2))
+    prob /= prob.sum(axis=0)
+
+    def ways(word):
+        if not word:
+            yield []
+        for end in range(1, len(word) + 1):
+            for rest in ways(word[end:]):
+                if word[:end] in index:
+                    yield [index[word[:end]], *rest]
+                if end == 1:
+                    yield [*(index[f"<0x{b:02X}>"] for b in word[0].encode()), *rest]
+
+    for word, weight in (("▁then", [1.0, 3.0]), ("▁é🜁e", [2.0, 0.5])):
+        want, total = np.zeros((2, len(pieces))), np.zeros(2)
+        for way in ways(word):
+            chance = prob[way].prod(axis=0)
+            total += chance
+            for piece in way:
+                want[:, piece] += chance
+        got = langid.forward(lattice, [word], prob, np.array([weight]))
+        assert np.allclose(got, want / total[:, None] * np.array(weight)[:, None], atol=1e-12)
+
+
+def test_long_words_in_runs_equal_one_recursion():
+    pieces = langid.read_pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    lattice, rng = langid.Lattice(pieces), random.Random(6)
+    prob = np.random.default_rng(1).random((len(pieces), 3)) ** 8 + 1e-6
+    prob /= prob.sum(axis=0)
+    for letters, n in (("thequickingeren", 300), ("中文字的是一", 257), ("🜁中a", 400), ("a", 1000), ("in", 64)):
+        word = "▁" + "".join(rng.choice(letters) for _ in range(n - 1))
+        want = langid.forward(lattice, [word], prob)[0]
+        for limits in ({}, {"step": 16, "part": 48}, {"step": 5, "part": 10}):
+            assert np.allclose(langid.long_forward(lattice, word, prob, **limits), want, rtol=1e-9)
+    model, begun = langid.Model(["a", "b", "c"], lattice, prob, np.ones(3) / 3), time.process_time()
+    assert np.isfinite(model.log_scores(["".join(rng.choice("etaoin") for _ in range(200_000))])).all()
+    assert time.process_time() - begun < 30  # one recursion takes more
+
+
 def test_langid_held_out_accuracy(spark, documents):
     rows = Q.op3_langid(spark, SF).join(documents.select("doc_id", "lang"), "doc_id").filter("held_out").collect()
     assert np.mean([r["lang_pred"] == r["lang"] for r in rows]) >= 0.95
@@ -225,7 +270,76 @@ def test_quality_held_out_accuracy(spark):
     assert accuracy(spark, Q.op7_quality(spark, "/root/testdata/sf0.01").collect(), "quality", 0.7) >= 0.9
 
 
-def test_attention_gradient_matches_differences():
+def test_convolution_equals_the_definition_and_steps_against_the_gradient():
+    rng, texts = np.random.default_rng(2), ["one two three two", "a", "", "you you BAD word here", "x y"]
+    ids, at = toxicity.word_ids(texts, 6)
+    assert at.tolist() == [0, 4, 5, 5, 10, 12] and (ids[1] == ids[3]).all()
+    net, floor = toxicity.Network.start(6, 4, 3, 1), toxicity.FLOOR
+
+    def maxima(net):
+        vectors, rows = net.embedding[ids].sum(axis=1).astype(float), []
+        for low, high in zip(at[:-1], at[1:]):
+            rows.append([max([floor, *(vectors[i:i + k].ravel() @ w[:, f].astype(float) + b[f]
+                                       for i in range(low, high - k + 1))])
+                         for k, w, b in zip(toxicity.WIDTHS, net.filters, net.biases) for f in range(w.shape[1])])
+        return np.array(rows)
+
+    assert np.allclose(net.maxima(ids, at)[0], maxima(net), atol=1e-5)
+    y = np.array([0, 1, 0, 1, 0])
+
+    def loss(net):
+        z = maxima(net) @ net.out.astype(float) + net.bias
+        return float(((np.logaddexp(0, z) - y * z) * np.where(y, 1.5, 1)).mean())  # 3 of class 0 to 2 of class 1
+
+    docs = [(ids[low:high], int(v)) for low, high, v in zip(at[:-1], at[1:], y)]
+    rate = 1e-3
+    after = toxicity.train(docs, bits=6, dim=4, filters=3, epochs=1, rate=rate, batch=8, seed=1)
+    checked = 0
+    for part in (lambda n: n.embedding, lambda n: n.filters[0], lambda n: n.filters[2], lambda n: n.biases[1],
+                 lambda n: n.out):
+        value, moved = part(net), part(after)
+        for spot in map(tuple, rng.permutation(np.argwhere(np.ones(value.shape, bool)))[:60]):
+            kept, ends = value[spot], []
+            for change in (1e-3, -1e-3):
+                value[spot] = kept + change
+                ends.append(loss(net))
+            value[spot] = kept
+            slope = (ends[0] - ends[1]) / 2e-3
+            if abs(slope) > 3e-3:
+                assert abs(moved[spot] - kept + rate * np.sign(slope)) < rate / 10
+                checked += 1
+    assert checked > 30
+
+
+def test_passage_features_equal_the_definition():
+    texts = ["The the THE x9 -- " * 30, "", None, "Élan a a b a " + "q" * 50 + " 12,5 ...", "\u4e2d\u6587 ok"]
+    got, at = quality.passages(texts)
+    assert at.tolist() == [0, 4, 5, 6, 7, 8]  # 150 words are four passages
+
+    def kind(c):
+        if unicodedata.category(c)[0] not in "LMN":
+            return 0
+        return 2 if c.isupper() else 3 if c.isdecimal() else 1
+
+    for t, text in enumerate(texts):
+        words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+        for p in range(at[t + 1] - at[t]):
+            part = words[48 * p:48 * p + 48]
+            n, spots = len(part), range(48 * p, 48 * p + len(part))
+            mean = lambda f: sum(f([kind(c) for c in w], len(w)) for w in part) / max(1, n)
+            want = [np.log1p(n) / 4, len(set(part)) / max(1, n),
+                    sum(i > 0 and words[i] == words[i - 1] for i in spots) / max(1, n),
+                    sum(i > 1 and words[i] == words[i - 2] for i in spots) / max(1, n),
+                    mean(lambda k, s: s) / 8, mean(lambda k, s: k.count(2) / max(1, k.count(1) + k.count(2))),
+                    mean(lambda k, s: k.count(3) / s), mean(lambda k, s: k.count(0) / s),
+                    mean(lambda k, s: k.count(0) == s), mean(lambda k, s: min(4, k.count(0)) / 4),
+                    mean(lambda k, s: k.count(2) > 1), mean(lambda k, s: s > 20)]
+            row = got[at[t] + p]
+            assert np.allclose(row[:12], want, atol=1e-6)
+            assert np.isclose(row[12:].sum(), n > 0)
+
+
+def test_attention_weights_and_learning():
     rng = np.random.default_rng(0)
     bags = [(rng.random((n, quality.FEATURES)).astype(np.float32), n % 2) for n in (1, 3, 4, 2)]
     net = quality.Network.start()
@@ -236,6 +350,38 @@ def test_attention_gradient_matches_differences():
     assert ((trained.forward(x, at)["p"] > 0.5) == [y for _, y in bags]).all()
 
 
+def test_attention_steps_against_the_gradient_by_differences():
+    rng = np.random.default_rng(5)
+    bags = [(rng.random((n, quality.FEATURES)), n % 2) for n in (1, 3, 4, 2, 5)]
+    x, at = np.concatenate([b for b, _ in bags]), np.cumsum([0, *(len(b) for b, _ in bags)])
+    y, net = np.array([v for _, v in bags]), quality.Network.start()
+
+    def loss():
+        out, w = [], net.w
+        for low, high in zip(at[:-1], at[1:]):
+            h = np.maximum(0, x[low:high] @ w["enc"] + w["enc_b"])
+            gate = np.tanh(h @ w["tanh"]) / (1 + np.exp(-h @ w["sig"])) @ w["att"]
+            a = np.exp(gate) / np.exp(gate).sum()
+            out.append(a @ h @ w["out"] + w["out_b"][0])
+        z = np.array(out)
+        return float((np.logaddexp(0, z) - y * z).mean())
+
+    rate, checked = 1e-4, Counter()
+    after = quality.train(bags, epochs=1, rate=rate, batch=8)
+    for name, value in net.w.items():
+        for spot in map(tuple, rng.permutation(np.argwhere(np.ones(value.shape, bool)))[:40]):
+            kept, ends = value[spot], []
+            for change in (1e-5, -1e-5):
+                value[spot] = kept + change
+                ends.append(loss())
+            value[spot] = kept
+            slope = (ends[0] - ends[1]) / 2e-5
+            if abs(slope) > 1e-6:
+                assert abs(after.w[name][spot] - kept + rate * np.sign(slope)) < rate / 10, name
+                checked[name] += 1
+    assert len(checked) == len(net.w) and sum(checked.values()) > 60
+
+
 def test_classifiers_on_awkward_rows(spark):
     rows, some = awkward(spark), labels(spark, [(4, 1, 0), (5, 0, 1), (7, None, 1), (None, 1, 1), (4, 0, 1)])
     for module in (toxicity, quality):
@@ -322,6 +468,35 @@ def test_near_duplicates_compare_a_loose_family_in_bounded_groups(spark, monkeyp
     assert 0 < max(sizes) <= 80  # 30 in a block in the mean, 243 in the family
 
 
+def family(spark, docs=400, pairs=120, alike=0.81, kept=0.5, seed=3):
+    """Signatures of a loose family, and of pairs in it that agree in a share
+    ``alike`` of the coordinates and have no other near partner."""
+    rng = np.random.default_rng(seed)
+    base = rng.integers(1, 1 << 32, neardup.COORDINATES, dtype=np.uint32)
+    new = lambda n: rng.integers(1, 1 << 32, (n, neardup.COORDINATES), dtype=np.uint32)
+    sig = np.where(rng.random((docs, neardup.COORDINATES)) < kept, base, new(docs))
+    changed = np.argsort(rng.random((pairs, neardup.COORDINATES)), axis=1) >= round(alike * neardup.COORDINATES)
+    sig = np.vstack([sig, np.where(changed, new(pairs), sig[:pairs])])
+    rows = [(i, bytearray(s.tobytes())) for i, s in enumerate(sig)]
+    return spark.createDataFrame(rows, "doc long, sig binary"), [(i, docs + i) for i in range(pairs)]
+
+
+def test_trees_follow_the_depth(spark, monkeypatch):
+    assert all(neardup.parted(n) ** neardup.trees_for(n) <= neardup.MISS for n in range(1, 41))
+    assert neardup.trees_for(16) == 10 and neardup.trees_for(40) == 22
+    reps, planted = family(spark)
+    recall = []
+    for by_depth in (True, False):
+        if not by_depth:
+            monkeypatch.setattr(neardup, "trees_for", lambda levels: 1)
+        links = {(max(r), min(r)) for r in map(tuple, neardup.candidate_links(reps, trees=1, node_rows=4).collect())}
+        part = {r["vertex"]: r["component"] for r in components(
+            spark.createDataFrame(sorted(links), "a long, b long")).collect()} if links else {}
+        recall.append(np.mean([part.get(a, a) == part.get(b, b) for a, b in planted]))
+    print("recall by depth, fixed", recall)
+    assert recall[0] >= 0.9 and recall[0] > recall[1]
+
+
 def test_near_duplicates_match_sql(spark):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF}/documents.parquet')")
@@ -392,6 +567,28 @@ def test_secret_literals_with_slashes_blanks_and_letters():
         assert clean(text) == text
 
 
+def test_secret_sums_are_one_literal():
+    def literals(text):
+        return [text[a:b] for a, k, b in secrets.spans_of(text) if k == 3]
+
+    text = "part = \"Zk9!pQ\"\nmy_credential = \"Ab3$\" + part + 'kd92' + other\ncolor = \"a\" + \"b\""
+    assert literals(text) == ["Zk9!pQ", "Ab3$", "kd92"]
+    assert literals('db_credential = "Ab3$" +\n    "kd92kQ" \\\n  + "x1"\nn = 1') == ["Ab3$", "kd92kQ", "x1"]
+    assert literals('credential_count = one + two + 3') == []
+    assert secrets.redact(text, secrets.spans_of(text), "#").count("#") == 3
+
+
+def test_secrets_in_linear_time():
+    text = "\n".join(f'api_key_{i} = "Ab3kd9{i}2kQxx"' for i in range(30_000))
+    begun = time.process_time()
+    assert len(secrets.spans_of(text)) == 30_000
+    assert time.process_time() - begun < 20  # some 70 s where each literal is held against each base span
+    chain = "s = 'abc1'\n" + "s = s + 'x9K'\n" * 20_000 + "credential = s"
+    begun = time.process_time()
+    assert secrets.spans_of(chain)
+    assert time.process_time() - begun < 20
+
+
 def test_secrets_awkward_rows(spark):
     out = secrets.scan(awkward(spark), redacted="clean").collect()
     assert len(out) == 10 and all(r["spans"] == [] and r["clean"] == r["text"] for r in out)

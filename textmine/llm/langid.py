@@ -10,7 +10,8 @@ only the pieces-by-languages table comes to the driver.
 A text that is null or has no letter is ``und`` with score 0; ties go to the
 first language by code point.  Rows with a null language teach nothing.
 Repeated rows are scored each by itself; words of any length are scored
-whole.
+whole, long ones in runs that advance together (``long_forward``), in bounded
+memory.
 """
 
 from __future__ import annotations
@@ -29,6 +30,9 @@ from textmine.session import ship_package
 #: Bytes of text scored at once; the distinct words of a slice are scored.
 SLICE = 4_000_000
 TINY, BIG = 1e-120, 1e120
+#: Words of this many characters are scored one by one, in runs, unless this
+#: many have one length.
+LONG, FEW = 256, 24
 
 
 def read_pieces(path: str) -> list[str]:
@@ -80,6 +84,62 @@ class Lattice:
         return rows, back.reshape(points.shape)
 
 
+def long_forward(lattice: Lattice, word: str, prob: np.ndarray, step: int = 64, part: int = 16384) -> np.ndarray:
+    """Log probability of one long word in each language.
+
+    The forward recursion is linear in its last values, as many as the longest
+    piece has characters.  So the word is cut into runs of ``step``
+    characters, all runs of a ``part`` advance together, each from every unit
+    vector, and the resulting matrices are applied one after the other.
+    Memory is that of a part."""
+    window, langs = lattice.longest, prob.shape[1]
+    padded = np.vstack([prob, np.zeros((1, langs))])
+    ones = np.vstack([prob, np.ones((1, langs))])
+    state = np.full((window, langs), -np.inf)  # log of the value 0, 1, .. places back
+    state[0] = 0.0
+    part = part // step * step
+    cuts = [0, *range(len(word) % part or part, len(word) + 1, part)]  # only the first part may be uneven
+    for low, high in zip(cuts[:-1], cuts[1:]):
+        before = min(low, window - 1)
+        points, found = lattice.spans([word[low - before:high]])
+        rows, back = lattice.point_bytes(points)
+        spelled = (ones[rows].prod(axis=1) * (rows[:, :1] >= 0))[back[0, before:]]
+        runs = -(-(high - low) // step)
+        gap = runs * step - (high - low)  # filled up in front, where nothing is read
+        spelled = np.vstack([np.ones((gap, langs)), spelled]).reshape(runs, step, langs)
+        ids = np.full((len(found) + 1, window + runs * step), -1, np.int32)  # by the place after ``window``
+        for k, at in found.items():
+            begin = window + gap - before
+            ids[k, begin:begin + at.shape[1]] = at[0]
+        # values of the last places, newest at place i modulo the window
+        value = np.zeros((window + 1, runs, window, langs))
+        shift = np.zeros_like(value)
+        for j in range(window):
+            value[-j % (window + 1), :, j] = 1.0
+        base = window + np.arange(runs) * step
+        for i in range(1, step + 1):
+            last = shift[(i - 1) % (window + 1)]
+            total = value[(i - 1) % (window + 1)] * spelled[:, i - 1, None]
+            for k in found:
+                piece = ids[k, base + i - k]
+                if (here := np.flatnonzero(piece >= 0)).size:
+                    old = (i - k) % (window + 1)
+                    rate = np.exp(np.minimum(700, shift[old, here] - last[here]))
+                    total[here] += value[old, here] * padded[piece[here], None] * rate
+            small = (total < 1e-30) & (total > 0)
+            scale = np.where(small, np.maximum(total, TINY), 1.0)
+            value[i % (window + 1)], shift[i % (window + 1)] = total / scale, last + np.log(scale)
+        newest = (step - np.arange(window)) % (window + 1)
+        with np.errstate(divide="ignore"):
+            moves = np.log(value[newest]) + shift[newest]  # (to, runs, from, languages)
+        for r in range(runs):
+            terms = moves[:, r] + state
+            top = np.maximum(terms.max(axis=1), -1e300)
+            with np.errstate(divide="ignore"):
+                state = np.log(np.exp(terms - top[:, None]).sum(axis=1)) + top
+    return np.maximum(state[0], -1e300)
+
+
 def forward(lattice: Lattice, words: list[str], prob: np.ndarray,
             weights: np.ndarray | None = None) -> np.ndarray:
     """Log probability of each word (all of one length) in each language;
@@ -188,7 +248,10 @@ class Model:
             new = np.arange(len(d.hashes))
         words = d.marked(new)
         for group in by_length(words):
-            each[new[group]] = forward(self.lattice, [words[i] for i in group], self.prob)
+            if len(words[group[0]]) >= LONG and len(group) < FEW:
+                each[new[group]] = [long_forward(self.lattice, words[i], self.prob) for i in group]
+            else:
+                each[new[group]] = forward(self.lattice, [words[i] for i in group], self.prob)
         if len(new):
             if len(keys) + len(new) > self.cache_words:
                 keys, scores = d.hashes, each
@@ -209,13 +272,14 @@ def has_letter(texts: list[str | None]) -> list[bool]:
 
 
 def fit(df: DataFrame, pieces: list[str], text: str = "text", lang: str = "lang", where: Column | None = None,
-        rows_per_language: int = 600, rounds: int = 3, add: float = 0.01) -> Model:
+        rows_per_language: int = 600, rounds: int = 3, add: float = 0.01, longest_taught: int = 2000) -> Model:
     """Learn piece probabilities by language from rows with a language that
     ``where`` admits.
 
     ``rows_per_language`` is the expected number of rows learned from in each
     language, chosen by a hash of the text (repeated texts count once); their
-    whole texts are read.  Only (language, piece) sums reach the driver.
+    whole texts are read, but words of more than ``longest_taught``
+    characters teach nothing.  Only (language, piece) sums reach the driver.
     """
     spark = df.sparkSession
     ship_package(spark)
@@ -244,6 +308,8 @@ def fit(df: DataFrame, pieces: list[str], text: str = "text", lang: str = "lang"
                 np.add.at(weights, (d.back, np.repeat(of, np.diff(d.at))), 1.0)
                 total = np.zeros((len(langs), len(pieces)))
                 for group in by_length(words, 200_000):
+                    if len(words[group[0]]) > longest_taught:
+                        break  # groups come by length
                     total += forward(lattice, [words[i] for i in group], prob, weights[group])
                 k, piece = np.nonzero(total)
                 yield pa.RecordBatch.from_arrays(

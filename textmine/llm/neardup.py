@@ -35,6 +35,9 @@ from textmine.llm.words import Words, ascii_lower, blank_table, mix
 
 COORDINATES = 64
 TREES = 10
+#: Highest chance to miss a pair at the threshold 0.8 that has no other path:
+#: documents that branch too often for ``TREES`` trees get further ones.
+MISS = 0.05
 #: A second branch is taken with this chance, so that a pair at the threshold
 #: 0.8 keeps 1 branch in the mean (1.25 branches, each shared with chance 0.8).
 SECOND = 0.25
@@ -49,8 +52,9 @@ PIVOTS, STAR = 8, 32
 BLOCK, LEAST = 1_500_000, 400
 #: Cluster members up to which their keys are broadcast to fetch texts.
 FETCH_ROWS = 200_000
-#: Rows of one key beyond which an exact join spreads them over tasks.
-HOT_ROWS = 2_000
+#: Rows of one key beyond which an exact join spreads them over tasks, and the
+#: number of such keys up to which they are broadcast (a sorted join beyond).
+HOT_ROWS, HOT_KEYS = 2_000, 200_000
 
 _RNG = np.random.default_rng(20)
 _KEYS = _RNG.integers(1, 1 << 63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -117,15 +121,30 @@ def _signatures(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, COORDINATES)
 
 
-def _branch(rows: DataFrame, trees: int) -> DataFrame:
+def parted(levels: int, alike: float = 0.8) -> float:
+    """The chance that two sets of similarity ``alike`` share no node of one
+    tree after ``levels`` branchings (coordinates taken as independent)."""
+    chance = 0.0
+    for _ in range(levels):
+        one = 1 - alike + alike * chance
+        chance = one * (1 - SECOND + SECOND * one)
+    return chance
+
+
+def trees_for(levels: int, miss: float = MISS) -> int:
+    """Trees that miss such a pair with a chance of at most ``miss``."""
+    return math.ceil(math.log(miss) / math.log(parted(max(1, levels))))
+
+
+def _branch(rows: DataFrame, first: int, trees: int) -> DataFrame:
     """``node, doc``: the first nodes of every document (``doc, sig``) below
-    the roots of all trees."""
+    the roots of ``trees`` trees, from number ``first`` on."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             sig, doc = _signatures(batch.column("sig")), batch.column("doc").to_numpy()
-            node = np.repeat(mix(np.arange(1, trees + 1, dtype=np.uint64)), len(doc))
+            node = np.repeat(mix(np.arange(first, first + trees, dtype=np.uint64)), len(doc))
             row, child = _children(node, np.tile(sig, (trees, 1)))
             doc = np.tile(doc, trees)
             yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), pa.array(doc[row])],
@@ -272,19 +291,38 @@ def candidate_links(reps: DataFrame, trees: int = TREES, node_rows: int = NODE,
     """``a, b``: spanning links of documents whose signatures agree, found in
     nodes of the trees.  ``reps`` has ``doc, sig``, one row per signature.
 
+    The more often documents branch, the likelier two similar ones part in
+    every tree.  So those that branch more often than ``trees`` trees allow
+    for (``trees_for``) go through as many trees as their depth asks for."""
+    found, deep, depth = _grow(reps, 1, trees, trees, node_rows, levels)
+    while deep is not None and (wanted := trees_for(depth)) > trees:
+        more, _, reached = _grow(reps.join(deep, "doc", "left_semi"), trees + 1, wanted - trees, trees, node_rows,
+                                 levels)
+        found, trees, depth = found.union(more), wanted, max(depth, reached)
+    return found
+
+
+def _grow(reps: DataFrame, first: int, trees: int, enough: int, node_rows: int,
+          levels: int) -> tuple[DataFrame, DataFrame | None, int]:
+    """The links found in ``trees`` trees from number ``first`` on, the
+    documents that branch more often than ``enough`` trees allow for (none:
+    null), and the number of branchings of the deepest.
+
     A node of up to ``node_rows`` rows is compared exhaustively.  The rows of
     a larger one are first held against its pivots; a node whose rows all
     belong to one part is done, any other branches again."""
     spark = reps.sparkSession
-    keys, found = _branch(reps, trees), spark.createDataFrame([], "a long, b long")
+    keys, found, deep = _branch(reps, first, trees), spark.createDataFrame([], "a long, b long"), None
     for level in range(levels):
+        if deep is None and trees_for(level + 1) > enough:
+            deep = checkpointed(keys.select("doc").distinct())
         sizes = keys.groupBy("node").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
         shared = checkpointed(keys.join(sizes, "node").join(reps, "doc").select("node", "doc", "rows", "sig"))
         largest = shared.agg(F.max("rows")).first()[0] or 0
         small = shared.filter(F.col("rows") <= node_rows).select("node", "doc", "sig")
         found = found.union(checkpointed(_node_links(small)))
         if largest <= node_rows:
-            return found
+            return found, deep, level + 1
         large = shared.filter(F.col("rows") > node_rows)
         if level == levels - 1:
             # what so many branchings left together: blocks of a bounded size
@@ -292,14 +330,14 @@ def candidate_links(reps: DataFrame, trees: int = TREES, node_rows: int = NODE,
             dealt = large.withColumn("node", F.xxhash64("node", F.pmod(F.xxhash64("doc"), parts)))
             star = large.groupBy("node").agg(F.min("doc").alias("b"))
             star = large.join(star, "node").filter("doc <> b").select(F.col("doc").alias("a"), "b")
-            return found.union(checkpointed(_node_links(dealt.select("node", "doc", "sig")).union(star)))
+            return found.union(checkpointed(_node_links(dealt.select("node", "doc", "sig")).union(star))), deep, levels
         opened = checkpointed(_open_up(large.select("node", "doc", "sig")))
         found = found.union(opened.filter("pivot is not null and pivot <> doc").select(
             F.col("doc").alias("a"), F.col("pivot").alias("b")))
         mixed = opened.groupBy("node").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).filter(
             "lo < hi or lo < 0").select("node")
         keys = opened.join(mixed, "node", "left_semi").select(F.explode("children").alias("node"), "doc")
-    return found
+    return found, deep, levels
 
 
 def _exact(sets: list[np.ndarray], similarity: int) -> np.ndarray:
@@ -319,16 +357,21 @@ def _exact(sets: list[np.ndarray], similarity: int) -> np.ndarray:
     return spanning(len(sets), len(sets), near)
 
 
-def _join_uneven(left: DataFrame, right: DataFrame, key: list[str]) -> DataFrame:
+def _counted(hot: DataFrame) -> DataFrame:
+    """The materialised hot keys, broadcast where they are few."""
+    return F.broadcast(hot) if hot.count() <= HOT_KEYS else hot.hint("merge")
+
+
+def _join_uneven(left: DataFrame, right: DataFrame, key: list[str], by: list[str]) -> DataFrame:
     """Inner join on ``key``, of which ``right`` repeats none.  Keys with more
-    than ``HOT_ROWS`` rows of ``left`` are joined by broadcast (their number is
-    at most that part of the rows), the others by exchange."""
-    hot = checkpointed(left.groupBy(*key).agg(F.count(F.lit(1)).alias("_rows")).filter(
-        F.col("_rows") > HOT_ROWS).select(*key, F.lit(True).alias("_hot")))
-    marked = left.join(F.broadcast(hot), key, "left")
-    few = right.join(F.broadcast(hot.drop("_hot")), key, "left_semi")
-    one = marked.filter("_hot").drop("_hot").join(F.broadcast(few), key)
-    return one.unionByName(marked.filter("_hot is null").drop("_hot").join(right, key))
+    than ``HOT_ROWS`` rows of ``left`` are dealt by a hash of ``by`` to parts
+    of about that size, and their row of ``right`` goes to each part."""
+    hot = _counted(checkpointed(left.groupBy(*key).agg(F.count(F.lit(1)).alias("_rows")).filter(
+        F.col("_rows") > HOT_ROWS).select(*key, F.ceil(F.col("_rows") / HOT_ROWS).cast("int").alias("_parts"))))
+    parts = F.coalesce("_parts", F.lit(1))
+    dealt = left.join(hot, key, "left").withColumn("_part", F.pmod(F.xxhash64(*by, F.lit(8)), parts).cast("int"))
+    every = right.join(hot, key, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1)))
+    return dealt.drop("_parts").join(every.drop("_parts"), [*key, "_part"]).drop("_part")
 
 
 def _full_sets(rows: DataFrame, words: int) -> DataFrame:
@@ -350,7 +393,7 @@ def _prefixes(sets: DataFrame, similarity: int) -> DataFrame:
     it links with (array of ``at, item``: the place and the shingle)."""
     each = sets.select("cluster", "cid", "n", F.explode("items").alias("item"))
     counts = checkpointed(each.groupBy("cluster", "item").agg(F.count(F.lit(1)).alias("df")).filter("df > 1"))
-    shared = _join_uneven(each, counts, ["cluster", "item"])
+    shared = _join_uneven(each, counts, ["cluster", "item"], ["cid"])
     ranked = shared.groupBy("cluster", "cid", "n").agg(F.array_sort(F.collect_list(F.struct("df", "item"))).alias("x"))
     # shingles of one set only come first; they join with nothing
     alone = F.col("n") - F.size("x")
@@ -381,16 +424,16 @@ def _pairs(ranked: DataFrame, similarity: int, pivots: bool) -> DataFrame:
     if pivots:
         one = F.min(F.struct(F.xxhash64("cid_s", F.lit(6)), "cid_s", "n_s", "part_s", "left_s")).alias("one")
         small = small.groupBy(*key).agg(one).select(*key, "one.cid_s", "one.n_s", "one.part_s", "one.left_s")
-        both = _join_uneven(large, small, key)
+        both = _join_uneven(large, small, key, ["cid"])
     else:
         # keys with many rows on both sides are dealt to squares of a bounded size
         sizes = small.groupBy(*key).agg(F.count(F.lit(1)).alias("ks")).join(
             large.groupBy(*key).agg(F.count(F.lit(1)).alias("kl")), key)
-        hot = checkpointed(sizes.filter((F.col("ks") > HOT_ROWS) | (F.col("kl") > HOT_ROWS)).select(
-            *key, *[F.ceil(F.col(c) / HOT_ROWS).cast("int").alias(c) for c in ("ks", "kl")]))
+        hot = _counted(checkpointed(sizes.filter((F.col("ks") > HOT_ROWS) | (F.col("kl") > HOT_ROWS)).select(
+            *key, *[F.ceil(F.col(c) / HOT_ROWS).cast("int").alias(c) for c in ("ks", "kl")])))
 
         def deal(rows: DataFrame, cid: str, own: str, other: str) -> DataFrame:
-            rows = rows.join(F.broadcast(hot), key, "left").fillna(1, ["ks", "kl"])
+            rows = rows.join(hot, key, "left").fillna(1, ["ks", "kl"])
             return rows.withColumn(f"_{own}", F.pmod(F.xxhash64(cid, F.lit(5)), F.col(own)).cast("int")).withColumn(
                 f"_{other}", F.explode(F.sequence(F.lit(0), F.col(other) - 1))).drop("ks", "kl")
 
@@ -404,7 +447,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     """The ``pairs`` (``a, b``) whose whole sets are similar."""
     of = lambda end: sets.select(F.col("cid").alias(end), F.col("n").alias(f"n_{end}"),
                                  F.col("items").alias(f"items_{end}"))
-    both = _join_uneven(_join_uneven(pairs, of("a"), ["a"]), of("b"), ["b"])
+    both = _join_uneven(_join_uneven(pairs, of("a"), ["a"], ["b"]), of("b"), ["b"], ["a"])
     common = F.size(F.array_intersect("items_a", "items_b")).cast("long")
     return both.withColumn("common", common).filter(
         100 * F.col("common") >= similarity * (F.col("n_a") + F.col("n_b") - F.col("common"))).select("a", "b")

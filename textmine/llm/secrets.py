@@ -4,8 +4,10 @@ Besides three fixed patterns, every text is lexed for assignments of source
 and configuration syntax (``name = "literal"``, ``"name": literal``,
 ``name := literal``, ``name => literal``).  Names that hold a literal are
 constants; a later assignment from such a name (bare, ``$name`` or
-``${name}``) stands for that literal.  A literal counts as a secret by the
-sensitivity of the names it reaches and by its own form.
+``${name}``) stands for that literal.  A sum (``"a" + name + "b"``, also over
+line ends) is one literal of several spans; a name in it counts if it holds a
+single literal.  A literal counts as a secret by
+the sensitivity of the names it reaches and by its own form.
 
 Offsets are code points, ends exclusive.  Null and empty texts have no
 spans; repeated rows are scanned each by itself; texts are read whole, and
@@ -47,6 +49,7 @@ PLACEHOLDERS = frozenset({"none", "null", "true", "false", "undefined", "changem
 _OPERATOR = re.compile(r"[=:]+>?")
 _NAME_END = re.compile(r"[A-Za-z0-9_.$-]")
 _VALUE = re.compile(r"""[ \t]*(?:"((?:[^"\\\n]|\\.)*)"|'((?:[^'\\\n]|\\.)*)'|(\$\{[^}\s]*\}|[^\s,;"'(){}\[\]<>]+))""")
+_PLUS = re.compile(r"[ \t]*(?:\\?\r?\n[ \t]*)?\+(?![+=])[ \t]*(?:\\?\r?\n[ \t]*)?(?=[\"'A-Za-z_$])")
 _REFERENCE = re.compile(r"\$\{([A-Za-z_][\w.]*)\}|\$?([A-Za-z_][\w.]*)", re.ASCII)
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
 
@@ -63,8 +66,9 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return out
 
 
-def pairs(text: str) -> list[tuple[str, int, int, bool]]:
-    """``(name, start, end, quoted)`` of every assignment, in order."""
+def pairs(text: str) -> list[tuple[str, list[tuple[int, int, bool]]]]:
+    """The name of every assignment and the parts ``(start, end, quoted)`` of
+    its value, in order; a value has several parts where it is a sum."""
     out, done = [], 0
     for m in _OPERATOR.finditer(text):
         if m.start() < done or m.end() - m.start() > 2 or m.group() in ("==", "::"):
@@ -81,8 +85,18 @@ def pairs(text: str) -> list[tuple[str, int, int, bool]]:
         if begin == stop or not value:
             continue
         kind = value.lastindex
-        out.append((text[begin:stop], value.start(kind), value.end(kind), kind < 3))
+        parts = [(*value.span(kind), kind < 3)]
         done = value.end(kind) if kind < 3 else m.end()
+        # a sum begins with a literal or a name; its bare parts are names
+        named = kind < 3 or _REFERENCE.fullmatch(text, *value.span(kind))
+        end = value.end()
+        while named and (plus := _PLUS.match(text, end)) and (value := _VALUE.match(text, plus.end())):
+            kind, end = value.lastindex, value.end()
+            named = kind < 3 or _REFERENCE.fullmatch(text, *value.span(kind))
+            if named:
+                parts.append((*value.span(kind), kind < 3))
+                done = end
+        out.append((text[begin:stop], parts))
     return out
 
 
@@ -107,20 +121,44 @@ def literal_score(value: str, blanks: bool = False) -> float:
 
 def literal_spans(text: str, least: float = 0.5) -> list[tuple[int, int, int]]:
     """Literals that reach a sensitive name, directly or through constants."""
-    constants: dict[str, tuple[int, int]] = {}
-    best: dict[tuple[int, int], float] = {}
-    for name, start, end, quoted in pairs(text):
-        span, known = (start, end), None
-        if not quoted and (ref := _REFERENCE.fullmatch(text, start, end)):
-            known = constants.get(ref.group(1) or ref.group(2))
-            span = known or span
-        letters = not quoted and not known and text[start:end].isalpha()
+    values: list[list[tuple[int, int]]] = []  # the spans of every literal, sums included
+    scores: list[float] = []
+    constants: dict[str, int] = {}
+
+    def held(start: int, end: int, quoted: bool) -> int | None:
+        """The literal that a bare name stands for."""
+        ref = None if quoted else _REFERENCE.fullmatch(text, start, end)
+        return constants.get(ref.group(1) or ref.group(2)) if ref else None
+
+    def whole(parts: list[tuple[int, int, bool]]) -> list[tuple[int, int]]:
+        """The spans of a sum; names that hold no single literal add none."""
+        spans = []
+        for a, b, quoted in parts:
+            known = held(a, b, quoted)
+            if quoted:
+                spans.append((a, b))
+            elif known is not None and len(values[known]) == 1:
+                spans += values[known]
+        return spans
+
+    for name, parts in pairs(text):
+        start, end, quoted = parts[0]
+        known, letters = None, False
+        if not (len(parts) > 1 and (spans := whole(parts))):
+            known, spans = held(start, end, quoted), [(start, end)]
+            letters = not quoted and known is None and text[start:end].isalpha()
+        if known is None:
+            known = len(values)
+            values.append(spans)
+            scores.append(0.0)
         if not letters:
-            constants[name.rpartition(".")[2]] = constants[name] = span
+            constants[name.rpartition(".")[2]] = constants[name] = known
         # bare letters may name a variable or call; those of strong names count
         if not letters or (name_score(name) >= STRONG and text[end:end + 1] not in ("(", "[")):
-            best[span] = max(best.get(span, 0.0), name_score(name))
-    return [(a, 3, b) for (a, b), s in best.items() if s and s * literal_score(text[a:b], s >= STRONG) >= least]
+            scores[known] = max(scores[known], name_score(name))
+    secret = [spans for spans, s in zip(values, scores)
+              if s and s * literal_score("".join(text[a:b] for a, b in spans), s >= STRONG) >= least]
+    return [(a, 3, b) for a, b in dict.fromkeys(span for spans in secret for span in spans) if a < b]
 
 
 def spans_of(text: str | None) -> list[tuple[int, int, int]]:
@@ -130,7 +168,15 @@ def spans_of(text: str | None) -> list[tuple[int, int, int]]:
         return []
     found = base_spans(text)
     if "=" in text or ":" in text:
-        found += [x for x in literal_spans(text) if not any(a <= x[0] and x[2] <= b for a, _, b in found)]
+        found = sorted(found)
+        at, reach, extra = 0, 0, []
+        for x in sorted(literal_spans(text)):
+            while at < len(found) and found[at][0] <= x[0]:
+                reach = max(reach, found[at][2])  # of the base spans that begin no later
+                at += 1
+            if x[2] > reach:
+                extra.append(x)
+        found += extra
     return sorted(found)
 
 
