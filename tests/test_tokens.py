@@ -88,6 +88,36 @@ def test_collapse_tokens_in_order(spark):
     assert rows(out) == [(1, "a b c"), (2, "z")]
 
 
+def test_collapse_in_two_levels_equals_one(spark):
+    # document 1 in many pieces; nulls: words are left out, orders come first
+    df = spark.createDataFrame(
+        [(1, i, p, None if i % 7 == 3 else f"w{i}.{p}") for i in range(400) for p in (2, 1)]
+        + [(1, None, 1, "first"), (2, 9, 1, None), (2, 5, 1, None), (None, 1, 1, "x"), (3, -5, 1, "b"), (3, -50, 1, "a"),
+           (3, 0, 1, "c"), (4, 1, 1, "same"), (4, 1, 1, "same")], "doc long, line_no long, pos long, word string")
+    long = " ".join(["first", *(f"w{i}.{p}" for i in range(400) if i % 7 != 3 for p in (1, 2))])
+    expected = {(1, long), (2, ""), (None, "x"), (3, "a b c"), (4, "same same")}
+    for chunk in (1, 7, 50, 4096):
+        out = tok.collapse_tokens(df, "doc", ["line_no", "pos"], chunk=chunk)
+        assert set(map(tuple, out.collect())) == expected
+    named = df.withColumn("line_no", F.concat(F.lit("n"), "line_no")).filter("doc = 3")
+    assert tok.collapse_tokens(named, "doc", ["line_no", "pos"]).first()["text"] == "b a c"
+    lines = df.filter("doc = 1 and pos = 1").select("doc", "line_no", F.col("word").alias("text"))
+    assert rows(tok.collapse_lines(lines, ["doc"], "line_no", chunk=8)) == [(1, long_lines())]
+    assert tok.collapse_tokens(df.limit(0), "doc", ["line_no"]).count() == 0
+
+
+def long_lines():
+    return "\n".join(["first", *(f"w{i}.1" for i in range(400) if i % 7 != 3)])
+
+
+def test_collapse_gathers_pieces_not_documents(spark):
+    df = spark.range(300_000).select(F.lit(1).alias("doc"), "id", F.lit("abc").alias("word"))
+    out = tok.collapse_tokens(df, "doc", ["id"], chunk=1000)
+    assert out.select(F.length("text")).first()[0] == 300_000 * 4 - 1
+    text = out._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("Aggregate [") == 2 and "collect_list" in text  # rows of a piece, then pieces of a document
+
+
 def test_running_sum_many_groups(spark):
     df = spark.range(0, 2000).select((F.col("id") % 3).alias("g"), (F.col("id") + 1).alias("i"),
                                      (F.col("id") % 5).alias("v"))

@@ -119,24 +119,40 @@ def unnest_tokens(df: DataFrame, output: str, input: str = "text", token: str =
     return exploded.select(*cols)
 
 
+def _joined_in_order(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str, sep: str,
+                     chunk: int) -> DataFrame:
+    """``value`` of each key joined in the order of ``order``, in two levels:
+    the rows of each ``chunk`` numbers of the first order column make one
+    string, then a key's strings are joined.  So a key's rows are never
+    gathered as such, only its pieces, and a hot key is many groups of the
+    first shuffle.  A first order column that holds no numbers makes one
+    piece.  Null values are left out; null orders come first."""
+    piece = F.floor(F.col(order[0]).try_cast("double") / chunk)
+    fields = [F.col(c).alias(f"o{i}") for i, c in enumerate(order)]
+
+    def join(rows: Column) -> Column:
+        return F.array_join(F.transform(F.array_sort(F.collect_list(rows)), lambda x: x["v"]), sep)
+
+    # a piece of null values alone is null, so that it adds no separator
+    some = F.when(F.count(value) > 0, join(F.struct(*fields, F.col(value).alias("v"))))
+    pieces = df.withColumn("_piece", piece).groupBy(*keys, "_piece").agg(some.alias("_joined"))
+    return pieces.groupBy(*keys).agg(join(F.struct(F.col("_piece").alias("p"), F.col("_joined").alias("v"))).alias(out))
+
+
 def collapse_lines(df: DataFrame, keys: Sequence[str], order: str, text: str = "text",
-                   sep: str = "\n") -> DataFrame:
+                   sep: str = "\n", chunk: int = 4096) -> DataFrame:
     """Re-assemble a line table into one text per key, in line order (the
-    unit a document-level tokeniser works on)."""
-    return df.groupBy(*keys).agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"),
-                                                                        F.col(text).alias("t")))),
-                                 lambda x: x["t"]), sep).alias(text))
+    unit a document-level tokeniser works on), ``chunk`` lines at a time."""
+    return _joined_in_order(df, keys, [order], text, text, sep, chunk)
 
 
 def collapse_tokens(df: DataFrame, key: str | Sequence[str], order: Sequence[str],
-                    word: str = "word", out: str = "text", sep: str = " ") -> DataFrame:
-    """Paste each document's tokens back into one string in token order."""
+                    word: str = "word", out: str = "text", sep: str = " ", chunk: int = 4096) -> DataFrame:
+    """Paste each document's tokens back into one string in token order; the
+    tokens of ``chunk`` lines (or positions, whichever ``order`` begins with)
+    are pasted first."""
     keys = [key] if isinstance(key, str) else list(key)
-    fields = [F.col(c).alias(f"o{i}") for i, c in enumerate(order)]
-    return df.groupBy(*keys).agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(*fields, F.col(word).alias("w")))),
-                                 lambda x: x["w"]), sep).alias(out))
+    return _joined_in_order(df, keys, list(order), word, out, sep, chunk)
 
 
 def segment_by_marker(lines_df: DataFrame, pattern: str, by: str | Sequence[str],

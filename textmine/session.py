@@ -10,7 +10,6 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-import warnings
 import zipfile
 
 from pyspark.sql import SparkSession
@@ -45,9 +44,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder, creating a local one only if none is set.
 
     A cluster names a shared folder in ``spark.checkpoint.dir``; that value is
-    always used as is.  Only a session without it (local tests) gets a fresh
-    scratch folder; outside local mode that comes with a warning, because
-    executors elsewhere do not share it.
+    always used as is.  Only a local session without it (tests) gets a fresh
+    scratch folder; executors elsewhere would not share one, so outside local
+    mode a missing setting is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -56,8 +55,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         if not sc.master.startswith("local"):
-            warnings.warn("spark.checkpoint.dir is not set: intermediate tables go to a folder of this machine, "
-                          "which other machines do not see; name a shared folder", stacklevel=2)
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder that all machines share, "
+                               "intermediate tables go there")
         configured = tempfile.mkdtemp(prefix="textmine-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
