@@ -13,15 +13,13 @@ The stages are models, hash orders and tokenizers, which SQL cannot express;
 
 from __future__ import annotations
 
-import uuid
-
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textmine.llm import bpe, mixing, neardup, quality, secrets
 from textmine.llm.common import crc_fold
-from textmine.session import ensure_checkpoint_dir
+from textmine.session import scratch_table
 from textmine.sources import load
 
 #: Documents scored below this are rejected.
@@ -74,14 +72,20 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``.  Each result but the last is written to
     the session's shared folder; a stage's input is deleted when its output
-    is written."""
-    folder = f"{ensure_checkpoint_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    is written, and everything when a stage fails.  The result reads the
+    fourth stage's table, which ``session.release`` deletes with the
+    session's other tables."""
+    folder = scratch_table(spark)
     docs = load(spark, sf_dir, "documents")
-    for i, (_, stage) in enumerate(STAGES[:-1]):
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{i}")
-        docs = spark.read.parquet(f"{folder}/{i}")
-        if i:
-            _delete(spark, f"{folder}/{i - 1}")
+    try:
+        for i, (_, stage) in enumerate(STAGES[:-1]):
+            stage(spark, docs, sf_dir).write.parquet(f"{folder}/{i}")
+            docs = spark.read.parquet(f"{folder}/{i}")
+            if i:
+                _delete(spark, f"{folder}/{i - 1}")
+    except Exception:
+        _delete(spark, folder)
+        raise
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
