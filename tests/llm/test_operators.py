@@ -5,6 +5,7 @@ empty tables and extra columns with clashing names."""
 import hashlib
 import itertools
 import math
+import os
 import random
 import re
 import time
@@ -24,6 +25,7 @@ from textmine.llm import bpe, forest, langid, masked_lm, maxscore, mixing, neard
 from textmine.llm import queries as Q
 from textmine.llm.graph import components
 from textmine.llm.vectors import usable
+from textmine.session import release
 
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -792,3 +794,46 @@ def test_pipeline_stages(spark, documents):
 def stage_input(spark, documents):
     """Texts as the last stage sees them: the redacted ones by key."""
     return corpus_pipeline.without_secrets(spark, documents, SF).collect()
+
+
+def pipeline_tables(spark):
+    """Folders that the session holds for ``release``, and those that still exist."""
+    paths = [p for p in getattr(spark.sparkContext, "_textmine_tables", [])]
+    return [p for p in paths if os.path.exists(p.removeprefix("file:"))]
+
+
+def test_pipeline_run_on_awkward_rows_and_release(spark, tmp_path):
+    good = " ".join(f"plain{i} words{i % 7} of a calm report" for i in range(60))
+    rows = [*[(i, f"{good} number {i} {'abc' * i}", "en", "a", None) for i in range(20, 60)],
+            (90, good, None, None, 5), (91, good, None, None, 5)]
+    docs = awkward(spark).unionByName(spark.createDataFrame(rows, DOCS), allowMissingColumns=True)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    labels(spark, [(i, int(i % 3 > 0), 0) for i in range(2, 60)]).write.parquet(f"{tmp_path}/labels.parquet")
+    release(spark)
+    out = corpus_pipeline.run(spark, str(tmp_path))
+    got = out.collect()
+    assert {"doc_id", "ids", "n_tokens"} <= set(out.columns)
+    assert {r["doc_id"] for r in got} <= {r["doc_id"] for r in docs.collect()}
+    assert all(r["n_tokens"] == len(r["ids"]) for r in got)
+    assert len(pipeline_tables(spark)) == 1
+    assert release(spark) >= 1 and not pipeline_tables(spark)
+
+
+def test_pipeline_run_on_an_empty_table(spark, tmp_path):
+    empty(spark).write.parquet(f"{tmp_path}/documents.parquet")
+    labels(spark).write.parquet(f"{tmp_path}/labels.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+    release(spark)
+
+
+def test_pipeline_failure_leaves_no_tables(spark, tmp_path, monkeypatch):
+    def broken(*_):
+        raise ValueError("broken stage")
+
+    awkward(spark).write.parquet(f"{tmp_path}/documents.parquet")
+    kept = [("kept", lambda spark, docs, sf_dir: docs), ("broken", broken)]
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [*kept, ("last", broken)])
+    release(spark)
+    with pytest.raises(ValueError, match="broken stage"):
+        corpus_pipeline.run(spark, str(tmp_path))
+    assert not pipeline_tables(spark)
