@@ -134,3 +134,37 @@ def test_scratch_tables_are_deleted_on_release(spark):
     assert glob.glob(os.path.join(local, "*.parquet"))
     assert release(spark) == 1 and not os.path.exists(local)
     assert release(spark) == 0
+
+
+def test_measured_side_is_bounded_by_rows_and_by_bytes(spark):
+    def hint(df, **bounds):
+        return V.measured(df, **bounds)._jdf.queryExecution().logical().toString().splitlines()[0]
+
+    df = spark.range(50).select("id", F.repeat(F.lit("x"), 100).alias("text"),
+                                F.create_map(F.lit("a"), F.col("id")).alias("m"))
+    assert "broadcast" in hint(df)
+    assert "merge" in hint(df, limit=49) and "merge" in hint(df, max_bytes=5_000)
+    assert "broadcast" in hint(df.limit(0), limit=0, max_bytes=0)
+    assert rows(V.measured(df).select("id")) == rows(df.select("id"))
+
+
+def test_partner_summary_matches_brute_force(spark):
+    data = random_sections(7)
+    df = spark.createDataFrame([*data, (None, 1), ("alone", 999)], "word string, section long")
+    want = {}
+    for (a, _), n in brute_counts(data).items():
+        p, t, m = want.get(a, (0, 0, 0))
+        want[a] = (p + 1, t + n, max(m, n))
+    for block in (3, 2048):
+        got = {r.item1: (r.partners, r.together, r.strongest)
+               for r in P.partner_summary(df, "word", "section", block_items=block).collect()}
+        assert got == want
+    assert P.partner_summary(df.limit(0), "word", "section").count() == 0
+
+
+def test_term_trend_completes_listed_terms_that_occur(spark):
+    df = spark.createDataFrame([(1, "a", 2), (1, "b", 3), (2, "b", 4), (None, "c", 5)],
+                               "year long, term string, count long")
+    got = {tuple(r) for r in TF.term_trend(df, ["a", "b", "a", "absent"]).collect()}
+    assert got == {(1, "a", 2, 5), (1, "b", 3, 5), (2, "a", 0, 4), (2, "b", 4, 4), (None, "a", 0, 5), (None, "b", 0, 5)}
+    assert TF.term_trend(df, ["absent"]).count() == 0 and TF.term_trend(df, []).count() == 0

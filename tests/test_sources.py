@@ -33,6 +33,8 @@ def test_select_corpus_and_with_meta(spark):
     assert rows(corpus.select_corpus(docs, meta, F.col("quality") == 1, "doc_id")) == [(1, "a")]
     attached = corpus.with_meta(docs, meta.dropDuplicates(), "doc_id", ["author"])
     assert rows(attached) == [(1, "a", "x"), (2, "b", "y"), (3, "c", None)]
+    listed = corpus.with_meta(docs, meta.dropDuplicates(), "doc_id", ["author"], how="inner")
+    assert rows(listed) == [(1, "a", "x"), (2, "b", "y")]
 
 
 def test_save_table_partitions_and_prunes(spark):

@@ -96,14 +96,16 @@ def term_trend(triplets: DataFrame, terms: Sequence[str], year: str = "year", te
 
     Same rows as completing the whole (year x term) grid, filling 0,
     totalling per year and then keeping ``terms``, but only the chosen terms
-    are completed: the grid is (all years) x (chosen terms present).
+    are completed: the grid is (all years) x (chosen terms present), each
+    year carrying the listed terms, so it takes no product join.
     """
-    from textmine.operators.verbs import block_product
-
     # one row per year
     year_totals = triplets.groupBy(year).agg(F.sum(value).alias("year_total"))
-    chosen = triplets.filter(F.col(term).isin(*terms)).select(year, term, value)
-    grid = block_product(triplets.select(year).distinct(), chosen.select(term).distinct())
-    filled = null_safe_join(grid, measured(chosen), [year, term], "left") \
+    chosen = measured(triplets.filter(F.col(term).isin(*terms)).select(year, term, value))
+    listed = F.array(*[F.lit(t) for t in dict.fromkeys(terms)]).cast("array<string>")
+    # at most one row per listed term
+    present = F.broadcast(chosen.select(term).distinct())
+    grid = triplets.select(year).distinct().select(year, F.explode(listed).alias(term)).join(present, term, "left_semi")
+    filled = null_safe_join(grid, chosen, [year, term], "left") \
         .withColumn(value, F.coalesce(F.col(value), F.lit(0)))
     return null_safe_join(filled, measured(year_totals), [year]).select(year, term, value, "year_total")

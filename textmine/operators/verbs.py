@@ -8,8 +8,9 @@ Scale rules followed throughout:
 * a group total is an aggregate joined back, not a window over the group,
   so a hot group is never buffered in one task;
 * an aggregated side that is joined back is computed and counted first
-  (``measured``): broadcast up to ``BROADCAST_ROWS`` rows, a sort-merge join
-  (with adaptive skew splitting) beyond, never by a planner's estimate;
+  (``measured``): broadcast up to ``BROADCAST_ROWS`` rows and
+  ``BROADCAST_BYTES``, a sort-merge join (with adaptive skew splitting)
+  beyond, never by a planner's estimate;
 * top-n is ``rank() <= n`` (Spark adds a partial WindowGroupLimit before the
   shuffle);
 * row numbers over large inputs come from a range sort plus per-partition
@@ -24,13 +25,15 @@ import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _LOCAL_BITS = 33  # monotonically_increasing_id: partition id above bit 33
 
-# A counted side of up to this many rows is broadcast; larger ones are merged.
+# A counted side of up to this many rows and bytes is broadcast; larger ones are merged.
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 64 << 20
 
 
 def as_list(x) -> list:
@@ -60,19 +63,39 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
     return joined.drop(*[f"_r_{k}" for k in keys])
 
 
-def measured(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """A join side with a strategy chosen by its real number of rows.
+def _row_bytes(schema: T.StructType) -> Column:
+    """Bytes of a row's values, roughly: 8 for a number, text by its length,
+    arrays of numbers by their size, other nested values as JSON text."""
+    def width(field: T.StructField) -> Column:
+        col, kind = F.col(f"`{field.name}`"), field.dataType
+        if isinstance(kind, (T.StringType, T.BinaryType)):
+            return F.octet_length(col) + 8
+        if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.NumericType):
+            return F.size(col) * 8
+        if isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
+            return F.octet_length(F.to_json(F.struct(col)))
+        return F.lit(8)
+
+    return reduce(lambda a, b: a + b, [F.coalesce(width(f), F.lit(8)).cast("long") for f in schema.fields])
+
+
+def measured(df: DataFrame, limit: int = BROADCAST_ROWS, *, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """A join side with a strategy chosen by its real size.
 
     The size estimate of a table below an ``explode`` or a checkpoint can be
-    far too low, so the side is computed once (checkpointed) and counted: up
-    to ``limit`` rows it is broadcast, beyond that the join is a sort-merge
-    join.  Eager.
+    far too low, so the side is computed once (checkpointed), its rows and
+    bytes counted on the way: up to ``limit`` rows and ``max_bytes`` it is
+    broadcast, beyond that the join is a sort-merge join.  Eager, one job.
     """
     from textmine.session import ensure_checkpoint_dir
 
     ensure_checkpoint_dir(df.sparkSession)
-    table = df.checkpoint(eager=True)
-    return F.broadcast(table) if table.limit(limit + 1).count() <= limit else table.hint("merge")
+    seen = Observation()
+    table = df.observe(seen, F.count(F.lit(1)).alias("rows"),
+                       F.sum(_row_bytes(df.schema)).alias("bytes")).checkpoint(eager=True)
+    size = seen.get
+    small = (size["rows"] or 0) <= limit and (size["bytes"] or 0) <= max_bytes
+    return F.broadcast(table) if small else table.hint("merge")
 
 
 # --------------------------------------------------------------------------- counts

@@ -474,16 +474,19 @@ SECTION_WORDS = f"""section_words AS (
   WHERE lang = 'en' AND line_no // {FX.SECTION_LINES} > 0)"""
 SEC_BASE = (LINES, LINE_TOKENS, STOP_CTE, CLEAN_LINE_TOKENS, SECTION_WORDS)
 
-sql("pairwise_count", with_(*SEC_BASE, """pres AS (SELECT DISTINCT word, doc_id, section FROM section_words)""") + f"""
+PAIRS = (*SEC_BASE, """pres AS (SELECT DISTINCT word, doc_id, section FROM section_words)""", """pairs AS (
+  SELECT a.word AS item1, b.word AS item2, count(*) AS n
+  FROM pres a JOIN pres b ON a.doc_id = b.doc_id AND a.section = b.section AND a.word <> b.word GROUP BY 1, 2)""")
+
+sql("pairwise_count", with_(*PAIRS) + "SELECT item1, item2, n FROM pairs")
+
+sql("pairwise_with", with_(*SEC_BASE, """pres AS (SELECT DISTINCT word, doc_id, section FROM section_words)""") + f"""
 SELECT a.word AS item1, b.word AS item2, count(*) AS n
 FROM pres a JOIN pres b ON a.doc_id = b.doc_id AND a.section = b.section AND a.word <> b.word
 WHERE a.word = {q(FX.PAIR_WORD)} GROUP BY 1, 2""")
 
-sql("pairwise_partners", with_(*SEC_BASE, """pres AS (SELECT DISTINCT word, doc_id, section FROM section_words)""") + """
-SELECT item1, count(*) AS partners, sum(n)::BIGINT AS together, max(n) AS strongest FROM (
-  SELECT a.word AS item1, b.word AS item2, count(*) AS n
-  FROM pres a JOIN pres b ON a.doc_id = b.doc_id AND a.section = b.section AND a.word <> b.word GROUP BY 1, 2)
-GROUP BY item1""")
+sql("pairwise_partners", with_(*PAIRS) + """
+SELECT item1, count(*) AS partners, sum(n)::BIGINT AS together, max(n) AS strongest FROM pairs GROUP BY item1""")
 
 WORD_CORS = """frequent AS (
   SELECT * FROM section_words WHERE word IN (SELECT word FROM section_words GROUP BY word HAVING count(*) >= 20)),
@@ -642,7 +645,7 @@ SELECT word, count(*) AS n FROM clean_doc_tokens
 WHERE doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1) GROUP BY word""")
 
 sql("meta_tf_idf", with_(DOC_TOKENS, """meta_counts AS (
-  SELECT l.toxic, t.word, count(*) AS n FROM doc_tokens t LEFT JOIN labels l USING (doc_id) GROUP BY 1, 2)""",
+  SELECT l.toxic, t.word, count(*) AS n FROM doc_tokens t JOIN labels l USING (doc_id) GROUP BY 1, 2)""",
                          tf_idf_cte("t", "meta_counts", "word", "toxic")) + tf_idf_out("t", "toxic, word, n"))
 
 sql("saved_word_freq", with_(DOC_TOKENS) + "SELECT word, count(*) AS n FROM doc_tokens GROUP BY word")

@@ -483,6 +483,12 @@ def section_words(spark, d) -> DataFrame:
 
 @query
 def pairwise_count(spark, d):
+    """Every ordered pair of words that share a section, most frequent first."""
+    return P.pairwise_count(section_words(spark, d), "word", ["doc_id", "section"], sort=True)
+
+
+@query
+def pairwise_with(spark, d):
     """Partners of one word, most frequent first."""
     return P.pairwise_count(section_words(spark, d), "word", ["doc_id", "section"], sort=True,
                             items=[FX.PAIR_WORD])
@@ -492,9 +498,7 @@ def pairwise_count(spark, d):
 def pairwise_partners(spark, d):
     """From the counts of all pairs: each word's number of partners, its
     shared sections in all, and its largest count with one partner."""
-    pairs = P.pairwise_count(section_words(spark, d), "word", ["doc_id", "section"])
-    return pairs.groupBy("item1").agg(F.count(F.lit(1)).alias("partners"), F.sum("n").alias("together"),
-                                      F.max("n").alias("strongest"))
+    return P.partner_summary(section_words(spark, d), "word", ["doc_id", "section"])
 
 
 @query
@@ -669,7 +673,7 @@ def select_stored_corpus(spark, d):
 @query
 def meta_tf_idf(spark, d):
     labels = corpus.load(spark, d, "labels")
-    docs = corpus.with_meta(documents(spark, d), labels, "doc_id", ["toxic"])
+    docs = corpus.with_meta(documents(spark, d), labels, "doc_id", ["toxic"], how="inner")
     counts = corpus.materialize(V.count_by(tok.unnest_tokens(docs, "word", "text"), "toxic", "word"))
     return rounded(TF.bind_tf_idf(counts, "word", "toxic", "n"))
 

@@ -67,10 +67,12 @@ def select_stored(stored: DataFrame, meta: DataFrame, predicate: Column, key: st
 
 
 def with_meta(docs: DataFrame, meta: DataFrame, key: str | Sequence[str],
-              fields: Sequence[str]) -> DataFrame:
-    """Attach catalogue columns (``meta_fields``) to each document row."""
+              fields: Sequence[str], how: str = "left") -> DataFrame:
+    """Attach catalogue columns (``meta_fields``) to each document row.
+    Documents that the catalogue does not list get NULLs, or go with
+    ``how="inner"``."""
     keys = [key] if isinstance(key, str) else list(key)
-    return docs.join(meta.select(*keys, *fields), keys, "left")
+    return docs.join(meta.select(*keys, *fields), keys, how)
 
 
 def lines(docs: DataFrame, text: str = "text", out: str = "text",
