@@ -21,7 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textmine.operators.topic_fit import TopicModel, fit_em
-from textmine.operators.verbs import count_by, measured, separate, share, top_n, with_order
+from textmine.operators.verbs import count_by, hot_and_cold, measured, separate, share, top_n, with_order
+from textmine.session import stored
 from textmine.sources.matrix import cast_dtm
 
 
@@ -119,42 +120,61 @@ def misclassified(classes: DataFrame, book_topics: DataFrame) -> DataFrame:
     return classes.join(book_topics, "topic").filter(F.col("title") != F.col("consensus"))
 
 
-def augment(triplets: DataFrame, beta: DataFrame, gamma: DataFrame,
-            document: str = "document", term: str = "term", value: str = "count") -> DataFrame:
+def by_term(beta: DataFrame) -> DataFrame:
+    """Beta as one row per term: its topics and betas, and the sum of these
+    (how often the term is met, roughly) as ``_weight``."""
+    return beta.filter(F.col("beta").isNotNull()).groupBy("term").agg(
+        F.collect_list(F.struct("topic", "beta")).alias("_beta"), F.sum("beta").alias("_weight"))
+
+
+def augment(triplets: DataFrame, beta: DataFrame, gamma: DataFrame, document: str = "document", term: str = "term",
+            value: str = "count", distinct: bool = False) -> DataFrame:
     """Add ``assigned_topic`` to each document-term cell: the topic
     maximising gamma(document, topic) * beta(topic, term), the lowest topic
     on ties.  Cells are those of the document-term matrix (repeated
-    (document, term) rows are summed into one cell, as casting would);
-    cells whose term is not in beta are dropped.
+    (document, term) rows are summed into one cell, as casting would, unless
+    the caller knows them to be ``distinct``); cells whose term is not in beta
+    are dropped.
 
     Beta becomes one array of k entries per term and gamma one map of k
     entries per document, so a cell meets each with one join and the arg-max
-    is taken within the row: no k-fold rows and no second grouping.  Eager:
-    both sides are computed and counted (``measured``).
+    is taken within the row: no k-fold rows and no second grouping.  Cells of
+    frequent terms meet a broadcast part of beta, only those of rare ones are
+    shuffled for it (``hot_and_cold``).  Eager: both sides are computed and counted.
     """
-    cells = triplets.groupBy(F.col(document).alias("document"), F.col(term).alias("term")) \
-        .agg(F.sum(value).alias(value))
-    by_term = beta.filter(F.col("beta").isNotNull()).groupBy("term").agg(
-        F.collect_list(F.struct("topic", "beta")).alias("_beta"))
-    by_document = gamma.filter(F.col("gamma").isNotNull()).groupBy("document").agg(
-        F.map_from_entries(F.collect_list(F.struct("topic", "gamma"))).alias("_gamma"))
-    joined = cells.join(measured(by_term), "term").join(measured(by_document), "document")
-    known = F.filter("_beta", lambda e: F.map_contains_key("_gamma", e["topic"]))
-    scores = F.transform(known, lambda e: F.struct((F.col("_gamma")[e["topic"]] * e["beta"]).alias("s"),
-                                                   (-e["topic"]).alias("t")))
-    best = joined.select("document", "term", value, F.array_max(scores).alias("_b"))
-    return best.filter(F.col("_b").isNotNull()).select(
-        "document", "term", value, (-F.col("_b.t")).alias("assigned_topic"))
+    cells = triplets.select(F.col(document).alias("document"), F.col(term).alias("term"), F.col(value).alias(value))
+    by_document = measured(gamma.filter(F.col("gamma").isNotNull()).groupBy("document").agg(
+        F.map_from_entries(F.collect_list(F.struct("topic", "gamma"))).alias("_gamma")), large="shuffle_hash")
+
+    def assigned(some: DataFrame, betas: DataFrame) -> DataFrame:
+        if not distinct:
+            some = some.groupBy("document", "term").agg(F.sum(value).alias(value))
+        joined = some.join(by_document, "document").join(betas.drop("_weight"), "term")
+        # a topic the document lacks scores null, which is less than any number
+        scores = F.transform("_beta", lambda e: F.struct((F.col("_gamma")[e["topic"]] * e["beta"]).alias("s"),
+                                                         (-e["topic"]).alias("t")))
+        best = joined.select("document", "term", value, F.array_max(scores).alias("_b"))
+        return best.filter(F.col("_b.s").isNotNull()).select(
+            "document", "term", value, (-F.col("_b.t")).alias("assigned_topic"))
+
+    hot, cold = hot_and_cold(by_term(beta), "_weight")
+    if cold is None:
+        return assigned(cells, hot)
+    frequent = F.broadcast(hot.select("term"))
+    return assigned(cells.join(frequent, "term", "left_semi"), hot).unionByName(
+        assigned(cells.join(frequent, "term", "left_anti"), cold))
 
 
 def confusion(assignments: DataFrame, book_topics: DataFrame, value: str = "count",
               sep: str = "_") -> DataFrame:
     """Weighted counts of (true title, consensus title of the assigned
-    topic), with the share within each true title."""
-    split = separate(assignments, "document", ["title", "chapter"], sep=sep, convert={"chapter": "long"})
+    topic), with the share within each true title.  Eager: the few counts are
+    computed once (the shares read them twice)."""
+    by_document = count_by(assignments, "document", "assigned_topic", wt=value, name=value)
+    split = separate(by_document, "document", ["title", "chapter"], sep=sep, convert={"chapter": "long"})
     joined = split.join(book_topics.withColumnRenamed("topic", "assigned_topic"), "assigned_topic")
     counts = count_by(joined, "title", "consensus", wt=value)
-    return share(counts, "n", by="title", out="percent")
+    return share(stored(counts), "n", by="title", out="percent")
 
 
 def wrong_words(assignments: DataFrame, book_topics: DataFrame, value: str = "count",
